@@ -18,6 +18,11 @@ def date_in_name(name: Column) -> Column:
     return safe_date(F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1))
 
 
+def last_date_in_path(path: Column) -> Column:
+    """The last ISO date in a path, so a file's date wins over its folder's."""
+    return safe_date(F.regexp_extract(path, r".*(\d{4}-\d{2}-\d{2})", 1))
+
+
 def day(value: str | date) -> Column:
     """A date literal, so that comparisons stay typed and reach the partition filter."""
     return F.lit(value if isinstance(value, date) else date.fromisoformat(value))

@@ -31,6 +31,10 @@ class Lake:
     def speed(self) -> str:
         return self._at("speed/realtime_events")
 
+    @property
+    def quarantine(self) -> str:
+        return self._at("quarantine/events")
+
     def gold(self, name: str) -> str:
         return self._at(f"gold/{name}")
 

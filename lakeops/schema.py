@@ -4,16 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
+Fields = dict[str, str]
+
 # Names and types of the product record, of the columns added when
 # a batch is loaded, and of the two extra fields a stream event carries.
-PRODUCT_FIELDS = """
-    id BIGINT, sku STRING, name STRING, url_key STRING,
-    price BIGINT, original_price BIGINT, discount BIGINT, discount_rate INT,
-    brand_name STRING, rating_average DOUBLE, review_count INT, thumbnail_url STRING,
-    category_id INT, category_name STRING, quantity_sold INT, is_active BOOLEAN
-"""
-LOAD_FIELDS = "source_file STRING, loaded_at TIMESTAMP, crawl_date DATE"
-EVENT_FIELDS = "crawl_date STRING, _event_type STRING"
+PRODUCT_FIELDS: Fields = {
+    "id": "long",
+    "sku": "string",
+    "name": "string",
+    "url_key": "string",
+    "price": "long",
+    "original_price": "long",
+    "discount": "long",
+    "discount_rate": "integer",
+    "brand_name": "string",
+    "rating_average": "double",
+    "review_count": "integer",
+    "thumbnail_url": "string",
+    "category_id": "integer",
+    "category_name": "string",
+    "quantity_sold": "integer",
+    "is_active": "boolean",
+}
+LOAD_FIELDS: Fields = {"source_file": "string", "loaded_at": "timestamp", "crawl_date": "date"}
+EVENT_FIELDS: Fields = {"crawl_date": "string", "_event_type": "string"}
 
 # The columns whose change makes a new row in the price log.
 TRACKED_PRICES = ["price", "original_price", "discount", "discount_rate"]
@@ -22,9 +36,16 @@ TRACKED_PRICES = ["price", "original_price", "discount", "discount_rate"]
 SPEED_COLUMNS = ["id", "name", "price", "discount_rate", "quantity_sold", "loaded_at", "_event_type"]
 
 
-def product_schema(extra: str = "") -> StructType:
-    """The flat product record, optionally followed by more DDL fields."""
-    return StructType.fromDDL(", ".join(part for part in (PRODUCT_FIELDS.strip(), extra) if part))
+def struct_of(fields: Fields) -> StructType:
+    schema = StructType()
+    for name, data_type in fields.items():
+        schema.add(name, data_type)
+    return schema
+
+
+def product_schema(extra: Fields | None = None) -> StructType:
+    """The flat product record, optionally followed by more fields."""
+    return struct_of({**PRODUCT_FIELDS, **(extra or {})})
 
 
 def stored_schema() -> StructType:
@@ -32,6 +53,6 @@ def stored_schema() -> StructType:
     return product_schema(LOAD_FIELDS)
 
 
-def event_schema(extra: str = "") -> StructType:
+def event_schema(extra: Fields | None = None) -> StructType:
     """A stream event: the record, a text date, the event type, and optional ordering fields."""
-    return product_schema(", ".join(part for part in (EVENT_FIELDS, extra) if part))
+    return product_schema({**EVENT_FIELDS, **(extra or {})})

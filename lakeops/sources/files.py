@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
-from lakeops.functions.dates import date_in_name, safe_date
+from lakeops.functions.dates import last_date_in_path, safe_date
 from lakeops.functions.listing import units_sold
 from lakeops.operators.latest import latest_by
 from lakeops.schema import product_schema
@@ -19,48 +19,49 @@ SHARD_ZERO_DEFAULTS = ["price", "original_price", "discount", "discount_rate", "
 def read_records(
     spark: SparkSession, path: str | list[str], schema: StructType | None = None, corrupt: str | None = None
 ) -> DataFrame:
-    """Newline-delimited JSON under a fixed schema, bad fields NULL.
+    """Newline-delimited JSON under a fixed schema, bad fields NULL; folders are read with all below them.
 
     ``corrupt`` names a text column that receives lines which are not JSON.
     """
     schema = schema or product_schema()
-    reader = spark.read
+    reader = spark.read.option("recursiveFileLookup", True)
     if corrupt:
         schema = StructType(schema.fields).add(corrupt, "string")
         reader = reader.option("columnNameOfCorruptRecord", corrupt)
     return reader.schema(schema).json(path)
 
 
-def read_json_arrays(spark: SparkSession, path: str | list[str], fields: str) -> DataFrame:
-    """Rows (file_name, position, record) of files that hold one JSON array each.
+def read_json_arrays(spark: SparkSession, path: str | list[str], record: StructType) -> DataFrame:
+    """Rows (file, position, record) of files that hold one JSON array each; ``file`` is the whole path.
 
     Files whose root is something else give no rows. An array cannot be split, so a file
     is parsed by one task; many files are parsed side by side.
     """
     files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("value")
+        F.col("_metadata.file_path").alias("file"), F.col("value")
     )
     arrays = files.filter(F.col("value").rlike(r"^\s*\["))
-    parsed = F.from_json(F.col("value"), f"ARRAY<STRUCT<{fields}>>")
-    return arrays.select("file_name", F.posexplode(parsed).alias("position", "record"))
+    parsed = F.from_json(F.col("value"), ArrayType(record))
+    return arrays.select("file", F.posexplode(parsed).alias("position", "record"))
 
 
 def read_backfill(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Records of dated array files; a record's own date wins over the file's."""
-    fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in product_schema("crawl_date STRING"))
-    rows = read_json_arrays(spark, path, fields).filter(date_in_name(F.col("file_name")).isNotNull())
-    records = rows.select("file_name", "record.*")
-    own = safe_date(F.col("crawl_date"))
-    return records.withColumn("crawl_date", F.coalesce(own, date_in_name(F.col("file_name"))))
+    record = product_schema({"crawl_date": "string"})
+    rows = read_json_arrays(spark, path, record)
+    dated = rows.withColumn("file_date", last_date_in_path(F.col("file"))).filter("file_date is not null")
+    records = dated.select("file_date", "record.*")
+    return records.withColumn(
+        "crawl_date", F.coalesce(safe_date(F.col("crawl_date")), F.col("file_date"))
+    ).drop("file_date")
 
 
 def load_shards(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Records of array shards with defaults, one per id; the last in (file, position) wins."""
     # units arrive as a number or as an object, so that field is read as text
-    typed = {f.name: f.dataType.simpleString() for f in product_schema("crawl_date STRING")}
-    fields = ", ".join(f"{name}: {'string' if name == 'quantity_sold' else t}" for name, t in typed.items())
-    rows = read_json_arrays(spark, path, fields)
-    last = latest_by(rows, ["record.id"], ["file_name", "position"], tie_break=[])
+    record = product_schema({"quantity_sold": "string", "crawl_date": "string"})
+    rows = read_json_arrays(spark, path, record)
+    last = latest_by(rows.withColumn("id", F.col("record.id")), ["id"], ["file", "position"], tie_break=[])
     zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in SHARD_ZERO_DEFAULTS}
     blank = {c: F.coalesce(F.col(c), F.lit("")) for c in SHARD_TEXT_DEFAULTS}
     return last.select("record.*").withColumns(

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakeops.guards import require_rows
 from lakeops.schema import event_schema
+from lakeops.streaming.run import start
 
 MESSAGE_SCHEMA = "key STRING, value STRING"
 
@@ -50,17 +50,16 @@ def decode(messages: DataFrame, schema: StructType | None = None, error: str | N
 def drain(messages: DataFrame, folder: str, checkpoint: str, must_have_rows: bool = False) -> str:
     """Write all messages that are available now as NDJSON below ``folder`` and stop.
 
-    The checkpoint remembers what was taken, so the next drain starts after it.
+    The checkpoint remembers what was taken, so the next drain, into another folder,
+    starts after it. A repeated epoch replaces its own files.
     """
-    query = (
-        messages.select("value")
-        .writeStream.format("text")
-        .option("path", folder)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    if must_have_rows:
-        require_rows(messages.sparkSession.read.text(folder), folder)
+    taken: list[int] = []
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.select("value").write.mode("overwrite").text(f"{folder}/drain-{epoch:09d}")
+        taken.append(epoch)
+
+    start(messages, write, checkpoint, every=None).awaitTermination()
+    if must_have_rows and not taken:
+        raise ValueError("no messages were available")
     return folder

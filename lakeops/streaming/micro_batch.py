@@ -7,16 +7,14 @@ from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.operators.changes import detect_changes
-from lakeops.operators.clean import clean_records, stamp_events
+from lakeops.operators.clean import clean_records, split_errors, stamp_events
 from lakeops.operators.latest import latest_by
 from lakeops.plans.lake import Lake
 from lakeops.schema import SPEED_COLUMNS
 from lakeops.sinks.files import append_run, write_bronze
-
-Handler = Callable[[DataFrame, int], None]
+from lakeops.streaming.run import Handler
 
 
 def medallion_handler(
@@ -25,6 +23,8 @@ def medallion_handler(
     order: list[str] | None = None,
     event_only: list[str] | None = None,
     default_active: bool | None = True,
+    error: str | None = None,
+    before_commit: Callable[[int], None] | None = None,
 ) -> Handler:
     """A micro-batch function that may be repeated for the same epoch.
 
@@ -32,7 +32,8 @@ def medallion_handler(
     columns that do not go into the stored row. Raw rows, log and speed rows are keyed
     by epoch, so a repeated epoch replaces them; the state commit comes last, and an epoch
     whose commit exists is skipped. Changes are thus always found against the state before
-    the epoch.
+    the epoch. Rows with a text in column ``error`` go to the quarantine. ``before_commit``
+    is called with the epoch between the other writes and the state commit.
     """
     order = order or []
     event_only = [*(event_only or []), "_event_type"]
@@ -44,10 +45,15 @@ def medallion_handler(
         if state.has_tag(run):
             return
         # one load time per epoch, taken here, so a recomputed partition gets the same value
-        events = stamp_events(batch, name, datetime.now(), default_active).persist(StorageLevel.MEMORY_AND_DISK)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if events.isEmpty():
+            if batch.isEmpty():
                 return
+            good = batch
+            if error:
+                good, bad = split_errors(batch, error)
+                append_run(bad.select(error), lake.quarantine, run)
+            events = stamp_events(good, name, datetime.now(), default_active)
             latest = latest_by(events, ["id"], order).drop(*event_only)
             write_bronze(latest, lake.bronze, ingest=run)
             append_run(events.select(*SPEED_COLUMNS), lake.speed, run)
@@ -58,22 +64,12 @@ def medallion_handler(
                 else:
                     log = detect_changes(cleaned, state.read(only=state.touched(cleaned)), small_batch=True)
                 append_run(log, lake.history, run)
+                if before_commit:
+                    before_commit(epoch)
                 state.merge(cleaned, tag=run)
             finally:
                 cleaned.unpersist()
         finally:
-            events.unpersist()
+            batch.unpersist()
 
     return handle
-
-
-def start(
-    events: DataFrame,
-    handler: Handler,
-    checkpoint: str,
-    every: str | None = "20 seconds",
-) -> StreamingQuery:
-    """Run ``handler`` per micro-batch; ``every`` None takes what is available now and stops."""
-    trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    writer = events.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
-    return writer.trigger(**trigger).start()
