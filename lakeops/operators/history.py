@@ -77,10 +77,11 @@ def replay_state(
 ) -> DataFrame:
     """The state after merging every day of ``daily`` in order, in one pass.
 
+    Expects one row per (key, order value), so the order needs no tie-break.
     A key's state is its last row. With full snapshots it is inactive exactly when a
     later day covers the scope value of that row.
     """
-    last = latest_by(daily, [key], [order])
+    last = latest_by(daily, [key], [order], tie_break=[])
     if not full_snapshot:
         return last
     covered = daily.filter(F.col(scope).isNotNull()).groupBy(scope).agg(F.max(order).alias("_covered_until"))
@@ -92,9 +93,11 @@ def replay_state(
     )
 
 
-def as_of(rows: DataFrame, keys: list[str], order: list[str], at: Column) -> DataFrame:
+def as_of(
+    rows: DataFrame, keys: list[str], order: list[str], at: Column, tie_break: list[str] | None = None
+) -> DataFrame:
     """The state at a point: the last row per key whose first order column is not after ``at``."""
-    return latest_by(rows.filter(F.col(order[0]) <= at), keys, order)
+    return latest_by(rows.filter(F.col(order[0]) <= at), keys, order, tie_break)
 
 
 def retain_last_n(rows: DataFrame, stamp: str, n: int) -> DataFrame:

@@ -33,13 +33,14 @@ def load_silver(spark: SparkSession, day: date, lake: Lake, run: str) -> None:
     what it wrote, and a committed run is not applied twice.
     """
     state = lake.state(spark)
-    if state.has_tag(run):
+    head, applied = state.status(run)
+    if applied:
         return
     raw = partition_day(lake.read_bronze(spark), day).drop("ingest")
     snapshot = clean_records(latest_by(raw, ["id"], ["loaded_at"]))
-    log = snapshot if state.head() is None else detect_changes(snapshot, state.read())
+    log = snapshot if head is None else detect_changes(snapshot, state.rows(head))
     append_run(log, lake.history, run)
-    state.merge(snapshot, tag=run, snapshot_scope="category_id")
+    state.merge_onto(head, snapshot, run, snapshot_scope="category_id")
 
 
 def run_batch(

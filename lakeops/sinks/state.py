@@ -50,34 +50,49 @@ class StateTable:
             known = known.filter(F.col("version") <= version)
         return known.orderBy(F.col("version").desc()).limit(1).first()
 
-    def has_tag(self, tag: str) -> bool:
-        return not self.commits().filter(F.col("tag") == tag).limit(1).isEmpty()
-
-    def read(self, version: int | None = None, only: list[int] | None = None) -> DataFrame:
-        """The state now or as of a version, optionally only some buckets."""
+    def status(self, tag: str) -> tuple[Row | None, bool]:
+        """The newest commit, and whether a commit with the tag exists; one small job."""
+        found = self.commits().agg(
+            F.max_by(F.struct("*"), "version").alias("head"), F.max(F.col("tag") == tag).alias("applied")
+        ).first()
+        return found.head, bool(found.applied)
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The state now or as of a version."""
         commit = self.head(version)
         if commit is None:
             raise ValueError("the state has no committed version" + ("" if version is None else f" {version}"))
-        return self._rows(commit, only)
+        return self.rows(commit)
 
     def overwrite(self, df: DataFrame, tag: str | None = None, operation: str = "overwrite") -> int:
         """Replace the whole state."""
-        return self._write(df, self.head(), tag, operation, {})
+        return self._write(df, self.head(), tag, operation)
 
     def merge(self, batch: DataFrame, tag: str | None = None, snapshot_scope: str | None = None) -> int:
         """Upsert ``batch`` (one row per key). A tag that is already committed is not applied again.
 
         A full snapshot may deactivate any row, so it rewrites all buckets.
         """
-        head = self.head()
-        if tag is not None and self.has_tag(tag):
+        head, applied = self.status(tag or "")
+        if tag is not None and applied:
             return head.version
+        if head is None or snapshot_scope:
+            return self.merge_onto(head, batch, tag, None, snapshot_scope)
+        return self.merge_onto(head, batch, tag, self.touched(batch))
+
+    def merge_onto(
+        self,
+        head: Row | None,
+        batch: DataFrame,
+        tag: str | None = None,
+        touched: list[int] | None = None,
+        snapshot_scope: str | None = None,
+    ) -> int:
+        """The merge for callers that know the newest commit and the touched buckets (None: all)."""
         if head is None:
-            return self._write(batch, None, tag, "create", {})
-        touched = None if snapshot_scope else self.touched(batch)
-        merged = upsert(self._rows(head, touched), batch, self.key, snapshot_scope)
-        untouched = {} if touched is None else {b: v for b, v in head.buckets.items() if b not in touched}
-        return self._write(merged, head, tag, "merge", untouched)
+            return self._write(batch, None, tag, "create")
+        merged = upsert(self.rows(head, touched), batch, self.key, snapshot_scope)
+        return self._write(merged, head, tag, "merge", touched)
 
     def rollback(self, version: int) -> int:
         """Make an earlier version current again; copies no data."""
@@ -116,23 +131,30 @@ class StateTable:
     def _folder(self, version: int, bucket: int) -> str:
         return f"{self._data}/version={version}/bucket={bucket}"
 
-    def _rows(self, commit: Row, only: list[int] | None = None) -> DataFrame:
+    def rows(self, commit: Row, only: list[int] | None = None) -> DataFrame:
+        """The rows of a commit, optionally of some buckets."""
         fields = StructType.fromDDL(commit.fields)
-        held = {b: v for b, v in commit.buckets.items() if only is None or b in set(only)}
+        wanted = commit.buckets if only is None else set(only)
+        held = [self._folder(v, b) for b, v in sorted(commit.buckets.items()) if b in wanted]
         if not held:
             return self.spark.createDataFrame([], fields)
-        return self.spark.read.schema(fields).parquet(*[self._folder(v, b) for b, v in sorted(held.items())])
+        return self.spark.read.schema(fields).parquet(*held)
 
     def _write(
-        self, df: DataFrame, head: Row | None, tag: str | None, operation: str, untouched: dict[int, int]
+        self, df: DataFrame, head: Row | None, tag: str | None, operation: str, touched: list[int] | None = None
     ) -> int:
         version = 1 if head is None else head.version + 1
         path = f"{self._data}/version={version}"
         rows = df.withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
         rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
-        written = self.spark.read.schema("bucket INT").option("basePath", path).parquet(path).distinct().collect()
+        if touched is None:
+            # which buckets hold rows: partition values only, no column is read
+            listed = self.spark.read.schema("bucket INT").option("basePath", path).parquet(path)
+            buckets = {r.bucket: version for r in listed.distinct().collect()}
+        else:
+            buckets = {**head.buckets, **{b: version for b in touched}}
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-        return self._commit(version, tag, operation, {**untouched, **{r.bucket: version for r in written}}, fields)
+        return self._commit(version, tag, operation, buckets, fields)
 
     def _commit(self, version: int, tag: str | None, operation: str, buckets: dict[int, int], fields: str) -> int:
         row = self.spark.createDataFrame([(version, tag, operation, None, buckets, fields)], COMMIT_SCHEMA)

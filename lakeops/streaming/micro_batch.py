@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakeops.operators.changes import detect_changes
 from lakeops.operators.clean import clean_records, split_errors, stamp_events
@@ -39,37 +41,44 @@ def medallion_handler(
     event_only = [*(event_only or []), "_event_type"]
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        state = lake.state(spark)
+        state = lake.state(batch.sparkSession)
         run = f"{name}-{epoch:09d}"
-        if state.has_tag(run):
+        head, applied = state.status(run)
+        if applied:
             return
-        # one load time per epoch, taken here, so a recomputed partition gets the same value
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if batch.isEmpty():
+        with held(batch) as batch:
+            broken = F.count(error) if error else F.lit(0)
+            rows, bad_rows = batch.agg(F.count(F.lit(1)), broken).first()
+            if rows == 0:
                 return
             good = batch
             if error:
                 good, bad = split_errors(batch, error)
-                append_run(bad.select(error), lake.quarantine, run)
+                if bad_rows:
+                    append_run(bad.select(error), lake.quarantine, run)
+            # one load time per epoch, taken here, so a recomputed partition gets the same value
             events = stamp_events(good, name, datetime.now(), default_active)
-            latest = latest_by(events, ["id"], order).drop(*event_only)
-            write_bronze(latest, lake.bronze, ingest=run)
             append_run(events.select(*SPEED_COLUMNS), lake.speed, run)
-            cleaned = clean_records(latest).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                if state.head() is None:
-                    log = cleaned
-                else:
-                    log = detect_changes(cleaned, state.read(only=state.touched(cleaned)), small_batch=True)
+            with held(latest_by(events, ["id"], order).drop(*event_only)) as latest:
+                write_bronze(latest, lake.bronze, ingest=run)
+                cleaned = clean_records(latest)
+                touched = state.touched(cleaned)
+                log = cleaned
+                if head is not None:
+                    log = detect_changes(cleaned, state.rows(head, touched), small_batch=True)
                 append_run(log, lake.history, run)
                 if before_commit:
                     before_commit(epoch)
-                state.merge(cleaned, tag=run)
-            finally:
-                cleaned.unpersist()
-        finally:
-            batch.unpersist()
+                state.merge_onto(head, cleaned, run, touched)
 
     return handle
+
+
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` kept for several uses; lost pieces are computed again from the epoch's fixed input."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

@@ -285,10 +285,10 @@ def _(spark, sf):
 
 @query(
     "page_of",
-    "SELECT id, name, price, category_id FROM listing WHERE category_id = 7 ORDER BY price DESC, id LIMIT 10 OFFSET 10",
+    "SELECT id, name, price, category_id FROM listing WHERE category_name = 'LARGE' ORDER BY price DESC, id LIMIT 10 OFFSET 10",
 )
 def _(spark, sf):
-    rows = views.listing(spark, sf).filter("category_id = 7").select("id", "name", "price", "category_id")
+    rows = views.listing(spark, sf).filter("category_name = 'LARGE'").select("id", "name", "price", "category_id")
     return paging.page_of(rows, [F.col("price").desc(), F.col("id")], page=2, limit=10)
 
 
@@ -296,10 +296,10 @@ def _(spark, sf):
     "page_summary",
     """
     SELECT 2 AS current_page, CAST(ceil(count(*) / 10) AS BIGINT) AS last_page, 10 AS per_page, count(*) AS total
-    FROM listing WHERE category_id = 7""",
+    FROM listing WHERE category_name = 'LARGE'""",
 )
 def _(spark, sf):
-    return paging.page_summary(views.listing(spark, sf).filter("category_id = 7"), page=2, limit=10)
+    return paging.page_summary(views.listing(spark, sf).filter("category_name = 'LARGE'"), page=2, limit=10)
 
 
 @query(

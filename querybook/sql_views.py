@@ -21,10 +21,10 @@ VIEWS = {
                CASE WHEN l_orderkey % 23 <> 0
                     THEN CAST(floor(l_extendedprice * (1 + l_tax)) AS BIGINT)
                          - CAST(floor(l_extendedprice) AS BIGINT) END AS discount,
-               CAST(round(l_discount * 100) AS INT) * 5 AS discount_rate,
+               CAST(floor(l_discount * 100 + 0.5) AS INT) * 5 AS discount_rate,
                CASE WHEN l_partkey % 13 = 0 THEN 'No Brand' WHEN l_partkey % 17 = 0 THEN ' '
                     WHEN l_partkey % 19 = 0 THEN NULL ELSE p_brand END AS brand_name,
-               round(3 + l_tax * 25, 2) AS rating_average,
+               3 + floor(l_tax * 100 + 0.5) / 4 AS rating_average,
                l_linenumber * 5 AS review_count,
                '/img/' || l_partkey || '.jpg' AS thumbnail_url,
                p_size AS category_id, p_type AS category_name,

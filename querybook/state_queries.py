@@ -154,7 +154,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     daily = views.products_daily(spark, sf)
-    return history.as_of(daily, ["id"], ["crawl_date"], day("1998-06-30")).select(CHECKED)
+    return history.as_of(daily, ["id"], ["crawl_date"], day("1998-06-30"), tie_break=[]).select(CHECKED)
 
 
 @query("rollback_state", f"SELECT {COLUMNS} FROM state_2000")

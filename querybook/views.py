@@ -43,9 +43,9 @@ def products_raw(spark: SparkSession, sf: str) -> DataFrame:
         price.alias("price"),
         F.when(known, original).alias("original_price"),
         F.when(known, original - price).alias("discount"),
-        (F.round(F.col("l_discount") * 100).cast("int") * 5).alias("discount_rate"),
+        (F.floor(F.col("l_discount") * 100 + 0.5).cast("int") * 5).alias("discount_rate"),
         brand.alias("brand_name"),
-        F.round(3 + F.col("l_tax") * 25, 2).alias("rating_average"),
+        (3 + F.floor(F.col("l_tax") * 100 + 0.5) / 4).alias("rating_average"),
         (F.col("l_linenumber") * 5).alias("review_count"),
         F.concat(F.lit("/img/"), key, F.lit(".jpg")).alias("thumbnail_url"),
         F.col("p_size").alias("category_id"),
@@ -76,7 +76,7 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
 
 def state_before(spark: SparkSession, sf: str) -> DataFrame:
     """The state up to the day before the last, nothing deactivated."""
-    return as_of(products_daily(spark, sf), ["id"], ["crawl_date"], day(OLD))
+    return as_of(products_daily(spark, sf), ["id"], ["crawl_date"], day(OLD), tie_break=[])
 
 
 def last_batch(spark: SparkSession, sf: str) -> DataFrame:
