@@ -21,8 +21,8 @@ from lakeops.sources.files import read_records
 def load_bronze(spark: SparkSession, path: str, lake: Lake, loaded_at: datetime | None = None) -> None:
     """One dated NDJSON file (or folder) into the raw table, one row per id."""
     name = os.path.basename(path.rstrip("/"))
-    stamped = stamp_batch(read_records(spark, path), name, loaded_at)
-    write_bronze(latest_by(stamped, ["id"], []), lake.bronze)
+    records = latest_by(read_records(spark, path), ["id"], [])
+    write_bronze(stamp_batch(records, name, loaded_at), lake.bronze)
 
 
 def load_silver(spark: SparkSession, day: date, lake: Lake, run: str) -> None:

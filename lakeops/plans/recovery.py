@@ -14,6 +14,7 @@ from lakeops.operators.latest import latest_by
 from lakeops.plans.batch import write_gold
 from lakeops.plans.gold import gold_tables
 from lakeops.plans.lake import Lake
+from lakeops.session import staged
 from lakeops.sinks.files import append_run
 
 
@@ -33,7 +34,10 @@ def rebuild(
     tie_break: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(price log, state) as if every day had been loaded in order, in one pass each."""
-    daily = daily_rows(raw, from_date, to_date, tie_break)
+    return replayed(daily_rows(raw, from_date, to_date, tie_break), full_snapshot)
+
+
+def replayed(daily: DataFrame, full_snapshot: bool = True) -> tuple[DataFrame, DataFrame]:
     return change_log(daily), replay_state(daily, full_snapshot=full_snapshot)
 
 
@@ -76,7 +80,8 @@ def recover(
     require_rows(date_range(raw, from_date, to_date), "raw table in the given range")
     if dry_run:
         return plan
-    log, state = rebuild(raw, from_date, to_date)
+    # log and state read the daily rows three times; they are deduplicated and shuffled once
+    log, state = replayed(staged(daily_rows(raw, from_date, to_date), "daily"))
     append_run(log, target.history, "recovery")
     state_table = target.state(spark)
     state_table.overwrite(state, tag="recovery", operation="recovery")

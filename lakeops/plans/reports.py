@@ -15,15 +15,19 @@ from lakeops.operators.latest import latest_by
 from lakeops.plans.gold import DEEP_DISCOUNT
 
 
-def price_moves(price_log: DataFrame, chunk: str | None = "month") -> DataFrame:
+def price_moves(
+    price_log: DataFrame, order: list[str] | None = None, chunk: str | Column | None = "month"
+) -> DataFrame:
     """Each logged price with the one before it, the difference and the direction.
 
-    A product that changes all the time may own much of the log, so its rows are split
-    by ``chunk`` of the date; None keeps each product in one task.
+    A batch log has one row per product and day, the default order. A stream log has many:
+    give an order that tells them apart, and a ``chunk`` fine enough for a product that
+    changes all the time. Rows of one product are split by ``chunk``, a unit of the date or
+    an expression that never falls along the order; None keeps each product in one task.
     """
-    split = None if chunk is None else F.trunc("crawl_date", chunk)
+    split = F.trunc("crawl_date", chunk) if isinstance(chunk, str) else chunk
     before = F.col("previous")["price"]
-    return with_previous(price_log, ["id"], ["crawl_date"], ["price"], split).select(
+    return with_previous(price_log, ["id"], order or ["crawl_date"], ["price"], split).select(
         "id",
         "name",
         "crawl_date",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_OPTIONS = {
     "spark.ui.enabled": "false",
@@ -49,7 +49,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/lakeops/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder, for several later reads of some of its columns."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` cut from its lineage through the shared checkpoint folder."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:

@@ -1,4 +1,4 @@
-"""File sinks. Partitioned writes are rebalanced: small pieces are joined, hot ones split."""
+"""File sinks."""
 
 from __future__ import annotations
 
@@ -7,16 +7,20 @@ from pyspark.sql import functions as F
 
 
 def _overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    writer = df.hint("rebalance", *by).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*by).parquet(path)
 
 
-def write_bronze(df: DataFrame, path: str, ingest: str = "batch") -> None:
+def write_bronze(df: DataFrame, path: str, ingest: str = "batch", many_days: bool = False) -> None:
     """Replace the (day, ingest) partitions present in ``df``.
 
     ``ingest`` names the writer. The batch writer replaces its own rows of a day and never
     those a stream appended; a stream that uses one name per epoch may repeat an epoch.
+    ``many_days`` first brings the rows of a day together, so that not every task writes a
+    file for every day; a day with too many rows for one task is split again.
     """
+    if many_days:
+        df = df.hint("rebalance", "crawl_date")
     _overwrite_partitions(df.withColumn("ingest", F.lit(ingest)), path, ["crawl_date", "ingest"])
 
 

@@ -27,8 +27,8 @@ from querybook.book import query
 def _(spark, sf):
     path = scratch_path(spark, "ndjson")
     lines = views.listing(spark, sf).select("id", F.to_json(F.struct("*")).alias("value"))
-    cut = F.when(F.col("id") % 97 == 0, F.col("value").substr(1, 20)).otherwise(F.col("value"))
-    lines.select(cut.alias("value")).write.text(path)
+    broken = F.when(F.col("id") % 97 == 0, F.concat(F.lit("{oops "), "value")).otherwise(F.col("value"))
+    lines.select(broken.alias("value")).write.text(path)
     rows = sources.read_records(spark, path, corrupt="_bad")
     return rows.select("id", "name", "price", "brand_name", "discount_rate", F.col("_bad").isNull().alias("good"))
 
@@ -133,7 +133,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = scratch_path(spark, "bronze")
-    files.write_bronze(views.products_daily(spark, sf), path)
+    files.write_bronze(views.products_daily(spark, sf), path, many_days=True)
     again = views.last_batch(spark, sf).withColumn("price", F.col("price") + 1)
     files.write_bronze(again, path)
     return spark.read.parquet(path).select("id", "crawl_date", "price")

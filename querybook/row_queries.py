@@ -36,7 +36,7 @@ def _(spark, sf):
 def dirty(spark, sf):
     """Line items with missing keys and numbers and padded names."""
     key, size = F.col("l_partkey"), F.col("p_size")
-    item = views.table(spark, sf, "lineitem")
+    item = views.line_items(spark, sf)
     return item.join(views.table(spark, sf, "part"), key == F.col("p_partkey")).select(
         F.when(key % 50 != 0, key).alias("id"),
         "l_orderkey",
