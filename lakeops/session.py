@@ -7,15 +7,24 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SESSION_OPTIONS = {
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
+# may be set on a session that is already running
+RUNTIME_OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join even where the next step groups by the same key
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+SESSION_OPTIONS = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", **RUNTIME_OPTIONS}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Set the runtime options on a session made elsewhere."""
+    for name, value in RUNTIME_OPTIONS.items():
+        spark.conf.set(name, value)
+    return spark
 
 
 def build_session(app_name: str = "lakeops", master: str | None = None, **options: str) -> SparkSession:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeops.functions.text import FIRST_SEEN, PRICE_DOWN, PRICE_SAME, PRICE_UP
+from lakeops.operators.history import change_log, replay_state
 from lakeops.plans import gold, reports
+from lakeops.session import staged
 from querybook import views
 from querybook.book import query
 
@@ -97,7 +99,7 @@ def _(spark, sf):
     FROM products_raw WHERE crawl_date = DATE '2000-01-01'""",
 )
 def _(spark, sf):
-    return reports.flash_sale_on(views.products_raw(spark, sf), views.OLD)
+    return reports.flash_sale_on(views.load_rows(spark, sf), views.OLD)
 
 
 @query(
@@ -135,7 +137,7 @@ def _(spark, sf):
     FROM seen LEFT JOIN changed USING (crawl_date)""",
 )
 def _(spark, sf):
-    return reports.daily_changes(views.price_history(spark, sf), views.products_raw(spark, sf))
+    return reports.daily_changes(views.price_history(spark, sf), views.load_rows(spark, sf))
 
 
 @query(
@@ -228,7 +230,6 @@ def _(spark, sf):
     SELECT 'daily_summary', count(DISTINCT crawl_date) FROM products_raw""",
 )
 def _(spark, sf):
-    tables = gold.gold_tables(
-        views.products(spark, sf), views.price_history(spark, sf), views.products_raw(spark, sf)
-    )
+    daily = staged(views.products_daily(spark, sf), "daily")
+    tables = gold.gold_tables(replay_state(daily), change_log(daily), views.products_raw(spark, sf))
     return reports.table_counts(tables)

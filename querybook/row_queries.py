@@ -131,7 +131,7 @@ def _(spark, sf):
           FROM products_raw)""",
 )
 def _(spark, sf):
-    raw = views.products_raw(spark, sf)
+    raw = views.load_rows(spark, sf)
     columns = ["id", "l_orderkey", "l_linenumber", "quantity_sold", "price", "discount", "discount_rate"]
     return clean.reprice(raw, 0.07).select(columns)
 
@@ -227,13 +227,13 @@ def _(spark, sf):
     FROM products_raw WHERE year(crawl_date) = 2000""",
 )
 def _(spark, sf):
-    rows = clean.partition_day(views.products_raw(spark, sf), views.OLD)
+    rows = clean.partition_day(views.load_rows(spark, sf), views.OLD)
     return rows.select("id", "l_orderkey", "l_linenumber", "price", "quantity_sold", "crawl_date")
 
 
 @query("list_dates", "SELECT DISTINCT strftime(l_shipdate, '%Y-01-01') AS d FROM lineitem")
 def _(spark, sf):
-    return clean.list_dates(views.products_raw(spark, sf))
+    return clean.list_dates(views.load_rows(spark, sf))
 
 
 @query(
@@ -247,7 +247,7 @@ def _(spark, sf):
     GROUP BY crawl_date, bound""",
 )
 def _(spark, sf):
-    days = views.products_raw(spark, sf).groupBy("crawl_date").agg(F.count(F.lit(1)).alias("row_count"))
+    days = views.load_rows(spark, sf).groupBy("crawl_date").agg(F.count(F.lit(1)).alias("row_count"))
     ranges = {
         "both": clean.date_range(days, "1997-01-01", "1999-12-31"),
         "from": clean.date_range(days, from_date="1997-01-01"),
@@ -266,7 +266,7 @@ def _(spark, sf):
     QUALIFY row_number() OVER (PARTITION BY id ORDER BY crawl_date DESC, price DESC, quantity_sold DESC) = 1""",
 )
 def _(spark, sf):
-    rows = views.products_raw(spark, sf).select(
+    rows = views.load_rows(spark, sf).select(
         F.when(F.col("id") % 50 != 0, F.col("id")).alias("id"), "price", "crawl_date", "quantity_sold"
     )
     return latest_by(rows, ["id"], ["crawl_date"])
@@ -279,7 +279,7 @@ def _(spark, sf):
     QUALIFY row_number() OVER (PARTITION BY id ORDER BY crawl_date, price, quantity_sold) = 1""",
 )
 def _(spark, sf):
-    rows = views.products_raw(spark, sf).select("id", "price", "crawl_date", "quantity_sold")
+    rows = views.load_rows(spark, sf).select("id", "price", "crawl_date", "quantity_sold")
     return first_by(rows, ["id"], ["crawl_date"])
 
 

@@ -9,7 +9,7 @@ from lakeops.operators import history, tree
 from lakeops.operators.changes import detect_changes
 from lakeops.operators.merge import delete_where, upsert, upsert_columns
 from lakeops.plans.recovery import plan_recovery
-from lakeops.session import scratch_path
+from lakeops.session import scratch_path, staged
 from lakeops.sinks.state import StateTable
 from querybook import views
 from querybook.book import query
@@ -22,6 +22,11 @@ COLUMNS = ", ".join(CHECKED)
 TRACKED = ["price", "original_price", "discount", "discount_rate"]
 
 
+def stored_batch(spark, sf):
+    """The last snapshot as a stored table, as the jobs read it: merges use it several times."""
+    return staged(views.last_batch(spark, sf), "batch")
+
+
 @query(
     "cdc_changes",
     f"""
@@ -39,7 +44,7 @@ def _(spark, sf):
     WHERE c.id IS NULL OR {" OR ".join(f"n.{c} IS DISTINCT FROM c.{c}" for c in TRACKED)}""",
 )
 def _(spark, sf):
-    batch, state = views.last_batch(spark, sf), views.state_before(spark, sf)
+    batch, state = stored_batch(spark, sf), views.state_before(spark, sf)
     return detect_changes(batch, state, null_safe=True, small_batch=True).select(CHECKED)
 
 
@@ -51,7 +56,7 @@ def full_join(pick: str) -> str:
 
 @query("merge_upsert", full_join("CASE WHEN s.id IS NULL THEN t.# ELSE s.# END"))
 def _(spark, sf):
-    return upsert(views.state_before(spark, sf), views.last_batch(spark, sf)).select(CHECKED)
+    return upsert(views.state_before(spark, sf), stored_batch(spark, sf)).select(CHECKED)
 
 
 @query(
@@ -65,7 +70,7 @@ def _(spark, sf):
     FROM state_2000 t FULL JOIN batch_2001 s ON t.id = s.id""",
 )
 def _(spark, sf):
-    state, batch = views.state_before(spark, sf), views.last_batch(spark, sf)
+    state, batch = views.state_before(spark, sf), stored_batch(spark, sf)
     return upsert(state, batch, snapshot_scope="category_id").select(CHECKED)
 
 
@@ -161,7 +166,7 @@ def _(spark, sf):
 def _(spark, sf):
     state = StateTable(spark, scratch_path(spark, "rollback"), buckets=8)
     first = state.overwrite(views.state_before(spark, sf))
-    state.merge(views.last_batch(spark, sf), snapshot_scope="category_id")
+    state.merge(stored_batch(spark, sf), snapshot_scope="category_id")
     state.rollback(first)
     return state.read().select(CHECKED)
 
@@ -173,7 +178,7 @@ def _(spark, sf):
     WHERE crawl_date IN (SELECT DISTINCT crawl_date FROM products_raw ORDER BY crawl_date DESC LIMIT 3)""",
 )
 def _(spark, sf):
-    kept = history.retain_last_n(views.products_raw(spark, sf), "crawl_date", 3)
+    kept = history.retain_last_n(views.load_rows(spark, sf), "crawl_date", 3)
     return kept.select("id", "l_orderkey", "l_linenumber", "price", "crawl_date")
 
 
@@ -185,7 +190,7 @@ def _(spark, sf):
     FROM products_raw GROUP BY crawl_date, source_file""",
 )
 def _(spark, sf):
-    return history.version_log(views.products_raw(spark, sf)).select(
+    return history.version_log(views.load_rows(spark, sf)).select(
         "crawl_date",
         "source_file",
         F.col("first_loaded_at").cast("date").alias("first_loaded"),
@@ -213,4 +218,4 @@ def _(spark, sf):
     UNION ALL SELECT 'gold', max(crawl_date), CAST(sum(n) AS BIGINT) FROM days""",
 )
 def _(spark, sf):
-    return plan_recovery(views.products_raw(spark, sf), from_date="1997-01-01")
+    return plan_recovery(views.load_rows(spark, sf), from_date="1997-01-01")

@@ -40,33 +40,19 @@ def line_items(spark: SparkSession, sf: str) -> DataFrame:
     return items
 
 
-def products_raw(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items with their part, as product rows; several per product and day."""
-    item, price = line_items(spark, sf), F.floor("l_extendedprice").cast("bigint")
+def load_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as loads of a product on a day: the columns that change from load to load."""
+    price = F.floor("l_extendedprice").cast("bigint")
     original = F.floor(F.col("l_extendedprice") * (1 + F.col("l_tax"))).cast("bigint")
     known = F.col("l_orderkey") % 23 != 0
-    key = F.col("l_partkey")
-    brand = (
-        F.when(key % 13 == 0, "No Brand")
-        .when(key % 17 == 0, " ")
-        .when(key % 19 == 0, F.lit(None))
-        .otherwise(F.col("p_brand"))
-    )
-    return item.join(table(spark, sf, "part"), item.l_partkey == F.col("p_partkey")).select(
-        key.alias("id"),
-        F.concat(F.lit("SKU"), key).alias("sku"),
-        F.col("p_name").alias("name"),
-        F.lower(F.replace("p_name", F.lit(" "), F.lit("-"))).alias("url_key"),
+    return line_items(spark, sf).select(
+        F.col("l_partkey").alias("id"),
         price.alias("price"),
         F.when(known, original).alias("original_price"),
         F.when(known, original - price).alias("discount"),
         (F.floor(F.col("l_discount") * 100 + 0.5).cast("int") * 5).alias("discount_rate"),
-        brand.alias("brand_name"),
         (3 + F.floor(F.col("l_tax") * 100 + 0.5) / 4).alias("rating_average"),
         (F.col("l_linenumber") * 5).alias("review_count"),
-        F.concat(F.lit("/img/"), key, F.lit(".jpg")).alias("thumbnail_url"),
-        F.col("p_size").alias("category_id"),
-        F.col("p_type").alias("category_name"),
         F.col("l_quantity").cast("int").alias("quantity_sold"),
         F.lit(True).alias("is_active"),
         F.concat(F.lit("products_raw_"), F.year("l_shipdate"), F.lit("-01-01.json")).alias("source_file"),
@@ -78,9 +64,37 @@ def products_raw(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def with_part(spark: SparkSession, sf: str, loads: DataFrame) -> DataFrame:
+    """Loads with the columns that a product keeps: names, brand, category."""
+    key = F.col("p_partkey")
+    brand = (
+        F.when(key % 13 == 0, "No Brand")
+        .when(key % 17 == 0, " ")
+        .when(key % 19 == 0, F.lit(None))
+        .otherwise(F.col("p_brand"))
+    )
+    part = table(spark, sf, "part").select(
+        key.alias("id"),
+        F.concat(F.lit("SKU"), key).alias("sku"),
+        F.col("p_name").alias("name"),
+        F.lower(F.replace("p_name", F.lit(" "), F.lit("-"))).alias("url_key"),
+        brand.alias("brand_name"),
+        F.concat(F.lit("/img/"), key, F.lit(".jpg")).alias("thumbnail_url"),
+        F.col("p_size").alias("category_id"),
+        F.col("p_type").alias("category_name"),
+    )
+    return loads.join(part, "id").select(*STORED, *[c for c in loads.columns if c not in STORED])
+
+
+def products_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Product rows as loaded; several per product and day."""
+    return with_part(spark, sf, load_rows(spark, sf))
+
+
 def products_daily(spark: SparkSession, sf: str) -> DataFrame:
-    """The last load of each product and day."""
-    return latest_by(products_raw(spark, sf), ["id", "crawl_date"], ["loaded_at"], TIE).select(STORED)
+    """The last load of each product and day, found before the product columns are joined."""
+    last = latest_by(load_rows(spark, sf), ["id", "crawl_date"], ["loaded_at"], TIE)
+    return with_part(spark, sf, last).select(STORED)
 
 
 def price_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,8 +112,9 @@ def state_before(spark: SparkSession, sf: str) -> DataFrame:
 
 def last_batch(spark: SparkSession, sf: str) -> DataFrame:
     """The snapshot of the last day; the date filter goes below the latest-row step."""
-    raw = partition_day(products_raw(spark, sf), NEW)
-    return latest_by(raw, ["id", "crawl_date"], ["loaded_at"], TIE).select(STORED)
+    loads = partition_day(load_rows(spark, sf), NEW)
+    last = latest_by(loads, ["id", "crawl_date"], ["loaded_at"], TIE)
+    return with_part(spark, sf, last).select(STORED)
 
 
 def listing(spark: SparkSession, sf: str) -> DataFrame:
