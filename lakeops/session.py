@@ -17,7 +17,13 @@ RUNTIME_OPTIONS = {
     # split a skewed join even where the next step groups by the same key
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
-SESSION_OPTIONS = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", **RUNTIME_OPTIONS}
+SESSION_OPTIONS = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # no call site per column expression: halves the time to build a wide DataFrame
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    **RUNTIME_OPTIONS,
+}
 
 
 def tune(spark: SparkSession) -> SparkSession:
