@@ -12,34 +12,49 @@ from lakeops.operators.latest import latest_by
 from lakeops.schema import TRACKED_PRICES
 
 
+def hot_keys(df: DataFrame, keys: list[str], more_than: int, at_most: int = 10_000) -> DataFrame | None:
+    """Keys with more than ``more_than`` rows, ready to broadcast, or None where they are too many."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > more_than)
+    found = counted.drop("_rows").dropna().limit(at_most + 1).collect()
+    if len(found) > at_most:
+        return None
+    return F.broadcast(df.sparkSession.createDataFrame(found, df.select(*keys).schema))
+
+
 def with_previous(
-    df: DataFrame, keys: list[str], order: list[str], values: list[str], chunk: Column | None = None
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    values: list[str],
+    chunk: Column | None = None,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """``df`` with struct column ``previous``: the values of the row before, NULL for the first.
 
-    ``chunk`` is an expression that never falls along ``order`` (a month of a date). It
-    splits the rows of one key over several tasks: each chunk looks back inside itself,
-    and its first row takes the last values of the chunk before, found from one
-    pre-aggregated row per chunk. Without it all rows of a key meet in one task, which
-    is right only where a key has a bounded number of rows.
+    Without ``chunk`` all rows of a key meet in one task, which is right where a key has a
+    bounded number of rows. ``chunk`` is an expression that never falls along ``order`` (a
+    month of a date). It splits the rows of keys with more than ``hot_rows`` rows over
+    several tasks: each chunk looks back inside itself, and its first row takes the last
+    values of the chunk before, found from one pre-aggregated row per chunk. Other keys
+    stay whole, and so do rows without a key.
     """
     row = F.struct(*values)
-    if chunk is None:
+    if chunk is not None:
+        hot = hot_keys(df, keys, hot_rows)
+    if chunk is None or (hot is not None and hot.isEmpty()):
         return df.withColumn("previous", F.lag(row).over(Window.partitionBy(*keys).orderBy(*order)))
 
-    chunked = df.withColumn("_chunk", chunk)
+    # more hot keys than can be broadcast: split all keys
+    marked = df.withColumn("_hot", F.lit(True)) if hot is None else df.join(hot.withColumn("_hot", F.lit(True)), keys, "left")
+    chunked = marked.withColumn("_chunk", F.when(F.col("_hot"), chunk))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    across = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_c")
-    tails = chunked.groupBy(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_chunk").alias("_c")
-    ).agg(F.max_by(row, F.struct(*order)).alias("_tail"))
-    carried = tails.withColumn("_carried", F.lag("_tail").over(across)).drop("_tail")
-    same = F.col("_chunk").eqNullSafe(F.col("_c"))
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    across = Window.partitionBy(*keys).orderBy("_chunk")
+    tails = chunked.filter("_hot").groupBy(*keys, "_chunk").agg(F.max_by(row, F.struct(*order)).alias("_tail"))
+    carried = tails.select(*keys, "_chunk", F.lag("_tail").over(across).alias("_carried"))
+    # the window and the join share one shuffle; a whole key has a NULL chunk, which joins nothing
     return (
         chunked.withColumn("_inside", F.lag(row).over(inside))
-        .join(carried, same, "left")
+        .join(carried, [*keys, "_chunk"], "left")
         .select(*df.columns, F.coalesce("_inside", "_carried").alias("previous"))
     )
 

@@ -13,16 +13,28 @@ from lakeops.operators.clean import clean_records, partition_day, stamp_batch
 from lakeops.operators.latest import latest_by
 from lakeops.plans.gold import gold_tables
 from lakeops.plans.lake import Lake
+from lakeops.schema import product_schema
 from lakeops.sinks.files import append_run, write_bronze
 from lakeops.sinks.tables import Sink, publish, table_sink
 from lakeops.sources.files import read_records
 
 
-def load_bronze(spark: SparkSession, path: str, lake: Lake, loaded_at: datetime | None = None) -> None:
-    """One dated NDJSON file (or folder) into the raw table, one row per id."""
+def load_bronze(
+    spark: SparkSession, path: str, lake: Lake, loaded_at: datetime | None = None, own_dates: bool = False
+) -> None:
+    """One dated NDJSON file (or folder) into the raw table, one row per id.
+
+    With ``own_dates`` a record's own ``crawl_date`` wins over the file's, one row per id and
+    day; such older days enter log and state through a recovery, which replays all days.
+    """
     name = os.path.basename(path.rstrip("/"))
-    records = latest_by(read_records(spark, path), ["id"], [])
-    write_bronze(stamp_batch(records, name, loaded_at), lake.bronze)
+    if not own_dates:
+        records = latest_by(read_records(spark, path), ["id"], [])
+        write_bronze(stamp_batch(records, name, loaded_at), lake.bronze)
+        return
+    records = read_records(spark, path, product_schema({"crawl_date": "string"}))
+    stamped = stamp_batch(records, name, loaded_at, own_date="crawl_date")
+    write_bronze(latest_by(stamped, ["id", "crawl_date"], []), lake.bronze, many_days=True)
 
 
 def load_silver(spark: SparkSession, day: date, lake: Lake, run: str) -> None:
@@ -50,6 +62,7 @@ def run_batch(
     layer: str = "all",
     run: str | None = None,
     loaded_at: datetime | None = None,
+    own_dates: bool = False,
 ) -> None:
     """Load one file; ``layer`` is bronze, silver or all. Each run of a day needs its own ``run`` name."""
     if layer not in ("all", "bronze", "silver"):
@@ -57,7 +70,7 @@ def run_batch(
     day = require_date(os.path.basename(path.rstrip("/")))
     if layer != "silver":
         require_rows(read_records(spark, path), path)
-        load_bronze(spark, path, lake, loaded_at)
+        load_bronze(spark, path, lake, loaded_at, own_dates)
     if layer != "bronze":
         load_silver(spark, day, lake, run or f"batch-{day}-{(loaded_at or datetime.now()):%H%M%S%f}")
 

@@ -16,18 +16,19 @@ from lakeops.plans.gold import DEEP_DISCOUNT
 
 
 def price_moves(
-    price_log: DataFrame, order: list[str] | None = None, chunk: str | Column | None = "month"
+    price_log: DataFrame,
+    order: list[str] | None = None,
+    chunk: Column | None = None,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Each logged price with the one before it, the difference and the direction.
 
-    A batch log has one row per product and day, the default order. A stream log has many:
-    give an order that tells them apart, and a ``chunk`` fine enough for a product that
-    changes all the time. Rows of one product are split by ``chunk``, a unit of the date or
-    an expression that never falls along the order; None keeps each product in one task.
+    A batch log has one row per product and day, the default order, so a product has no
+    more rows than there are days. A stream log may have any number: give an order that
+    tells its rows apart and a ``chunk`` that splits a product with more than ``hot_rows``.
     """
-    split = F.trunc("crawl_date", chunk) if isinstance(chunk, str) else chunk
     before = F.col("previous")["price"]
-    return with_previous(price_log, ["id"], order or ["crawl_date"], ["price"], split).select(
+    return with_previous(price_log, ["id"], order or ["crawl_date"], ["price"], chunk, hot_rows).select(
         "id",
         "name",
         "crawl_date",

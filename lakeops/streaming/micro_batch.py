@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime
 
@@ -10,12 +10,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.operators.changes import detect_changes
+from lakeops.operators.changes import detect_changes, drop_stale
 from lakeops.operators.clean import clean_records, split_errors, stamp_events
 from lakeops.operators.latest import latest_by
 from lakeops.plans.lake import Lake
 from lakeops.schema import SPEED_COLUMNS
 from lakeops.sinks.files import append_run, write_bronze
+from lakeops.sinks.tables import Sink
 from lakeops.streaming.run import Handler
 
 
@@ -26,6 +27,8 @@ def medallion_handler(
     event_only: list[str] | None = None,
     default_active: bool | None = True,
     error: str | None = None,
+    newer_by: str | None = None,
+    speed_sinks: Sequence[Sink] = (),
     before_commit: Callable[[int], None] | None = None,
 ) -> Handler:
     """A micro-batch function that may be repeated for the same epoch.
@@ -34,8 +37,14 @@ def medallion_handler(
     columns that do not go into the stored row. Raw rows, log and speed rows are keyed
     by epoch, so a repeated epoch replaces them; the state commit comes last, and an epoch
     whose commit exists is skipped. Changes are thus always found against the state before
-    the epoch. Rows with a text in column ``error`` go to the quarantine. ``before_commit``
-    is called with the epoch between the other writes and the state commit.
+    the epoch.
+
+    Rows with a text in column ``error`` go to the quarantine. Without ``newer_by`` the last
+    arrival wins; with it, a column of the stored row, older events never overwrite newer
+    state. ``speed_sinks`` also receive the speed rows of every epoch; one that only
+    appends, such as a database table, gets them again when an epoch is repeated, and can
+    tell by their ``run``. ``before_commit`` is called with the epoch between the other
+    writes and the state commit.
     """
     order = order or []
     event_only = [*(event_only or []), "_event_type"]
@@ -58,14 +67,20 @@ def medallion_handler(
                     append_run(bad.select(error), lake.quarantine, run)
             # one load time per epoch, taken here, so a recomputed partition gets the same value
             events = stamp_events(good, name, datetime.now(), default_active)
-            append_run(events.select(*SPEED_COLUMNS), lake.speed, run)
+            speed = events.select(*SPEED_COLUMNS)
+            append_run(speed, lake.speed, run)
+            for sink in speed_sinks:
+                sink(speed.withColumn("run", F.lit(run)))
             with held(latest_by(events, ["id"], order).drop(*event_only)) as latest:
                 write_bronze(latest, lake.bronze, ingest=run)
                 cleaned = clean_records(latest)
                 touched = state.touched(cleaned)
                 log = cleaned
                 if head is not None:
-                    log = detect_changes(cleaned, state.rows(head, touched), small_batch=True)
+                    current = state.rows(head, touched)
+                    if newer_by:
+                        cleaned = drop_stale(cleaned, current, newer_by)
+                    log = detect_changes(cleaned, current, small_batch=True)
                 append_run(log, lake.history, run)
                 if before_commit:
                     before_commit(epoch)

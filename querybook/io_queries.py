@@ -6,14 +6,17 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from lakeops.plans import gold
+from lakeops.guards import require_date, require_rows, require_table, require_unique
+from lakeops.plans import gold, reports
 from lakeops.plans.batch import run_batch
 from lakeops.plans.lake import Lake
 from lakeops.session import scratch_path
 from lakeops.sinks import files, tables
+from lakeops.sources import catalog
 from lakeops.sources import files as sources
 from querybook import views
 from querybook.book import query
+from querybook.gold_queries import ALL_TABLES
 
 
 @query(
@@ -237,3 +240,75 @@ def _(spark, sf):
         "id", "brand_name", "price", "original_price", "discount", "discount_rate", "quantity_sold",
         "category_id", "is_active", "crawl_date", F.regexp_replace("source_file", "^file=", "").alias("source_file"),
     )
+
+
+SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+               "TIMESTAMP": "timestamp_ntz", "FLOAT[]": "array<float>"}
+TYPE_CASES = " ".join(f"WHEN '{duck}' THEN '{spark}'" for duck, spark in SPARK_TYPES.items())
+
+
+def registered(spark, sf) -> dict[str, str]:
+    """The given tables as temporary views; table name to view name."""
+    names = {name: f"querybook_{name}" for name in ALL_TABLES}
+    for name, view in names.items():
+        views.table(spark, sf, name).createOrReplaceTempView(view)
+    return names
+
+
+@query(
+    "catalog_describe",
+    " UNION ALL ".join(
+        f"SELECT 'querybook_{t}' AS table_name, column_name, CASE column_type {TYPE_CASES} END AS data_type, "
+        f"(SELECT count(*) FROM {t}) AS row_count FROM (DESCRIBE {t})"
+        for t in ALL_TABLES
+    ),
+)
+def _(spark, sf):
+    names = registered(spark, sf)
+    counts = reports.table_counts({view: require_table(spark, view) for view in names.values()})
+    return catalog.describe(spark, list(names.values())).join(counts, "table_name")
+
+
+@query(
+    "drop_plan",
+    """
+    SELECT 'querybook_orders' AS table_name, true AS present, count(*) AS row_count FROM orders
+    UNION ALL SELECT 'querybook_lineitem', true, count(*) FROM lineitem
+    UNION ALL SELECT 'querybook_missing', false, NULL""",
+)
+def _(spark, sf):
+    registered(spark, sf)
+    plan = tables.drop_tables(spark, ["querybook_orders", "querybook_lineitem", "querybook_missing"])
+    there = [r.table_name for r in plan.filter("present").collect()]
+    counts = reports.table_counts({name: spark.table(name) for name in there})
+    return plan.join(counts, "table_name", "left")
+
+
+@query(
+    "guards",
+    """
+    SELECT 'unique part' AS guard, max(n) = 1 AS passed FROM (SELECT count(*) AS n FROM part GROUP BY p_partkey)
+    UNION ALL
+    SELECT 'unique line', max(n) = 1 FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)
+    UNION ALL SELECT 'rows of orders', count(*) > 0 FROM orders
+    UNION ALL SELECT 'rows of the future', count(*) > 0 FROM orders WHERE year(o_orderdate) > 2100
+    UNION ALL SELECT 'dated file', true UNION ALL SELECT 'undated file', false""",
+)
+def _(spark, sf):
+    orders = views.table(spark, sf, "orders")
+    checks = {
+        "unique part": lambda: require_unique(views.table(spark, sf, "part"), ["p_partkey"]),
+        "unique line": lambda: require_unique(views.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]),
+        "rows of orders": lambda: require_rows(orders),
+        "rows of the future": lambda: require_rows(orders.filter(F.year("o_orderdate") > 2100)),
+        "dated file": lambda: require_date("raw_2024-01-01.json"),
+        "undated file": lambda: require_date("raw.json"),
+    }
+    outcome = []
+    for name, check in checks.items():
+        try:
+            check()
+            outcome.append((name, True))
+        except ValueError:
+            outcome.append((name, False))
+    return spark.createDataFrame(outcome, "guard STRING, passed BOOLEAN")

@@ -229,6 +229,17 @@ def test_batch_job_end_to_end(spark, tmp_path):
         recover(spark, lake, target, from_date="2030-01-01")
 
 
+def test_records_may_carry_their_own_date(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    path = str(tmp_path / "products_raw_2024-01-02.json")
+    frame = spark.createDataFrame([(1, 5, "2024-01-01"), (1, 6, None), (2, 7, "soon")], "id long, price long, crawl_date string")
+    files.write_ndjson(frame, path)
+    run_batch(spark, path, lake, layer="bronze", own_dates=True)
+    assert rows(lake.read_bronze(spark), "id", "price", "crawl_date") == [
+        (1, 5, date(2024, 1, 1)), (1, 6, date(2024, 1, 2)), (2, 7, date(2024, 1, 2))
+    ]
+
+
 def test_batch_runs_can_be_repeated(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"))
     first = write_day(tmp_path, "2024-01-01", product(1, 50))

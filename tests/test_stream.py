@@ -107,3 +107,22 @@ def test_committed_epoch_is_skipped(spark, tmp_path):
     assert lake.state(spark).head().version == 1
     handler(full.limit(0), 1)
     assert lake.state(spark).head().version == 1
+
+
+def test_older_events_do_not_overwrite_newer_state(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"), buckets=2)
+    seen = []
+    handler = medallion_handler(lake, order=["event_id"], newer_by="event_id", error="_error", speed_sinks=[lambda df: seen.append(df.count())])
+    events = [{**e, "id": 1, "price": 100 + e["event_id"]} for e in make_events(6)]
+
+    def batch(*picked):
+        messages = spark.createDataFrame([("1", json.dumps(events[n])) for n in picked], "key string, value string")
+        return decode(messages, event_schema({"event_id": "long"}), error="_error")
+
+    handler(batch(3, 2), 0)
+    handler(batch(0, 1), 1)
+    assert rows(lake.state(spark).read(), "price") == [(103,)]
+    assert rows(lake.read_history(spark), "price") == [(103,)]
+    handler(batch(5), 2)
+    assert rows(lake.state(spark).read(), "price") == [(105,)]
+    assert seen == [2, 2, 1]
