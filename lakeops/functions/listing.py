@@ -17,9 +17,7 @@ LISTING_FIELDS = """
     original_price STRING, list_price STRING, discount STRING, discount_rate STRING,
     brand_name STRING, rating_average STRING, review_count STRING,
     thumbnail_url STRING, quantity_sold STRING,
-    visible_impression_info STRUCT<amplitude: STRUCT<category_l2_name: STRING>>,
-    impression_info ARRAY<STRUCT<metadata: STRUCT<
-        is_ad: STRING, is_tikinow: STRING, tiki_verified: STRING>>>
+    visible_impression_info STRUCT<amplitude: STRUCT<category_l2_name: STRING>>
 """
 # Texts that stand in for missing nested fields.
 UNKNOWN_CATEGORY = "Unknown"
@@ -51,10 +49,10 @@ def flag(text: Column) -> Column:
     return F.coalesce(text.try_cast("int"), text.try_cast("boolean").cast("int"), F.lit(0))
 
 
-def parse_listing(df: DataFrame, json_column: str, keep: list[str] | None = None) -> DataFrame:
-    """``df`` with the parsed object as struct column ``item``."""
-    parsed = F.from_json(F.col(json_column), LISTING_FIELDS).alias("item")
-    return df.select(*(keep or []), parsed)
+def parse_listing(df: DataFrame, json_column: str, keep: list[str], extra_fields: str = "") -> DataFrame:
+    """The ``keep`` columns and the parsed object as struct column ``item``."""
+    parsed = F.from_json(F.col(json_column), LISTING_FIELDS + extra_fields).alias("item")
+    return df.select(*keep, parsed)
 
 
 def normalize_listing(df: DataFrame, json_column: str = "value", keep: list[str] | None = None) -> DataFrame:
@@ -64,7 +62,7 @@ def normalize_listing(df: DataFrame, json_column: str = "value", keep: list[str]
     list_price = number(item.list_price, "bigint")
     sold_text = F.get_json_object(item.quantity_sold, "$.text")
     level2 = item.visible_impression_info.amplitude.category_l2_name
-    return parse_listing(df, json_column, keep).select(
+    return parse_listing(df, json_column, keep or []).select(
         *(keep or []),
         item.id.try_cast("bigint").alias("id"),
         item.sku.alias("sku"),
@@ -84,11 +82,13 @@ def normalize_listing(df: DataFrame, json_column: str = "value", keep: list[str]
     )
 
 
-def listing_flags(df: DataFrame, json_column: str = "value") -> DataFrame:
-    """The typed listing row with its three flags from the first impression entry."""
+def listing_flags(df: DataFrame, flags: list[str], json_column: str = "value") -> DataFrame:
+    """The typed listing row with the named flags, 0 or 1, from the metadata of its first impression entry."""
     item = F.col("item")
+    fields = ", ".join(f"`{name}`: STRING" for name in flags)
+    impressions = f", impression_info ARRAY<STRUCT<metadata: STRUCT<{fields}>>>"
     first = F.try_element_at(item.impression_info, F.lit(1)).metadata
-    return parse_listing(df, json_column).select(
+    return parse_listing(df, json_column, [], impressions).select(
         item.id.try_cast("bigint").alias("id"),
         F.coalesce(item.sku, F.lit("")).alias("sku"),
         clean_name(F.coalesce(item["name"], F.lit("")), drop="").alias("name"),
@@ -100,7 +100,5 @@ def listing_flags(df: DataFrame, json_column: str = "value") -> DataFrame:
         number(item.review_count, "int").alias("review_count"),
         units_sold(item.quantity_sold).alias("quantity_sold"),
         F.coalesce(item.thumbnail_url, F.lit("")).alias("thumbnail_url"),
-        flag(first.is_ad).alias("is_ad"),
-        flag(first.is_tikinow).alias("is_tikinow"),
-        flag(first.tiki_verified).alias("tiki_verified"),
+        *[flag(first[name]).alias(name) for name in flags],
     )

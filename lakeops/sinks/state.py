@@ -4,7 +4,8 @@ Parquet has no row-level updates and a path must not be overwritten while it is
 so a change writes new folders and then one commit row. Rows are spread over a fixed
 number of buckets by key hash, and a merge rewrites only the buckets its batch touches.
 A commit maps every bucket to the version that holds its rows; a reader that planned
-before a commit goes on with the folders it chose. One writer at a time.
+before a commit goes on with the folders it chose. One writer at a time. Expire old
+versions regularly: they keep their folders and make the list of commits longer.
 """
 
 from __future__ import annotations
@@ -102,22 +103,27 @@ class StateTable:
         return self._commit(self.head().version + 1, None, "rollback", target.buckets, target.fields)
 
     def expire(self, retain_last: int, really: bool = False) -> list[str]:
-        """Folders that only versions before the last ``retain_last`` use; removed when ``really`` is set.
+        """Folders of all but the last ``retain_last`` versions that no kept version uses.
 
-        The commits themselves stay, as a log.
+        They are removed, and those versions with them, when ``really`` is set. The size of
+        the answer is bounded by versions times buckets.
         """
-        newest = self.commits().orderBy(F.col("version").desc()).limit(retain_last).collect()
-        used = {(v, b) for commit in newest for b, v in commit.buckets.items()}
-        known = self.commits().select(F.explode("buckets").alias("bucket", "held")).distinct()
-        unused = [(r.held, r.bucket) for r in known.collect() if (r.held, r.bucket) not in used]
-        folders = sorted(self._folder(v, b) for v, b in unused)
+        listed = self.commits().select("version", "buckets").orderBy(F.col("version").desc()).collect()
+        kept, old = listed[:retain_last], listed[retain_last:]
+        used = {self._folder(v, b) for commit in kept for b, v in commit.buckets.items()}
+        unused = {self._folder(v, b) for commit in old for b, v in commit.buckets.items()} - used
         if really:
-            hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            for folder in folders:
-                path = hadoop.Path(folder)
-                path.getFileSystem(conf).delete(path, True)
-        return folders
+            # a version leaves the list before its data goes
+            self._remove([f"{self._commits}/version={commit.version}" for commit in old])
+            self._remove(sorted(unused))
+        return sorted(unused)
+
+    def _remove(self, folders: list[str]) -> None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in folders:
+            path = hadoop.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
     def touched(self, batch: DataFrame) -> list[int]:
         """Buckets with a key of ``batch``: at most as many values as there are buckets."""
@@ -158,5 +164,6 @@ class StateTable:
 
     def _commit(self, version: int, tag: str | None, operation: str, buckets: dict[int, int], fields: str) -> int:
         row = self.spark.createDataFrame([(version, tag, operation, None, buckets, fields)], COMMIT_SCHEMA)
-        row.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(self._commits)
+        row = row.withColumn("committed_at", F.current_timestamp()).drop("version").coalesce(1)
+        row.write.mode("overwrite").parquet(f"{self._commits}/version={version}")
         return version

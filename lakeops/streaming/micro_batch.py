@@ -19,6 +19,8 @@ from lakeops.sinks.files import append_run, write_bronze
 from lakeops.sinks.tables import Sink
 from lakeops.streaming.run import Handler
 
+EXPIRE_EVERY = 100
+
 
 def medallion_handler(
     lake: Lake,
@@ -30,6 +32,7 @@ def medallion_handler(
     newer_by: str | None = None,
     speed_sinks: Sequence[Sink] = (),
     before_commit: Callable[[int], None] | None = None,
+    keep_versions: int | None = None,
 ) -> Handler:
     """A micro-batch function that may be repeated for the same epoch.
 
@@ -44,7 +47,7 @@ def medallion_handler(
     state. ``speed_sinks`` also receive the speed rows of every epoch; one that only
     appends, such as a database table, gets them again when an epoch is repeated, and can
     tell by their ``run``. ``before_commit`` is called with the epoch between the other
-    writes and the state commit.
+    writes and the state commit. ``keep_versions`` expires older state versions now and then.
     """
     order = order or []
     event_only = [*(event_only or []), "_event_type"]
@@ -84,7 +87,9 @@ def medallion_handler(
                 append_run(log, lake.history, run)
                 if before_commit:
                     before_commit(epoch)
-                state.merge_onto(head, cleaned, run, touched)
+                version = state.merge_onto(head, cleaned, run, touched)
+        if keep_versions and version % EXPIRE_EVERY == 0:
+            state.expire(keep_versions, really=True)
 
     return handle
 

@@ -157,7 +157,7 @@ def listing_json(spark, sf):
         key % 4 == 0, text(',"visible_impression_info":{"amplitude":{"category_l2_name":"', F.col("p_type"), '"}}')
     ).otherwise("")
     flags = (
-        F.when(key % 4 == 1, text(',"impression_info":[{"metadata":{"is_ad":', size % 2, ',"is_tikinow":true}},{"metadata":{"is_ad":9}}]'))
+        F.when(key % 4 == 1, text(',"impression_info":[{"metadata":{"is_ad":', size % 2, ',"is_fast":true}},{"metadata":{"is_ad":9}}]'))
         .when(key % 4 == 2, ',"impression_info":[]')
         .otherwise("")
     )
@@ -194,11 +194,11 @@ def _(spark, sf):
            p_size AS discount_rate, CAST(4.5 AS DOUBLE) AS rating_average, 0 AS review_count,
            CASE WHEN p_partkey % 3 = 2 THEN 0 ELSE p_size END AS quantity_sold, '' AS thumbnail_url,
            CASE WHEN p_partkey % 4 = 1 THEN p_size % 2 ELSE 0 END AS is_ad,
-           CASE WHEN p_partkey % 4 = 1 THEN 1 ELSE 0 END AS is_tikinow, 0 AS tiki_verified
+           CASE WHEN p_partkey % 4 = 1 THEN 1 ELSE 0 END AS is_fast, 0 AS verified
     FROM part""",
 )
 def _(spark, sf):
-    return listing_flags(listing_json(spark, sf))
+    return listing_flags(listing_json(spark, sf), ["is_ad", "is_fast", "verified"])
 
 
 @query(

@@ -182,6 +182,9 @@ def test_state_versions(spark, tmp_path):
     assert unused and all("version=1" not in folder for folder in unused)
     assert state.expire(retain_last=1, really=True) == unused
     assert rows(state.read(), "id") == [(1,), (2,), (3,)]
+    assert rows(state.log(), "version") == [(4,)]
+    assert state.merge(batch((9, 9, 9, True))) == 5
+    assert rows(state.read(), "id") == [(1,), (2,), (3,), (9,)]
 
 
 def product(key, price, category=1, **extra):

@@ -65,11 +65,11 @@ def test_listing_shapes(spark):
     ]
     assert rows(listed, "id", "sold_text", "sub_category")[1] == (1, "t", "Unknown")
     flagged = spark.createDataFrame(
-        [('{"id": 1, "impression_info": [{"metadata": {"is_ad": true, "tiki_verified": "1"}}]}',),
+        [('{"id": 1, "impression_info": [{"metadata": {"is_ad": true, "verified": "1"}}]}',),
          ('{"id": 2, "impression_info": []}',), ('{"id": 3}',)],
         "value string",
     )
-    assert rows(listing_flags(flagged), "id", "is_ad", "is_tikinow", "tiki_verified") == [
+    assert rows(listing_flags(flagged, ["is_ad", "is_fast", "verified"]), "id", "is_ad", "is_fast", "verified") == [
         (1, 1, 0, 1), (2, 0, 0, 0), (3, 0, 0, 0)
     ]
 

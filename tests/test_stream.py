@@ -109,6 +109,16 @@ def test_committed_epoch_is_skipped(spark, tmp_path):
     assert lake.state(spark).head().version == 1
 
 
+def test_old_state_versions_are_expired(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("lakeops.streaming.micro_batch.EXPIRE_EVERY", 2)
+    lake = Lake(str(tmp_path / "lake"))
+    handler = medallion_handler(lake, **ORDER, keep_versions=1)
+    for epoch in range(3):
+        message = spark.createDataFrame([("1", json.dumps(make_events(5)[epoch]))], "key string, value string")
+        handler(decode(message, event_schema({"event_id": "long"}), error="_error"), epoch)
+    assert rows(lake.state(spark).log(), "version") == [(2,), (3,)]
+
+
 def test_older_events_do_not_overwrite_newer_state(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"), buckets=2)
     seen = []
