@@ -48,7 +48,7 @@ def load_silver(spark: SparkSession, day: date, lake: Lake, run: str) -> None:
     head, applied = state.status(run)
     if applied:
         return
-    raw = partition_day(lake.read_bronze(spark), day).drop("ingest")
+    raw = partition_day(lake.read_bronze(spark, day), day).drop("ingest")
     snapshot = clean_records(latest_by(raw, ["id"], ["loaded_at"]))
     log = snapshot if head is None else detect_changes(snapshot, state.rows(head))
     append_run(log, lake.history, run)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,8 +42,10 @@ class Lake:
     def state(self, spark: SparkSession) -> StateTable:
         return StateTable(spark, self._at("silver/products"), buckets=self.buckets)
 
-    def read_bronze(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.bronze)
+    def read_bronze(self, spark: SparkSession, day: date | None = None) -> DataFrame:
+        """The raw table; with ``day`` only that day's folder is listed and read."""
+        folder = self.bronze if day is None else f"{self.bronze}/crawl_date={day}"
+        return spark.read.option("basePath", self.bronze).parquet(folder)
 
     def read_history(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.history)

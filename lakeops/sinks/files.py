@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,55 @@ def append_run(df: DataFrame, path: str, run: str) -> None:
     _overwrite_partitions(df.withColumn("run", F.lit(run)), path, ["run"])
 
 
+def epoch_name(name: str, epoch: int) -> str:
+    """The partition value of one epoch of a stream; values sort in epoch order."""
+    return f"{name}-{epoch:09d}"
+
+
+def fold_epochs(spark: SparkSession, path: str, column: str, name: str) -> None:
+    """Join the partitions that a stream wrote per epoch into one per parent folder.
+
+    The joined partition is named after the last epoch it covers. Sources are removed after
+    it is whole, and a fold that was cut off in between is finished by the next one. Run it
+    between epochs; a reader may meanwhile see rows twice or miss removed files.
+    """
+    start = f"{column}={name}-"
+
+    def folders() -> dict[str, dict[str, str]]:
+        """Parent folder to the folders of this stream by partition value."""
+        found: dict[str, dict[str, str]] = {}
+        for file in spark.read.parquet(path).inputFiles():
+            folder = file.rsplit("/", 1)[0]
+            parent, value = folder.rsplit("/", 1)
+            if value.startswith(start):
+                found.setdefault(parent, {})[value.removeprefix(start)] = folder
+        return found
+
+    def covered(values: dict[str, str]) -> list[str]:
+        """Folders whose epochs a joined partition beside them already holds."""
+        last = max((v.removeprefix("upto-") for v in values if v.startswith("upto-")), default="")
+        return [folder for v, folder in values.items() if v != f"upto-{last}" and v.removeprefix("upto-") <= last]
+
+    remove_folders(spark, [folder for values in folders().values() for folder in covered(values)])
+    left = [folder for values in folders().values() if len(values) > 1 for folder in values.values()]
+    if not left:
+        return
+    last = max(folder.rsplit("-", 1)[1] for folder in left)
+    rows = spark.read.option("basePath", path).parquet(*left).withColumn(column, F.lit(f"{name}-upto-{last}"))
+    by = ["crawl_date", column] if "crawl_date=" in left[0] else [column]
+    _overwrite_partitions(rows.hint("rebalance", *by), path, by)
+    remove_folders(spark, [folder for values in folders().values() for folder in covered(values)])
+
+
+def remove_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders on whatever file system they are on."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        target = hadoop.Path(folder)
+        target.getFileSystem(conf).delete(target, True)
+
+
 def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> None:
     (df.coalesce(1) if single_file else df).write.mode("overwrite").parquet(path)
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeops.operators.merge import upsert
+from lakeops.sinks.files import remove_folders
 
 COMMIT_SCHEMA = """
     version BIGINT, tag STRING, operation STRING, committed_at TIMESTAMP,
@@ -114,17 +115,10 @@ class StateTable:
         unused = {self._folder(v, b) for commit in old for b, v in commit.buckets.items()} - used
         if really:
             # a version leaves the list before its data goes
-            self._remove([f"{self._commits}/version={commit.version}" for commit in old])
-            self._remove(sorted(unused))
+            remove_folders(self.spark, [f"{self._commits}/version={commit.version}" for commit in old])
+            remove_folders(self.spark, sorted(unused))
         return sorted(unused)
 
-    def _remove(self, folders: list[str]) -> None:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for folder in folders:
-            path = hadoop.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
-
     def touched(self, batch: DataFrame) -> list[int]:
         """Buckets with a key of ``batch``: at most as many values as there are buckets."""
         if self.buckets == 1:

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators.changes import detect_changes, drop_stale
@@ -15,12 +15,10 @@ from lakeops.operators.clean import clean_records, split_errors, stamp_events
 from lakeops.operators.latest import latest_by
 from lakeops.plans.lake import Lake
 from lakeops.schema import SPEED_COLUMNS
-from lakeops.sinks.files import append_run, write_bronze
+from lakeops.sinks.files import append_run, epoch_name, fold_epochs, write_bronze
 from lakeops.sinks.tables import Sink
 from lakeops.streaming.run import Handler
 
-EXPIRE_EVERY = 100
-
 
 def medallion_handler(
     lake: Lake,
@@ -32,7 +30,8 @@ def medallion_handler(
     newer_by: str | None = None,
     speed_sinks: Sequence[Sink] = (),
     before_commit: Callable[[int], None] | None = None,
-    keep_versions: int | None = None,
+    tidy_every: int | None = None,
+    keep_versions: int = 10,
 ) -> Handler:
     """A micro-batch function that may be repeated for the same epoch.
 
@@ -47,14 +46,17 @@ def medallion_handler(
     state. ``speed_sinks`` also receive the speed rows of every epoch; one that only
     appends, such as a database table, gets them again when an epoch is repeated, and can
     tell by their ``run``. ``before_commit`` is called with the epoch between the other
-    writes and the state commit. ``keep_versions`` expires older state versions now and then.
+    writes and the state commit.
+
+    Every ``tidy_every`` epochs the folders written per epoch are joined and all but the last
+    ``keep_versions`` state versions are removed; without it both grow for ever.
     """
     order = order or []
     event_only = [*(event_only or []), "_event_type"]
 
     def handle(batch: DataFrame, epoch: int) -> None:
         state = lake.state(batch.sparkSession)
-        run = f"{name}-{epoch:09d}"
+        run = epoch_name(name, epoch)
         head, applied = state.status(run)
         if applied:
             return
@@ -87,13 +89,20 @@ def medallion_handler(
                 append_run(log, lake.history, run)
                 if before_commit:
                     before_commit(epoch)
-                version = state.merge_onto(head, cleaned, run, touched)
-        if keep_versions and version % EXPIRE_EVERY == 0:
-            state.expire(keep_versions, really=True)
+                state.merge_onto(head, cleaned, run, touched)
+        if tidy_every and (epoch + 1) % tidy_every == 0:
+            tidy(batch.sparkSession, lake, name, keep_versions)
 
     return handle
 
 
+def tidy(spark: SparkSession, lake: Lake, name: str, keep_versions: int) -> None:
+    """Join the folders of past epochs and drop old state versions."""
+    for path, column in ((lake.bronze, "ingest"), (lake.history, "run"), (lake.speed, "run")):
+        fold_epochs(spark, path, column, name)
+    lake.state(spark).expire(keep_versions, really=True)
+
+
 @contextmanager
 def held(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` kept for several uses; lost pieces are computed again from the epoch's fixed input."""

@@ -9,6 +9,7 @@ import pytest
 
 from lakeops.plans.lake import Lake
 from lakeops.schema import event_schema
+from lakeops.sinks import files
 from lakeops.sources.messages import decode, file_messages
 from lakeops.streaming.micro_batch import medallion_handler
 from lakeops.streaming.run import start
@@ -109,14 +110,43 @@ def test_committed_epoch_is_skipped(spark, tmp_path):
     assert lake.state(spark).head().version == 1
 
 
-def test_old_state_versions_are_expired(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("lakeops.streaming.micro_batch.EXPIRE_EVERY", 2)
-    lake = Lake(str(tmp_path / "lake"))
-    handler = medallion_handler(lake, **ORDER, keep_versions=1)
-    for epoch in range(3):
-        message = spark.createDataFrame([("1", json.dumps(make_events(5)[epoch]))], "key string, value string")
-        handler(decode(message, event_schema({"event_id": "long"}), error="_error"), epoch)
-    assert rows(lake.state(spark).log(), "version") == [(2,), (3,)]
+def decoded(spark, *events):
+    messages = spark.createDataFrame([("1", json.dumps(e)) for e in events], "key string, value string")
+    return decode(messages, event_schema({"event_id": "long"}), error="_error")
+
+
+def test_tidying_joins_epochs_and_expires_versions(spark, tmp_path):
+    plain, tidied = Lake(str(tmp_path / "plain")), Lake(str(tmp_path / "tidied"))
+    events = [{**e, "crawl_date": f"2024-01-0{1 + n // 4}"} for n, e in enumerate(make_events(10))]
+    for lake, options in ((plain, {}), (tidied, {"tidy_every": 2, "keep_versions": 1})):
+        handler = medallion_handler(lake, **ORDER, **options)
+        for epoch in range(5):
+            handler(decoded(spark, *events[2 * epoch : 2 * epoch + 2]), epoch)
+    for path in ("bronze", "history", "speed"):
+        one, other = (spark.read.parquet(getattr(lake, path)) for lake in (plain, tidied))
+        assert rows(one, "id", "price") == rows(other, "id", "price")
+    runs = {r[0] for r in rows(spark.read.parquet(tidied.speed), "run")}
+    assert runs == {"stream-upto-000000003", "stream-000000004"}
+    assert rows(tidied.state(spark).log(), "version") == [(4,), (5,)]
+    assert rows(tidied.state(spark).read(), "id", "price") == rows(plain.state(spark).read(), "id", "price")
+
+
+def test_a_fold_that_was_cut_off_is_finished(spark, tmp_path):
+    path = str(tmp_path / "log")
+
+    def put(run, *values):
+        files.append_run(spark.createDataFrame([(v,) for v in values], "v int"), path, run)
+
+    put("s-000000000", 1)
+    put("s-000000001", 2)
+    put("s-upto-000000001", 1, 2)  # the sources of this fold were not yet removed
+    put("s-000000002", 3)
+    put("batch", 9)
+    files.fold_epochs(spark, path, "run", "s")
+    stored = spark.read.parquet(path)
+    assert rows(stored, "v", "run") == [(1, "s-upto-000000002"), (2, "s-upto-000000002"), (3, "s-upto-000000002"), (9, "batch")]
+    files.fold_epochs(spark, path, "run", "s")
+    assert spark.read.parquet(path).count() == 4
 
 
 def test_older_events_do_not_overwrite_newer_state(spark, tmp_path):
