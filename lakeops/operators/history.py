@@ -45,7 +45,8 @@ def with_previous(
         return df.withColumn("previous", F.lag(row).over(Window.partitionBy(*keys).orderBy(*order)))
 
     # more hot keys than can be broadcast: split all keys
-    marked = df.withColumn("_hot", F.lit(True)) if hot is None else df.join(hot.withColumn("_hot", F.lit(True)), keys, "left")
+    yes = F.lit(True)
+    marked = df.withColumn("_hot", yes) if hot is None else df.join(hot.withColumn("_hot", yes), keys, "left")
     chunked = marked.withColumn("_chunk", F.when(F.col("_hot"), chunk))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     across = Window.partitionBy(*keys).orderBy("_chunk")
@@ -121,7 +122,9 @@ def retain_last_n(rows: DataFrame, stamp: str, n: int) -> DataFrame:
     return rows.join(kept, stamp, "left_semi").select(rows.columns)
 
 
-def version_log(rows: DataFrame, stamp: str = "crawl_date", source: str = "source_file", loaded: str = "loaded_at") -> DataFrame:
+def version_log(
+    rows: DataFrame, stamp: str = "crawl_date", source: str = "source_file", loaded: str = "loaded_at"
+) -> DataFrame:
     """One line per loaded version: when it was written, from where, how many rows."""
     return rows.groupBy(stamp, source).agg(
         F.min(loaded).alias("first_loaded_at"),

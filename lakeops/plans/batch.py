@@ -75,7 +75,9 @@ def run_batch(
         load_silver(spark, day, lake, run or f"batch-{day}-{(loaded_at or datetime.now()):%H%M%S%f}")
 
 
-def write_gold(spark: SparkSession, lake: Lake, tables: dict[str, DataFrame], extra: dict[str, list[Sink]] | None = None) -> None:
+def write_gold(
+    lake: Lake, tables: dict[str, DataFrame], extra: dict[str, list[Sink]] | None = None
+) -> None:
     """Write each aggregate, computed once, to the lake and to its extra sinks."""
     for name, df in tables.items():
         publish(df, [table_sink(f"gold_{name}", lake.gold(name)), *(extra or {}).get(name, [])])
@@ -90,7 +92,7 @@ def run_gold(
         raise ValueError("the state has no committed version; load a batch first")
     tables = gold_tables(state.read(), lake.read_history(spark), lake.read_bronze(spark))
     if not dry_run:
-        write_gold(spark, lake, tables, extra)
+        write_gold(lake, tables, extra)
     return tables
 
 

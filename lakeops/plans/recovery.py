@@ -19,7 +19,10 @@ from lakeops.sinks.files import append_run
 
 
 def daily_rows(
-    raw: DataFrame, from_date: str | date | None = None, to_date: str | date | None = None, tie_break: list[str] | None = None
+    raw: DataFrame,
+    from_date: str | date | None = None,
+    to_date: str | date | None = None,
+    tie_break: list[str] | None = None,
 ) -> DataFrame:
     """The cleaned last load of each product and day inside the range."""
     days = clean_records(date_range(raw, from_date, to_date))
@@ -86,5 +89,5 @@ def recover(
     state_table = target.state(spark)
     state_table.overwrite(state, tag="recovery", operation="recovery")
     if not skip_gold:
-        write_gold(spark, target, gold_tables(state_table.read(), target.read_history(spark), raw))
+        write_gold(target, gold_tables(state_table.read(), target.read_history(spark), raw))
     return plan

@@ -149,6 +149,18 @@ def test_a_fold_that_was_cut_off_is_finished(spark, tmp_path):
     assert spark.read.parquet(path).count() == 4
 
 
+def test_an_epoch_of_broken_messages_only(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"), buckets=2)
+    handler = medallion_handler(lake, **ORDER)
+    broken = decode(spark.createDataFrame([("x", "{oops")], "key string, value string"), event_schema({"event_id": "long"}), error="_error")
+    handler(broken, 0)
+    handler(decoded(spark, make_events(1)[0]), 1)
+    handler(broken, 2)
+    assert rows(lake.state(spark).read(), "id") == [(make_events(1)[0]["id"],)]
+    assert lake.read_history(spark).count() == 1
+    assert spark.read.parquet(lake.quarantine).count() == 2
+
+
 def test_older_events_do_not_overwrite_newer_state(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"), buckets=2)
     seen = []
