@@ -69,6 +69,13 @@ def fold_epochs(spark: SparkSession, path: str, column: str, name: str) -> None:
     remove_folders(spark, [folder for values in folders().values() for folder in covered(values)])
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in files.listStatus(target) if status.isDirectory()]
+
+
 def remove_folders(spark: SparkSession, folders: list[str]) -> None:
     """Delete folders on whatever file system they are on."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs

@@ -3,27 +3,34 @@
 Parquet has no row-level updates and a path must not be overwritten while it is read,
 so a change writes new folders and then one commit row. Rows are spread over a fixed
 number of buckets by key hash, and a merge rewrites only the buckets its batch touches.
-A commit maps every bucket to the version that holds its rows; a reader that planned
-before a commit goes on with the folders it chose. One writer at a time. Expire old
+A commit maps every bucket to the folder that holds its rows; a reader that planned
+before a commit goes on with the folders it chose. A writer whose base was replaced by
+another writer's commit gets a StateConflict and can simply run again. Expire old
 versions regularly: they keep their folders and make the list of commits longer.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeops.operators.merge import upsert
-from lakeops.sinks.files import remove_folders
+from lakeops.sinks.files import folder_names, remove_folders
 
 COMMIT_SCHEMA = """
     version BIGINT, tag STRING, operation STRING, committed_at TIMESTAMP,
-    buckets MAP<INT, BIGINT>, fields STRING
+    buckets MAP<INT, STRING>, fields STRING
 """
 
 
+class StateConflict(RuntimeError):
+    """Another writer committed since this one read the state."""
+
+
 class StateTable:
     def __init__(self, spark: SparkSession, path: str, key: str = "id", buckets: int = 1):
         self.spark = spark
@@ -111,8 +118,16 @@ class StateTable:
         """
         listed = self.commits().select("version", "buckets").orderBy(F.col("version").desc()).collect()
         kept, old = listed[:retain_last], listed[retain_last:]
-        used = {self._folder(v, b) for commit in kept for b, v in commit.buckets.items()}
-        unused = {self._folder(v, b) for commit in old for b, v in commit.buckets.items()} - used
+        used = {self._folder(f, b) for commit in kept for b, f in commit.buckets.items()}
+        unused = {self._folder(f, b) for commit in old for b, f in commit.buckets.items()} - used
+        known = {f for commit in listed for f in commit.buckets.values()}
+        if listed:
+            # folders of failed writers; those of a running one have a later version
+            unused |= {
+                f"{self._data}/{name}"
+                for name in folder_names(self.spark, self._data)
+                if name not in known and int(name.split("-")[0]) <= listed[0].version
+            }
         if really:
             # a version leaves the list before its data goes
             remove_folders(self.spark, [f"{self._commits}/version={commit.version}" for commit in old])
@@ -128,14 +143,14 @@ class StateTable:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
-    def _folder(self, version: int, bucket: int) -> str:
-        return f"{self._data}/version={version}/bucket={bucket}"
+    def _folder(self, name: str, bucket: int) -> str:
+        return f"{self._data}/{name}/bucket={bucket}"
 
     def rows(self, commit: Row, only: list[int] | None = None) -> DataFrame:
         """The rows of a commit, optionally of some buckets."""
         fields = StructType.fromDDL(commit.fields)
         wanted = commit.buckets if only is None else set(only)
-        held = [self._folder(v, b) for b, v in sorted(commit.buckets.items()) if b in wanted]
+        held = [self._folder(f, b) for b, f in sorted(commit.buckets.items()) if b in wanted]
         if not held:
             return self.spark.createDataFrame([], fields)
         return self.spark.read.schema(fields).parquet(*held)
@@ -144,19 +159,23 @@ class StateTable:
         self, df: DataFrame, head: Row | None, tag: str | None, operation: str, touched: list[int] | None = None
     ) -> int:
         version = 1 if head is None else head.version + 1
-        path = f"{self._data}/version={version}"
+        folder = f"{version:09d}-{uuid.uuid4().hex}"
+        path = f"{self._data}/{folder}"
         rows = df.withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
+        rows.write.partitionBy("bucket").parquet(path)
         if touched is None:
             # which buckets hold rows: partition values only, no column is read
             listed = self.spark.read.schema("bucket INT").option("basePath", path).parquet(path)
-            buckets = {r.bucket: version for r in listed.distinct().collect()}
+            buckets = {r.bucket: folder for r in listed.distinct().collect()}
         else:
-            buckets = {**head.buckets, **{b: version for b in touched}}
+            buckets = {**head.buckets, **{b: folder for b in touched}}
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
         return self._commit(version, tag, operation, buckets, fields)
 
-    def _commit(self, version: int, tag: str | None, operation: str, buckets: dict[int, int], fields: str) -> int:
+    def _commit(self, version: int, tag: str | None, operation: str, buckets: dict[int, str], fields: str) -> int:
+        newest = self.commits().agg(F.max("version")).first()[0]
+        if newest is not None and newest >= version:
+            raise StateConflict(f"version {version} was committed by another writer")
         row = self.spark.createDataFrame([(version, tag, operation, None, buckets, fields)], COMMIT_SCHEMA)
         row = row.withColumn("committed_at", F.current_timestamp()).drop("version").coalesce(1)
         row.write.mode("overwrite").parquet(f"{self._commits}/version={version}")

@@ -14,7 +14,7 @@ from lakeops.plans.batch import run_all, run_batch, run_gold
 from lakeops.plans.lake import Lake
 from lakeops.plans.recovery import recover
 from lakeops.sinks import files, tables
-from lakeops.sinks.state import StateTable
+from lakeops.sinks.state import StateConflict, StateTable
 from lakeops.sources import catalog
 from lakeops.sources import files as sources
 from lakeops.sources.messages import decode, drain, file_messages, kafka_options
@@ -168,7 +168,7 @@ def test_state_versions(spark, tmp_path):
     assert rows(state.read(), "id", "price") == [(1, 1), (2, 20), (3, 3), (4, 4)]
     assert rows(state.read(1), "id", "price") == [(1, 1), (2, 2), (3, 3)]
     touched = set(state.touched(batch((2, 0, 0, True), (4, 0, 0, True))))
-    assert {b for b, v in state.head().buckets.items() if v == 2} == touched
+    assert {b for b, folder in state.head().buckets.items() if folder.startswith("000000002-")} == touched
 
     assert state.merge(batch((1, 1, 1, True)), tag="c", snapshot_scope="category_id") == 3
     assert rows(state.read(), "id", "is_active") == [(1, True), (2, False), (3, True), (4, False)]
@@ -179,7 +179,7 @@ def test_state_versions(spark, tmp_path):
         state.rollback(9)
 
     unused = state.expire(retain_last=1)
-    assert unused and all("version=1" not in folder for folder in unused)
+    assert unused and all("/000000001-" not in folder for folder in unused)
     assert state.expire(retain_last=1, really=True) == unused
     assert rows(state.read(), "id") == [(1,), (2,), (3,)]
     assert rows(state.log(), "version") == [(4,)]
@@ -187,6 +187,25 @@ def test_state_versions(spark, tmp_path):
     assert rows(state.read(), "id") == [(1,), (2,), (3,), (9,)]
 
 
+def test_a_writer_that_was_overtaken_is_told(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path / "state"))
+    first = spark.createDataFrame([(1, 1, 1, True)], STATE)
+    state.merge(first)
+    base = state.head()
+    state.merge(spark.createDataFrame([(2, 2, 1, True)], STATE))
+    late = spark.createDataFrame([(3, 3, 1, True)], STATE)
+    with pytest.raises(StateConflict):
+        state.merge_onto(base, late, "late", [0])
+    assert rows(state.read(), "id") == [(1,), (2,)]
+    state.merge(late, "late")
+    assert rows(state.read(), "id") == [(1,), (2,), (3,)]
+    left_over = [folder for folder in state.expire(retain_last=9) if "bucket=" not in folder]
+    assert len(left_over) == 1  # what the overtaken writer had written
+    state.expire(retain_last=9, really=True)
+    assert state.expire(retain_last=9) == []
+    assert rows(state.read(2), "id") == [(1,), (2,)]
+
+
 def product(key, price, category=1, **extra):
     record = {
         "id": key, "name": f" p{key} ", "brand_name": "B", "price": price, "original_price": 100, "discount": 100 - price,
