@@ -43,7 +43,7 @@ def test_scratch_paths_are_new_and_below_the_shared_folder(spark):
 def test_staged_rows_are_read_back(spark):
     frame = spark.range(3).selectExpr("id", "cast(null as string) as name")
     back = staged(frame, "x")
-    assert rows(back) == rows(frame) and back.schema == frame.schema
+    assert rows(back) == rows(frame) and back.dtypes == frame.dtypes
 
 
 def test_runtime_options_can_be_set_on_a_running_session(spark):
