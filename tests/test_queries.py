@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from querybook.book import QUERIES
 from querybook.gold_queries import ALL_TABLES
 from tests.conftest import plan_of
 
@@ -27,7 +28,7 @@ def sort_key(row):
     return tuple((v is not None, str(v)) for v in row)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, duck, name):
     result = queries()[name](spark, SF)
     columns = sorted(result.columns)
