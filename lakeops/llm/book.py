@@ -1,4 +1,4 @@
 """All corpus queries; importing this module registers them."""
 
-from lakeops.llm import mixing, simhash  # noqa: F401
+from lakeops.llm import mixing, secrets, simhash  # noqa: F401
 from lakeops.llm.registry import ORACLES, QUERIES  # noqa: F401
