@@ -1,4 +1,4 @@
 """All corpus queries; importing this module registers them."""
 
-from lakeops.llm import langid, mixing, pieces, secrets, simhash  # noqa: F401
+from lakeops.llm import blockknn, langid, mixing, pieces, secrets, simhash, voronoi  # noqa: F401
 from lakeops.llm.registry import ORACLES, QUERIES  # noqa: F401
