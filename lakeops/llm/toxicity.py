@@ -357,7 +357,9 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, rounds: int = 6) -> M
     hard: set[int] = set()  # sentences of clean rows that looked worst in some round
     for _ in range(rounds):
         worst = np.array([a + looks[a:b].argmax() for a, b in zip(starts, ends, strict=True)])
-        bad = np.union1d(worst[toxic], np.flatnonzero(toxic[of] & (looks > 0)))
+        # what looks worse than nearly all clean rows counts even if it is not yet decided so
+        limit = min(0.0, np.quantile(looks[worst[~toxic]], 0.99) + 0.25)
+        bad = np.union1d(worst[toxic], np.flatnonzero(toxic[of] & (looks > limit)))
         hard.update(worst[~toxic].tolist())
         used = np.concatenate([bad, sorted(hard)]).astype(np.int64)
         # a row weighs the same with any number of sentences
