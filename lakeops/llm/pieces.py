@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from lakeops.llm.registry import query, table
 
 SPACE = "▁"
-MOST_CACHED = 1 << 18
+MOST_CACHED = 1 << 17
 #: characters of a segment that is worth remembering
 SHORT = 64
 SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -156,7 +156,7 @@ class Pieces:
         known = self._compatible.get(pair)
         if known is None:
             known = self._stays_apart(self.names[first], self.names[second])
-            if len(self._compatible) >= 2 * MOST_CACHED:
+            if len(self._compatible) >= 4 * MOST_CACHED:
                 self._compatible.clear()
             self._compatible[pair] = known
         return known
@@ -333,12 +333,26 @@ def decoded(ids: Column, model: bytes) -> Column:
     return of(ids)
 
 
+def encoded_and_decoded(text: Column, model: bytes) -> Column:
+    """(ids, decoded): both of the above in one pass, so that a task holds the tables once."""
+
+    @F.pandas_udf("ids binary, decoded string")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = pieces(model)
+        for texts in batches:
+            ids = [known.encode(t or "") for t in texts]
+            back = [known.decode(np.frombuffer(p, "<u4")) for p in ids]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(back, dtype=object)})
+
+    return of(text)
+
+
 def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with ids (binary), n_tokens and the decoded text."""
-    model = read_model(model_path)
-    out = docs.withColumn("ids", encoded(F.col(text_col), model))
-    out = out.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
-    return out.withColumn("decoded", decoded(F.col("ids"), model))
+    """``docs`` with ids (binary), the text decoded from them, and n_tokens."""
+    docs = docs.drop("ids", "decoded", "n_tokens")
+    found = docs.withColumn("_found", encoded_and_decoded(F.col(text_col), read_model(model_path)))
+    found = found.select(*docs.columns, "_found.*")
+    return found.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
 
 
 def public_model() -> str:
