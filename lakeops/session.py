@@ -16,6 +16,8 @@ RUNTIME_OPTIONS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join even where the next step groups by the same key
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # a batch of whole texts has to fit beside the heap
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 SESSION_OPTIONS = {
     "spark.ui.enabled": "false",
