@@ -1,4 +1,4 @@
 """All corpus queries; importing this module registers them."""
 
-from lakeops.llm import blockknn, langid, licenses, mixing, pieces, secrets, simhash, toxicity, voronoi  # noqa: F401
+from lakeops.llm import blockknn, langid, licenses, mixing, pieces, secrets, simhash, toxicity, urls, voronoi  # noqa: F401
 from lakeops.llm.registry import ORACLES, QUERIES  # noqa: F401
