@@ -10,6 +10,7 @@ A NULL or empty text is no language and goes in the first stage. Empty tables pa
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,25 @@ from lakeops.session import staged
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+USED = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def carried(stage: Stage) -> Stage:
+    """The stage with all further columns of the documents packed away, whatever their names."""
+
+    @functools.wraps(stage)
+    def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        more = [c for c in docs.columns if c not in USED]
+        if not more:
+            return stage(spark, docs, sf_dir).select(*docs.columns)
+        used = [c for c in docs.columns if c in USED]
+        out = stage(spark, docs.select(*used, F.struct(*(F.col(f"`{c}`") for c in more)).alias("carried")), sf_dir)
+        return out.select(*(F.col(f"carried.`{c}`") if c in more else F.col(c) for c in docs.columns))
+
+    return packed
+
+
+@carried
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; ``lang`` becomes the predicted one.
 
@@ -29,22 +49,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     model = langid.learn(docs.filter(~langid.held_out()))
     found = langid.predict(docs, model).filter(F.col("lang_pred") != langid.UNDETERMINED)
-    return found.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    found = found.withColumn("lang", F.col("lang_pred"))
+    return found.drop("lang_pred", "score", "ambiguous")
 
 
+@carried
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: shingles of three words, fingerprints within two bits."""
-    return simhash.one_per_class(docs, shingle=3, radius=2).select(*docs.columns)
+    return simhash.one_per_class(docs, shingle=3, radius=2)
 
 
+@carried
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with ``[SECRET]`` for every secret."""
-    return secrets.redact(docs).select(*docs.columns)
+    return secrets.redact(docs)
 
 
+@carried
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, the last one of a source cut."""
-    return mixing.repeated(mixing.mix(docs)).select(*docs.columns)
+    return mixing.repeated(mixing.mix(docs))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,8 +15,8 @@ chosen by a hash of the id), which the driver fits in memory by its bound.
 Defined results: a NULL text, and one without a letter, is ``und`` with score 0 and is
 ambiguous. Without any row to learn from all texts are. Rows with a NULL language are never
 learnt from. Ties go to the first language in code point order. Repeated rows are labelled
-each. An empty table gives an empty result. Columns of the input named like an added one are
-replaced.
+each. An empty table gives an empty result. Columns of the input named like
+an added one are replaced, and those that start with an underscore are left out.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.registry import query, table
+from lakeops.llm.registry import cleared, query, table
 
 UNDETERMINED = "und"
 N_FEATURES = 1 << 12
@@ -192,7 +192,7 @@ def learn(
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score and ambiguous. The model has a fixed number of features."""
-    docs = docs.drop("lang_pred", "score", "ambiguous")
+    docs = cleared(docs, "lang_pred", "score", "ambiguous")
     if model is None:
         return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0), "ambiguous": F.lit(True)})
 

@@ -16,7 +16,8 @@ of the fixed list of licence words leave the rows.
 Words are ``WORD`` runs of the text with A-Z in lower case. Defined results: a NULL text is
 empty; a text without words has no places and score 0. Repeated rows are scanned and counted
 each. An empty table gives an empty result. Equally rare words are taken in alphabetical
-order. Columns of the input named like an added one are replaced.
+order. Columns of the input named like
+an added one are replaced, and those that start with an underscore are left out.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.registry import query, table
+from lakeops.llm.registry import cleared, query, table
 
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -146,7 +147,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     order = sorted(frequency, key=lambda w: (frequency[w], w))
     rank = {word: i + 1 for i, word in enumerate(order)}
     added = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
-    kept = [c for c in docs.columns if c not in added]
+    kept = cleared(docs, *added).columns
 
     in_order = F.array(*map(F.lit, order))
     licence_words = F.filter(

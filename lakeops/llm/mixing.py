@@ -10,8 +10,8 @@ ever sorted, whatever share of the table a source holds.
 
 Defined results: a text that is NULL or has no word has size 0 and is taken 0 words. Rows
 without a source form one source, the last one. A NULL ``doc_id`` hashes like an empty text.
-Repeated rows count as documents of their own. An empty table gives an empty result. Columns
-of the input named like an added one are replaced.
+Repeated rows count as documents of their own. An empty table gives an empty result. Columns of the input named like
+an added one are replaced, and those that start with an underscore are left out.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakeops.llm.registry import query, table
+from lakeops.llm.registry import cleared, query, table
 from lakeops.session import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -80,7 +80,7 @@ def mix(
     ``whole`` is how often the mix repeats all of a document, ``extra`` how many leading
     words it takes once more. ``size`` replaces the word count of the text.
     """
-    docs = docs.drop(*ADDED)
+    docs = cleared(docs, *ADDED)
     docs = docs.withColumn("size", word_count(F.col(text_col)) if size is None else size)
     docs = docs.withColumn("_hash", seeded_hash(F.col(id_col), seed))
     docs = docs.withColumn("_bucket", F.shiftright("_hash", HASH_BITS - BUCKET_BITS))

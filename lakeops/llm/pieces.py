@@ -15,7 +15,8 @@ pieces, and a normaliser that leaves texts as they are. Other models are refused
 
 Defined results: a NULL text is empty; an empty text has the begin and end ids only and
 decodes to an empty text. Repeated rows are encoded each. An empty table gives an empty
-result. Columns of the input named like an added one are replaced.
+result. Columns of the input named like
+an added one are replaced, and those that start with an underscore are left out.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.registry import query, table
+from lakeops.llm.registry import cleared, query, table
 
 SPACE = "▁"
 MOST_CACHED = 1 << 17
@@ -349,7 +350,7 @@ def encoded_and_decoded(text: Column, model: bytes) -> Column:
 
 def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ids (binary), the text decoded from them, and n_tokens."""
-    docs = docs.drop("ids", "decoded", "n_tokens")
+    docs = cleared(docs, "ids", "decoded", "n_tokens")
     found = docs.withColumn("_found", encoded_and_decoded(F.col(text_col), read_model(model_path)))
     found = found.select(*docs.columns, "_found.*")
     return found.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))

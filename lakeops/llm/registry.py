@@ -26,5 +26,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def cleared(docs: DataFrame, *added: str) -> DataFrame:
+    """``docs`` without columns named like those an operator adds, or that start with an underscore.
+
+    The latter names are the operators' own.
+    """
+    taken = {name.lower() for name in added}
+    return docs.drop(*(c for c in docs.columns if c.lower() in taken or c.startswith("_")))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

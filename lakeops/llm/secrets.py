@@ -10,7 +10,8 @@ rule without a mandatory trigram reads all texts.
 Defined results: a NULL text is empty and has no spans. Spans are in code points, end
 exclusive, ordered by start and then by the order of the rules. Matches of one rule do not
 overlap; those of different rules may. Repeated rows are scanned each. An empty table gives
-an empty result. Columns of the input named like an added one are replaced.
+an empty result. Columns of the input named like
+an added one are replaced, and those that start with an underscore are left out.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.registry import query, table
+from lakeops.llm.registry import cleared, query, table
 
 SEGMENT_CHARS = 1 << 21
 MOST_STRINGS = 64
@@ -258,7 +259,7 @@ def secret_spans(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
     """``docs`` with ``spans``."""
-    return docs.withColumn("spans", secret_spans(F.col(text_col), rules))
+    return cleared(docs, "spans").withColumn("spans", secret_spans(F.col(text_col), rules))
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:

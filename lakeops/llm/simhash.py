@@ -15,7 +15,8 @@ Components grow by alternating large-star and small-star rounds.
 Defined results: a NULL or empty text has fingerprint 0 and links like any other. A document
 without ``doc_id`` can link others, and has no say in the smallest id; a component without
 any id has a NULL id. Repeated rows stay, with the same result. An empty table gives an
-empty result. Columns of the input named like an added one are replaced.
+empty result. Columns of the input named like
+an added one are replaced, and those that start with an underscore are left out.
 """
 
 from __future__ import annotations
@@ -179,7 +180,8 @@ def one_per_class(
     kept = staged(found.filter(F.col(id_col) == F.col("component_id")).groupBy(id_col).count(), "simhash-kept")
     once = docs.join(kept.filter("count = 1").select(id_col), id_col, "left_semi")
     repeated = docs.join(kept.filter("count > 1").select(id_col), id_col, "left_semi")
-    row = F.min_by(F.struct(*docs.columns), F.struct(text_col, *docs.columns)).alias("row")
+    rest = F.to_json(F.struct(*docs.columns))
+    row = F.min_by(F.struct(*docs.columns), F.struct(text_col, rest)).alias("row")
     repeated = repeated.groupBy(id_col).agg(row).select("row.*")
     return once.unionByName(repeated).unionByName(docs.filter(F.col(id_col).isNull()))
 

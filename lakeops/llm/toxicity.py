@@ -20,7 +20,8 @@ bounded sample of labelled rows (``max_rows``), chosen by a hash of the id.
 Defined results: a NULL text is empty; an empty text scores as a sentence without words.
 Without rows of both labels to learn from, every score is the share of toxic ones (0 without
 any). Rows with a NULL label are never learnt from. Repeated rows are scored each. An empty
-table gives an empty result. Columns of the input named like an added one are replaced.
+table gives an empty result. Columns of the input named like
+an added one are replaced, and those that start with an underscore are left out.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.registry import query, table
+from lakeops.llm.registry import cleared, query, table
 
 MAX_ROWS = 3000
 LANDMARKS = 128
@@ -398,7 +399,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         for texts in batches:
             yield pd.Series(model.scores([t or "" for t in texts]))
 
-    docs = docs.drop("score", "predicted").withColumn("score", of(F.col(text_col)))
+    docs = cleared(docs, "score", "predicted").withColumn("score", of(F.col(text_col)))
     return docs.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

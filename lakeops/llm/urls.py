@@ -12,8 +12,8 @@ are kept by hash, in a fixed number of cells.
 Defined results: a URL that is NULL or has no ``://`` has an empty host and path; it has no
 tokens, and the classifier answers by the shares of its two classes. A tie, and any URL while
 there is nothing to learn from, is allowed. A NULL page text counts no words. Repeated rows
-are judged, and learnt from, each. An empty table gives an empty result. Columns of the input
-named like an added one are replaced.
+are judged, and learnt from, each. An empty table gives an empty result. Columns of the input named like
+an added one are replaced, and those that start with an underscore are left out.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.licenses import LOWER, UPPER
-from lakeops.llm.registry import query, table
+from lakeops.llm.registry import cleared, query, table
 from lakeops.session import staged
 
 ALLOW, BLOCK = "allow", "block"
@@ -155,8 +155,7 @@ def learn(decided: DataFrame) -> tuple[np.ndarray, float]:
 
 def judge(pages: DataFrame, rules=RULES, url_col: str = "url", text_col: str = "html") -> DataFrame:
     """``pages`` with host, path, rule, verdict and p_block (the classifier's, also where a rule decides)."""
-    added = ("host", "path", "rule", "verdict", "p_block")
-    pages = pages.drop(*added)
+    pages = cleared(pages, "host", "path", "rule", "verdict", "p_block", "words")
     kept = [c for c in pages.columns if c != text_col or c == url_col]
     counts = staged(word_counts(pages, text_col), "url-words")
     rows = with_rule(with_parts(pages.select(*kept), url_col), rules)
