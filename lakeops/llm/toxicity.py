@@ -51,6 +51,8 @@ MOST_CACHED = 1 << 18
 LONGEST_WORD = 64
 SIGNS = 64
 N_TRIPLES = SIGNS**3
+#: words whose triples are held at a time
+STRIP = 4096
 STEPS = [(a, b) for a in range(1, REACH + 1) for b in range(1, REACH + 1)]
 
 
@@ -121,7 +123,7 @@ class Landmarks:
         return out
 
     def __call__(self, words: list[str]) -> np.ndarray:
-        strips = (self.plain(words[i : i + 4096]) for i in range(0, len(words), 4096))
+        strips = (self.plain(words[i : i + STRIP]) for i in range(0, len(words), STRIP))
         return np.concatenate([np.where(s >= FLOOR, s, 0) ** POWER for s in strips] or [self.plain([])])
 
 
@@ -215,54 +217,52 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.decisions(texts) + self.shift, -500, 500)))
 
 
-def choose_landmarks(toxic: list[set[str]], clean: list[set[str]], most: int = LANDMARKS) -> list[str]:
-    """Words that, or whose triples, are most over-represented in toxic rows, and words close to them."""
-    in_toxic, in_clean = Counter(w for s in toxic for w in s), Counter(w for s in clean for w in s)
-    words = sorted(w for w in in_toxic if len(w) <= LONGEST_WORD)
-    everything = words + sorted(w for w in in_clean if w not in in_toxic and len(w) <= LONGEST_WORD)
-    times = np.array([(in_toxic[w], in_clean[w]) for w in everything], float).reshape(-1, 2)
+def choose_landmarks(words: list[str], times: np.ndarray, rate: float, most: int = LANDMARKS) -> list[str]:
+    """Words that, or whose triples, are most over-represented in toxic rows, and words close to them.
+
+    ``times`` has the numbers of toxic and of clean rows with each word, ``rate`` the share of toxic rows.
+    """
+    short = np.array([len(w) <= LONGEST_WORD for w in words])
+    words, times = [w for w, s in zip(words, short, strict=True) if s], times[short]
     for_toxic, for_clean, score = np.zeros(N_TRIPLES), np.zeros(N_TRIPLES), np.zeros(len(words))
-    parts = [everything[i : i + 4096] for i in range(0, len(everything), 4096)]
-    for n, part in enumerate(parts):
-        of, triple, weight = summed(*triples(part))
-        for_toxic += np.bincount(triple, weight * times[n * 4096 + of, 0], N_TRIPLES)
-        for_clean += np.bincount(triple, weight * times[n * 4096 + of, 1], N_TRIPLES)
+    for low in range(0, len(words), STRIP):
+        of, triple, weight = summed(*triples(words[low : low + STRIP]))
+        for_toxic += np.bincount(triple, weight * times[low + of, 0], N_TRIPLES)
+        for_clean += np.bincount(triple, weight * times[low + of, 1], N_TRIPLES)
     ratio = for_toxic.sum() / max(1.0, for_clean.sum())
     odds = np.log((for_toxic + 1) / (for_clean * ratio + 1))
-    for low in range(0, len(words), 4096):
-        part = words[low : low + 4096]
-        of, triple, weight = summed(*triples(part))
+    in_toxic = np.flatnonzero(times[:, 0] > 0)
+    for low in range(0, len(in_toxic), STRIP):
+        part = in_toxic[low : low + STRIP]
+        of, triple, weight = summed(*triples([words[i] for i in part]))
         length = np.sqrt(np.bincount(of, weight**2, len(part)))
-        score[low : low + 4096] = np.bincount(of, weight * odds[triple], len(part)) / np.maximum(length, 1e-9)
-    by_triples = [words[i] for i in np.lexsort((np.arange(len(words)), -score)).tolist() if score[i] > 0]
+        score[part] = np.bincount(of, weight * odds[triple], len(part)) / np.maximum(length, 1e-9)
+    by_triples = [words[i] for i in np.argsort(-score, kind="stable").tolist() if score[i] > 0]
     # words that are themselves more frequent in toxic rows, against what chance would give
-    rate = len(toxic) / max(1, len(toxic) + len(clean))
-    seen = times[: len(words)]
-    excess = (seen[:, 0] - rate * seen.sum(axis=1)) / np.sqrt(rate * seen.sum(axis=1) + 1)
-    by_words = [words[i] for i in np.lexsort((np.arange(len(words)), -excess)).tolist() if excess[i] > 2]
+    excess = (times[:, 0] - rate * times.sum(axis=1)) / np.sqrt(rate * times.sum(axis=1) + 1)
+    by_words = [words[i] for i in np.argsort(-excess, kind="stable").tolist() if excess[i] > 2]
     chosen = unlike(by_words, [], most // 2)
     chosen = unlike(by_triples, chosen, most * 3 // 4)
-    return chosen + near_misses(chosen, in_clean, most - len(chosen))
+    return chosen + near_misses(chosen, words, times[:, 1], most - len(chosen))
 
 
-def near_misses(chosen: list[str], in_clean: Counter, most: int) -> list[str]:
+def near_misses(chosen: list[str], words: list[str], in_clean: np.ndarray, most: int) -> list[str]:
     """Words of clean rows that resemble a chosen one most often: they let a machine tell the two apart."""
     if not chosen:
         return []
-    words, known = sorted(w for w in in_clean if len(w) <= LONGEST_WORD and w not in chosen), Landmarks(chosen)
-    close: list[tuple[float, str, int]] = []
-    for low in range(0, len(words), 4096):
-        part = words[low : low + 4096]
-        alike = known.plain(part)
-        for i in np.flatnonzero(alike.max(axis=1, initial=0) >= FLOOR).tolist():
-            j = int(alike[i].argmax())
-            close.append((-float(alike[i, j]) ** (2 * POWER) * in_clean[part[i]], part[i], j))
+    known, close, own = Landmarks(chosen), [], set(chosen)
+    others = [i for i in np.flatnonzero(in_clean > 0).tolist() if words[i] not in own]
+    for low in range(0, len(others), STRIP):
+        part = others[low : low + STRIP]
+        alike = known.plain([words[i] for i in part])
+        for row in np.flatnonzero(alike.max(axis=1, initial=0) >= FLOOR).tolist():
+            j = int(alike[row].argmax())
+            close.append((-float(alike[row, j]) ** (2 * POWER) * in_clean[part[row]], words[part[row]], j))
     taken, found = Counter(), []
     for _, word, j in sorted(close):
         if len(found) == most:
             break
-        same = found and Landmarks(found).plain([word]).max() >= 0.9
-        if taken[j] < 4 and not same:
+        if taken[j] < 4 and not (found and Landmarks(found).plain([word]).max() >= 0.9):
             taken[j] += 1
             found.append(word)
     return found
@@ -328,9 +328,13 @@ def calibrate(values: np.ndarray, toxic: np.ndarray, share: float) -> tuple[floa
 
 
 def fit(texts: list[str], toxic: np.ndarray, share: float, rounds: int = 6) -> Model:
-    said = [sentences(t.lower()) for t in texts]
-    bags = [{w for s in doc for w in s} for doc in said]
-    landmarks = choose_landmarks([b for b, t in zip(bags, toxic, strict=True) if t], [b for b, t in zip(bags, toxic, strict=True) if not t])
+    number: dict[str, int] = {}
+    said = [[[number.setdefault(w, len(number)) for w in s] for s in sentences(t)] for t in texts]
+    said = [[np.array(s, np.int32) for s in doc] for doc in said]
+    words, times = list(number), np.zeros((len(number), 2))
+    for doc, is_toxic in zip(said, toxic.tolist(), strict=True):
+        times[np.unique(np.concatenate(doc)), 0 if is_toxic else 1] += 1
+    landmarks = choose_landmarks(words, times, toxic.mean())
     if not landmarks:
         return Model([], np.zeros(0), 0.0, 1e-3, float(np.log(share / (1 - share))))
     kernel = Landmarks(landmarks)
@@ -338,22 +342,31 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, rounds: int = 6) -> M
     values, vectors = np.linalg.eigh(kernel(landmarks).astype(np.float64))
     useful = values > 1e-3 * values.max()
     mapping = vectors[:, useful] / np.sqrt(values[useful])
-    words = sorted(set().union(*bags))
-    number = dict(zip(words, range(len(words)), strict=True))
-    alike = kernel(words)
-    rows, of = [], []
+
+    # most words are like no landmark, and most sentences have no other words: a row keeps one such sentence
+    row_of, rows = np.full(len(words), -1), []
+    for low in range(0, len(words), STRIP):
+        alike = kernel(words[low : low + STRIP])
+        met = np.flatnonzero(alike.any(axis=1))
+        row_of[low + met] = len(rows) + np.arange(len(met))
+        rows += list(alike[met])
+    vectors_of, likeness, of = np.array(rows).reshape(-1, len(landmarks)), [], []
     for doc, content in enumerate(said):
-        for s in content:
-            rows.append(alike[[number[w] for w in s]].sum(axis=0))
-            of.append(doc)
-    likeness, of = np.stack(rows).astype(np.float64), np.array(of)
-    x = likeness @ mapping
+        at = [row_of[s] for s in content]
+        hits = [a[a >= 0] for a in at]
+        found = [vectors_of[h].sum(axis=0) for h in hits if len(h)]
+        if len(found) < len(content):
+            found.append(np.zeros(len(landmarks), np.float32))
+        likeness += found
+        of += [doc] * len(found)
+    likeness, of = np.stack(likeness), np.array(of)
+    x = (likeness @ mapping.astype(np.float32)).astype(np.float64)
     starts = np.searchsorted(of, np.arange(len(texts)))
     ends = [*starts[1:], len(of)]
     per_row = np.where(toxic, share / toxic.sum(), (1 - share) / (~toxic).sum())
 
     # at first, rows as a whole tell which landmarks matter
-    w, b = svm(np.maximum.reduceat(likeness, starts), np.where(toxic, 1.0, -1.0), per_row)
+    w, b = svm(np.maximum.reduceat(likeness, starts).astype(np.float64), np.where(toxic, 1.0, -1.0), per_row)
     looks = likeness @ w + b
     hard: set[int] = set()  # sentences of clean rows that looked worst in some round
     for _ in range(rounds):
