@@ -55,15 +55,23 @@ def parse_listing(df: DataFrame, json_column: str, keep: list[str], extra_fields
     return df.select(*keep, parsed)
 
 
-def normalize_listing(df: DataFrame, json_column: str = "value", keep: list[str] | None = None) -> DataFrame:
-    """Product columns with defaults, plus the second-level category and the sold text."""
+def normalize_listing(
+    df: DataFrame, json_column: str = "value", keep: list[str] | None = None, category: str | None = None
+) -> DataFrame:
+    """Product columns with defaults, plus the second-level category and the sold text.
+
+    ``category`` names the column with the category that the listing was asked for.
+    """
+    asked = F.lit(None) if category is None else F.col(category)
+    carried = [*(keep or []), *([category] if category else [])]
     item = F.col("item")
     original = item.original_price.try_cast("bigint")
     list_price = number(item.list_price, "bigint")
     sold_text = F.get_json_object(item.quantity_sold, "$.text")
     level2 = item.visible_impression_info.amplitude.category_l2_name
-    return parse_listing(df, json_column, keep or []).select(
+    return parse_listing(df, json_column, carried).select(
         *(keep or []),
+        asked.cast("int").alias("category_id"),
         item.id.try_cast("bigint").alias("id"),
         item.sku.alias("sku"),
         item["name"].alias("name"),

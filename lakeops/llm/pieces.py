@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from lakeops.llm.registry import cleared, query, table
 
 SPACE = "▁"
-MOST_CACHED = 1 << 17
+MOST_CACHED = 1 << 18
 #: characters of a segment that is worth remembering
 SHORT = 64
 SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -73,9 +73,18 @@ class Pieces:
         self._compatible: dict[int, bool] = {}
         # neighbours within some piece; between others no merge is possible
         self._inside = {a + b for name in self.ids for a, b in pairwise(name)}
-        self._runs: dict[str, list[int]] = {}
+        self._space_runs: dict[int, bytes] = {}
+        self._one_space = self._pack([self.ids[SPACE]])
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the texts met so far."""
+        self._runs: dict[str, bytes] = {}
         self._cache: dict[str, bytes] = {}
-        self._space_runs: dict[int, list[int]] = {}
+
+    @staticmethod
+    def _pack(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _check(self, library) -> None:
         merged = [n for n in self.ids if len(n) > 1 and n.strip(SPACE)]
@@ -157,12 +166,12 @@ class Pieces:
         known = self._compatible.get(pair)
         if known is None:
             known = self._stays_apart(self.names[first], self.names[second])
-            if len(self._compatible) >= 4 * MOST_CACHED:
+            if len(self._compatible) >= 2 * MOST_CACHED:
                 self._compatible.clear()
             self._compatible[pair] = known
         return known
 
-    def _known_run(self, text: str) -> list[int]:
+    def _known_run(self, text: str) -> bytes:
         """Ids of a text whose characters are all pieces, with a space symbol at its start only."""
         last, length = [0] * (len(text) + 1), [0] * (len(text) + 1)
         known, pieces_known, settled = self._compatible.get, len(self.names), -1
@@ -182,9 +191,9 @@ class Pieces:
         while stop:
             ids.append(last[stop])
             stop -= length[stop]
-        return ids[::-1]
+        return self._pack(ids[::-1])
 
-    def _spaces(self, count: int) -> list[int]:
+    def _spaces(self, count: int) -> bytes:
         """Ids of a run of space symbols, merged by place.
 
         The leftmost part grows while some piece has its new length, by the part right of it
@@ -193,7 +202,7 @@ class Pieces:
         known = self._space_runs.get(count)
         if known is None:
             sizes = self._space_merges(count)
-            known = [self.ids[SPACE * n] for n in sizes]
+            known = self._pack([self.ids[SPACE * n] for n in sizes])
             if count <= SHORT:
                 self._space_runs[count] = known
         return known
@@ -214,27 +223,28 @@ class Pieces:
                     break
         return done
 
-    def _segment(self, text: str) -> list[int]:
+    def _segment(self, text: str) -> bytes:
         body = text.lstrip(SPACE)
         spaces = len(text) - len(body)
         if not body:
             return self._spaces(spaces)
         text = SPACE + body if spaces else body
-        ids: list[int] = []
-        start = 0
-        for stop in [*(i for i in range(1, len(text)) if text[i - 1 : i + 1] not in self._inside), len(text)]:
-            ids += self._run(text[start:stop])
-            start = stop
-        if spaces and ids[0] == self.ids[SPACE]:  # nothing took the last one: it is part of the run
-            return self._spaces(spaces) + ids[1:]
+        inside, run = self._inside, self._run
+        cuts = [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in inside]
+        if cuts:
+            ids = b"".join([run(text[a:b]) for a, b in pairwise([0, *cuts, len(text)])])
+        else:
+            ids = run(text)
+        if spaces and ids[:4] == self._one_space:  # nothing took the last one: it is part of the run
+            return self._spaces(spaces) + ids[4:]
         return self._spaces(spaces - 1) + ids if spaces > 1 else ids
 
-    def _run(self, text: str) -> list[int]:
+    def _run(self, text: str) -> bytes:
         """Ids of a text that no cut divides: one unknown character, or characters that are pieces."""
         known = self._runs.get(text)
         if known is None:
             if len(text) == 1 and text not in self.ids:
-                return [self.byte_ids[b] for b in text.encode()]
+                return self._pack([self.byte_ids[b] for b in text.encode()])
             known = self._known_run(text)
             if len(text) <= SHORT:
                 if len(self._runs) >= MOST_CACHED:
@@ -244,8 +254,7 @@ class Pieces:
 
     def _packed(self, rest: str) -> bytes:
         """Packed ids of a segment, given without the space symbol at its start."""
-        ids = self._segment(SPACE + rest)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        packed = self._segment(SPACE + rest)
         if len(rest) <= SHORT:
             if len(self._cache) >= MOST_CACHED:
                 self._cache.clear()
@@ -262,7 +271,7 @@ class Pieces:
             parts = text.split(" ")
         cached, packed = self._cache.get, self._packed
         body = b"".join([cached(p) or packed(p) for p in parts])
-        return struct.pack("<I", self.begin) + body + struct.pack("<I", self.end)
+        return self._pack([self.begin]) + body + self._pack([self.end])
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD each, and the first space symbol goes."""
@@ -316,8 +325,11 @@ def encoded(text: Column, model: bytes) -> Column:
     @F.pandas_udf("binary")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = pieces(model)
-        for texts in batches:
-            yield pd.Series([known.encode(t or "") for t in texts], dtype=object)
+        try:
+            for texts in batches:
+                yield pd.Series([known.encode(t or "") for t in texts], dtype=object)
+        finally:
+            known.forget()
 
     return of(text)
 
@@ -340,10 +352,13 @@ def encoded_and_decoded(text: Column, model: bytes) -> Column:
     @F.pandas_udf("ids binary, decoded string")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = pieces(model)
-        for texts in batches:
-            ids = [known.encode(t or "") for t in texts]
-            back = [known.decode(np.frombuffer(p, "<u4")) for p in ids]
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(back, dtype=object)})
+        try:
+            for texts in batches:
+                ids = [known.encode(t or "") for t in texts]
+                back = [known.decode(np.frombuffer(p, "<u4")) for p in ids]
+                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(back, dtype=object)})
+        finally:
+            known.forget()
 
     return of(text)
 

@@ -42,10 +42,13 @@ def detect_changes(
 
 
 def drop_stale(batch: DataFrame, current: DataFrame, order: str, key: str = "id") -> DataFrame:
-    """Rows of ``batch`` that are not older than the state row of the same key."""
+    """Rows of ``batch`` that are not older than the state row of the same key.
+
+    A row without an order value cannot be told to be older, and stays.
+    """
     seen = current.select(key, F.col(order).alias("_seen"))
     return (
         batch.join(seen, key, "left")
-        .filter(F.col("_seen").isNull() | (F.col(order) >= F.col("_seen")))
+        .filter(F.col("_seen").isNull() | F.col(order).isNull() | (F.col(order) >= F.col("_seen")))
         .select(batch.columns)
     )

@@ -137,11 +137,15 @@ def date_range(
     df: DataFrame, from_date: str | date | None = None, to_date: str | date | None = None, column: str = "crawl_date"
 ) -> DataFrame:
     """Rows between two days, both included; None leaves an end open."""
-    if from_date is not None:
-        df = df.filter(F.col(column) >= day(from_date))
-    if to_date is not None:
-        df = df.filter(F.col(column) <= day(to_date))
-    return df
+    if from_date is None and to_date is None:
+        return df
+    return df.filter(in_range(from_date, to_date, column))
+
+
+def in_range(from_date: str | date | None, to_date: str | date | None, column: str = "crawl_date") -> Column:
+    """Whether a day lies between two days, both included; None leaves an end open."""
+    after = F.lit(True) if from_date is None else F.col(column) >= day(from_date)
+    return after if to_date is None else after & (F.col(column) <= day(to_date))
 
 
 def list_dates(df: DataFrame, column: str = "crawl_date") -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,50 +12,32 @@ from lakeops.operators.latest import latest_by
 from lakeops.schema import TRACKED_PRICES
 
 
-def hot_keys(df: DataFrame, keys: list[str], more_than: int, at_most: int = 10_000) -> DataFrame | None:
-    """Keys with more than ``more_than`` rows, ready to broadcast, or None where they are too many."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > more_than)
-    found = counted.drop("_rows").dropna().limit(at_most + 1).collect()
-    if len(found) > at_most:
-        return None
-    return F.broadcast(df.sparkSession.createDataFrame(found, df.select(*keys).schema))
-
-
 def with_previous(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    values: list[str],
-    chunk: Column | None = None,
-    hot_rows: int = 1_000_000,
+    df: DataFrame, keys: list[str], order: list[str], values: list[str], chunk: Column | None = None
 ) -> DataFrame:
     """``df`` with struct column ``previous``: the values of the row before, NULL for the first.
 
     Without ``chunk`` all rows of a key meet in one task, which is right where a key has a
     bounded number of rows. ``chunk`` is an expression that never falls along ``order`` (a
-    month of a date). It splits the rows of keys with more than ``hot_rows`` rows over
-    several tasks: each chunk looks back inside itself, and its first row takes the last
-    values of the chunk before, found from one pre-aggregated row per chunk. Other keys
-    stay whole, and so do rows without a key.
+    month of a date): each chunk of a key looks back inside itself, and its first row takes
+    the last values of the chunk before, found from one pre-aggregated row per chunk. Rows
+    without a key, or without a chunk, are split and carried like the others.
     """
     row = F.struct(*values)
-    if chunk is not None:
-        hot = hot_keys(df, keys, hot_rows)
-    if chunk is None or (hot is not None and hot.isEmpty()):
+    if chunk is None:
         return df.withColumn("previous", F.lag(row).over(Window.partitionBy(*keys).orderBy(*order)))
-
-    # more hot keys than can be broadcast: split all keys
-    yes = F.lit(True)
-    marked = df.withColumn("_hot", yes) if hot is None else df.join(hot.withColumn("_hot", yes), keys, "left")
-    chunked = marked.withColumn("_chunk", F.when(F.col("_hot"), chunk))
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    chunked = df.withColumn("_chunk", chunk)
+    tails = chunked.groupBy(*keys, "_chunk").agg(F.max_by(row, F.struct(*order)).alias("_tail"))
     across = Window.partitionBy(*keys).orderBy("_chunk")
-    tails = chunked.filter("_hot").groupBy(*keys, "_chunk").agg(F.max_by(row, F.struct(*order)).alias("_tail"))
-    carried = tails.select(*keys, "_chunk", F.lag("_tail").over(across).alias("_carried"))
-    # the window and the join share one shuffle; a whole key has a NULL chunk, which joins nothing
+    names = [*keys, "_chunk"]
+    carried = tails.select(
+        *(F.col(c).alias(f"_of_{c}") for c in names), F.lag("_tail").over(across).alias("_carried")
+    )
+    inside = Window.partitionBy(*names).orderBy(*order)
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in names))
     return (
         chunked.withColumn("_inside", F.lag(row).over(inside))
-        .join(carried, [*keys, "_chunk"], "left")
+        .join(carried, same)
         .select(*df.columns, F.coalesce("_inside", "_carried").alias("previous"))
     )
 
@@ -89,18 +71,20 @@ def replay_state(
     order: str = "crawl_date",
     scope: str = "category_id",
     active: str = "is_active",
-    full_snapshot: bool = True,
+    full_snapshot: bool | DataFrame = True,
 ) -> DataFrame:
     """The state after merging every day of ``daily`` in order, in one pass.
 
     Expects one row per (key, order value), so the order needs no tie-break.
     A key's state is its last row. With full snapshots it is inactive exactly when a
-    later day covers the scope value of that row.
+    later day covers the scope value of that row. Given rows (scope, order) are the full
+    snapshots; other rows, such as those of a stream, then cover nothing.
     """
     last = latest_by(daily, [key], [order], tie_break=[])
-    if not full_snapshot:
+    if full_snapshot is False:
         return last
-    covered = daily.filter(F.col(scope).isNotNull()).groupBy(scope).agg(F.max(order).alias("_covered_until"))
+    snapshots = daily if full_snapshot is True else full_snapshot
+    covered = snapshots.filter(F.col(scope).isNotNull()).groupBy(scope).agg(F.max(order).alias("_covered_until"))
     gone = F.col("_covered_until") > F.col(order)
     return (
         last.join(covered, scope, "left")

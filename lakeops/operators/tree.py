@@ -2,20 +2,66 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from lakeops.session import checkpointed
 
 
+def edges_of_nested(trees: DataFrame, json_column: str, levels: int) -> DataFrame:
+    """Edges (id, parent_id, name, is_leaf) of nested objects {id, name, is_leaf, children: [...]}.
+
+    Every row holds one tree as text, of at most ``levels`` levels; ids are text. What lies
+    below the last level would be lost, so a tree that is deeper raises an error.
+    """
+    schema = None
+    for _ in range(levels):
+        children = ArrayType(schema) if schema else StringType()
+        schema = StructType().add("id", "string").add("name", "string").add("is_leaf", "boolean").add("children", children)
+    level = trees.select(F.from_json(F.col(json_column), schema).alias("n"), F.lit(None).cast("string").alias("up"))
+    found = []
+    for depth in range(levels):
+        own = (F.col("n.id").alias("id"), F.col("up").alias("parent_id"), F.col("n.name").alias("name"))
+        flag = F.coalesce("n.is_leaf", F.lit(False))
+        if depth == levels - 1:
+            rest = F.coalesce(F.json_array_length("n.children"), F.lit(0)) > 0
+            flag = F.when(rest, F.raise_error(F.lit(f"a tree has more than {levels} levels"))).otherwise(flag)
+        found.append(level.filter("n.id is not null").select(*own, flag.cast("boolean").alias("is_leaf")))
+        if depth < levels - 1:
+            level = level.select(F.col("n.id").alias("up"), F.explode("n.children").alias("n"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def leaves(edges: DataFrame, node: str = "id", parent: str = "parent_id", is_leaf: str | None = "is_leaf") -> DataFrame:
-    """Nodes marked as leaves or without children."""
+    """Nodes marked as leaves or without children, not looking below a marked one.
+
+    A walk that starts at the roots stops at a node that is marked, so what hangs below it
+    is no leaf of the tree, nor is a node that no root leads to. One join per level of the
+    marked nodes' subtrees; a tree whose marked nodes have no children needs one level.
+    """
     parents = edges.select(F.col(parent).alias(node)).filter(F.col(node).isNotNull()).distinct()
     if is_leaf is None:
         return edges.join(parents, node, "left_anti").select(edges.columns)
-    marked = parents.withColumn("_has_children", F.lit(True))
-    childless = F.col("_has_children").isNull() | F.coalesce(F.col(is_leaf), F.lit(False))
-    return edges.join(marked, node, "left").filter(childless).select(edges.columns)
+    flag = F.coalesce(F.col(is_leaf), F.lit(False))
+    marked = edges.join(parents.withColumn("_has_children", F.lit(True)), node, "left")
+    hidden = below(edges, marked.filter(flag & F.col("_has_children")).select(node), node, parent)
+    open_nodes = marked.join(hidden, node, "left_anti")
+    return open_nodes.filter(F.col("_has_children").isNull() | flag).select(edges.columns)
+
+
+def below(edges: DataFrame, tops: DataFrame, node: str = "id", parent: str = "parent_id") -> DataFrame:
+    """The nodes under the given ones, level by level until no new one is found."""
+    links = edges.select(F.col(node).alias("_node"), F.col(parent).alias("_up"))
+    level = checkpointed(tops.select(F.col(node).alias("_top")).distinct())
+    found = level.limit(0)
+    while not level.isEmpty():
+        under = links.join(level, F.col("_up") == F.col("_top")).select(F.col("_node").alias("_top")).distinct()
+        level = checkpointed(under.join(found, "_top", "left_anti"))
+        found = checkpointed(found.unionByName(level))
+    return found.withColumnRenamed("_top", node)
 
 
 def leaves_under(
@@ -25,13 +71,13 @@ def leaves_under(
     parent: str = "parent_id",
     name: str = "name",
     is_leaf: str = "is_leaf",
-    max_depth: int = 64,
 ) -> DataFrame:
     """Leaves below the named categories, each with the name of the nearest one above it.
 
     Only inner nodes are walked, one join per level; the leaves, nearly all of the
     tree, join once at the end. Each level is checkpointed, so the plan of a level does
-    not repeat the levels above it. ``max_depth`` guards against a cycle.
+    not repeat the levels above it. A walk from the roots cannot enter a cycle, unless a
+    node has several parents; then a node that comes again raises an error.
     """
     leaf = F.coalesce(F.col(is_leaf), F.lit(False))
     chosen = F.when(F.col(name).isin(root_names), F.col(name))
@@ -39,16 +85,14 @@ def leaves_under(
 
     level = checkpointed(inner.filter("_up is null").select("_node", F.col("_own").alias("_main")))
     resolved = level
-    for _ in range(max_depth):
-        below = level.select(F.col("_node").alias("_up"), F.col("_main").alias("_above"))
-        level = checkpointed(
-            inner.join(below, "_up").select("_node", F.coalesce("_own", "_above").alias("_main"))
-        )
+    while True:
+        above = level.select(F.col("_node").alias("_up"), F.col("_main").alias("_above"))
+        level = checkpointed(inner.join(above, "_up").select("_node", F.coalesce("_own", "_above").alias("_main")))
         if level.isEmpty():
             break
+        if not level.join(resolved, "_node", "left_semi").isEmpty():
+            raise ValueError("the tree has a cycle, or a node with several parents")
         resolved = resolved.unionByName(level)
-    else:
-        raise ValueError(f"the tree is deeper than {max_depth} levels or has a cycle")
 
     mains = resolved.filter("_main is not null").select(F.col("_node").alias("_up"), F.col("_main").alias("_above"))
     main = F.coalesce(chosen, F.col("_above"))

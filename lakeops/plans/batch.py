@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeops.guards import require_date, require_rows
 from lakeops.operators.changes import detect_changes
-from lakeops.operators.clean import clean_records, partition_day, stamp_batch
+from lakeops.operators.clean import clean_records, stamp_batch
 from lakeops.operators.latest import latest_by
 from lakeops.plans.gold import gold_tables
 from lakeops.plans.lake import Lake
@@ -37,22 +39,18 @@ def load_bronze(
     write_bronze(latest_by(stamped, ["id", "crawl_date"], []), lake.bronze, many_days=True)
 
 
-def load_silver(spark: SparkSession, day: date, lake: Lake, run: str) -> None:
-    """One day of the raw table into the price log and, as a full snapshot, into the state.
+def load_silver(spark: SparkSession, day: date, lake: Lake, run: str, at: datetime | None = None) -> None:
+    """The batch rows of one day into the state, as a full snapshot, and their changes into the price log.
 
-    Changes are found against the state before the merge. The state commit comes last:
-    a run that failed earlier can be repeated under the same ``run`` name and replaces
-    what it wrote, and a committed run is not applied twice.
+    The snapshot is written first and read back, so it is cleaned once; changes are found
+    against the state without this run. A run that failed can be repeated under the same
+    ``run`` name and replaces what it wrote.
     """
     state = lake.state(spark)
-    head, applied = state.status(run)
-    if applied:
-        return
-    raw = partition_day(lake.read_bronze(spark, day), day).drop("ingest")
-    snapshot = clean_records(latest_by(raw, ["id"], ["loaded_at"]))
-    log = snapshot if head is None else detect_changes(snapshot, state.rows(head))
-    append_run(log, lake.history, run)
-    state.merge_onto(head, snapshot, run, snapshot_scope="category_id")
+    raw = lake.read_bronze(spark, day).filter(F.col("ingest") == "batch").drop("ingest")
+    state.append(clean_records(latest_by(raw, ["id"], ["loaded_at"])), run, at, snapshot=True)
+    snapshot = state.rows_of(run)
+    append_run(detect_changes(snapshot, state.read(without=run)), lake.history, run)
 
 
 def run_batch(
@@ -64,15 +62,20 @@ def run_batch(
     loaded_at: datetime | None = None,
     own_dates: bool = False,
 ) -> None:
-    """Load one file; ``layer`` is bronze, silver or all. Each run of a day needs its own ``run`` name."""
+    """Load one file; ``layer`` is bronze, silver or all.
+
+    A run is named after its day, so that repeating it replaces what it wrote; several loads
+    of one day that shall all stay in the price log need a ``run`` name each.
+    """
     if layer not in ("all", "bronze", "silver"):
         raise ValueError(f"unknown layer {layer!r}")
     day = require_date(os.path.basename(path.rstrip("/")))
+    loaded_at = loaded_at or datetime.now()
     if layer != "silver":
         require_rows(read_records(spark, path), path)
         load_bronze(spark, path, lake, loaded_at, own_dates)
     if layer != "bronze":
-        load_silver(spark, day, lake, run or f"batch-{day}-{(loaded_at or datetime.now()):%H%M%S%f}")
+        load_silver(spark, day, lake, run or f"batch-{day}", loaded_at)
 
 
 def write_gold(
@@ -88,16 +91,18 @@ def run_gold(
 ) -> dict[str, DataFrame]:
     """The five aggregates over the current tables, written unless ``dry_run``."""
     state = lake.state(spark)
-    if state.head() is None:
-        raise ValueError("the state has no committed version; load a batch first")
+    if state.is_empty():
+        raise ValueError("the state is empty; load a batch first")
     tables = gold_tables(state.read(), lake.read_history(spark), lake.read_bronze(spark))
     if not dry_run:
         write_gold(lake, tables, extra)
     return tables
 
 
-def run_all(spark: SparkSession, paths: list[str], lake: Lake) -> dict[str, DataFrame]:
-    """Dated files in order, then the aggregates."""
+def run_all(
+    spark: SparkSession, paths: list[str], lake: Lake, loaded_at: Callable[[str], datetime] | None = None
+) -> dict[str, DataFrame]:
+    """Dated files in order, then the aggregates. ``loaded_at`` gives a load time for a path."""
     for path in sorted(paths, key=lambda p: require_date(os.path.basename(p.rstrip("/")))):
-        run_batch(spark, path, lake)
+        run_batch(spark, path, lake, loaded_at=loaded_at(path) if loaded_at else None)
     return run_gold(spark, lake)

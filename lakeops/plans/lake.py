@@ -6,16 +6,26 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from lakeops.sinks.state import StateTable
+from lakeops.schema import LOAD_FIELDS, product_schema
+from lakeops.sinks.state import StateTable, read_or_empty
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Folders below one root: raw rows, price log, state, speed layer, aggregates."""
+    """Folders below one root: raw rows, price log, state, speed layer, aggregates.
+
+    ``extra`` are (name, type) of fields that are stored beside those of a product.
+    """
 
     root: str
-    buckets: int = 1
+    extra: tuple[tuple[str, str], ...] = ()
+
+    @property
+    def schema(self) -> StructType:
+        return product_schema({**LOAD_FIELDS, **dict(self.extra)})
 
     def _at(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -40,12 +50,12 @@ class Lake:
         return self._at(f"gold/{name}")
 
     def state(self, spark: SparkSession) -> StateTable:
-        return StateTable(spark, self._at("silver/products"), buckets=self.buckets)
+        return StateTable(spark, self._at("silver/products"), self.schema)
 
     def read_bronze(self, spark: SparkSession, day: date | None = None) -> DataFrame:
-        """The raw table; with ``day`` only that day's folder is listed and read."""
-        folder = self.bronze if day is None else f"{self.bronze}/crawl_date={day}"
-        return spark.read.option("basePath", self.bronze).parquet(folder)
+        """The raw table; with ``day`` only that day's partition is read."""
+        stored = read_or_empty(spark, self.bronze, StructType(self.schema.fields).add("ingest", "string"))
+        return stored if day is None else stored.filter(F.col("crawl_date") == F.lit(day))
 
     def read_history(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.history)
+        return read_or_empty(spark, self.history, StructType(self.schema.fields).add("run", "string"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.guards import require_rows
@@ -14,8 +14,12 @@ from lakeops.operators.latest import latest_by
 from lakeops.plans.batch import write_gold
 from lakeops.plans.gold import gold_tables
 from lakeops.plans.lake import Lake
-from lakeops.session import staged
-from lakeops.sinks.files import append_run
+from lakeops.sinks.files import append_run, staged_for_a_while
+
+
+def load_order() -> Column:
+    """Days count in order, and inside a day the time of the load."""
+    return F.struct("crawl_date", "loaded_at").alias("_order")
 
 
 def daily_rows(
@@ -36,12 +40,28 @@ def rebuild(
     full_snapshot: bool = True,
     tie_break: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(price log, state) as if every day had been loaded in order, in one pass each."""
-    return replayed(daily_rows(raw, from_date, to_date, tie_break), full_snapshot)
+    """(price log, state) as if every day had been loaded in order, in one pass each.
+
+    Where ``raw`` has a column ``ingest``, only rows of the batch writer are full snapshots.
+    """
+    daily = daily_rows(raw, from_date, to_date, tie_break)
+    return replayed(daily, snapshots_of(raw, from_date, to_date) if full_snapshot else False)
+
+
+def snapshots_of(raw: DataFrame, from_date: str | date | None = None, to_date: str | date | None = None) -> DataFrame:
+    """When each scope was covered: (category_id, _order) of the rows the batch writer wrote."""
+    rows = date_range(raw, from_date, to_date).filter(F.col("id").isNotNull())
+    if "ingest" in raw.columns:
+        rows = rows.filter(F.col("ingest") == "batch")
+    return rows.select("category_id", load_order()).distinct()
 
 
-def replayed(daily: DataFrame, full_snapshot: bool = True) -> tuple[DataFrame, DataFrame]:
-    return change_log(daily), replay_state(daily, full_snapshot=full_snapshot)
+def replayed(daily: DataFrame, full_snapshot: bool | DataFrame = True) -> tuple[DataFrame, DataFrame]:
+    """Log and state of daily rows; the last load of a day counts, and days count in order."""
+    daily = daily.drop("ingest")
+    ordered = daily.withColumn("_order", load_order())
+    state = replay_state(ordered, order="_order", full_snapshot=full_snapshot)
+    return change_log(daily), state.select(daily.columns)
 
 
 def plan_recovery(
@@ -78,16 +98,17 @@ def recover(
     The old tables stay until readers are pointed at the target, so a failed or partial
     recovery loses nothing. Returns the plan.
     """
-    raw = lake.read_bronze(spark).drop("ingest")
+    raw = lake.read_bronze(spark)
     plan = plan_recovery(raw, from_date, to_date, skip_gold)
     require_rows(date_range(raw, from_date, to_date), "raw table in the given range")
     if dry_run:
         return plan
-    # log and state read the daily rows three times; they are deduplicated and shuffled once
-    log, state = replayed(staged(daily_rows(raw, from_date, to_date), "daily"))
-    append_run(log, target.history, "recovery")
-    state_table = target.state(spark)
-    state_table.overwrite(state, tag="recovery", operation="recovery")
+    # log and state read the daily rows once each; they are deduplicated and shuffled once
+    with staged_for_a_while(daily_rows(raw, from_date, to_date), "daily") as daily:
+        log, state = replayed(daily, snapshots_of(raw, from_date, to_date))
+        append_run(log, target.history, "recovery")
+        state_table = target.state(spark)
+        state_table.write_base(state)
     if not skip_gold:
-        write_gold(target, gold_tables(state_table.read(), target.read_history(spark), raw))
+        write_gold(target, gold_tables(state_table.read(), target.read_history(spark), raw.drop("ingest")))
     return plan

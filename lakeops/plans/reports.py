@@ -19,16 +19,15 @@ def price_moves(
     price_log: DataFrame,
     order: list[str] | None = None,
     chunk: Column | None = None,
-    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Each logged price with the one before it, the difference and the direction.
 
     A batch log has one row per product and day, the default order, so a product has no
     more rows than there are days. A stream log may have any number: give an order that
-    tells its rows apart and a ``chunk`` that splits a product with more than ``hot_rows``.
+    tells its rows apart and a ``chunk`` that splits the rows of a product.
     """
     before = F.col("previous")["price"]
-    return with_previous(price_log, ["id"], order or ["crawl_date"], ["price"], chunk, hot_rows).select(
+    return with_previous(price_log, ["id"], order or ["crawl_date"], ["price"], chunk).select(
         "id",
         "name",
         "crawl_date",

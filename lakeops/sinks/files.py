@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.session import scratch_path
+
 
 def _overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -25,7 +30,11 @@ def write_bronze(df: DataFrame, path: str, ingest: str = "batch", many_days: boo
 
 
 def append_run(df: DataFrame, path: str, run: str) -> None:
-    """Add the rows of one run to an append-only table; repeating a run replaces its rows."""
+    """Add the rows of one run to an append-only table; repeating a run replaces its rows.
+
+    A repeated run without any row leaves what the earlier one wrote: there is no partition
+    to replace. Callers give such a run a name of its own, or skip it.
+    """
     _overwrite_partitions(df.withColumn("run", F.lit(run)), path, ["run"])
 
 
@@ -34,46 +43,15 @@ def epoch_name(name: str, epoch: int) -> str:
     return f"{name}-{epoch:09d}"
 
 
-def fold_epochs(spark: SparkSession, path: str, column: str, name: str) -> None:
-    """Join the partitions that a stream wrote per epoch into one per parent folder.
-
-    The joined partition is named after the last epoch it covers. Sources are removed after
-    it is whole, and a fold that was cut off in between is finished by the next one. Run it
-    between epochs; a reader may meanwhile see rows twice or miss removed files.
-    """
-    start = f"{column}={name}-"
-
-    def folders() -> dict[str, dict[str, str]]:
-        """Parent folder to the folders of this stream by partition value."""
-        found: dict[str, dict[str, str]] = {}
-        for file in spark.read.parquet(path).inputFiles():
-            folder = file.rsplit("/", 1)[0]
-            parent, value = folder.rsplit("/", 1)
-            if value.startswith(start):
-                found.setdefault(parent, {})[value.removeprefix(start)] = folder
-        return found
-
-    def covered(values: dict[str, str]) -> list[str]:
-        """Folders whose epochs a joined partition beside them already holds."""
-        last = max((v.removeprefix("upto-") for v in values if v.startswith("upto-")), default="")
-        return [folder for v, folder in values.items() if v != f"upto-{last}" and v.removeprefix("upto-") <= last]
-
-    remove_folders(spark, [folder for values in folders().values() for folder in covered(values)])
-    left = [folder for values in folders().values() if len(values) > 1 for folder in values.values()]
-    if not left:
-        return
-    last = max(folder.rsplit("-", 1)[1] for folder in left)
-    rows = spark.read.option("basePath", path).parquet(*left).withColumn(column, F.lit(f"{name}-upto-{last}"))
-    by = ["crawl_date", column] if "crawl_date=" in left[0] else [column]
-    _overwrite_partitions(rows.hint("rebalance", *by), path, by)
-    remove_folders(spark, [folder for values in folders().values() for folder in covered(values)])
-
-
-def folder_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders directly below a path."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [status.getPath().getName() for status in files.listStatus(target) if status.isDirectory()]
+@contextmanager
+def staged_for_a_while(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` written once to the shared folder for several reads, and removed afterwards."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove_folders(df.sparkSession, [path])
 
 
 def remove_folders(spark: SparkSession, folders: list[str]) -> None:

@@ -1,182 +1,125 @@
-"""Current state (one row per key) as versioned Parquet folders.
-
-Parquet has no row-level updates and a path must not be overwritten while it is read,
-so a change writes new folders and then one commit row. Rows are spread over a fixed
-number of buckets by key hash, and a merge rewrites only the buckets its batch touches.
-A commit maps every bucket to the folder that holds its rows; a reader that planned
-before a commit goes on with the folders it chose. A writer whose base was replaced by
-another writer's commit gets a StateConflict and can simply run again. Expire old
-versions regularly: they keep their folders and make the list of commits longer.
+"""Current state (one row per key) as an append-only table of runs over a base.
+
+Every load adds its rows, one per key, as one run; nothing is rewritten, so the cost of a
+load follows its own size. The state is the last row of each key over the newest base and
+the runs after it, with rows deactivated that a later full snapshot covers. Renewing the
+base writes the state as one more ordinary table beside the runs, which shortens later
+reads. Repeating a run under its name replaces its rows.
 """
 
 from __future__ import annotations
 
-import uuid
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakeops.operators.merge import upsert
-from lakeops.sinks.files import folder_names, remove_folders
-
-COMMIT_SCHEMA = """
-    version BIGINT, tag STRING, operation STRING, committed_at TIMESTAMP,
-    buckets MAP<INT, STRING>, fields STRING
-"""
+from lakeops.operators.history import replay_state
+from lakeops.schema import stored_schema
+from lakeops.sinks.files import append_run
 
 
-class StateConflict(RuntimeError):
-    """Another writer committed since this one read the state."""
+def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A Parquet folder under its schema; without the folder, no rows."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 class StateTable:
-    def __init__(self, spark: SparkSession, path: str, key: str = "id", buckets: int = 1):
-        self.spark = spark
-        self.key = key
-        self.buckets = buckets
-        self._data = f"{path.rstrip('/')}/data"
-        self._commits = f"{path.rstrip('/')}/commits"
-
-    def commits(self) -> DataFrame:
-        """All commits; empty before the first one."""
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
+    """``schema`` are the fields of a row, ``scope`` is what a full snapshot covers."""
 
-    def log(self) -> DataFrame:
-        """Versions with their commit time and operation."""
-        return self.commits().select("version", "committed_at", "operation", "tag")
-
-    def head(self, version: int | None = None) -> Row | None:
-        """The newest commit, or the newest one not after ``version``."""
-        known = self.commits()
-        if version is not None:
-            known = known.filter(F.col("version") <= version)
-        return known.orderBy(F.col("version").desc()).limit(1).first()
-
-    def status(self, tag: str) -> tuple[Row | None, bool]:
-        """The newest commit, and whether a commit with the tag exists; one small job."""
-        found = self.commits().agg(
-            F.max_by(F.struct("*"), "version").alias("head"), F.max(F.col("tag") == tag).alias("applied")
-        ).first()
-        return found.head, bool(found.applied)
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """The state now or as of a version."""
-        commit = self.head(version)
-        if commit is None:
-            raise ValueError("the state has no committed version" + ("" if version is None else f" {version}"))
-        return self.rows(commit)
-
-    def overwrite(self, df: DataFrame, tag: str | None = None, operation: str = "overwrite") -> int:
-        """Replace the whole state."""
-        return self._write(df, self.head(), tag, operation)
-
-    def merge(self, batch: DataFrame, tag: str | None = None, snapshot_scope: str | None = None) -> int:
-        """Upsert ``batch`` (one row per key). A tag that is already committed is not applied again.
-
-        A full snapshot may deactivate any row, so it rewrites all buckets.
-        """
-        head, applied = self.status(tag or "")
-        if tag is not None and applied:
-            return head.version
-        if head is None or snapshot_scope:
-            return self.merge_onto(head, batch, tag, None, snapshot_scope)
-        return self.merge_onto(head, batch, tag, self.touched(batch))
-
-    def merge_onto(
+    def __init__(
         self,
-        head: Row | None,
-        batch: DataFrame,
-        tag: str | None = None,
-        touched: list[int] | None = None,
-        snapshot_scope: str | None = None,
-    ) -> int:
-        """The merge for callers that know the newest commit and the touched buckets (None: all)."""
-        if head is None:
-            return self._write(batch, None, tag, "create")
-        merged = upsert(self.rows(head, touched), batch, self.key, snapshot_scope)
-        return self._write(merged, head, tag, "merge", touched)
-
-    def rollback(self, version: int) -> int:
-        """Make an earlier version current again; copies no data."""
-        target = self.head(version)
-        if target is None or target.version != version:
-            raise ValueError(f"version {version} does not exist")
-        return self._commit(self.head().version + 1, None, "rollback", target.buckets, target.fields)
-
-    def expire(self, retain_last: int, really: bool = False) -> list[str]:
-        """Folders of all but the last ``retain_last`` versions that no kept version uses.
-
-        They are removed, and those versions with them, when ``really`` is set. The size of
-        the answer is bounded by versions times buckets.
+        spark: SparkSession,
+        path: str,
+        schema: StructType | None = None,
+        key: str = "id",
+        scope: str = "category_id",
+        active: str = "is_active",
+    ):
+        self.spark, self.key, self.scope, self.active = spark, key, scope, active
+        self.schema = schema or stored_schema()
+        self._runs, self._bases = f"{path.rstrip('/')}/runs", f"{path.rstrip('/')}/bases"
+
+    def append(self, rows: DataFrame, run: str, at: datetime | None = None, snapshot: bool = False) -> None:
+        """Add the rows of one load, one per key, merged at ``at``; ``snapshot`` says that they are all there are."""
+        added = {"merged_at": F.lit(at or datetime.now()), "snapshot": F.lit(snapshot)}
+        append_run(rows.select(self.schema.fieldNames()).withColumns(added), self._runs, run)
+
+    def runs(self) -> DataFrame:
+        """All loads: their rows with merged_at, snapshot and run."""
+        fields = self._with(merged_at="timestamp", snapshot="boolean", run="string")
+        return read_or_empty(self.spark, self._runs, fields)
+
+    def rows_of(self, run: str) -> DataFrame:
+        """The rows that one run added."""
+        return self.runs().filter(F.col("run") == run).select(self.schema.fieldNames())
+
+    def is_empty(self) -> bool:
+        return self.runs().isEmpty() and self._all_bases().isEmpty()
+
+    def read(
+        self, at: datetime | None = None, without: str | None = None, keys: DataFrame | None = None
+    ) -> DataFrame:
+        """The state now or as of a time, as if the run ``without`` had not happened.
+
+        With ``keys``, a column of key values, only their rows; a small set is sent to the
+        table, and none of its other rows are shuffled.
         """
-        listed = self.commits().select("version", "buckets").orderBy(F.col("version").desc()).collect()
-        kept, old = listed[:retain_last], listed[retain_last:]
-        used = {self._folder(f, b) for commit in kept for b, f in commit.buckets.items()}
-        unused = {self._folder(f, b) for commit in old for b, f in commit.buckets.items()} - used
-        known = {f for commit in listed for f in commit.buckets.values()}
-        if listed:
-            # folders of failed writers; those of a running one have a later version
-            unused |= {
-                f"{self._data}/{name}"
-                for name in folder_names(self.spark, self._data)
-                if name not in known and int(name.split("-")[0]) <= listed[0].version
-            }
-        if really:
-            # a version leaves the list before its data goes
-            remove_folders(self.spark, [f"{self._commits}/version={commit.version}" for commit in old])
-            remove_folders(self.spark, sorted(unused))
-        return sorted(unused)
-
-    def touched(self, batch: DataFrame) -> list[int]:
-        """Buckets with a key of ``batch``: at most as many values as there are buckets."""
-        if self.buckets == 1:
-            return [0]
-        return [r.b for r in batch.select(self._bucket().alias("b")).distinct().collect()]
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-
-    def _folder(self, name: str, bucket: int) -> str:
-        return f"{self._data}/{name}/bucket={bucket}"
-
-    def rows(self, commit: Row, only: list[int] | None = None) -> DataFrame:
-        """The rows of a commit, optionally of some buckets."""
-        fields = StructType.fromDDL(commit.fields)
-        wanted = commit.buckets if only is None else set(only)
-        held = [self._folder(f, b) for b, f in sorted(commit.buckets.items()) if b in wanted]
-        if not held:
-            return self.spark.createDataFrame([], fields)
-        return self.spark.read.schema(fields).parquet(*held)
-
-    def _write(
-        self, df: DataFrame, head: Row | None, tag: str | None, operation: str, touched: list[int] | None = None
-    ) -> int:
-        version = 1 if head is None else head.version + 1
-        folder = f"{version:09d}-{uuid.uuid4().hex}"
-        path = f"{self._data}/{folder}"
-        rows = df.withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
-        rows.write.partitionBy("bucket").parquet(path)
-        if touched is None:
-            # which buckets hold rows: partition values only, no column is read
-            listed = self.spark.read.schema("bucket INT").option("basePath", path).parquet(path)
-            buckets = {r.bucket: folder for r in listed.distinct().collect()}
-        else:
-            buckets = {**head.buckets, **{b: folder for b in touched}}
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-        return self._commit(version, tag, operation, buckets, fields)
-
-    def _commit(self, version: int, tag: str | None, operation: str, buckets: dict[int, str], fields: str) -> int:
-        newest = self.commits().agg(F.max("version")).first()[0]
-        if newest is not None and newest >= version:
-            raise StateConflict(f"version {version} was committed by another writer")
-        row = self.spark.createDataFrame([(version, tag, operation, None, buckets, fields)], COMMIT_SCHEMA)
-        row = row.withColumn("committed_at", F.current_timestamp()).drop("version").coalesce(1)
-        row.write.mode("overwrite").parquet(f"{self._commits}/version={version}")
-        return version
+        bases = self._all_bases()
+        if at is not None:
+            bases = bases.filter(F.col("at") <= F.lit(at))
+        # partition values only; no column is read
+        newest = bases.agg(F.max("at")).first()[0]
+        later = self.runs()
+        if newest is not None:
+            later = later.filter(F.col("merged_at") > F.lit(newest))
+        if at is not None:
+            later = later.filter(F.col("merged_at") <= F.lit(at))
+        if without is not None:
+            later = later.filter(F.col("run") != without)
+        order = F.struct("merged_at", "run").alias("_order")
+        rows = later.select(*self.schema.fieldNames(), order)
+        if newest is not None:
+            first = F.struct(F.lit(newest).alias("merged_at"), F.lit("").alias("run")).alias("_order")
+            base = bases.filter(F.col("at") == F.lit(newest))
+            rows = base.select(*self.schema.fieldNames(), first).unionByName(rows)
+        if keys is not None:
+            rows = rows.join(keys.select(self.key), self.key, "left_semi").select(rows.columns)
+        snapshots = later.filter("snapshot").select(self.scope, order)
+        state = replay_state(rows, self.key, "_order", self.scope, self.active, snapshots)
+        return state.select(self.schema.fieldNames())
+
+    def write_base(self, state: DataFrame, at: datetime | None = None) -> None:
+        """Make ``state`` the base of everything merged after ``at``."""
+        based = state.select(self.schema.fieldNames()).withColumn("at", F.lit(at or datetime.now()))
+        based.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("at").parquet(self._bases)
+
+    def renew_base(self, at: datetime) -> None:
+        """Write the state as of ``at`` as a base: a time before any load that is still running."""
+        self.write_base(self.read(at), at)
+
+    def rollback(self, to: datetime, at: datetime | None = None) -> None:
+        """Make the state as of an earlier time the current one; later loads stay readable as of their times."""
+        if self.runs().filter(F.col("merged_at") <= F.lit(to)).isEmpty() and self._all_bases().filter(F.col("at") <= F.lit(to)).isEmpty():
+            raise ValueError(f"there is no state as of {to}")
+        self.write_base(self.read(to), at)
+
+    def log(self) -> DataFrame:
+        """Runs with the time they were merged and their rows."""
+        return self.runs().groupBy("run", "merged_at", "snapshot").agg(F.count(F.lit(1)).alias("row_count"))
+
+    def _all_bases(self) -> DataFrame:
+        return read_or_empty(self.spark, self._bases, self._with(at="timestamp"))
+
+    def _with(self, **more: str) -> StructType:
+        fields = StructType(list(self.schema.fields))
+        for name, data_type in more.items():
+            fields.add(name, data_type)
+        return fields

@@ -26,7 +26,7 @@ def read_records(
     schema = schema or product_schema()
     reader = spark.read.option("recursiveFileLookup", True)
     if corrupt:
-        schema = StructType(schema.fields).add(corrupt, "string")
+        schema = StructType(list(schema.fields)).add(corrupt, "string")
         reader = reader.option("columnNameOfCorruptRecord", corrupt)
     return reader.schema(schema).json(path)
 

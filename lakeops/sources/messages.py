@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructField, StructType
 
 from lakeops.schema import event_schema
 from lakeops.streaming.run import start
 
-MESSAGE_SCHEMA = "key STRING, value STRING"
+# what a message carries beside its text; NULL in sources that do not know it
+MESSAGE_SCHEMA = "key STRING, value STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
+MESSAGE_COLUMNS = ["_partition", "_offset", "_timestamp"]
 
 
 def kafka_options(servers: str, topic: str, starting: str = "latest") -> dict[str, str]:
@@ -23,13 +25,15 @@ def kafka_options(servers: str, topic: str, starting: str = "latest") -> dict[st
 
 
 def kafka_messages(spark: SparkSession, servers: str, topic: str, starting: str = "latest") -> DataFrame:
-    """A topic as a stream of (key, value) text; needs the Kafka connector on the class path."""
+    """A topic as a stream of messages with key and value as text; needs the Kafka connector on the class path."""
     raw = spark.readStream.format("kafka").options(**kafka_options(servers, topic, starting)).load()
-    return raw.select(F.col("key").cast("string"), F.col("value").cast("string"))
+    return raw.select(
+        F.col("key").cast("string"), F.col("value").cast("string"), "partition", "offset", "timestamp"
+    )
 
 
 def file_messages(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """A folder of (key, value) Parquet files as a stream."""
+    """A folder of Parquet files with messages as a stream."""
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -37,14 +41,31 @@ def file_messages(spark: SparkSession, path: str, files_per_trigger: int | None
 
 
 def decode(messages: DataFrame, schema: StructType | None = None, error: str | None = None) -> DataFrame:
-    """Message values as columns; with ``error``, values that are not JSON are kept there."""
+    """Message values as columns; with ``error``, values that are no JSON object are kept there.
+
+    Fields are read as text and then cast, so that a field of the wrong type is NULL and the
+    others stay. A counter may come as a number or as an object that holds its value. Where
+    a message carries them, its partition, offset and time follow as ``MESSAGE_COLUMNS``.
+    """
     schema = schema or event_schema()
-    options = {}
-    if error:
-        schema = StructType(schema.fields).add(error, "string")
-        options = {"columnNameOfCorruptRecord": error}
+    texts = StructType().add("_broken", "string")
+    for field in schema:
+        texts = texts.add(field.name, "string")
     value = F.col("value").cast("string")
-    return messages.select(F.from_json(value, schema, options).alias("data")).select("data.*")
+    item = F.from_json(value, texts, {"columnNameOfCorruptRecord": "_broken"}).alias("_item")
+    known = [c for c in MESSAGE_COLUMNS if c[1:] in messages.columns]
+    parsed = messages.select(item, value.alias("_value"), *(F.col(c[1:]).alias(c) for c in known))
+
+    def typed(field: StructField) -> Column:
+        text = F.col("_item")[field.name]
+        if isinstance(field.dataType, IntegralType):
+            text = F.coalesce(F.get_json_object(text, "$.value"), text)
+        return text.try_cast(field.dataType).alias(field.name)
+
+    whole = F.col("_item").isNotNull() & F.col("_item._broken").isNull() & F.col("_value").rlike(r"^\s*\{")
+    broken = F.when(~F.coalesce(whole, F.lit(False)), F.coalesce("_value", F.lit("")))
+    errors = [broken.alias(error)] if error else []
+    return parsed.select(*map(typed, schema), *errors, *known)
 
 
 def drain(messages: DataFrame, folder: str, checkpoint: str, must_have_rows: bool = False) -> str:

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.operators.changes import detect_changes, drop_stale
@@ -15,51 +15,45 @@ from lakeops.operators.clean import clean_records, split_errors, stamp_events
 from lakeops.operators.latest import latest_by
 from lakeops.plans.lake import Lake
 from lakeops.schema import SPEED_COLUMNS
-from lakeops.sinks.files import append_run, epoch_name, fold_epochs, write_bronze
+from lakeops.sinks.files import append_run, epoch_name, write_bronze
 from lakeops.sinks.tables import Sink
+from lakeops.sources.messages import MESSAGE_COLUMNS
 from lakeops.streaming.run import Handler
 
 
 def medallion_handler(
     lake: Lake,
+    order: list[str],
     name: str = "stream",
-    order: list[str] | None = None,
     event_only: list[str] | None = None,
     default_active: bool | None = True,
     error: str | None = None,
     newer_by: str | None = None,
     speed_sinks: Sequence[Sink] = (),
-    before_commit: Callable[[int], None] | None = None,
-    tidy_every: int | None = None,
-    keep_versions: int = 10,
+    before_last: Callable[[int], None] | None = None,
 ) -> Handler:
     """A micro-batch function that may be repeated for the same epoch.
 
-    ``order`` says which of several events of one id is the latest; ``event_only`` are
-    columns that do not go into the stored row. Raw rows, log and speed rows are keyed
-    by epoch, so a repeated epoch replaces them; the state commit comes last, and an epoch
-    whose commit exists is skipped. Changes are thus always found against the state before
-    the epoch.
+    ``order`` says which of several events of one id is the latest, such as the message's
+    ``_timestamp`` and ``_offset``; ``event_only`` are columns that do not go into the stored
+    row. Everything is keyed by epoch, so a repeated epoch replaces its rows, and changes
+    are always found against the state without this epoch. All writes only add; reading the
+    state for the changes looks at the epoch's ids alone.
 
     Rows with a text in column ``error`` go to the quarantine. Without ``newer_by`` the last
     arrival wins; with it, a column of the stored row, older events never overwrite newer
     state. ``speed_sinks`` also receive the speed rows of every epoch; one that only
     appends, such as a database table, gets them again when an epoch is repeated, and can
-    tell by their ``run``. ``before_commit`` is called with the epoch between the other
-    writes and the state commit.
-
-    Every ``tidy_every`` epochs the folders written per epoch are joined and all but the last
-    ``keep_versions`` state versions are removed; without it both grow for ever.
+    tell by their ``run``. ``before_last`` is called with the epoch before its last write.
     """
-    order = order or []
-    event_only = [*(event_only or []), "_event_type"]
+    if not order:
+        raise ValueError("without an order the latest of several events of one id is not known")
+    stored = set(lake.schema.fieldNames())
+    dropped = [*(event_only or []), "_event_type", *(c for c in MESSAGE_COLUMNS if c not in stored)]
 
     def handle(batch: DataFrame, epoch: int) -> None:
         state = lake.state(batch.sparkSession)
         run = epoch_name(name, epoch)
-        head, applied = state.status(run)
-        if applied:
-            return
         with held(batch) as batch:
             broken = F.count(error) if error else F.lit(0)
             rows, bad_rows = batch.agg(F.count(F.lit(1)), broken).first()
@@ -71,38 +65,26 @@ def medallion_handler(
                 if bad_rows:
                     append_run(bad.select(error), lake.quarantine, run)
             # one load time per epoch, taken here, so a recomputed partition gets the same value
-            events = stamp_events(good, name, datetime.now(), default_active)
+            now = datetime.now()
+            events = stamp_events(good, name, now, default_active)
             speed = events.select(*SPEED_COLUMNS)
             append_run(speed, lake.speed, run)
             for sink in speed_sinks:
                 sink(speed.withColumn("run", F.lit(run)))
-            with held(latest_by(events, ["id"], order).drop(*event_only)) as latest:
+            with held(latest_by(events, ["id"], order).drop(*dropped)) as latest:
                 write_bronze(latest, lake.bronze, ingest=run)
                 cleaned = clean_records(latest)
-                touched = state.touched(cleaned)
-                log = cleaned
-                if head is not None:
-                    current = state.rows(head, touched)
-                    if newer_by:
-                        cleaned = drop_stale(cleaned, current, newer_by)
-                    log = detect_changes(cleaned, current, small_batch=True)
-                append_run(log, lake.history, run)
-                if before_commit:
-                    before_commit(epoch)
-                state.merge_onto(head, cleaned, run, touched)
-        if tidy_every and (epoch + 1) % tidy_every == 0:
-            tidy(batch.sparkSession, lake, name, keep_versions)
+                current = state.read(without=run, keys=cleaned)
+                if newer_by:
+                    cleaned = drop_stale(cleaned, current, newer_by)
+                append_run(detect_changes(cleaned, current), lake.history, run)
+                if before_last:
+                    before_last(epoch)
+                state.append(cleaned, run, now)
 
     return handle
 
 
-def tidy(spark: SparkSession, lake: Lake, name: str, keep_versions: int) -> None:
-    """Join the folders of past epochs and drop old state versions."""
-    for path, column in ((lake.bronze, "ingest"), (lake.history, "run"), (lake.speed, "run")):
-        fold_epochs(spark, path, column, name)
-    lake.state(spark).expire(keep_versions, really=True)
-
-
 @contextmanager
 def held(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` kept for several uses; lost pieces are computed again from the epoch's fixed input."""

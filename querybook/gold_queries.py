@@ -126,15 +126,14 @@ def _(spark, sf):
 @query(
     "report_daily_changes",
     """
-    WITH ranked AS (
-        SELECT crawl_date, row_number() OVER (PARTITION BY id ORDER BY crawl_date) AS nth FROM price_history),
-    changed AS (
-        SELECT crawl_date, count(*) FILTER (nth = 1) AS n, count(*) FILTER (nth > 1) AS c
-        FROM ranked GROUP BY crawl_date),
-    seen AS (SELECT crawl_date, count(DISTINCT id) AS s FROM products_raw GROUP BY crawl_date)
-    SELECT crawl_date, s AS total_products, coalesce(n, 0) AS new_products, coalesce(c, 0) AS changed_products,
-           s - coalesce(n, 0) - coalesce(c, 0) AS unchanged_products
-    FROM seen LEFT JOIN changed USING (crawl_date)""",
+    SELECT crawl_date, count(*) FILTER (part = 'seen') AS total_products,
+           count(*) FILTER (part = 'first') AS new_products,
+           count(*) FILTER (part = 'logged') - count(*) FILTER (part = 'first') AS changed_products,
+           count(*) FILTER (part = 'seen') - count(*) FILTER (part = 'logged') AS unchanged_products
+    FROM (SELECT DISTINCT crawl_date, id, 'seen' AS part FROM products_raw
+          UNION ALL SELECT crawl_date, id, 'logged' FROM price_history
+          UNION ALL SELECT min(crawl_date), id, 'first' FROM price_history GROUP BY id)
+    GROUP BY crawl_date""",
 )
 def _(spark, sf):
     return reports.daily_changes(views.price_history(spark, sf), views.load_rows(spark, sf))
@@ -154,6 +153,24 @@ def _(spark, sf):
     return reports.price_moves(views.price_history(spark, sf))
 
 
+@query(
+    "report_price_moves_chunked",
+    f"""
+    SELECT id, name, crawl_date, price AS current_price, lag(price) OVER h AS previous_price,
+           price - lag(price) OVER h AS price_diff,
+           CASE sign(price - lag(price) OVER h)
+                WHEN 1 THEN '{PRICE_UP}' WHEN -1 THEN '{PRICE_DOWN}' WHEN 0 THEN '{PRICE_SAME}'
+                ELSE '{FIRST_SEEN}' END AS price_trend
+    FROM (SELECT * REPLACE (CASE WHEN id % 5 <> 0 THEN id END AS id) FROM stream_events)
+    WINDOW h AS (PARTITION BY id ORDER BY event_id)""",
+)
+def _(spark, sf):
+    # a log with many rows per key, a fifth of them without a key; event ids rise with time
+    events = views.stream_events(spark, sf).withColumn("id", F.when(F.col("id") % 5 != 0, F.col("id")))
+    events = events.withColumn("crawl_date", F.col("crawl_date").cast("date"))
+    return reports.price_moves(events, order=["event_id"], chunk=F.floor(F.col("event_id") / 1000))
+
+
 @query(
     "report_daily_sales",
     """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeops.guards import require_date, require_rows, require_table, require_unique
 from lakeops.plans import gold, reports
-from lakeops.plans.batch import run_batch
+from lakeops.plans.batch import run_all, run_batch, run_gold
 from lakeops.plans.lake import Lake
 from lakeops.session import scratch_path
 from lakeops.sinks import files, tables
@@ -224,7 +224,18 @@ BEST = ["price", "original_price", "discount", "discount_rate", "rating_average"
     QUALIFY row_number() OVER (PARTITION BY id ORDER BY crawl_date DESC) = 1""",
 )
 def _(spark, sf):
-    root = scratch_path(spark, "batch")
+    lake, paths = dated_files(spark, sf, "batch")
+    for path in paths:
+        run_batch(spark, path, lake, loaded_at=load_time(path))
+    return lake.state(spark).read().select(
+        "id", "brand_name", "price", "original_price", "discount", "discount_rate", "quantity_sold",
+        "category_id", "is_active", "crawl_date", F.regexp_replace("source_file", "^file=", "").alias("source_file"),
+    )
+
+
+def dated_files(spark, sf, label: str) -> tuple[Lake, list[str]]:
+    """A new lake, and line items as three dated files of product records."""
+    root = scratch_path(spark, label)
     raw = views.products_raw(spark, sf)
     year = F.year("crawl_date")
     day = F.when(year <= 1996, "1996-01-01").when(year <= 1999, "1999-01-01").otherwise("2001-01-01")
@@ -232,16 +243,90 @@ def _(spark, sf):
     name = F.concat(F.lit("products_raw_"), day, F.lit(".json"))
     lines = raw.select(name.alias("file"), F.to_json(F.struct(*record.columns)).alias("value"))
     lines.write.partitionBy("file").text(f"{root}/in")
-    lake = Lake(f"{root}/lake", buckets=4)
-    for date in ("1996-01-01", "1999-01-01", "2001-01-01"):
-        path = f"{root}/in/file=products_raw_{date}.json"
-        run_batch(spark, path, lake, run=f"batch-{date}", loaded_at=datetime.fromisoformat(date))
-    return lake.state(spark).read().select(
-        "id", "brand_name", "price", "original_price", "discount", "discount_rate", "quantity_sold",
-        "category_id", "is_active", "crawl_date", F.regexp_replace("source_file", "^file=", "").alias("source_file"),
+    dates = ("1996-01-01", "1999-01-01", "2001-01-01")
+    return Lake(f"{root}/lake"), [f"{root}/in/file=products_raw_{date}.json" for date in dates]
+
+
+def load_time(path: str) -> datetime:
+    return datetime.combine(require_date(path), datetime.min.time())
+
+
+LOADED = f"""
+    WITH snapshots AS (
+        SELECT * REPLACE (trim(brand_name) AS brand_name) FROM ({SNAPSHOTS})
+        QUALIFY row_number() OVER (PARTITION BY id, crawl_date
+                                   ORDER BY {", ".join(c + " DESC NULLS LAST" for c in BEST)}) = 1),
+    current AS (SELECT * FROM snapshots
+                QUALIFY row_number() OVER (PARTITION BY id ORDER BY crawl_date DESC) = 1)"""
+
+
+@query(
+    "pipeline_batch",
+    LOADED
+    + """
+    SELECT crawl_date, count(*) AS total_products, count(DISTINCT category_id) AS total_categories,
+           round(avg(price), 0) AS avg_price, round(avg(discount_rate), 1) AS avg_discount_rate,
+           CAST(sum(quantity_sold) AS BIGINT) AS total_quantity_sold
+    FROM snapshots GROUP BY crawl_date""",
+)
+def _(spark, sf):
+    lake, paths = dated_files(spark, sf, "pipeline-batch")
+    run_all(spark, paths, lake, load_time)
+    return spark.table("gold_daily_summary").select(
+        "crawl_date", "total_products", "total_categories", "avg_price", "avg_discount_rate", "total_quantity_sold"
+    )
+
+
+@query(
+    "pipeline_gold",
+    LOADED
+    + """
+    SELECT category_id, category_name, brand_name, count(*) AS total_products,
+           CAST(sum(quantity_sold) AS BIGINT) AS total_quantity_sold, round(avg(rating_average), 2) AS avg_rating,
+           round(avg(price), 0) AS avg_price, max(crawl_date) AS last_updated
+    FROM current WHERE brand_name NOT IN ('', 'No Brand') AND quantity_sold > 0
+    GROUP BY category_id, category_name, brand_name""",
+)
+def _(spark, sf):
+    lake, paths = dated_files(spark, sf, "pipeline-gold")
+    for path in paths:
+        run_batch(spark, path, lake, loaded_at=load_time(path))
+    run_gold(spark, lake)
+    return spark.table("gold_brand_performance").select(
+        "category_id", "category_name", "brand_name", "total_products", "total_quantity_sold", "avg_rating",
+        "avg_price", "last_updated",
     )
 
 
+@query("ndjson_roundtrip", "SELECT id, sku, name, price, brand_name, category_id, discount_rate, quantity_sold FROM listing")
+def _(spark, sf):
+    path = scratch_path(spark, "ndjson")
+    files.write_ndjson(views.listing(spark, sf), path)
+    back = sources.read_records(spark, path)
+    return back.select("id", "sku", "name", "price", "brand_name", "category_id", "discount_rate", "quantity_sold")
+
+
+@query("csv_single_file", "SELECT id, name, price, 1 AS files FROM listing")
+def _(spark, sf):
+    path = scratch_path(spark, "csv-single")
+    files.write_csv(views.listing(spark, sf).select("id", "name", "price"), path, single_file=True)
+    back = sources.read_csv(spark, path, "id BIGINT, name STRING, price BIGINT")
+    written = back.select(F.count_distinct("_metadata.file_name")).first()[0]
+    return back.withColumn("files", F.lit(written))
+
+
+@query("table_append", "SELECT id, name, price FROM listing UNION ALL SELECT id, name, price + 1 FROM listing WHERE id % 2 = 0")
+def _(spark, sf):
+    folder = scratch_path(spark, "append")
+    name = f"querybook_{folder.rsplit('-', 1)[-1]}"
+    rows = views.listing(spark, sf).select("id", "name", "price")
+    tables.append_table(rows, name, folder)
+    tables.append_table(rows.filter("id % 2 = 0").withColumn("price", F.col("price") + 1), name)
+    appended = spark.read.parquet(folder)
+    tables.drop_tables(spark, [name], really=True)
+    return appended
+
+
 SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
                "TIMESTAMP": "timestamp_ntz", "FLOAT[]": "array<float>"}
 TYPE_CASES = " ".join(f"WHEN '{duck}' THEN '{spark}'" for duck, spark in SPARK_TYPES.items())

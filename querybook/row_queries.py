@@ -36,7 +36,7 @@ def _(spark, sf):
 def dirty(spark, sf):
     """Line items with missing keys and numbers and padded names."""
     key, size = F.col("l_partkey"), F.col("p_size")
-    item = views.line_items(spark, sf)
+    item = views.table(spark, sf, "lineitem")
     return item.join(views.table(spark, sf, "part"), key == F.col("p_partkey")).select(
         F.when(key % 50 != 0, key).alias("id"),
         "l_orderkey",
@@ -163,7 +163,7 @@ def listing_json(spark, sf):
     )
     body = text('{"id":', key, ',"name":"', F.col("p_name"), ', a\\nb","discount_rate":"', size, '","rating_average":4.5',
                 prices, brand, sold, info, flags, "}")
-    return views.table(spark, sf, "part").select(body.alias("value"))
+    return views.table(spark, sf, "part").select(body.alias("value"), size.alias("category"))
 
 
 @query(
@@ -175,13 +175,13 @@ def listing_json(spark, sf):
            CAST(0 AS BIGINT) AS discount, p_size AS discount_rate,
            CASE WHEN p_partkey % 7 = 0 THEN 'No Brand' ELSE p_brand END AS brand_name,
            CAST(4.5 AS DOUBLE) AS rating_average, 0 AS review_count, '' AS thumbnail_url,
-           CASE WHEN p_partkey % 3 = 2 THEN 0 ELSE p_size END AS quantity_sold,
+           p_size AS category_id, CASE WHEN p_partkey % 3 = 2 THEN 0 ELSE p_size END AS quantity_sold,
            CASE WHEN p_partkey % 4 = 0 THEN p_type ELSE 'Unknown' END AS sub_category,
            CASE WHEN p_partkey % 3 = 0 THEN 'sold ' || p_size ELSE 'Đã bán 0' END AS sold_text
     FROM part""",
 )
 def _(spark, sf):
-    return normalize_listing(listing_json(spark, sf))
+    return normalize_listing(listing_json(spark, sf), category="category")
 
 
 @query(
@@ -247,15 +247,10 @@ def _(spark, sf):
     GROUP BY crawl_date, bound""",
 )
 def _(spark, sf):
-    days = views.load_rows(spark, sf).groupBy("crawl_date").agg(F.count(F.lit(1)).alias("row_count"))
-    ranges = {
-        "both": clean.date_range(days, "1997-01-01", "1999-12-31"),
-        "from": clean.date_range(days, from_date="1997-01-01"),
-        "to": clean.date_range(days, to_date="1999-12-31"),
-        "open": clean.date_range(days),
-    }
-    parts = [df.select("crawl_date", F.lit(name).alias("bound"), "row_count") for name, df in ranges.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    ranges = {"both": ("1997-01-01", "1999-12-31"), "from": ("1997-01-01", None), "to": (None, "1999-12-31"), "open": (None, None)}
+    inside = F.array_compact(F.array(*(F.when(clean.in_range(*ends), name) for name, ends in ranges.items())))
+    tagged = views.load_rows(spark, sf).select("crawl_date", F.explode(inside).alias("bound"))
+    return tagged.groupBy("crawl_date", "bound").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query(
@@ -319,8 +314,9 @@ def _(spark, sf):
 @query(
     "json_decode",
     """
-    SELECT CASE WHEN good THEN id END AS id, CASE WHEN good THEN price END AS price,
+    SELECT CASE WHEN good THEN id END AS id, CASE WHEN good AND event_id % 7 <> 0 THEN price END AS price,
            CASE WHEN good THEN discount END AS discount, CASE WHEN good THEN is_active END AS is_active,
+           CASE WHEN good THEN quantity_sold END AS quantity_sold,
            CASE WHEN good THEN strftime(crawl_date, '%Y-%m-%d') END AS crawl_date,
            CASE WHEN good THEN _event_type END AS _event_type, good
     FROM (SELECT *, event_id % 101 <> 0 AS good FROM stream_events)""",
@@ -329,11 +325,16 @@ def _(spark, sf):
     events = views.stream_events(spark, sf)
     messages = to_messages(events)
     broken = F.get_json_object("value", "$.event_id").cast("bigint") % 101 == 0
-    messages = messages.withColumn("value", F.when(broken, F.concat(F.lit("{oops "), "value")).otherwise(F.col("value")))
-    decoded = decode(messages, error="_error")
+    # valid JSON with a price that is no whole number, and counters as objects
+    number = F.get_json_object("value", "$.event_id").cast("bigint")
+    odd = F.regexp_replace("value", '"price":([0-9]+)', '"price":$1.5')
+    counted = F.regexp_replace("value", '"quantity_sold":([0-9]+)', '"quantity_sold":{"value":$1,"text":"sold"}')
+    value = F.when(broken, F.concat(F.lit("{oops "), "value")).when(number % 7 == 0, odd).when(number % 2 == 0, counted)
+    decoded = decode(messages.withColumn("value", F.coalesce(value, "value")), error="_error")
     return decoded.select(
-        "id", "price", "discount", "is_active", "crawl_date", "_event_type", F.col("_error").isNull().alias("good")
-    )
+        "id", "price", "discount", "is_active", "quantity_sold", "crawl_date", "_event_type",
+        F.col("_error").isNull().alias("good"),
+    )
 
 
 @query(

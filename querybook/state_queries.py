@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from lakeops.functions.dates import day
@@ -13,6 +15,7 @@ from lakeops.session import scratch_path
 from lakeops.sinks.state import StateTable
 from querybook import views
 from querybook.book import query
+from querybook.sql_views import TIE
 
 CHECKED = [
     "id", "name", "brand_name", "price", "original_price", "discount", "discount_rate",
@@ -54,6 +57,26 @@ def _(spark, sf):
     return upsert(views.state_before(spark, sf), views.last_batch(spark, sf)).select(CHECKED)
 
 
+@query(
+    "merge_duplicates",
+    f"""
+    WITH latest AS (
+        SELECT {COLUMNS} FROM products_raw WHERE year(crawl_date) >= 1998
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY crawl_date DESC, loaded_at DESC, {TIE}) = 1)
+    SELECT {COLUMNS} FROM latest
+    UNION ALL
+    SELECT {COLUMNS} FROM (SELECT * FROM products_daily WHERE crawl_date <= DATE '1997-01-01'
+                           QUALIFY row_number() OVER (PARTITION BY id ORDER BY crawl_date DESC) = 1)
+    WHERE id NOT IN (SELECT id FROM latest)""",
+)
+def _(spark, sf):
+    daily = views.products_daily(spark, sf)
+    state = history.as_of(daily, ["id"], ["crawl_date"], day("1997-01-01"), tie_break=[])
+    batch = views.products_raw(spark, sf).filter(F.col("crawl_date") >= day("1998-01-01"))
+    state = state.withColumns({c: F.lit(None).cast("long") for c in ("l_orderkey", "l_linenumber", "l_suppkey")})
+    return upsert(state, batch, order=["crawl_date", "loaded_at", *views.TIE]).select(CHECKED)
+
+
 @query(
     "merge_soft_delete",
     f"""
@@ -123,10 +146,31 @@ EDGES = """
     "tree_leaves",
     f"""
     WITH edges AS ({EDGES})
-    SELECT id, parent_id, name FROM edges e WHERE NOT EXISTS (SELECT 1 FROM edges c WHERE c.parent_id = e.id)""",
+    SELECT id, parent_id, name FROM (SELECT id, parent_id, name, is_leaf OR id = 'N5' AS is_leaf FROM edges) e
+    WHERE parent_id IS DISTINCT FROM 'N5'
+      AND (is_leaf OR NOT EXISTS (SELECT 1 FROM edges c WHERE c.parent_id = e.id))""",
 )
 def _(spark, sf):
-    return tree.leaves(edges(spark, sf)).select("id", "parent_id", "name")
+    # a nation marked as a leaf, although customers hang below it
+    marked = edges(spark, sf).withColumn("is_leaf", F.col("is_leaf") | (F.col("id") == "N5"))
+    return tree.leaves(marked).select("id", "parent_id", "name")
+
+
+@query(
+    "tree_edges",
+    """
+    SELECT 'R' || r_regionkey AS id, CAST(NULL AS VARCHAR) AS parent_id, r_name AS name, false AS is_leaf FROM region
+    UNION ALL SELECT 'N' || n_nationkey, 'R' || n_regionkey, n_name, n_nationkey % 2 = 0 FROM nation""",
+)
+def _(spark, sf):
+    nation = views.table(spark, sf, "nation")
+    child = F.struct(
+        F.concat(F.lit("N"), "n_nationkey").alias("id"), F.col("n_name").alias("name"), (F.col("n_nationkey") % 2 == 0).alias("is_leaf")
+    )
+    children = nation.groupBy("n_regionkey").agg(F.collect_list(child).alias("children"))
+    region = views.table(spark, sf, "region").join(children, F.col("r_regionkey") == F.col("n_regionkey"), "left")
+    whole = F.struct(F.concat(F.lit("R"), "r_regionkey").alias("id"), F.col("r_name").alias("name"), "children")
+    return tree.edges_of_nested(region.select(F.to_json(whole).alias("tree")), "tree", levels=3)
 
 
 @query(
@@ -157,12 +201,21 @@ def _(spark, sf):
     return history.as_of(daily, ["id"], ["crawl_date"], day("1998-06-30"), tie_break=[]).select(CHECKED)
 
 
-@query("rollback_state", f"SELECT {COLUMNS} FROM state_2000")
+@query(
+    "rollback_state",
+    f"""
+    SELECT {COLUMNS} FROM state_2000 WHERE id NOT IN (SELECT id FROM batch_2001 WHERE id % 3 = 0)
+    UNION ALL SELECT {COLUMNS.replace("price,", "price + 1,", 1)} FROM batch_2001 WHERE id % 3 = 0""",
+)
 def _(spark, sf):
-    state = StateTable(spark, scratch_path(spark, "rollback"), buckets=8)
-    first = state.overwrite(views.state_before(spark, sf))
-    state.merge(views.last_batch(spark, sf), snapshot_scope="category_id")
-    state.rollback(first)
+    state = StateTable(spark, scratch_path(spark, "rollback"))
+    times = [datetime(2024, 1, day) for day in (1, 2, 3, 4)]
+    state.append(views.state_before(spark, sf), "first", times[0])
+    batch = views.last_batch(spark, sf)
+    state.append(batch, "bad", times[1], snapshot=True)
+    state.rollback(times[0], times[2])
+    # a load after the rollback builds on what was rolled back to
+    state.append(batch.filter("id % 3 = 0").withColumn("price", F.col("price") + 1), "good", times[3])
     return state.read().select(CHECKED)
 
 

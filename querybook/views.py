@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,27 +23,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-@lru_cache(maxsize=64)
-def scan_tasks(spark: SparkSession, path: str) -> int:
-    return spark.read.parquet(path).rdd.getNumPartitions()
-
-
-def line_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items. A file with one row group is read by one task however many cores are idle, so
-    its rows are then spread; a table with a task per core, as any large one, stays as read."""
-    items = table(spark, sf, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    if scan_tasks(spark, f"{sf}/lineitem.parquet") < cores:
-        return items.repartition(cores, "l_orderkey", "l_partkey")
-    return items
-
-
 def load_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as loads of a product on a day: the columns that change from load to load."""
     price = F.floor("l_extendedprice").cast("bigint")
     original = F.floor(F.col("l_extendedprice") * (1 + F.col("l_tax"))).cast("bigint")
     known = F.col("l_orderkey") % 23 != 0
-    return line_items(spark, sf).select(
+    return table(spark, sf, "lineitem").select(
         F.col("l_partkey").alias("id"),
         price.alias("price"),
         F.when(known, original).alias("original_price"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakeops.guards import require_unique
 from lakeops.operators.changes import detect_changes, drop_stale
 from lakeops.operators.merge import delete_where, upsert, upsert_columns
+from lakeops.operators.tree import edges_of_nested, leaves, leaves_under
 from tests.conftest import rows
 
 SCHEMA = "id long, price long, original_price long, discount long, discount_rate int, category_id int, is_active boolean"
@@ -93,3 +94,40 @@ def test_duplicate_keys_can_be_an_error(spark, state):
     assert require_unique(state, ["id"]) is state
     with pytest.raises(ValueError, match="several rows"):
         require_unique(state.unionByName(state), ["id"])
+
+
+def test_duplicate_keys_of_a_batch(spark, state):
+    batch = frame(spark, (1, 50, None, None, None, 7, None), (1, 60, None, None, None, 7, None), (None, 1, None, None, None, 7, None))
+    merged = upsert(state, batch, order=["price"])
+    assert rows(merged.filter("id = 1"), "price") == [(60,)]
+    assert merged.filter("id is null").count() == state.filter("id is null").count() + 1
+    with pytest.raises(ValueError, match="several rows"):
+        upsert(state, batch, on_duplicate="error")
+    with pytest.raises(ValueError, match="unknown"):
+        upsert(state, batch, on_duplicate="first")
+
+
+def test_stale_rows(spark):
+    current = spark.createDataFrame([(1, 5), (2, 5)], "id int, at int")
+    batch = spark.createDataFrame([(1, 4), (2, 5), (2, None), (3, 1)], "id int, at int")
+    assert rows(drop_stale(batch, current, "at")) == [(2, None), (2, 5), (3, 1)]
+
+
+def test_leaves_stop_at_a_marked_node(spark):
+    edges = [("a", None, False), ("a1", "a", True), ("a2", "a", False), ("x", "a1", False), ("y", "x", True), ("b", None, None)]
+    frame = spark.createDataFrame([(i, p, i, leaf) for i, p, leaf in edges], "id string, parent_id string, name string, is_leaf boolean")
+    assert rows(leaves(frame), "id") == [("a1",), ("a2",), ("b",)]
+    deep = spark.createDataFrame([(str(i), str(i - 1) if i else None, "root" if not i else "n", i == 12) for i in range(13)], frame.schema)
+    assert rows(leaves_under(deep, ["root"])) == [("12", "n", "root")]
+    ring = spark.createDataFrame([("r", None, "r", False), ("p", "r", "p", False), ("q", "p", "q", False), ("p", "q", "p", False)], frame.schema)
+    with pytest.raises(ValueError, match="cycle"):
+        leaves_under(ring, ["r"])
+
+
+def test_edges_of_a_nested_tree(spark):
+    text = '{"id": 1, "name": "a", "children": [{"id": 2, "name": "b", "is_leaf": true}, {"id": 3, "name": "c", "children": []}]}'
+    trees = spark.createDataFrame([(text,), (None,)], "value string")
+    expected = [("1", None, "a", False), ("2", "1", "b", True), ("3", "1", "c", False)]
+    assert rows(edges_of_nested(trees, "value", 2)) == rows(edges_of_nested(trees, "value", 5)) == expected
+    with pytest.raises(Exception, match="more than 1 levels"):
+        edges_of_nested(trees, "value", 1).collect()

@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeops.operators.history import change_log
 from lakeops.plans import gold
@@ -14,7 +15,7 @@ from lakeops.plans.batch import run_all, run_batch, run_gold
 from lakeops.plans.lake import Lake
 from lakeops.plans.recovery import recover
 from lakeops.sinks import files, tables
-from lakeops.sinks.state import StateConflict, StateTable
+from lakeops.sinks.state import StateTable
 from lakeops.sources import catalog
 from lakeops.sources import files as sources
 from lakeops.sources.messages import decode, drain, file_messages, kafka_options
@@ -153,57 +154,46 @@ def test_create_replace_append_describe_drop(spark, tmp_path):
 STATE = "id long, price long, category_id int, is_active boolean"
 
 
-def test_state_versions(spark, tmp_path):
-    state = StateTable(spark, str(tmp_path / "state"), buckets=4)
-    assert state.head() is None
-    with pytest.raises(ValueError, match="no committed version"):
-        state.read()
+def times(n):
+    return [datetime(2024, 1, 1 + i) for i in range(n)]
+
+
+def test_state_over_runs(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path / "state"), StructType.fromDDL(STATE))
+    assert state.is_empty() and state.read().count() == 0
 
     def batch(*data):
         return spark.createDataFrame(list(data), STATE)
 
-    assert state.merge(batch((1, 1, 1, True), (2, 2, 1, True), (3, 3, 2, True)), tag="a") == 1
-    assert state.merge(batch((2, 20, 1, True), (4, 4, 1, True)), tag="b") == 2
-    assert state.merge(batch((2, 99, 1, True)), tag="b") == 2  # already applied
+    first, second, third, fourth, fifth = times(5)
+    state.append(batch((1, 1, 1, True), (2, 2, 1, True), (3, 3, 2, True)), "a", first)
+    state.append(batch((2, 99, 1, True), (5, 5, 1, True)), "b", second)
+    state.append(batch((2, 20, 1, True), (4, 4, 1, True)), "b", second)  # the run is repeated
     assert rows(state.read(), "id", "price") == [(1, 1), (2, 20), (3, 3), (4, 4)]
-    assert rows(state.read(1), "id", "price") == [(1, 1), (2, 2), (3, 3)]
-    touched = set(state.touched(batch((2, 0, 0, True), (4, 0, 0, True))))
-    assert {b for b, folder in state.head().buckets.items() if folder.startswith("000000002-")} == touched
+    assert rows(state.read(first), "id", "price") == [(1, 1), (2, 2), (3, 3)]
+    assert rows(state.read(without="b"), "id", "price") == [(1, 1), (2, 2), (3, 3)]
+    assert rows(state.read(keys=batch((2, 0, 0, True), (9, 0, 0, True))), "id", "price") == [(2, 20)]
 
-    assert state.merge(batch((1, 1, 1, True)), tag="c", snapshot_scope="category_id") == 3
+    state.append(batch((1, 1, 1, True)), "c", third, snapshot=True)
     assert rows(state.read(), "id", "is_active") == [(1, True), (2, False), (3, True), (4, False)]
-    assert state.rollback(1) == 4
+    state.renew_base(third)
+    assert rows(state.read(), "id", "is_active") == [(1, True), (2, False), (3, True), (4, False)]
+    state.rollback(first, fourth)
     assert rows(state.read(), "id", "price") == [(1, 1), (2, 2), (3, 3)]
-    assert rows(state.log(), "version", "operation") == [(1, "create"), (2, "merge"), (3, "merge"), (4, "rollback")]
-    with pytest.raises(ValueError, match="does not exist"):
-        state.rollback(9)
-
-    unused = state.expire(retain_last=1)
-    assert unused and all("/000000001-" not in folder for folder in unused)
-    assert state.expire(retain_last=1, really=True) == unused
-    assert rows(state.read(), "id") == [(1,), (2,), (3,)]
-    assert rows(state.log(), "version") == [(4,)]
-    assert state.merge(batch((9, 9, 9, True))) == 5
+    assert rows(state.read(third), "id", "is_active") == [(1, True), (2, False), (3, True), (4, False)]
+    assert rows(state.log(), "run", "row_count") == [("a", 3), ("b", 2), ("c", 1)]
+    with pytest.raises(ValueError, match="no state"):
+        state.rollback(datetime(2000, 1, 1))
+    state.append(batch((9, 9, 9, True)), "d", fifth)
     assert rows(state.read(), "id") == [(1,), (2,), (3,), (9,)]
 
 
-def test_a_writer_that_was_overtaken_is_told(spark, tmp_path):
-    state = StateTable(spark, str(tmp_path / "state"))
-    first = spark.createDataFrame([(1, 1, 1, True)], STATE)
-    state.merge(first)
-    base = state.head()
-    state.merge(spark.createDataFrame([(2, 2, 1, True)], STATE))
-    late = spark.createDataFrame([(3, 3, 1, True)], STATE)
-    with pytest.raises(StateConflict):
-        state.merge_onto(base, late, "late", [0])
-    assert rows(state.read(), "id") == [(1,), (2,)]
-    state.merge(late, "late")
-    assert rows(state.read(), "id") == [(1,), (2,), (3,)]
-    left_over = [folder for folder in state.expire(retain_last=9) if "bucket=" not in folder]
-    assert len(left_over) == 1  # what the overtaken writer had written
-    state.expire(retain_last=9, really=True)
-    assert state.expire(retain_last=9) == []
-    assert rows(state.read(2), "id") == [(1,), (2,)]
+def test_two_loads_at_a_time_lose_nothing(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path / "state"), StructType.fromDDL(STATE))
+    at = datetime(2024, 1, 1)
+    for key, run in ((1, "x"), (2, "y")):
+        state.append(spark.createDataFrame([(key, key, 1, True), (7, key, 1, True)], STATE), run, at)
+    assert rows(state.read(), "id", "price") == [(1, 1), (2, 2), (7, 2)]  # of equal times the later name
 
 
 def product(key, price, category=1, **extra):
@@ -222,7 +212,7 @@ def write_day(folder, day, *records):
 
 
 def test_batch_job_end_to_end(spark, tmp_path):
-    lake = Lake(str(tmp_path / "lake"), buckets=2)
+    lake = Lake(str(tmp_path / "lake"))
     paths = [
         write_day(tmp_path, "2024-01-01", product(1, 50), product(2, 60), product(3, 70, 2), product(1, 50)),
         write_day(tmp_path, "2024-01-02", product(1, 50), product(2, 55), product(None, 1)),
@@ -241,9 +231,9 @@ def test_batch_job_end_to_end(spark, tmp_path):
     for name, df in made.items():
         assert rows(spark.table(f"gold_{name}")) == rows(df)
 
-    target = Lake(str(tmp_path / "recovered"), buckets=2)
+    target = Lake(str(tmp_path / "recovered"))
     plan = recover(spark, lake, target, dry_run=True)
-    assert plan.count() == 4 and target.state(spark).head() is None
+    assert plan.count() == 4 and target.state(spark).is_empty()
     recover(spark, lake, target)
     assert rows(target.read_history(spark).drop("run")) == rows(lake.read_history(spark).drop("run"))
     assert rows(target.state(spark).read()) == rows(state)
@@ -267,7 +257,7 @@ def test_batch_runs_can_be_repeated(spark, tmp_path):
     first = write_day(tmp_path, "2024-01-01", product(1, 50))
     run_batch(spark, first, lake, run="one", loaded_at=datetime(2024, 1, 1))
     run_batch(spark, first, lake, run="one", loaded_at=datetime(2024, 1, 1))
-    assert lake.state(spark).head().version == 1
+    assert rows(lake.state(spark).log(), "run") == [("one",)]
     write_day(tmp_path, "2024-01-01", product(1, 45))
     run_batch(spark, first, lake, run="two", loaded_at=datetime(2024, 1, 1, 4))
     assert rows(lake.read_history(spark), "price", "run") == [(45, "two"), (50, "one")]

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import json
 import random
+from datetime import datetime
 
 import pytest
 
 from lakeops.plans.lake import Lake
 from lakeops.schema import event_schema
-from lakeops.sinks import files
 from lakeops.sources.messages import decode, file_messages
 from lakeops.streaming.micro_batch import medallion_handler
 from lakeops.streaming.run import start
@@ -59,7 +59,7 @@ def expected(events, splits):
 
 @pytest.mark.parametrize("splits", [1, 3])
 def test_stream_equals_batch_by_batch_loop(spark, tmp_path, splits):
-    events, lake = make_events(), Lake(str(tmp_path / "lake"), buckets=3)
+    events, lake = make_events(), Lake(str(tmp_path / "lake"))
     size = len(events) // splits
     for n in range(splits):
         send(spark, f"{tmp_path}/in", events[n * size : (n + 1) * size], extra=["{broken"] if n == 0 else [])
@@ -78,7 +78,7 @@ def test_failed_epoch_is_repeated_without_duplicates(spark, tmp_path):
     lakes = {}
     for label, failing in (("plain", False), ("failing", True)):
         root = tmp_path / label
-        lakes[label] = lake = Lake(str(root / "lake"), buckets=3)
+        lakes[label] = lake = Lake(str(root / "lake"))
         for n in range(2):
             send(spark, f"{root}/in", events[n * 60 : n * 60 + 60])
             if failing and n == 1:
@@ -87,8 +87,8 @@ def test_failed_epoch_is_repeated_without_duplicates(spark, tmp_path):
                     raise RuntimeError("lost after the writes")
 
                 with pytest.raises(Exception, match="lost after the writes"):
-                    run(spark, root, lake, before_commit=fail)
-                assert lake.state(spark).head().version == 1
+                    run(spark, root, lake, before_last=fail)
+                assert lake.state(spark).log().count() == 1
             run(spark, root, lake)
     plain, failing = lakes["plain"], lakes["failing"]
     columns = ["id", "price", "discount_rate", "is_active"]
@@ -98,16 +98,33 @@ def test_failed_epoch_is_repeated_without_duplicates(spark, tmp_path):
     assert spark.read.parquet(failing.speed).count() == len(events)
 
 
-def test_committed_epoch_is_skipped(spark, tmp_path):
+def test_repeated_epoch_changes_nothing(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"))
     handler = medallion_handler(lake, **ORDER)
     message = spark.createDataFrame([("1", json.dumps(make_events(1)[0]))], "key string, value string")
     full = decode(message, event_schema({"event_id": "long"}), error="_error")
     handler(full, 0)
     handler(full, 0)
-    assert lake.state(spark).head().version == 1
     handler(full.limit(0), 1)
-    assert lake.state(spark).head().version == 1
+    assert lake.state(spark).log().count() == 1
+    assert lake.state(spark).read().count() == lake.read_history(spark).count() == 1
+
+
+def test_an_order_is_asked_for(tmp_path):
+    with pytest.raises(ValueError, match="order"):
+        medallion_handler(Lake(str(tmp_path)), order=[])
+
+
+def test_falling_prices_by_message_time(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    sent = [(n, {"id": 1, "price": price, "quantity_sold": {"value": n}}) for n, price in enumerate([100, 70, 50])]
+    messages = spark.createDataFrame(
+        [("1", json.dumps(e), 0, n, datetime(2024, 1, 1, 0, 0, n // 2)) for n, e in sent],
+        "key string, value string, partition int, offset long, timestamp timestamp",
+    )
+    medallion_handler(lake, ["_timestamp", "_offset"])(decode(messages), 0)
+    assert rows(lake.state(spark).read(), "price", "quantity_sold") == [(50, 2)]
+    assert "_offset" not in lake.state(spark).read().columns
 
 
 def decoded(spark, *events):
@@ -115,42 +132,21 @@ def decoded(spark, *events):
     return decode(messages, event_schema({"event_id": "long"}), error="_error")
 
 
-def test_tidying_joins_epochs_and_expires_versions(spark, tmp_path):
-    plain, tidied = Lake(str(tmp_path / "plain")), Lake(str(tmp_path / "tidied"))
-    events = [{**e, "crawl_date": f"2024-01-0{1 + n // 4}"} for n, e in enumerate(make_events(10))]
-    for lake, options in ((plain, {}), (tidied, {"tidy_every": 2, "keep_versions": 1})):
-        handler = medallion_handler(lake, **ORDER, **options)
+def test_a_renewed_base_changes_nothing(spark, tmp_path):
+    plain, renewed = Lake(str(tmp_path / "plain")), Lake(str(tmp_path / "renewed"))
+    events = make_events(10)
+    for lake in (plain, renewed):
+        handler = medallion_handler(lake, **ORDER)
         for epoch in range(5):
             handler(decoded(spark, *events[2 * epoch : 2 * epoch + 2]), epoch)
-    for path in ("bronze", "history", "speed"):
-        one, other = (spark.read.parquet(getattr(lake, path)) for lake in (plain, tidied))
-        assert rows(one, "id", "price") == rows(other, "id", "price")
-    runs = {r[0] for r in rows(spark.read.parquet(tidied.speed), "run")}
-    assert runs == {"stream-upto-000000003", "stream-000000004"}
-    assert rows(tidied.state(spark).log(), "version") == [(4,), (5,)]
-    assert rows(tidied.state(spark).read(), "id", "price") == rows(plain.state(spark).read(), "id", "price")
-
-
-def test_a_fold_that_was_cut_off_is_finished(spark, tmp_path):
-    path = str(tmp_path / "log")
-
-    def put(run, *values):
-        files.append_run(spark.createDataFrame([(v,) for v in values], "v int"), path, run)
-
-    put("s-000000000", 1)
-    put("s-000000001", 2)
-    put("s-upto-000000001", 1, 2)  # the sources of this fold were not yet removed
-    put("s-000000002", 3)
-    put("batch", 9)
-    files.fold_epochs(spark, path, "run", "s")
-    stored = spark.read.parquet(path)
-    assert rows(stored, "v", "run") == [(1, "s-upto-000000002"), (2, "s-upto-000000002"), (3, "s-upto-000000002"), (9, "batch")]
-    files.fold_epochs(spark, path, "run", "s")
-    assert spark.read.parquet(path).count() == 4
+            if lake is renewed and epoch % 2:
+                lake.state(spark).renew_base(datetime.now())
+    assert rows(renewed.state(spark).read(), "id", "price") == rows(plain.state(spark).read(), "id", "price")
+    assert rows(renewed.read_history(spark), "id", "price", "run") == rows(plain.read_history(spark), "id", "price", "run")
 
 
 def test_an_epoch_of_broken_messages_only(spark, tmp_path):
-    lake = Lake(str(tmp_path / "lake"), buckets=2)
+    lake = Lake(str(tmp_path / "lake"))
     handler = medallion_handler(lake, **ORDER)
     broken = decode(spark.createDataFrame([("x", "{oops")], "key string, value string"), event_schema({"event_id": "long"}), error="_error")
     handler(broken, 0)
@@ -162,7 +158,7 @@ def test_an_epoch_of_broken_messages_only(spark, tmp_path):
 
 
 def test_older_events_do_not_overwrite_newer_state(spark, tmp_path):
-    lake = Lake(str(tmp_path / "lake"), buckets=2)
+    lake = Lake(str(tmp_path / "lake"), extra=(("event_id", "long"),))
     seen = []
     handler = medallion_handler(lake, order=["event_id"], newer_by="event_id", error="_error", speed_sinks=[lambda df: seen.append(df.count())])
     events = [{**e, "id": 1, "price": 100 + e["event_id"]} for e in make_events(6)]
