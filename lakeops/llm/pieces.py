@@ -21,7 +21,6 @@ an added one are replaced, and those that start with an underscore are left out.
 
 from __future__ import annotations
 
-import functools
 import re
 import struct
 from collections.abc import Iterator
@@ -44,6 +43,8 @@ SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
 class Pieces:
+    """The tables of a model, and what the texts so far have taught. It lives as long as a task."""
+
     def __init__(self, model: bytes):
         library = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.begin, self.end = library.bos_id(), library.eos_id()
@@ -75,10 +76,6 @@ class Pieces:
         self._inside = {a + b for name in self.ids for a, b in pairwise(name)}
         self._space_runs: dict[int, bytes] = {}
         self._one_space = self._pack([self.ids[SPACE]])
-        self.forget()
-
-    def forget(self) -> None:
-        """Drop the texts met so far."""
         self._runs: dict[str, bytes] = {}
         self._cache: dict[str, bytes] = {}
 
@@ -166,7 +163,7 @@ class Pieces:
         known = self._compatible.get(pair)
         if known is None:
             known = self._stays_apart(self.names[first], self.names[second])
-            if len(self._compatible) >= 2 * MOST_CACHED:
+            if len(self._compatible) >= MOST_CACHED:
                 self._compatible.clear()
             self._compatible[pair] = known
         return known
@@ -305,11 +302,6 @@ class Pieces:
         return "".join(out)
 
 
-@functools.lru_cache(2)
-def pieces(model: bytes) -> Pieces:
-    return Pieces(model)
-
-
 def read_model(path: str) -> bytes:
     """The model file, read by the driver and sent along with the tasks; refused beyond 64 MB."""
     with open(path, "rb") as file:
@@ -324,12 +316,9 @@ def encoded(text: Column, model: bytes) -> Column:
 
     @F.pandas_udf("binary")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = pieces(model)
-        try:
-            for texts in batches:
-                yield pd.Series([known.encode(t or "") for t in texts], dtype=object)
-        finally:
-            known.forget()
+        known = Pieces(model)
+        for texts in batches:
+            yield pd.Series([known.encode(t or "") for t in texts], dtype=object)
 
     return of(text)
 
@@ -339,7 +328,7 @@ def decoded(ids: Column, model: bytes) -> Column:
 
     @F.pandas_udf("string")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = pieces(model)
+        known = Pieces(model)
         for packed in batches:
             yield pd.Series([None if p is None else known.decode(np.frombuffer(p, "<u4")) for p in packed], dtype=object)
 
@@ -351,14 +340,11 @@ def encoded_and_decoded(text: Column, model: bytes) -> Column:
 
     @F.pandas_udf("ids binary, decoded string")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = pieces(model)
-        try:
-            for texts in batches:
-                ids = [known.encode(t or "") for t in texts]
-                back = [known.decode(np.frombuffer(p, "<u4")) for p in ids]
-                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(back, dtype=object)})
-        finally:
-            known.forget()
+        known = Pieces(model)
+        for texts in batches:
+            ids = [known.encode(t or "") for t in texts]
+            back = [known.decode(np.frombuffer(p, "<u4")) for p in ids]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(back, dtype=object)})
 
     return of(text)
 

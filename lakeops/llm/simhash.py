@@ -15,8 +15,7 @@ Components grow by alternating large-star and small-star rounds.
 Defined results: a NULL or empty text has fingerprint 0 and links like any other. A document
 without ``doc_id`` can link others, and has no say in the smallest id; a component without
 any id has a NULL id. Repeated rows stay, with the same result. An empty table gives an
-empty result. Columns of the input named like
-an added one are replaced, and those that start with an underscore are left out.
+empty result. Other columns are kept by ``one_per_class`` and not used elsewhere.
 """
 
 from __future__ import annotations
@@ -173,17 +172,19 @@ def one_per_class(
 ) -> DataFrame:
     """``docs`` with one document of each class: the one with the smallest id.
 
-    Documents without an id are all kept. Of rows that repeat an id, one that holds the
-    smallest text is kept.
+    Documents without an id are all kept. Of rows that repeat a kept id, the one with the
+    smallest text stays. The ids that go, few beside those that stay, are what the rows are
+    joined with: where Spark finds them small enough to send, no text is shuffled.
     """
-    found = near_duplicates(docs, shingle, radius, id_col, text_col)
-    kept = staged(found.filter(F.col(id_col) == F.col("component_id")).groupBy(id_col).count(), "simhash-kept")
-    once = docs.join(kept.filter("count = 1").select(id_col), id_col, "left_semi")
-    repeated = docs.join(kept.filter("count > 1").select(id_col), id_col, "left_semi")
+    found = near_duplicates(docs, shingle, radius, id_col, text_col).filter(F.col(id_col).isNotNull())
+    first = F.max((F.col(id_col) == F.col("component_id")).cast("int")).alias("first")
+    per_id = staged(found.groupBy(id_col).agg(F.count("*").alias("n"), first), "simhash-ids")
+    gone = staged(per_id.filter("first = 0 OR n > 1").select(id_col), "simhash-gone")
+    again = staged(per_id.filter("first = 1 AND n > 1").select(id_col), "simhash-again")
     rest = F.to_json(F.struct(*docs.columns))
     row = F.min_by(F.struct(*docs.columns), F.struct(text_col, rest)).alias("row")
-    repeated = repeated.groupBy(id_col).agg(row).select("row.*")
-    return once.unionByName(repeated).unionByName(docs.filter(F.col(id_col).isNull()))
+    repeated = docs.join(again, id_col, "left_semi").groupBy(id_col).agg(row).select("row.*")
+    return docs.join(gone, id_col, "left_anti").unionByName(repeated)
 
 
 @query("op5_simhash_components")
