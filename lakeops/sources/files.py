@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import StructType
 
 from lakeops.functions.dates import last_date_in_path, safe_date
 from lakeops.functions.listing import units_sold
@@ -34,15 +34,36 @@ def read_records(
 def read_json_arrays(spark: SparkSession, path: str | list[str], record: StructType) -> DataFrame:
     """Rows (file, position, record) of files that hold one JSON array each; ``file`` is the whole path.
 
-    Files whose root is something else give no rows. An array cannot be split, so a file
-    is parsed by one task; many files are parsed side by side.
+    Files whose root is something else give no rows, and neither do files that cannot be
+    read to their end; ``broken_json_arrays`` has the latter. Positions rise along a file.
+    An array cannot be split, so a file is parsed by one task, element by element; many
+    files are parsed side by side.
     """
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.col("value")
-    )
-    arrays = files.filter(F.col("value").rlike(r"^\s*\["))
-    parsed = F.from_json(F.col("value"), ArrayType(record))
-    return arrays.select("file", F.posexplode(parsed).alias("position", "record"))
+    parsed = _array_elements(spark, path, record)
+    return parsed.filter(~_lost(record)).select("file", "position", F.struct(*record.fieldNames()).alias("record"))
+
+
+def broken_json_arrays(spark: SparkSession, path: str | list[str], record: StructType) -> DataFrame:
+    """Rows (file, text) of array files that are cut off or otherwise no JSON: nothing of them is read."""
+    return _array_elements(spark, path, record).filter(_lost(record)).select("file", F.col("_bad").alias("text"))
+
+
+def _lost(record: StructType) -> Column:
+    """A field of the wrong type also marks its element, which keeps its other fields."""
+    return F.col("_bad").isNotNull() & F.coalesce(*(F.col(c).cast("string") for c in record.fieldNames())).isNull()
+
+
+def _array_elements(spark: SparkSession, path: str | list[str], record: StructType) -> DataFrame:
+    file = F.col("_metadata.file_path").alias("file")
+    # the text before the first bracket of a file tells what its root is
+    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place")
+    pieces = spark.read.option("lineSep", "[").text(path).select(file, "value", place)
+    arrays = pieces.groupBy("file").agg(F.min_by("value", "place").alias("before"))
+    arrays = arrays.filter(F.trim(F.translate("before", "\n\r\t", "   ")) == "").select("file")
+    schema = StructType(list(record.fields)).add("_bad", "string")
+    reader = spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", "_bad")
+    elements = reader.json(path).select("*", file, F.monotonically_increasing_id().alias("position"))
+    return elements.join(arrays, "file", "left_semi")
 
 
 def read_backfill(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from lakeops.guards import require_date, require_rows, require_table, require_un
 from lakeops.plans import gold, reports
 from lakeops.plans.batch import run_all, run_batch, run_gold
 from lakeops.plans.lake import Lake
+from lakeops.schema import product_schema
 from lakeops.session import scratch_path
 from lakeops.sinks import files, tables
 from lakeops.sources import catalog
@@ -36,7 +37,7 @@ def _(spark, sf):
     return rows.select("id", "name", "price", "brand_name", "discount_rate", F.col("_bad").isNull().alias("good"))
 
 
-def write_arrays(rows, by: str, path: str) -> None:
+def write_arrays(rows, by: str, path: str, shape: str | None = None) -> None:
     """One file with one JSON array per value of (``by``, part): test input of the array sources.
 
     A part holds 500 ids, so an array stays small however many rows there are.
@@ -46,8 +47,7 @@ def write_arrays(rows, by: str, path: str) -> None:
     )
     records = F.transform("records", lambda r: r["record"])
     body = F.concat(F.lit("["), F.array_join(records, ",\n"), F.lit("]\n"))
-    one = F.when(F.col("part") % 10 == 9, F.concat(F.lit('{"data":'), body, F.lit("}"))).otherwise(body)
-    texts = arrays.select(by, one.alias("value"))
+    texts = arrays.select(by, F.coalesce(F.expr(shape), body).alias("value") if shape else body.alias("value"))
     texts.write.option("maxRecordsPerFile", 1).partitionBy(by).text(path)
 
 
@@ -56,20 +56,42 @@ def write_arrays(rows, by: str, path: str) -> None:
     """
     SELECT id, name, price,
            CASE WHEN id % 4 = 0 THEN DATE '2023-12-31' ELSE DATE '2024-01-01' + CAST(id % 3 AS INT) END AS crawl_date
-    FROM listing WHERE (id // 500) % 10 <> 9""",
+    FROM listing""",
 )
 def _(spark, sf):
     path = scratch_path(spark, "backfill")
+    write_arrays(dated_records(spark, sf), "file", path)
+    return sources.read_backfill(spark, f"{path}/*").select("id", "name", "price", "crawl_date")
+
+
+@query(
+    "backfill_other_roots",
+    """
+    SELECT id, CASE WHEN id % 3 = 2 THEN 'broken' ELSE 'read' END AS outcome FROM listing WHERE id % 3 <> 1 AND id % 3 <> 2
+    UNION ALL SELECT NULL, 'broken' FROM (SELECT DISTINCT id // 500 FROM listing WHERE id % 3 = 2)""",
+)
+def _(spark, sf):
+    # a third of the files have an object as their root, and a third end too early
+    path = scratch_path(spark, "backfill-roots")
+    shape = """
+        CASE WHEN file LIKE '%02' THEN concat('{"data":[', array_join(transform(records, r -> r.record), ','), ']}')
+             WHEN file LIKE '%03' THEN concat('[', array_join(transform(records, r -> r.record), ','), ',{"id":') END"""
+    write_arrays(dated_records(spark, sf), "file", path, shape)
+    read = sources.read_backfill(spark, f"{path}/*").select("id", F.lit("read").alias("outcome"))
+    broken = sources.broken_json_arrays(spark, f"{path}/*", product_schema({"crawl_date": "string"}))
+    return read.unionByName(broken.select(F.lit(None).cast("long").alias("id"), F.lit("broken").alias("outcome")))
+
+
+def dated_records(spark, sf):
+    """Parts as records of three dated files; some carry a date of their own."""
     own = F.when(F.col("id") % 4 == 0, "2023-12-31").when(F.col("id") % 4 == 1, "soon")
     record = F.to_json(F.struct("id", "name", "price", own.alias("crawl_date")))
-    rows = views.listing(spark, sf).select(
+    return views.listing(spark, sf).select(
         F.concat(F.lit("raw_2024-01-0"), F.col("id") % 3 + 1).alias("file"),
         F.floor(F.col("id") / 500).alias("part"),
         F.col("id").alias("seq"),
         record.alias("record"),
     )
-    write_arrays(rows, "file", path)
-    return sources.read_backfill(spark, f"{path}/*").select("id", "name", "price", "crawl_date")
 
 
 @query(

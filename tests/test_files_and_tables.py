@@ -14,6 +14,7 @@ from lakeops.plans import gold
 from lakeops.plans.batch import run_all, run_batch, run_gold
 from lakeops.plans.lake import Lake
 from lakeops.plans.recovery import recover
+from lakeops.schema import product_schema
 from lakeops.sinks import files, tables
 from lakeops.sinks.state import StateTable
 from lakeops.sources import catalog
@@ -34,6 +35,9 @@ def test_backfill_skips_other_roots_and_undated_files(spark, tmp_path):
     (tmp_path / "x_2024-01-02.json").write_text('{"id": 3}')
     (tmp_path / "x.json").write_text('[{"id": 4}]')
     (tmp_path / "x_2024-01-03.json").write_text("[]")
+    (tmp_path / "x_2024-01-04.json").write_text('[{"id": 7}, {"id": 8}, {"id"')
+    broken = sources.broken_json_arrays(spark, str(tmp_path), product_schema())
+    assert rows(broken.selectExpr("regexp_extract(file, '[^/]*$', 0) f", "text")) == [("x_2024-01-04.json", '[{"id": 7}, {"id": 8}, {"id"')]
     found = sources.read_backfill(spark, str(tmp_path))
     assert rows(found, "id", "crawl_date") == [(1, date(2024, 1, 1)), (2, date(2023, 1, 1))]
 
