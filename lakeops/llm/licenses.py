@@ -15,9 +15,9 @@ of the fixed list of licence words leave the rows.
 
 Words are ``WORD`` runs of the text with A-Z in lower case. Defined results: a NULL text is
 empty; a text without words has no places and score 0. Repeated rows are scanned and counted
-each. An empty table gives an empty result. Equally rare words are taken in alphabetical
-order. Columns of the input named like
-an added one are replaced, and those that start with an underscore are left out.
+each. An empty table gives an empty result. Equally rare words are taken in alphabetical order.
+Columns of the input named like an added one are replaced, and those that start with an
+underscore are left out.
 """
 
 from __future__ import annotations

@@ -10,8 +10,9 @@ ever sorted, whatever share of the table a source holds.
 
 Defined results: a text that is NULL or has no word has size 0 and is taken 0 words. Rows
 without a source form one source, the last one. A NULL ``doc_id`` hashes like an empty text.
-Repeated rows count as documents of their own. An empty table gives an empty result. Columns of the input named like
-an added one are replaced, and those that start with an underscore are left out.
+Repeated rows count as documents of their own. An empty table gives an empty result. Columns of
+the input named like an added one are replaced, and those that start with an underscore are left
+out.
 """
 
 from __future__ import annotations

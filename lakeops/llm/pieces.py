@@ -13,10 +13,10 @@ The table needs a model whose merges are ordered by type: pieces of more than on
 with different scores, space symbols only at their start, no piece given by the user, byte
 pieces, and a normaliser that leaves texts as they are. Other models are refused.
 
-Defined results: a NULL text is empty; an empty text has the begin and end ids only and
-decodes to an empty text. Repeated rows are encoded each. An empty table gives an empty
-result. Columns of the input named like
-an added one are replaced, and those that start with an underscore are left out.
+Defined results: a NULL text is empty; an empty text has the begin and end ids only and decodes
+to an empty text. Repeated rows are encoded each. An empty table gives an empty result. Columns
+of the input named like an added one are replaced, and those that start with an underscore are
+left out.
 """
 
 from __future__ import annotations

@@ -7,11 +7,11 @@ some query names, a segment has the sorted list of its texts. A rule's query is
 intersecting and uniting postings, and only the candidates are read by the expression. A
 rule without a mandatory trigram reads all texts.
 
-Defined results: a NULL text is empty and has no spans. Spans are in code points, end
-exclusive, ordered by start and then by the order of the rules. Matches of one rule do not
-overlap; those of different rules may. Repeated rows are scanned each. An empty table gives
-an empty result. Columns of the input named like
-an added one are replaced, and those that start with an underscore are left out.
+Defined results: a NULL text is empty and has no spans. Spans are in code points, end exclusive,
+ordered by start and then by the order of the rules. Matches of one rule do not overlap; those
+of different rules may. Repeated rows are scanned each. An empty table gives an empty result.
+Columns of the input named like an added one are replaced, and those that start with an
+underscore are left out.
 """
 
 from __future__ import annotations

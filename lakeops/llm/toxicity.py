@@ -17,11 +17,11 @@ A sentence's vector is a sum over its words, so a word adds one number to the de
 tasks keep the numbers of the words met so far, up to a bound. The machine is fitted on a
 bounded sample of labelled rows (``max_rows``), chosen by a hash of the id.
 
-Defined results: a NULL text is empty; an empty text scores as a sentence without words.
-Without rows of both labels to learn from, every score is the share of toxic ones (0 without
-any). Rows with a NULL label are never learnt from. Repeated rows are scored each. An empty
-table gives an empty result. Columns of the input named like
-an added one are replaced, and those that start with an underscore are left out.
+Defined results: a NULL text is empty; an empty text scores as a sentence without words. Without
+rows of both labels to learn from, every score is the share of toxic ones (0 without any). Rows
+with a NULL label are never learnt from. Repeated rows are scored each. An empty table gives an
+empty result. Columns of the input named like an added one are replaced, and those that start
+with an underscore are left out.
 """
 
 from __future__ import annotations
@@ -34,9 +34,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.llm.langid import held_out
 from lakeops.llm.registry import cleared, query, table
 
 MAX_ROWS = 3000
@@ -416,11 +417,6 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return docs.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def held_out(id_col: str = "doc_id") -> Column:
-    """Every fifth document by a checksum of its id; a NULL id is learnt from."""
-    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
-
-
 @query("op8_toxicity")
 def op8_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out())

@@ -11,9 +11,9 @@ are kept by hash, in a fixed number of cells.
 
 Defined results: a URL that is NULL or has no ``://`` has an empty host and path; it has no
 tokens, and the classifier answers by the shares of its two classes. A tie, and any URL while
-there is nothing to learn from, is allowed. A NULL page text counts no words. Repeated rows
-are judged, and learnt from, each. An empty table gives an empty result. Columns of the input named like
-an added one are replaced, and those that start with an underscore are left out.
+there is nothing to learn from, is allowed. A NULL page text counts no words. Repeated rows are
+judged, and learnt from, each. An empty table gives an empty result. Columns of the input named
+like an added one are replaced, and those that start with an underscore are left out.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from lakeops.llm import toxicity
-from lakeops.llm.toxicity import DECAY, FLOOR, POWER, REACH, Landmarks, Words, fit, learn, op8_toxicity, score, sentences, sign_of, tokens
+from lakeops.llm.toxicity import DECAY, FLOOR, REACH, Landmarks, Words, fit, learn, op8_toxicity, score, sentences, sign_of, tokens
 
 DOCS = "doc_id long, text string, toxic int"
 SF = "/root/testdata/sf0.1"
