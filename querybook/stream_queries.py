@@ -132,7 +132,8 @@ def recovered_lake(spark, sf, label: str, skip_gold: bool = False) -> tuple[Lake
     root = scratch_path(spark, label)
     live, recovered = Lake(f"{root}/live"), Lake(f"{root}/recovered")
     handler = medallion_handler(live, order=["event_id"], event_only=["event_id", "epoch"], default_active=True)
-    events = views.stream_events(spark, sf).withColumns(dict.fromkeys(("sku", "url_key", "brand_name", "thumbnail_url", "category_name"), F.lit(None).cast("string")))
+    missing = ("sku", "url_key", "brand_name", "thumbnail_url", "category_name")
+    events = views.stream_events(spark, sf).withColumns(dict.fromkeys(missing, F.lit(None).cast("string")))
     events = events.withColumns({"rating_average": F.lit(4.0), "review_count": F.lit(20)})
     for epoch, day in enumerate(("2024-03-01", "2024-03-02", "2024-03-03")):
         part = events.filter(F.col("epoch") == epoch).withColumn("crawl_date", F.lit(day))
