@@ -54,7 +54,8 @@ def full_join(pick: str) -> str:
 
 @query("merge_upsert", full_join("CASE WHEN s.id IS NULL THEN t.# ELSE s.# END"))
 def _(spark, sf):
-    return upsert(views.state_before(spark, sf), views.last_batch(spark, sf)).select(CHECKED)
+    # a snapshot has one row per product
+    return upsert(views.state_before(spark, sf), views.last_batch(spark, sf), on_duplicate="unique").select(CHECKED)
 
 
 @query(
@@ -89,7 +90,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     state, batch = views.state_before(spark, sf), views.last_batch(spark, sf)
-    return upsert(state, batch, snapshot_scope="category_id").select(CHECKED)
+    return upsert(state, batch, snapshot_scope="category_id", on_duplicate="unique").select(CHECKED)
 
 
 PARTIAL = ["price", "discount_rate", "rating_average", "review_count", "quantity_sold"]
