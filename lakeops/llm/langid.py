@@ -35,7 +35,9 @@ from lakeops.llm.registry import cleared, query, table
 
 UNDETERMINED = "und"
 N_FEATURES = 1 << 12
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+#: rows whose features are held at a time
+ROWS_AT_ONCE = 64
 MAX_ROWS = 2400
 EXHAUSTIVE = 7
 #: a lead in loss below this is ambiguous
@@ -78,7 +80,7 @@ def ngram_counts(text: str) -> np.ndarray | None:
 def features(text: str | None) -> np.ndarray | None:
     """Square roots of the n-gram shares: a vector of length 1."""
     counts = ngram_counts(text or "")
-    return None if counts is None else np.sqrt(counts / counts.sum())
+    return None if counts is None else np.sqrt(counts / counts.sum()).astype(np.float32)
 
 
 def codewords(n_languages: int, seed: int = 11) -> np.ndarray:
@@ -156,7 +158,7 @@ def feature_bytes(text: Column) -> Column:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             found = (features(t) for t in texts)
-            yield pd.Series([None if x is None else x.astype(np.float32).tobytes() for x in found], dtype=object)
+            yield pd.Series([None if x is None else x.tobytes() for x in found], dtype=object)
 
     return of(text)
 
@@ -200,8 +202,8 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             out: list[tuple[str, float, bool]] = []
-            for start in range(0, len(texts), 512):
-                found = [features(t) for t in texts.iloc[start : start + 512]]
+            for start in range(0, len(texts), ROWS_AT_ONCE):
+                found = [features(t) for t in texts.iloc[start : start + ROWS_AT_ONCE]]
                 known = [x for x in found if x is not None]
                 answers = iter(zip(*model.decode(np.stack(known)), strict=True)) if known else iter(())
                 for x in found:
