@@ -19,7 +19,7 @@ bounded sample of labelled rows (``max_rows``), chosen by a hash of the id.
 
 Defined results: a NULL text is empty; an empty text scores as a sentence without words. Without
 rows of both labels to learn from, every score is the share of toxic ones (0 without any). Rows
-with a NULL label are never learnt from. Repeated rows are scored each. An empty table gives an
+with a NULL label, or without an id, are never learnt from. Repeated rows are scored each. An empty table gives an
 empty result. Columns of the input named like an added one are replaced, and those that start
 with an underscore are left out.
 """
@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.langid import held_out
 from lakeops.llm.registry import cleared, query, table
+from lakeops.llm.secrets import segments
 
 MAX_ROWS = 3000
 LANDMARKS = 128
@@ -50,10 +51,11 @@ POWER = 2
 APART = 0.7
 MOST_CACHED = 1 << 18
 LONGEST_WORD = 64
+BLOCK_CHARS = 1 << 20
 SIGNS = 64
 N_TRIPLES = SIGNS**3
 #: words whose triples are held at a time
-STRIP = 4096
+STRIP, FEW = 4096, 128
 STEPS = [(a, b) for a in range(1, REACH + 1) for b in range(1, REACH + 1)]
 
 
@@ -105,9 +107,12 @@ class Landmarks:
         self.row_of[known] = np.arange(len(known))
         self.rows = np.zeros((len(known), len(words)), np.float32)
         self.rows[row, of] = weight / np.maximum(length[of], 1e-9)
+        self.most = self.rows.max(axis=1, initial=0)
 
     def plain(self, words: list[str]) -> np.ndarray:
         """Cosine of each word and landmark."""
+        if len(words) > FEW:  # the rows of more words would not stay in the processor's cache
+            return np.concatenate([self.plain(words[i : i + FEW]) for i in range(0, len(words), FEW)])
         out = np.zeros((len(words), len(self.words)), np.float32)
         if not words:
             return out
@@ -123,9 +128,26 @@ class Landmarks:
         out[met] /= np.maximum(length, 1e-9)[:, None]
         return out
 
+    def may_reach(self, words: list[str]) -> np.ndarray:
+        """Whether a word's cosine with some landmark can be ``FLOOR`` or more.
+
+        No landmark has more of a triple than the most of any, and a word is at least as long
+        as the root of its squared weights before equal triples are added up.
+        """
+        of, triple, weight = triples(words)
+        row = self.row_of[triple]
+        met = row >= 0
+        most = np.bincount(of[met], weight[met] * self.most[row[met]], len(words))
+        return most >= FLOOR * np.sqrt(np.bincount(of, weight**2, len(words))) * (1 - 1e-6)
+
     def __call__(self, words: list[str]) -> np.ndarray:
-        strips = (self.plain(words[i : i + STRIP]) for i in range(0, len(words), STRIP))
-        return np.concatenate([np.where(s >= FLOOR, s, 0) ** POWER for s in strips] or [self.plain([])])
+        out = np.zeros((len(words), len(self.words)), np.float32)
+        for low in range(0, len(words), STRIP):
+            part = words[low : low + STRIP]
+            close = np.flatnonzero(self.may_reach(part))
+            alike = self.plain([part[i] for i in close])
+            out[low + close] = np.where(alike >= FLOOR, alike, 0) ** POWER
+        return out
 
 
 def tokens(text: str) -> list[str]:
@@ -144,11 +166,11 @@ class Words:
         self.number: dict[str, int] = {}
         self.values, self.ends, self.single = np.zeros(0), np.zeros(0, bool), np.zeros(0, bool)
 
-    def learn(self, words: list[str]) -> None:
-        new = list(set(words).difference(self.number))
+    def learn(self, words: set[str]) -> None:
+        new = sorted(words.difference(self.number))
         if len(self.number) + len(new) > MOST_CACHED and self.number:
             self.forget()
-            new = list(set(words))
+            new = sorted(words)
         if not new:
             return
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
@@ -207,12 +229,13 @@ class Model:
         if self._words is None:
             kernel = Landmarks(self.landmarks) if self.landmarks else None
             self._words = Words(lambda words: kernel(words) @ self.weights if kernel else np.zeros(len(words)))
-        out = np.empty(len(texts))
-        for i, text in enumerate(texts):
-            words = tokens(text)
-            self._words.learn(words)
-            out[i] = self._words.sentences(words).max() + self.bias
-        return out
+        out = []
+        # new words are compared with the landmarks once for a block of texts
+        for block in segments(texts, BLOCK_CHARS):
+            said = [tokens(t) for t in block]
+            self._words.learn(set().union(*said))
+            out += [self._words.sentences(words).max() + self.bias for words in said]
+        return np.array(out)
 
     def scores(self, texts: list[str]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.decisions(texts) + self.shift, -500, 500)))
@@ -386,19 +409,27 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, rounds: int = 6) -> M
     return model
 
 
-def learn(labelled: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int = MAX_ROWS) -> Model:
-    """A model from at most about ``max_rows`` rows, half of each label or all there are."""
-    labelled = labelled.filter(F.col(label_col).isin(0, 1))
-    sizes = {r[label_col]: r["count"] for r in labelled.groupBy(label_col).count().collect()}
+def learn(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int = MAX_ROWS
+) -> Model:
+    """A model from at most about ``max_rows`` labelled rows, half of each label or all there are.
+
+    The rows are chosen by their ids alone. The chosen ids are few by their bound and are sent
+    to the texts, so that no text is shuffled.
+    """
+    labels = labels.filter(F.col(label_col).isin(0, 1)).select(id_col, F.col(label_col).alias("label"))
+    known = docs.select(id_col).join(labels, id_col)
+    sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
     if len(sizes) < 2:
         return Model([], np.zeros(0), 0.0, 0.0, 50.0 if share else -50.0)
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30))
     part = {label: int(min(1.0, max_rows / 2 / n) * (1 << 30)) for label, n in sizes.items()}
-    chosen = labelled.filter(draw < F.when(F.col(label_col) == 1, part[1]).otherwise(part[0]))
-    # the limit only guards against ids that repeat
-    rows = chosen.select(id_col, F.coalesce(text_col, F.lit("")).alias("text"), F.col(label_col).alias("label"))
-    rows = sorted(map(tuple, rows.limit(2 * max_rows).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
+    chosen = known.filter(draw < F.when(F.col("label") == 1, part[1]).otherwise(part[0]))
+    # the limits only guard against ids that repeat
+    chosen = chosen.groupBy(id_col).agg(F.max("label").alias("label")).limit(2 * max_rows)
+    rows = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("text")).join(F.broadcast(chosen), id_col)
+    rows = sorted(map(tuple, rows.limit(2 * max_rows).collect()))
     toxic = np.array([r[2] == 1 for r in rows], bool)
     if not toxic.any() or toxic.all():
         return Model([], np.zeros(0), 0.0, 0.0, float(np.log(share / (1 - share))))
@@ -421,5 +452,5 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 def op8_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out())
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    known = docs.filter(~F.col("held_out")).join(labels, "doc_id")
-    return score(docs, learn(known, "doc_id", "text", "toxic")).drop("text")
+    model = learn(docs.filter(~F.col("held_out")), labels, "doc_id", "text", "toxic")
+    return score(docs, model).drop("text")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from lakeops.llm import toxicity
-from lakeops.llm.toxicity import DECAY, FLOOR, REACH, Landmarks, Words, fit, learn, op8_toxicity, score, sentences, sign_of, tokens
+from lakeops.llm.toxicity import DECAY, FLOOR, POWER, REACH, Landmarks, Words, fit, learn, op8_toxicity, score, sentences, sign_of, tokens
 
 DOCS = "doc_id long, text string, toxic int"
 SF = "/root/testdata/sf0.1"
@@ -54,7 +54,7 @@ def test_sums_over_sentences_are_those_of_the_words():
     known = Words(lambda words: np.array([values.get(w, 0.0) for w in words]))
     for text in ("a b. c d!", "a", "b. b. a", "c\na"):
         words = tokens(text)
-        known.learn(words)
+        known.learn(set(words))
         expected = [sum(values.get(w, 0.0) for w in s) for s in sentences(text)]
         assert known.sentences(words).tolist() == pytest.approx([e for e in expected])
 
@@ -98,18 +98,18 @@ def test_small_caches_change_nothing(monkeypatch):
 def test_odd_rows(spark):
     rows = corpus(80, 4) + [(900, None, None), (901, "", 0), (902, "\n", 1), (None, "the idiot", 1), (3, corpus(80, 4)[3][1], 0), (903, "x" * 100_000, 0)]
     docs = spark.createDataFrame([(*r, "x") for r in rows], DOCS + ", score string")
-    model = learn(docs, "doc_id", "text", "toxic")
+    model = learn(docs, docs, "doc_id", "text", "toxic")
     got = score(docs, model).collect()
     assert len(got) == len(rows)
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
-    again = {r.doc_id: r.score for r in score(docs.repartition(5), learn(docs.repartition(3), "doc_id", "text", "toxic")).collect()}
+    again = {r.doc_id: r.score for r in score(docs.repartition(5), learn(docs.repartition(3), docs, "doc_id", "text", "toxic")).collect()}
     assert all(again[r.doc_id] == pytest.approx(r.score) for r in got)
 
 
 @pytest.mark.parametrize(("rows", "expected"), [([(1, "a", 0)], 0), ([(1, "a", 1)], 1), ([(1, "a", None)], 0), ([], None)])
 def test_without_both_labels(spark, rows, expected):
     docs = spark.createDataFrame(rows, DOCS)
-    got = score(docs, learn(docs, "doc_id", "text", "toxic")).collect()
+    got = score(docs, learn(docs, docs, "doc_id", "text", "toxic")).collect()
     assert [r.predicted for r in got] == ([] if expected is None else [expected])
 
 
@@ -123,3 +123,12 @@ def test_held_out_accuracy(spark):
     # in this table the insults of three languages are also ordinary words
     assert sum(r.predicted for r in toxic) / len(toxic) > 0.75
     assert sum(r.predicted for r in clean) / len(clean) < 0.02
+
+
+def test_screening_changes_nothing():
+    rows = corpus(200, 6)
+    words = sorted({w for r in rows for w in tokens(r[1])} | {"i.d.i.o.t", "idio", "oron", "aaaaaaa", "", "..."})
+    kernel = Landmarks([*INSULTS, "inre", "tion"])
+    plain = kernel.plain(words)
+    assert (kernel(words) == np.where(plain >= FLOOR, plain, 0) ** POWER).all()
+    assert kernel.may_reach(words).sum() < len(words)
