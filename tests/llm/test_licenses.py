@@ -88,3 +88,24 @@ def test_key_phrases_stand_in_their_template(template):
     for at, phrase in template.places():
         assert template.words[at : at + len(phrase)] == phrase
     assert sum(w not in COMMON for w in template.words) >= 2
+
+
+@pytest.mark.parametrize("template", TEMPLATES, ids=lambda t: t.keys[0])
+def test_key_phrases_hold_two_words_to_look_up(template):
+    assert sum(w not in COMMON for key in template.keys for w in key.split()) >= 2
+
+
+def test_templates_are_found_in_files_with_many_licence_words(spark):
+    apache, mit, isc = (next(t for t in TEMPLATES if t.label == label) for label in ("apache-2.0", "mit", "isc"))
+    every = " x ".join(t.text for t in TEMPLATES)
+    long_mit = max((t for t in TEMPLATES if t.label == "mit"), key=lambda t: len(t.words))
+    listed = [every, f"{long_mit.text} x {apache.text} x {isc.text}", f"{' '.join(looked_up())} x {mit.text}", f"{mit.text} x {every} x {mit.text}"]
+    # their words are among the most frequent ones
+    fill = [(100 + i, mit.text) for i in range(40)] + [(200 + i, apache.text) for i in range(20)]
+    docs = spark.createDataFrame([*enumerate(listed), *fill], DOCS)
+    got = {r.doc_id: (r.labels, r.score) for r in scan(docs).filter("doc_id < 100").collect()}
+    labels = ",".join(sorted({t.label for t in TEMPLATES}))
+    assert got[0] == (",".join(sorted({*labels.split(","), "gpl"})), 1.0)
+    assert got[1] == ("apache-2.0,isc,mit", 1.0)
+    assert got[2] == ("mit", 1.0)
+    assert got[3] == got[0]
