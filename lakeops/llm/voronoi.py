@@ -12,8 +12,9 @@ neither a hot cell nor a hot vector meets in one task; a chunk is solved with ex
 numbers, and the results of the chunks are merged.
 
 Defined results: vectors that are NULL, empty, or hold a NULL or a component that is not
-finite, or is beyond 2^20 before scaling (their score might not fit a long), take no part;
-neither do rows without an id and vectors of another length than the most frequent one.
+finite take no part; neither do rows without an id and vectors of another length than the most
+frequent one. Scores of any size are compared exactly; one among the best that does not fit a
+long, or a component that is not finite after scaling, is an error.
 Every row is a candidate of its own, also one that repeats another; rows with the query's id
 are not. Of rows that repeat a query's id the smallest vector asks. Ties go to the smaller
 id. An empty table gives an empty result. Other columns are not used.
@@ -22,10 +23,11 @@ id. An empty table gives an empty result. Other columns are not used.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import frexp
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,16 +36,20 @@ from lakeops.llm.vectors import asked, finite, matrix, numbered, ranked
 from lakeops.session import staged
 
 RESULT = "query_id long, rank int, vec_id long, score long"
-LARGEST = float(1 << 20)
+#: from here on, whole numbers of a double have no fraction, and their products may need exact sums
+WHOLE = 2.0**53
+#: squares above this are taken of smaller units
+LONGEST = 1e300
 #: relative room for rounding in distances
 ROOM = 1e-6
 
 
 class Pivots:
-    """Distances to the pivots in the space with one more component."""
+    """Distances to the pivots in the space with one more component, in units of ``unit``."""
 
-    def __init__(self, rows: np.ndarray, longest: float):
-        self.longest = longest
+    def __init__(self, rows: np.ndarray, longest: float, unit: float = 1.0):
+        self.longest, self.unit = longest, unit
+        rows = rows / unit
         self.at = np.column_stack([rows, self.lift(rows)])
         self.between = self._away(self.at)
 
@@ -55,10 +61,11 @@ class Pivots:
         return np.sqrt(np.maximum(0, squares))
 
     def of_rows(self, rows: np.ndarray) -> np.ndarray:
+        rows = rows / self.unit
         return self._away(np.column_stack([rows, self.lift(rows)]))
 
     def of_queries(self, queries: np.ndarray) -> np.ndarray:
-        return self._away(np.column_stack([queries, np.zeros(len(queries))]))
+        return self._away(np.column_stack([queries / self.unit, np.zeros(len(queries))]))
 
     @property
     def room(self) -> float:
@@ -129,7 +136,10 @@ def groups_of(pivots: Pivots, sizes: dict[int, int], most: int) -> list[tuple[li
 
 def best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> list[tuple]:
     """(query_id, vec_id, score) of each query's ``k`` best rows of one chunk."""
-    if np.abs(queries).max() * np.abs(rows).max() * rows.shape[1] < 2**53:
+    most = float(np.abs(queries).max()) * float(np.abs(rows).max()) * rows.shape[1]
+    if most >= 2.0**62:
+        return best_of_long(query_ids, queries, ids, rows, k)
+    if most < WHOLE:
         scores = queries @ rows.T
     else:
         scores = queries.astype(np.int64) @ rows.astype(np.int64).T
@@ -145,6 +155,43 @@ def best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.n
     return out
 
 
+def power_of_two(most: float) -> float:
+    """The power of two of which ``most`` is less than the double; 1 for 0."""
+    return 2.0 ** (frexp(most)[1] - 1) if most else 1.0
+
+
+def best_of_long(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> list[tuple]:
+    """``best`` for scores of any size: rows that rounding leaves possible are compared in Python's numbers."""
+    dim = rows.shape[1]
+    small = rows / power_of_two(float(np.abs(rows).max()))
+    units = np.array([power_of_two(float(m)) for m in np.abs(queries).max(axis=1)])
+    scores = (queries / units[:, None]) @ small.T
+    # more than rounding takes from a sum of products, and than products too small for a double
+    room = dim * dim * 2.0**-49 * np.abs(small).max(axis=1) + 1e-290
+    whole: dict[int, list[int]] = {}
+    out = []
+    for query_id, query, line in zip(query_ids.tolist(), queries.tolist(), scores, strict=True):
+        other = np.flatnonzero(ids != query_id)
+        if len(other) > k:
+            least = np.partition(line[other] - room[other], len(other) - k)[len(other) - k]
+            other = other[line[other] + room[other] >= least]
+        asked_for = [int(x) for x in query]
+        found = []
+        for i in other.tolist():
+            if i not in whole:
+                whole[i] = [int(x) for x in rows[i].tolist()]
+            found.append((-sum(a * b for a, b in zip(asked_for, whole[i], strict=True)), int(ids[i])))
+        out += [(query_id, vec_id, -score) for score, vec_id in sorted(found)[:k]]
+    return out
+
+
+def sortable(score: int) -> tuple[int, int, bytes]:
+    """(over, value, wide) in the order of the scores; a score that fits a long is the value, and over is 0."""
+    if -(1 << 63) <= score < 1 << 63:
+        return 0, score, b""
+    return (1 if score > 0 else -1), 0, (score + (1 << 2200)).to_bytes(280, "big")
+
+
 def top_k(
     vectors: DataFrame,
     k: int = 10,
@@ -157,20 +204,31 @@ def top_k(
     chunk_rows: int = 8192,
 ) -> DataFrame:
     """query_id, rank, vec_id and score (whole inner product) of each query's ``k`` best rows."""
-    vector = F.col(vector_col).cast("array<double>")
-    useful = finite(F.col(vector_col)) & F.forall(vector, lambda x: F.abs(x) <= LARGEST)
-    whole = F.transform(vector, lambda x: F.floor(x * scale).cast("double"))
+    def floored(x: Column) -> Column:
+        scaled = x * scale
+        small = F.when(F.abs(scaled) < WHOLE, F.floor(scaled).cast("double"))
+        too_large = F.raise_error("a component of a vector is not finite after scaling").cast("double")
+        return small.when(F.abs(scaled) < float("inf"), scaled).otherwise(too_large)
+
+    useful = finite(F.col(vector_col))
+    whole = F.transform(F.col(vector_col).cast("array<double>"), floored)
     spark = vectors.sparkSession
     rows = numbered(
         vectors.filter(useful).select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v")), "voronoi"
     )
     queries = staged(asked(rows, every), "voronoi-queries")
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    count = rows.agg(F.count("*").alias("n"), F.max(square).alias("longest")).first()
+    peak = F.max(F.array_max(F.transform("v", F.abs))).alias("peak")
+    count = rows.agg(F.count("*").alias("n"), F.max(square).alias("longest"), peak).first()
     if not count.n:
         return spark.createDataFrame([], RESULT)
+    longest, unit = float(count.longest), 1.0
+    if longest > LONGEST:
+        unit = power_of_two(count.peak)
+        in_units = F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / unit) * (x / unit))
+        longest = float(rows.agg(F.max(in_units)).first()[0])
     drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").select("v").limit(n_pivots).collect()
-    pivots = Pivots(np.unique(np.array([r.v for r in drawn]), axis=0), float(count.longest))
+    pivots = Pivots(np.unique(np.array([r.v for r in drawn]), axis=0), longest, unit)
 
     def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches_of(frames):
@@ -218,12 +276,16 @@ def top_k(
         found = []
         if len(a) and len(b):
             found = best(a.query_id.to_numpy(), matrix(a.q), b.id.to_numpy(), matrix(b.x), k)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+        found = [(query_id, vec_id, *sortable(score)) for query_id, vec_id, score in found]
+        return pd.DataFrame(found, columns=["query_id", "vec_id", "over", "value", "wide"])
 
     key = ("g", "part", "chunk")
     found = left.groupBy(*key).cogroup(right.groupBy(*key))
-    found = found.applyInPandas(solved, "query_id long, vec_id long, score long")
-    return ranked(found, k, F.desc("score"))
+    found = found.applyInPandas(solved, "query_id long, vec_id long, over int, value long, wide binary")
+    found = found.select("query_id", "vec_id", F.struct("over", "value", "wide").alias("score"))
+    unfit = F.raise_error("a score among the best does not fit a long").cast("long")
+    score = F.when(F.col("score.over") == 0, F.col("score.value")).otherwise(unfit)
+    return ranked(found, k, F.desc("score")).withColumn("score", score)
 
 
 TOP_K_SQL = """

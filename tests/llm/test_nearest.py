@@ -141,3 +141,34 @@ def test_groups_hold_all_cells():
     assert sorted(c for cells, _ in groups for c in cells) == sorted(sizes)
     for cells, parts in groups:
         assert sum(sizes[c] for c in cells) <= 10 * parts and (parts == 1 or len(cells) == 1)
+
+
+def exact(rows, every=10, k=5):
+    whole = [(i, [floor(Fraction(x) * 1024) for x in v]) for i, v in rows]
+    found = ranked(whole, every, k, lambda a, b: sum(x * y for x, y in zip(a, b, strict=True)), lambda s: -s)
+    return sorted((q, n, i, -s) for q, n, i, s in found)
+
+
+LONG = {
+    "beyond 2^20": [(i, [1.0 + i / 8, 0.5, -0.25]) for i in range(60)] + [(61 + i, [2.0**21 + i, 2.0**24, 0.0]) for i in range(9)],
+    "no fraction": [(i, [2.0**-10, i / 64]) for i in range(60)] + [(61, [2.0**44, 1.0]), (63, [2.0**44 + 2.0**-8, 1.0])],
+    "far below a long": [(i, [1.0 + i / 8, 0.5]) for i in range(60)] + [(1001 + 10 * i, [-(2.0**100) * (i + 1), 3.0]) for i in range(30)],
+    "squares beyond a double": [(i, [1.0 + i / 8, 0.5]) for i in range(60)] + [(1001 + 10 * i, [-(2.0**900), 3.0 + i]) for i in range(30)],
+    "sums past 2^63 on the way": [(i, [2.0**21 - i] * 32 + [i - 2.0**21] * 32) if i % 2 else (i, [1.0 * (i + 2**20)] * 64) for i in range(40)],
+}
+FITTING = [name for name in LONG if all(-(2**63) <= s < 2**63 for *_, s in exact(LONG[name]))]
+
+
+def test_cases_that_fit_a_long():
+    assert FITTING == list(LONG)[:4]
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_long_vectors_take_part(spark, name):
+    docs = spark.createDataFrame(LONG[name], "vec_id long, embedding array<double>")
+    found = top_k(docs, 5, 10, n_pivots=7, group_queries=4, chunk_rows=8)
+    if name in FITTING:
+        assert sorted(map(tuple, found.collect())) == exact(LONG[name])
+    else:
+        with pytest.raises(Exception, match="does not fit a long"):
+            found.collect()
