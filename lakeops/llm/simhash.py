@@ -147,12 +147,17 @@ def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     raise RuntimeError(f"no fixed point after {max_rounds} rounds")
 
 
+def with_roots(nodes: DataFrame, radius: int, small_bucket: int = 32) -> DataFrame:
+    """``nodes`` with different fingerprints ``fp``, and the smallest one of the component as ``root``."""
+    roots = components(links(nodes.select("fp"), radius, small_bucket))
+    rooted = nodes.join(roots.withColumnRenamed("a", "fp"), "fp", "left")
+    return rooted.withColumn("root", F.coalesce("b", "fp")).drop("b")
+
+
 def classes(marked: DataFrame, radius: int = 2, id_col: str = "doc_id", small_bucket: int = 32) -> DataFrame:
     """(fp, component_id) for every fingerprint ``fp`` of ``marked``."""
     nodes = checkpointed(marked.groupBy("fp").agg(F.min(id_col).alias("first_id")))
-    roots = components(links(nodes.select("fp"), radius, small_bucket))
-    rooted = nodes.join(roots.withColumnRenamed("a", "fp"), "fp", "left")
-    rooted = rooted.withColumn("root", F.coalesce("b", "fp")).select("fp", "root", "first_id")
+    rooted = with_roots(nodes, radius, small_bucket)
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return rooted.join(smallest, "root").select("fp", "component_id")
 
@@ -170,21 +175,28 @@ def near_duplicates(
 def one_per_class(
     docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` with one document of each class: the one with the smallest id.
+    """``docs`` with one document of each class: the one with the smallest id, one without an id last.
 
-    Documents without an id are all kept. Of rows that repeat a kept id, the one with the
-    smallest text stays. The ids that go, few beside those that stay, are what the rows are
-    joined with: where Spark finds them small enough to send, no text is shuffled.
+    Of rows of a class that repeat the id, the one with the smallest fingerprint, and then the
+    smallest hash of id and text, stays; of rows equal in both, that with the smallest other
+    columns. The hashes that go, few beside those that stay, are what the rows are joined with:
+    where Spark finds them small enough to send, no text is shuffled.
     """
-    found = near_duplicates(docs, shingle, radius, id_col, text_col).filter(F.col(id_col).isNotNull())
-    first = F.max((F.col(id_col) == F.col("component_id")).cast("int")).alias("first")
-    per_id = staged(found.groupBy(id_col).agg(F.count("*").alias("n"), first), "simhash-ids")
-    gone = staged(per_id.filter("first = 0 OR n > 1").select(id_col), "simhash-gone")
-    again = staged(per_id.filter("first = 1 AND n > 1").select(id_col), "simhash-again")
+    hashed = F.unhex(F.sha2(F.to_json(F.struct(F.col(id_col).alias("id"), F.col(text_col).alias("text"))), 256))
+    print_of = fingerprints(F.col(text_col), shingle).alias("fp")
+    marked = staged(docs.select(F.col(id_col).alias("id"), hashed.alias("_key"), print_of), "simhash")
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp", "_key")).alias("first")
+    nodes = checkpointed(marked.groupBy("fp").agg(least))
+    kept = with_roots(nodes, radius).groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select("first._key", F.lit(True).alias("stays"))
+    per_key = marked.groupBy("_key").agg(F.count("*").alias("n")).join(kept, "_key", "left")
+    per_key = staged(per_key, "simhash-keys")
+    gone = staged(per_key.filter("stays IS NULL OR n > 1").select("_key"), "simhash-gone")
+    again = staged(per_key.filter("stays AND n > 1").select("_key"), "simhash-again")
     rest = F.to_json(F.struct(*docs.columns))
     row = F.min_by(F.struct(*docs.columns), F.struct(text_col, rest)).alias("row")
-    repeated = docs.join(again, id_col, "left_semi").groupBy(id_col).agg(row).select("row.*")
-    return docs.join(gone, id_col, "left_anti").unionByName(repeated)
+    repeated = docs.join(again, hashed == again["_key"], "left_semi").groupBy(hashed).agg(row).select("row.*")
+    return docs.join(gone, hashed == gone["_key"], "left_anti").unionByName(repeated)
 
 
 @query("op5_simhash_components")

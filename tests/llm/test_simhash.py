@@ -141,3 +141,11 @@ def test_empty_table(spark):
 def test_equal_prints_are_one_node(spark):
     marked = spark.createDataFrame([(i, 0) for i in range(50)] + [(60, 3), (61, 7)], "id long, fp long")
     assert {r.fp: r.component_id for r in classes(marked, 2, "id").collect()} == {0: 0, 3: 0, 7: 0}
+
+
+def test_one_per_class_with_repeated_and_missing_ids(spark):
+    rows = [(1, "a b c d", "x"), (1, "p q r s t", "y"), (1, "p q r s t", "z"), (2, "a b c d", "x"), (3, "p q r s t", "x")]
+    rows += [(None, "k l m n", "x"), (None, "k l m n", "x"), (None, "k l m n", "y"), (None, "a b c d", "x"), (None, None, "x")]
+    got = one_per_class(spark.createDataFrame(rows, DOCS + ", count string")).collect()
+    expected = [(1, "a b c d", "x"), (1, "p q r s t", "y"), (None, "k l m n", "x"), (None, None, "x")]
+    assert Counter(map(tuple, got)) == Counter(expected)
