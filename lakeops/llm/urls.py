@@ -41,6 +41,7 @@ RULES = (
     (BLOCK, "net", "/fr/"),
 )
 CELLS = 1 << 16
+#: letters of an unknown piece of a name at most; counted words have no such limit
 LONGEST_WORD = 20
 INVISIBLE = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[#0-9a-z]+;"
 
@@ -69,10 +70,10 @@ def with_rule(pages: DataFrame, rules=RULES) -> DataFrame:
 
 
 def word_counts(pages: DataFrame, text_col: str) -> DataFrame:
-    """(word, n) over the visible text: runs of a-z up to ``LONGEST_WORD``."""
+    """(word, n) over the visible text: runs of a-z."""
     seen = F.regexp_replace(F.col(text_col), INVISIBLE, " ")
     words = pages.select(F.explode(F.split(lowered(seen), "[^a-z]+")).alias("word"))
-    words = words.filter(F.length("word").between(1, LONGEST_WORD))
+    words = words.filter(F.col("word") != "")
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -82,6 +83,10 @@ def split_name(name: str, known: dict[tuple[int, int], float], total: float) ->
     An unknown word of n letters is as likely as 1 / (total * 10^(n - 1)): any known word beats it.
     """
     best, back = [0.0], [0]
+    long_words: dict[int, list[int]] = {}
+    for start, stop in known:
+        if stop - start > LONGEST_WORD:
+            long_words.setdefault(stop, []).append(start)
     for stop in range(1, len(name) + 1):
         choices = []
         for start in range(stop - 1, max(-1, stop - LONGEST_WORD - 1), -1):
@@ -89,6 +94,7 @@ def split_name(name: str, known: dict[tuple[int, int], float], total: float) ->
             if cost is None:
                 cost = log(total) + (stop - start - 1) * log(10) + log(2)
             choices.append((best[start] + cost, stop - start))
+        choices += [(best[start] + known[start, stop], stop - start) for start in long_words.get(stop, ())]
         cost, size = min(choices)
         best.append(cost)
         back.append(size)
@@ -100,14 +106,23 @@ def split_name(name: str, known: dict[tuple[int, int], float], total: float) ->
 
 
 def split_names(names: DataFrame, counts: DataFrame) -> DataFrame:
-    """(name, words) for different ``name``s of letters, by the unigram model of ``counts``."""
+    """(name, words) for different ``name``s of letters, by the unigram model of ``counts``.
+
+    Words of more than ``LONGEST_WORD`` letters are joined by their first ones, and then compared.
+    """
     total = float(counts.agg(F.sum("n")).first()[0] or 1)
     length = F.length("name")
     parts = names.select("name", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
     ends = F.sequence(F.col("start") + 1, F.least(length, F.col("start") + LONGEST_WORD))
     parts = parts.select("name", "start", F.explode(ends).alias("stop"))
     parts = parts.withColumn("word", F.substring(F.col("name"), F.col("start") + 1, F.col("stop") - F.col("start")))
-    found = parts.join(counts, "word").withColumn("cost", log(total) - F.log("n"))
+    found = parts.join(counts, "word").select("name", "start", "stop", "n")
+    longer = counts.filter(F.length("word") > LONGEST_WORD)
+    longer = longer.select(F.substring("word", 1, LONGEST_WORD).alias("word"), F.col("word").alias("whole"), "n")
+    begun = parts.filter(F.col("stop") - F.col("start") == LONGEST_WORD).join(longer, "word")
+    begun = begun.filter(F.col("name").substr(F.col("start") + 1, F.length("whole")) == F.col("whole"))
+    found = found.unionByName(begun.select("name", "start", (F.col("start") + F.length("whole")).alias("stop"), "n"))
+    found = found.withColumn("cost", log(total) - F.log("n"))
     found = found.groupBy("name").agg(F.collect_list(F.struct("start", "stop", "cost")).alias("known"))
     rows = names.join(found, "name", "left")
 

@@ -146,3 +146,16 @@ def test_all_pages(spark):
         assert (r.host, r.path) == parts_of(urls[r.page_id])
         verdict, rule = rule_of(r.host, r.path)
         assert r.rule == rule and (verdict is None or r.verdict == verdict)
+
+
+def test_long_words_are_counted_and_recognised(spark):
+    long, longer = "rindfleischetikettierung", "donaudampfschifffahrtsgesellschaft"
+    html = f"<p>{long} {long} {longer} shop rind fleisch donau dampf {longer}skapitaen</p>"
+    counts = word_counts(spark.createDataFrame([(1, "", html)], PAGES), "html")
+    assert {r.word: r.n for r in counts.collect()}[long] == 2
+    names = spark.createDataFrame([(long,), ("shop" + longer + "shop",), (longer + long,), (long[:-1],)], "name string")
+    got = {r["name"]: r.words for r in split_names(names, counts).collect()}
+    assert got[long] == [long]
+    assert got["shop" + longer + "shop"] == ["shop", longer, "shop"]
+    assert got[longer + long] == [longer, long]
+    assert long not in got[long[:-1]] and "".join(got[long[:-1]]) == long[:-1]
