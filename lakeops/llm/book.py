@@ -1,7 +1,19 @@
 """All corpus queries; importing this module registers them."""
 
 import corpus_pipeline
-from lakeops.llm import blockknn, langid, licenses, mixing, pieces, secrets, simhash, toxicity, urls, voronoi  # noqa: F401
+from lakeops.llm import (  # noqa: F401
+    blockknn,
+    langid,
+    licenses,
+    mixing,
+    packing,
+    pieces,
+    secrets,
+    simhash,
+    toxicity,
+    urls,
+    voronoi,
+)
 from lakeops.llm.registry import ORACLES, QUERIES, query
 
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -25,7 +25,7 @@ here = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not her
 
 def test_all_are_registered():
     numbers = {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES if name != "pipeline"}
-    assert numbers == set(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == set(range(1, 14)) and "pipeline" in QUERIES
 
 
 @here
