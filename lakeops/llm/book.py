@@ -8,6 +8,7 @@ from lakeops.llm import (  # noqa: F401
     mixing,
     packing,
     pieces,
+    resampling,
     secrets,
     simhash,
     toxicity,
