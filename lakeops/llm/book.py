@@ -3,6 +3,7 @@
 import corpus_pipeline
 from lakeops.llm import (  # noqa: F401
     blockknn,
+    collocations,
     langid,
     licenses,
     mixing,
