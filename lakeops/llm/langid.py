@@ -36,8 +36,6 @@ from lakeops.llm.registry import cleared, query, table
 UNDETERMINED = "und"
 N_FEATURES = 1 << 12
 CHUNK = 1 << 18
-#: rows whose features are held at a time
-ROWS_AT_ONCE = 64
 MAX_ROWS = 2400
 EXHAUSTIVE = 7
 #: a lead in loss below this is ambiguous
@@ -163,6 +161,20 @@ def feature_bytes(text: Column) -> Column:
     return of(text)
 
 
+def in_bounds(rows: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
+    """``rows``, or ``most`` of them in the order of ids and hashes of texts if ids repeat that often.
+
+    Of rows equal in both any are as good as the others.
+    """
+    if rows.count() <= most:
+        return rows
+    place = F.struct(F.col(id_col).cast("string").alias("id"), F.xxhash64(text_col).alias("text"))
+    narrow = rows.select(place.alias("place")).orderBy("place").limit(most)
+    last = narrow.agg(F.max("place").alias("last"), F.count("*")).first()["last"]
+    edge = F.struct(F.lit(last["id"]).cast("string").alias("id"), F.lit(last["text"]).alias("text"))
+    return rows.filter(place <= edge).orderBy(place).limit(most)
+
+
 def learn(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS
 ) -> Model | None:
@@ -183,9 +195,9 @@ def learn(
         lambda a, b: a | b,
         ((F.col(lang_col) == r[lang_col]) & (draw < int(min(1.0, share / r["count"]) * (1 << 30))) for r in sizes),
     )
-    # the limit only guards against ids that repeat
-    sample = labelled.filter(few).select(id_col, lang_col, feature_bytes(F.col(text_col)).alias("x"))
-    rows = [r for r in sample.limit(2 * max_rows).collect() if r["x"] is not None]
+    sample = in_bounds(labelled.filter(few), id_col, text_col, 2 * max_rows)
+    sample = sample.select(id_col, lang_col, feature_bytes(F.col(text_col)).alias("x"))
+    rows = [r for r in sample.collect() if r["x"] is not None]
     rows.sort(key=lambda r: (r[lang_col], r[id_col] is None, r[id_col] or 0, r["x"]))
     if not rows:
         return None
@@ -202,16 +214,14 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             out: list[tuple[str, float, bool]] = []
-            for start in range(0, len(texts), ROWS_AT_ONCE):
-                found = [features(t) for t in texts.iloc[start : start + ROWS_AT_ONCE]]
-                known = [x for x in found if x is not None]
-                answers = iter(zip(*model.decode(np.stack(known)), strict=True)) if known else iter(())
-                for x in found:
-                    if x is None:
-                        out.append((UNDETERMINED, 0.0, True))
-                    else:
-                        n, score, close = next(answers)
-                        out.append((model.languages[n], float(score), bool(close)))
+            for text in texts:
+                x = features(text)
+                if x is None:
+                    out.append((UNDETERMINED, 0.0, True))
+                    continue
+                # one row at a time: the last digits of a product depend on how many rows it takes
+                (n,), (score,), (close,) = model.decode(x[None])
+                out.append((model.languages[n], float(score), bool(close)))
             yield pd.DataFrame(out, columns=["lang_pred", "score", "ambiguous"])
 
     return docs.withColumn("_found", of(F.col(text_col))).select(*docs.columns, "_found.*")
