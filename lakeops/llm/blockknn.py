@@ -57,7 +57,9 @@ class Quantised:
         error = np.sqrt(self.square)[:, None] * other.rest[strip] + self.rest[:, None] * other.kept[strip]
         about = self.square[:, None] + other.square[strip] - 2 * product
         slack = 2 * error + 1e-9 * (self.square[:, None] + other.square[strip])
-        return about - slack, about + slack
+        least, most = about - slack, about + slack
+        # squares beyond the largest double say nothing
+        return np.where(np.isfinite(least), least, -np.inf), np.where(np.isfinite(most), most, np.inf)
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -70,6 +72,11 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def solve(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> list[tuple]:
     """(query_id, vec_id, distance) of each query's ``k`` nearest rows of one tile."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        return solved(query_ids, queries, ids, rows, k)
+
+
+def solved(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> list[tuple]:
     small_q, small_x = Quantised(queries), Quantised(rows)
     heaps: list[list[tuple[float, int]]] = [[] for _ in query_ids]
     for low in range(0, len(ids), STRIP):

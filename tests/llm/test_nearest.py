@@ -172,3 +172,12 @@ def test_long_vectors_take_part(spark, name):
     else:
         with pytest.raises(Exception, match="does not fit a long"):
             found.collect()
+
+
+def test_distances_beyond_the_largest_double_keep_their_rows(spark):
+    rows = [(i, [1e160 * (i + 1), float(i)]) for i in range(12)] + [(100 + i, [float(i), 1.0]) for i in range(5)]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=10, every=10).collect()
+    found = {q: [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 10, 100)}
+    # all distances from these are infinite, so ids decide
+    assert found[0] == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10] and found[10] == [0, 1, 2, 3, 4, 5, 6, 7, 8, 9]
+    assert found[100][:4] == [101, 102, 103, 104] and len(found[100]) == 10
