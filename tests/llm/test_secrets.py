@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -91,3 +92,13 @@ def test_redact(spark):
     assert got[1] == ("é [SECRET]! and [SECRET].", len("é [SECRET]! and [SECRET]."))
     assert got[2] == (None, 0) and got[3] == ("clean", 5)
     assert got[4] == ("[SECRET] x", 10)
+
+
+def test_long_runs_that_look_like_tokens_take_linear_time():
+    scanner = Scanner(RULES)
+    texts = ["eyJ" * 300_000 + " .eyJ", "eyJ" * 100_000 + ".eyJ" * 50_000, "eyJabcdefghijk." * 50_000, "ghp_" * 200_000, "-----BEGIN " + "A " * 200_000]
+    started = time.process_time()
+    for text in texts:
+        for rule in scanner.compiled:
+            list(rule.finditer(text))
+    assert time.process_time() - started < 4
