@@ -52,6 +52,10 @@ APART = 0.7
 MOST_CACHED = 1 << 18
 LONGEST_WORD = 64
 BLOCK_CHARS = 1 << 20
+#: characters whose triples are held at a time
+STRIP_CHARS = 1 << 16
+#: characters of all texts that a model is learnt from
+MOST_LEARNT = 1 << 26
 SIGNS = 64
 N_TRIPLES = SIGNS**3
 #: words whose triples are held at a time
@@ -69,13 +73,16 @@ def sign_of() -> np.ndarray:
     return signs.astype(np.int32)
 
 
-def triples(words: list[str], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def triples(
+    words: list[str], wanted: np.ndarray | None = None, first: int | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, triple, weight) of all subsequences of three letters; a triple may come repeatedly.
 
-    ``wanted`` picks triples. Words are read as they are, also beyond ``LONGEST_WORD``.
+    ``wanted`` picks triples; with ``first`` they begin among so many first characters. Words are read as they are, also beyond ``LONGEST_WORD``.
     """
     points = np.frombuffer(("\n".join(words) + "\n" * (2 * REACH + 1)).encode("utf-32-le"), np.uint32)
     signs, n = sign_of()[points], len(points) - 2 * REACH
+    n = n if first is None else min(n, first)
     word_of = np.cumsum(points == 10)
     found = []
     for a, b in STEPS:
@@ -128,6 +135,17 @@ class Landmarks:
         out[met] /= np.maximum(length, 1e-9)[:, None]
         return out
 
+    def strips(self, word: str) -> np.ndarray:
+        """The cosines of one long word, whose triples are added up strip by strip."""
+        total = np.zeros(N_TRIPLES)
+        for low in range(0, len(word), STRIP_CHARS):
+            # a triple belongs to the strip of its first letter
+            _, triple, weight = triples([word[low : low + STRIP_CHARS + 2 * REACH]], first=STRIP_CHARS)
+            total += np.bincount(triple, weight, N_TRIPLES)
+        known = np.flatnonzero((self.row_of >= 0) & (total > 0))
+        shared = total[known] @ self.rows[self.row_of[known]]
+        return (shared / max(np.sqrt(total @ total), 1e-9)).astype(np.float32)[None]
+
     def may_reach(self, words: list[str]) -> np.ndarray:
         """Whether a word's cosine with some landmark can be ``FLOOR`` or more.
 
@@ -141,12 +159,15 @@ class Landmarks:
         return most >= FLOOR * np.sqrt(np.bincount(of, weight**2, len(words))) * (1 - 1e-6)
 
     def __call__(self, words: list[str]) -> np.ndarray:
-        out = np.zeros((len(words), len(self.words)), np.float32)
-        for low in range(0, len(words), STRIP):
-            part = words[low : low + STRIP]
-            close = np.flatnonzero(self.may_reach(part))
-            alike = self.plain([part[i] for i in close])
+        out, low = np.zeros((len(words), len(self.words)), np.float32), 0
+        for part in segments(words, STRIP_CHARS):
+            if len(part) == 1 and len(part[0]) > STRIP_CHARS:
+                close, alike = np.zeros(1, np.int64), self.strips(part[0])
+            else:
+                close = np.flatnonzero(self.may_reach(part))
+                alike = self.plain([part[i] for i in close])
             out[low + close] = np.where(alike >= FLOOR, alike, 0) ** POWER
+            low += len(part)
         return out
 
 
@@ -164,15 +185,19 @@ class Words:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
+        self.size = 0
         self.values, self.ends, self.single = np.zeros(0), np.zeros(0, bool), np.zeros(0, bool)
 
     def learn(self, words: set[str]) -> None:
         new = sorted(words.difference(self.number))
-        if len(self.number) + len(new) > MOST_CACHED and self.number:
+        size = sum(map(len, new))
+        if self.number and (len(self.number) + len(new) > MOST_CACHED or self.size + size > MOST_CACHED * LONGEST_WORD):
             self.forget()
             new = sorted(words)
+            size = sum(map(len, new))
         if not new:
             return
+        self.size += size
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
         self.values = np.concatenate([self.values, self.value_of(new)])
         self.ends = np.concatenate([self.ends, np.array([w[-1] in ".!?" for w in new])])
@@ -414,8 +439,10 @@ def learn(
 ) -> Model:
     """A model from at most about ``max_rows`` labelled rows, half of each label or all there are.
 
-    The rows are chosen by their ids alone. The chosen ids are few by their bound and are sent
-    to the texts, so that no text is shuffled.
+    The rows are chosen by their ids alone, one row of an id that repeats, and by the length of
+    their texts: a text that would bring all of them beyond ``MOST_LEARNT`` characters is left out.
+    The chosen ids are few by their bound and are sent to the texts, so that only these few texts
+    are shuffled.
     """
     labels = labels.filter(F.col(label_col).isin(0, 1)).select(id_col, F.col(label_col).alias("label"))
     known = docs.select(id_col).join(labels, id_col)
@@ -426,10 +453,19 @@ def learn(
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30))
     part = {label: int(min(1.0, max_rows / 2 / n) * (1 << 30)) for label, n in sizes.items()}
     chosen = known.filter(draw < F.when(F.col("label") == 1, part[1]).otherwise(part[0]))
-    # the limits only guard against ids that repeat
-    chosen = chosen.groupBy(id_col).agg(F.max("label").alias("label")).limit(2 * max_rows)
-    rows = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("text")).join(F.broadcast(chosen), id_col)
-    rows = sorted(map(tuple, rows.limit(2 * max_rows).collect()))
+    # the limit only guards against ids that repeat
+    chosen = chosen.groupBy(id_col).agg(F.max("label").alias("label")).orderBy(draw, id_col).limit(2 * max_rows)
+    texts = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("text"))
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), F.length("text").alias("length"))).alias("first")
+    sizes_of = texts.join(F.broadcast(chosen), id_col).groupBy(id_col, "label").agg(first).orderBy(draw, id_col)
+    few, left = [], MOST_LEARNT
+    for key, label, (hashed, length) in sizes_of.collect():
+        if length <= left:
+            few.append((key, label, hashed))
+            left -= length
+    picked = docs.sparkSession.createDataFrame(few, known.select(id_col, "label", F.lit(0).cast("long").alias("hash")).schema)
+    found = texts.join(F.broadcast(picked), id_col).filter(F.xxhash64("text") == F.col("hash"))
+    rows = sorted(map(tuple, found.select(id_col, "text", "label").distinct().collect()))
     toxic = np.array([r[2] == 1 for r in rows], bool)
     if not toxic.any() or toxic.all():
         return Model([], np.zeros(0), 0.0, 0.0, float(np.log(share / (1 - share))))

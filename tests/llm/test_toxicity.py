@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -31,6 +32,36 @@ def slow_kernel(a, b):
     return product / max(1e-9, np.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values())))
 
 
+def test_long_words_strip_by_strip(monkeypatch):
+    kernel = Landmarks(["idiot", "pathetic"])
+    word = "".join(random.Random(1).choice("idotpahec.") for _ in range(1000))
+    whole = kernel.plain([word])
+    monkeypatch.setattr(toxicity, "STRIP_CHARS", 64)
+    assert kernel.strips(word) == pytest.approx(whole, abs=1e-6)
+    words = ["idiot", word, "", "pathetic", "idiots"]
+    each = np.concatenate([kernel([w]) for w in words])
+    assert kernel(words) == pytest.approx(each, abs=1e-6)
+
+
+def test_a_word_of_ten_million_letters_needs_little_memory():
+    tracemalloc.start()
+    Landmarks(["idiot"])(["ab" * 5_000_000])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+
+
+def test_learning_takes_texts_up_to_a_stated_size(spark, monkeypatch):
+    rows = [(i, f"you are an {INSULTS[i % 4]}" if i % 2 else "a fine day", i % 2) for i in range(40)] + [(1, "another text of a known id", 1)]
+    docs = spark.createDataFrame([*rows, (50, "long " * 5000, 0)], DOCS)
+    monkeypatch.setattr(toxicity, "MOST_LEARNT", 2000)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic, share: seen.append(texts))
+    for _ in range(2):
+        learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), "doc_id", "text", "toxic")
+    assert seen[0] == seen[1] and len(seen[0]) == 40 and max(map(len, seen[0])) < 100
+
+
 def test_kernel_against_its_definition():
     words = ["idiot", "i.d.i.o.t", "idixot", "ab", "", "aaaa", "über", "x" * 100, "日本語日本", "pathetic", "thetic", "123", "i"]
     got = Landmarks(["idiot", "pathetic", "aaaa", "日本語"]).plain(words)
