@@ -6,10 +6,13 @@ by weight until nobody is above. A target is then met by whole repetitions of ev
 of the source and one fractional repetition: documents in a seeded order, until the rest of
 the target is used up; the document at the end gives its leading words only. The order is
 found from a histogram over hash buckets, so that only the rows of one bucket per source are
-ever sorted, whatever share of the table a source holds.
+ever sorted, whatever share of the table a source holds. They are sorted over ranges, and the
+words before a range follow from the sums of the ranges before it, so that not even a bucket of
+one repeated row meets in one task.
 
 Defined results: a text that is NULL or has no word has size 0 and is taken 0 words. Rows
-without a source form one source, the last one. A NULL ``doc_id`` hashes like an empty text.
+without a source form one source, the last one. A NULL ``doc_id`` hashes like an empty text;
+the hash also takes in the text, so rows that share an id are apart.
 Repeated rows count as documents of their own. An empty table gives an empty result. Columns of
 the input named like an added one are replaced, and those that start with an underscore are left
 out.
@@ -34,9 +37,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def seeded_hash(key: Column, seed: int) -> Column:
-    """A whole number below 2^60 that depends on seed and key only."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
+def seeded_hash(key: Column, text: Column, seed: int) -> Column:
+    """A whole number below 2^60 that depends on seed, key and text only."""
+    parts = (F.coalesce(c.cast("string"), F.lit("")) for c in (key, text))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
@@ -75,15 +79,18 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
     size: Column | None = None,
+    hashed: Column | None = None,
 ) -> DataFrame:
     """``docs`` with size, source_size, target, whole, extra and taken (in words).
 
     ``whole`` is how often the mix repeats all of a document, ``extra`` how many leading
-    words it takes once more. ``size`` replaces the word count of the text.
+    words it takes once more. ``size`` and ``hashed`` replace the word count of the text and
+    the seeded hash of id and text.
     """
-    docs = cleared(docs, *ADDED)
-    docs = docs.withColumn("size", word_count(F.col(text_col)) if size is None else size)
-    docs = docs.withColumn("_hash", seeded_hash(F.col(id_col), seed))
+    given = {"size": word_count(F.col(text_col)) if size is None else size}
+    given["_hash"] = seeded_hash(F.col(id_col), F.col(text_col), seed) if hashed is None else hashed
+    kept = cleared(docs, *ADDED).columns
+    docs = docs.select(*(F.col(f"`{c}`") for c in kept), *(c.alias(name) for name, c in given.items()))
     docs = docs.withColumn("_bucket", F.shiftright("_hash", HASH_BITS - BUCKET_BITS))
 
     buckets = staged(
@@ -117,11 +124,9 @@ def mix(
 
     joined = docs.join(edges, F.col(source_col).eqNullSafe(F.col("_source")))
     at_edge = F.coalesce(F.col("_bucket") == F.col("_edge"), F.lit(False))
-    order = W.partitionBy("_source").orderBy("_hash", F.col(id_col).asc_nulls_first(), "size")
-    so_far = F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
-    inside = joined.filter(at_edge).withColumn(
-        "extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("_left") - so_far))
-    )
+    inside = with_words_before(joined.filter(at_edge), id_col).withColumn(
+        "extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("_left") - F.col("_so_far")))
+    ).drop("_so_far")
     before = F.coalesce(F.col("_bucket") < F.col("_edge"), F.lit(False))
     outside = joined.filter(~at_edge).withColumn("extra", F.when(before, F.col("size")).otherwise(F.lit(0)))
     mixed = outside.unionByName(inside)
@@ -129,6 +134,33 @@ def mix(
     return mixed.drop("_source", "_edge", "_left", "_hash", "_bucket")
 
 
+def with_words_before(rows: DataFrame, id_col: str) -> DataFrame:
+    """``rows`` with column _so_far: the words of their source's rows before them.
+
+    They are sorted over ranges; a row number splits rows that are equal in source, hash and id.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    order = [F.col("_source").asc_nulls_first(), F.col("_hash"), F.col(id_col).asc_nulls_first(), F.col("size"), F.col("_row")]
+    placed = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_row")
+    # the upper bits are the number of the range, the lower ones the place in it
+    placed = staged(placed.withColumn("_at", F.monotonically_increasing_id()), "mix-places")
+    placed = placed.withColumn("_range", F.shiftright("_at", 33))
+    sums = placed.groupBy("_source", "_range").agg(F.sum("size").alias("_words"))
+    earlier = W.partitionBy("_source").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.select(
+        F.col("_source").alias("_of"),
+        F.col("_range").alias("_in"),
+        F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_earlier"),
+    )
+    here = W.partitionBy("_source", "_range").orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
+    placed = placed.withColumn("_here", F.sum("size").over(here) - F.col("size"))
+    placed = placed.join(sums, F.col("_source").eqNullSafe(F.col("_of")) & (F.col("_range") == F.col("_in")))
+    return placed.withColumn("_so_far", F.col("_earlier") + F.col("_here")).drop(
+        "_at", "_range", "_here", "_of", "_in", "_earlier"
+    )
+
+
 def repeated(mixed: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """The documents of the mix: each as often as it is taken, a fractional one cut after its words.
 
@@ -152,7 +184,7 @@ def repeated(mixed: DataFrame, text_col: str = "text", length_col: str = "n_char
 MIX_SQL = r"""
 WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-           ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+           ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS h
     FROM documents
 ), sources AS (
     SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
@@ -185,7 +217,7 @@ FROM placed
 
 @query("op9_mix_sources", MIX_SQL)
 def op9_mix_sources(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("n"))
-    docs = staged(docs, "mix-sizes")
-    mixed = mix(docs, size=F.col("n"))
+    size, hashed = word_count(F.col("text")).alias("n"), seeded_hash(F.col("doc_id"), F.col("text"), 42).alias("h")
+    docs = staged(table(spark, sf_dir, "documents").select("doc_id", "source", size, hashed), "mix-sizes")
+    mixed = mix(docs, size=F.col("n"), hashed=F.col("h"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")

@@ -32,17 +32,17 @@ def filled(sizes, weights, budget, cap):
 
 def brute(rows, seed=42):
     """(doc_id, size, target, taken) by walking each source in its seeded order."""
-    sized = [(i, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) for i, t, s, _ in rows]
+    sized = [(i, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), t or "") for i, t, s, _ in rows]
     sizes = Counter()
-    for _, s, n in sized:
+    for _, s, n, _ in sized:
         sizes[s] += n
-    targets = filled({s: sizes[s] for s in {s for _, s, _ in sized}}, (5, 2, 1), 1.5, 2)
-    order = lambda r: (int(hashlib.md5(f"{seed}:{'' if r[0] is None else r[0]}".encode()).hexdigest()[:15], 16), r[0] is not None, r[0] or 0, r[2])
+    targets = filled({s: sizes[s] for s in {s for _, s, _, _ in sized}}, (5, 2, 1), 1.5, 2)
+    order = lambda r: (int(hashlib.md5(f"{seed}:{'' if r[0] is None else r[0]}:{r[3]}".encode()).hexdigest()[:15], 16), r[0] is not None, r[0] or 0, r[2])
     out = []
     for source, target in targets.items():
         whole = int(target // sizes[source]) if sizes[source] else 0
         left = int(target) - whole * sizes[source]
-        for i, _, n in sorted((r for r in sized if r[1] == source), key=order):
+        for i, _, n, _ in sorted((r for r in sized if r[1] == source), key=order):
             more = max(0, min(n, left))
             left -= more
             out.append((i, n, round(target, 6), whole * n + more))
@@ -78,6 +78,19 @@ def test_targets_are_met_and_no_document_passes_its_cap(spark):
         assert target - 1 < taken <= target
 
 
+def test_a_bucket_of_one_repeated_row(spark):
+    rows = make(40) + [(None, "the same row again", "s1", 0)] * 700 + [(9, "a b c", "s1", 0)] * 300
+    got = mix(spark.createDataFrame(rows, DOCS).repartition(6))
+    assert rows_of(got) == sorted(brute(rows), key=str)
+
+
+def test_texts_that_share_an_id_are_cut_alike_on_a_rerun(spark):
+    rows = [(None, f"text number {i} and more", "a", 0) for i in range(60)] + [(i, "x " * 9, "b", 0) for i in range(200)]
+    docs = spark.createDataFrame(rows, DOCS)
+    found = [Counter((r.text, r.taken) for r in mix(d).collect()) for d in (docs, docs.repartition(5, "text"))]
+    assert found[0] == found[1]
+
+
 def test_reruns_and_other_partitions_agree(spark):
     docs = spark.createDataFrame(make(150), DOCS)
     assert rows_of(mix(docs)) == rows_of(mix(docs.repartition(7, "text")))
