@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import os
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -37,7 +38,7 @@ from lakeops.llm.registry import query, table
 
 #: pieces of an example are numbered by tokens of this many bytes
 WIDTH = 4
-#: words whose ids a worker remembers
+#: words whose ids a worker remembers, and as many older ones
 MOST_WORDS = 1 << 19
 LONGEST_WORD = 64
 #: rows of a result that go to the JVM at a time, by bytes of ids
@@ -185,11 +186,16 @@ class WordIds(dict):
     """The ids of a word (a run without ASCII white space) as little-endian 32-bit numbers.
 
     White space is dropped by the tokenizer, and no step of it looks beyond one, so that the ids
-    of a text are those of its words in a row. Of a word that is all ASCII, letters and the
-    punctuation after them are separate for the tokenizer, and letters count in lower case.
+    of a text are those of its words in a row. Letters and the punctuation after them are separate
+    for the tokenizer, and letters count in lower case; so a word that is all letters goes to the
+    merges of the tokenizer's model at once, after the tokenizer's own normalizer where it is not
+    ASCII, and any other word goes through the whole tokenizer. When the table is full, words that
+    were not asked for since the last time it was full are forgotten.
     """
 
     ENDS = b".,;:!?"
+    #: letters below this are letters in every version of Unicode that a tokenizer may know
+    OLD_LETTERS = "\u0530"
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -197,30 +203,51 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
+        self.older: dict[bytes, bytes] = {}
+        self.letter_of_byte = byte_letters()
 
     def __missing__(self, word: bytes) -> bytes:
-        stem = word.rstrip(self.ENDS)
-        if stem and len(stem) < len(word) and stem.isascii() and stem[-1:].isalnum():
-            ids = self[stem] + self[word[len(stem) :]]
-        elif word.isascii() and word.isalpha():
-            ids = self.packed(t.id for t in self.model.tokenize(word.decode().lower()))
-        else:
-            ids = self.packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.found(word)
         if len(word) <= LONGEST_WORD:
             if len(self) >= MOST_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
 
-    @staticmethod
-    def packed(ids: Iterable[int]) -> bytes:
-        return np.fromiter(ids, "<u4").tobytes()
+    def found(self, word: bytes) -> bytes:
+        stem = word.rstrip(self.ENDS)
+        if len(stem) < len(word) and stem[-1:].isalnum():
+            return self[stem] + self[word[len(stem) :]]
+        if word.isalpha():
+            return self[word.lower()] if not word.islower() else self.merged(word.decode())
+        text = word.decode()
+        if text.isalpha() and max(text) < self.OLD_LETTERS:
+            normal = self.normalizer.normalize_str(text)
+            if normal.isalpha() and max(normal) < self.OLD_LETTERS:
+                return self.merged(normal.encode().decode("latin-1").translate(self.letter_of_byte))
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def merged(self, letters: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def of(self, text: str | None) -> bytes:
         return b"".join(map(self.__getitem__, (text or "").encode().split()))
 
 
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Printable Latin-1 characters stand for themselves, the others in a row from U+0100 on.
+    """
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 #: one table of words per tokenizer and Python worker; it holds nothing that a result depends on
 _KNOWN: dict[str, WordIds] = {}
 

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from lakeops.llm.packing import Limits, Packer, Piece, WordIds, op12_pack_sequences, pack, public_tokenizer
 
-ODD = ["", " ", "a", "A, b.", "don't, he's 'SO", "x...,,", "Était—une, fête.", "日本語 text 12", "J̌ ǰ K Å", "<|endoftext|> <|EndOfText|> a", "\x85a\x1cb c\xa0d", "ΑΣ Σ. İI", "é é", "≠ ≠", "😀😀, x", "\x00a", "it's'll;" * 3, "x" * 5000, "A" * 70 + ", " * 3]
+ODD = ["", " ", "a", "A, b.", "don't, he's 'SO", "x...,,", "Était—une, fête.", "日本語 text 12", "J̌ ǰ K Å", "été, ÉTÉ fête; Ünï straße. ŉ ǰ, ẞ Ж жЯ ԱբԳ ªº µ İ ı ﬁ", "e\u0301t\u0301 ά ΆΣ, \u0345 \u02b0 ʰ", "<|endoftext|> <|EndOfText|> a", "\x85a\x1cb c\xa0d", "ΑΣ Σ. İI", "é é", "≠ ≠", "😀😀, x", "\x00a", "it's'll;" * 3, "x" * 5000, "A" * 70 + ", " * 3]
 
 
 @pytest.fixture(scope="module")
