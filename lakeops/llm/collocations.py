@@ -1,8 +1,8 @@
 """Phrase collocations from sorted count streams.
 
-Counting goes by phrase length. Every task counts the phrases of what it reads in a bounded table
-and sends sorted runs, one per language and share of the phrases, which the shuffle brings
-together and an aggregation merges. A phrase can only be frequent if its first and its last words
+Counting goes by phrase length. Every task numbers the words of a block in their order, counts the
+phrases as sorted numbers and sends sorted runs, one per language and share of the phrases, which
+the shuffle brings together and an aggregation merges. A phrase can only be frequent if its first and its last words
 are, so that longer phrases are counted where a bit map of the frequent shorter ones lets them
 pass; the map has a fixed size, and what it lets pass wrongly falls to the exact count.
 
@@ -25,107 +25,165 @@ result. Further columns are not used.
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
+import re
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lakeops.llm import bitmaps
 from lakeops.llm.registry import query, table
 from lakeops.session import staged
 
-#: A-Z in lower case, the ends of pieces as newlines, tabs as spaces
+#: the end of a piece; no text in UTF-8 has this byte
+BORDER = b"\xff"
+#: A-Z in lower case, the ends of pieces as borders, tabs as spaces
 _CLEAN = bytes(
-    i + 32 if 65 <= i <= 90 else 10 if i in b".,;:!?" or 10 <= i <= 13 else 32 if i == 9 else i for i in range(256)
+    i + 32 if 65 <= i <= 90 else 255 if i in b".,;:!?" or 10 <= i <= 13 else 32 if i == 9 else i for i in range(256)
 )
-#: different phrases that a task counts before it sends a run
-MOST_COUNTED = 1 << 18
-#: the bit map of frequent phrases: 2^25 bits are 4 MB; more bits let fewer rare phrases pass
-MAP_BITS = 25
-#: the seed of Spark's XXH64
-HASH_SEED = 42
-#: shares of the phrases per shuffle partition
-SHARES = 8
-
-
-def pieces_of(text: str | None) -> Iterator[list[bytes]]:
-    for piece in (text or "").encode().translate(_CLEAN).split(b"\n"):
-        if words := piece.split():
-            yield words
-
-
-class Passes(dict):
-    """Whether a phrase of one language may be frequent."""
-
-    def __init__(self, lang: str, bits: bytes):
-        super().__init__()
-        self.bits, self.before = bits, f"{lang}\n".encode()
-
-    def __missing__(self, phrase: bytes) -> int:
-        at = xxhash.xxh64_intdigest(self.before + phrase, HASH_SEED) & ((len(self.bits) << 3) - 1)
-        if len(self) >= MOST_COUNTED:
-            self.clear()
-        found = self[phrase] = self.bits[at >> 3] >> (at & 7) & 1
+_GAP = re.compile(rb"[\x20\xff]")
+#: words that a task counts before it sends runs, and bytes of a text that it cuts into words at a time
+BLOCK_WORDS = 1 << 21
+CHUNK = 1 << 20
+#: the seed of Spark's XXH64, and by how many bits the hash of each further word is turned
+HASH_SEED, TURN = 42, 21
+#: shares of the phrases per shuffle partition; they follow from other bits of the hash than the map
+SHARES, MAP_SHIFT = 2, 40
+
+
+def words_of(text: bytes, longest: int) -> Iterator[list[bytes]]:
+    """The words and borders of a text, in parts; the last ``longest`` - 1 words of a part come again in the next."""
+    text, start, again = text.translate(_CLEAN), 0, []
+    while start < len(text):
+        gap = _GAP.search(text, start + CHUNK)
+        end = gap.start() if gap else len(text)
+        words = again + text[start:end].replace(BORDER, b" \xff ").split()
+        yield words
+        again = words[len(words) - longest + 1 :] if longest > 1 else []
+        start = end
+
+
+class Numbers(dict):
+    """Words by the order in which they come; the border is 0."""
+
+    def __init__(self):
+        super().__init__({BORDER: 0})
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = len(self)
         return found
 
 
-def phrases_of(words: list[bytes], n: int, passes: Passes | None) -> Iterator[bytes]:
-    """The phrases of ``n`` words whose first and last n - 1 words may be frequent."""
-    if n == 1:
-        yield from words
-        return
-    shorter = [b" ".join(words[i : i + n - 1]) for i in range(len(words) - n + 2)]
-    may = [passes[s] for s in shorter]
-    for i in range(len(words) - n + 1):
-        if may[i] and may[i + 1]:
-            yield shorter[i] + b" " + words[i + n - 1]
+def turned(hashes: np.ndarray, times: int) -> np.ndarray:
+    by = np.uint64(TURN * times % 64)
+    return hashes << by | hashes >> (np.uint64(64) - by) if by else hashes
+
+
+def may_pass(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = hashes & np.uint64(8 * len(bits) - 1)
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+class Block:
+    """Words of one language, of which the phrases of ``n`` words are counted."""
+
+    def __init__(self, lang: str, n: int):
+        self.lang, self.n = lang, n
+        self.numbers, self.parts, self.size = Numbers(), [], 0
+
+    def add(self, text: bytes) -> None:
+        for words in words_of(text, self.n):
+            self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
+            self.parts.append(np.zeros(1, np.int32))
+            self.size += len(words)
+
+    def counted(self, bits: np.ndarray | None) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Phrases in the order of their words, how often each stands here, and their hashes."""
+        n, words = self.n, pa.array(list(self.numbers), pa.binary())
+        order = pc.sort_indices(words).to_numpy()
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        words, ids, border = words.take(order), rank[np.concatenate(self.parts)], rank[0]
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in words.to_pylist()), np.uint64, len(words))
+
+        def hash_at(at: np.ndarray, length: int) -> np.ndarray:
+            found = np.full(len(at), xxhash.xxh64_intdigest(self.lang.encode(), HASH_SEED), np.uint64)
+            for k in range(length):
+                found ^= turned(hashes[ids[at + k]], k)
+            return found
+
+        starts = np.arange(max(0, len(ids) - n + 1))
+        whole = np.ones(len(starts), bool)
+        for k in range(n):
+            whole &= ids[k : k + len(starts)] != border
+        starts = starts[whole]
+        if n > 1:
+            starts = starts[may_pass(hash_at(starts, n - 1), bits)]
+            starts = starts[may_pass(hash_at(starts + 1, n - 1), bits)]
+        # a number for the first words and one for the next word, in the order of both
+        code = ids[starts]
+        for k in range(1, n):
+            if k > 1:
+                code = np.unique(code, return_inverse=True)[1]
+            code = code << 32 | ids[starts + k]
+        _, first, times = np.unique(code, return_index=True, return_counts=True)
+        at = starts[first]
+        phrases = words.take(ids[at])
+        for k in range(1, n):
+            phrases = pc.binary_join_element_wise(phrases, words.take(ids[at + k]), b" ")
+        found = hash_at(at, n)
+        if n == 1:
+            total = pa.array([b""], pa.binary())
+            phrases = pa.concat_arrays([total, phrases])
+            times, found = np.insert(times, 0, whole.sum()), np.insert(found, 0, np.uint64(0))
+        return phrases, times, found
+
+    def runs(self, bits: np.ndarray | None, shares: int) -> pa.RecordBatch:
+        """One row per share of the phrases: language, share, phrases one per line, times."""
+        phrases, times, hashes = self.counted(bits)
+        share = (hashes >> np.uint64(MAP_SHIFT)) % np.uint64(shares)
+        order = np.argsort(share, kind="stable")
+        found, starts = np.unique(share[order], return_index=True)
+        ends = pa.array(np.append(starts, len(order)), pa.int32())
+        lines = pc.binary_join(pa.ListArray.from_arrays(ends, phrases.take(order)), b"\n").cast(pa.string())
+        times = pa.ListArray.from_arrays(ends, pa.array(times[order], pa.int64()))
+        langs = pa.array([self.lang] * len(found), pa.string())
+        return pa.RecordBatch.from_arrays([langs, pa.array(found, pa.int32()), lines, times], ["lang", "share", "phrases", "times"])
 
 
 def counts(docs: DataFrame, n: int, bits: bytes | None) -> DataFrame:
     """(lang, phrase, a) of the phrases of ``n`` words; for single words also the phrase ``""``, of all words.
 
-    ``docs`` has columns lang and text.
+    ``docs`` has columns lang and text. Longer phrases are counted where their first and their
+    last n - 1 words are in the bit map.
     """
     shares = SHARES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def runs(counted: dict[str, Counter]) -> pd.DataFrame:
-        rows = []
-        for lang, found in counted.items():
-            split: dict[int, list[bytes]] = {}
-            for phrase in sorted(found):
-                split.setdefault(zlib.crc32(phrase) % shares, []).append(phrase)
-            for share, phrases in split.items():
-                rows.append((lang, share, b"\n".join(phrases).decode(), [found[p] for p in phrases]))
-        return pd.DataFrame(rows, columns=["lang", "share", "phrases", "times"])
-
-    def counted_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counted: dict[str, Counter] = {}
-        passes: dict[str, Passes] = {}
+    def counted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passing = None if bits is None else np.frombuffer(bits, np.uint8)
+        blocks: dict[str, Block] = {}
         for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                found = counted.setdefault(lang, Counter())
-                if bits is not None and lang not in passes:
-                    passes[lang] = Passes(lang, bits)
-                for words in pieces_of(text):
-                    if n == 1:
-                        found[b""] += len(words)
-                    found.update(phrases_of(words, n, passes.get(lang)))
-                    if len(found) >= MOST_COUNTED:
-                        yield runs({lang: found})
-                        found.clear()
-            if sum(map(len, counted.values())) >= MOST_COUNTED:
-                yield runs(counted)
-                counted.clear()
-                passes.clear()
-        yield runs(counted)
-
-    sent = docs.mapInPandas(counted_runs, "lang string, share int, phrases string, times array<long>")
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for lang, text in zip(batch.column("lang").to_pylist(), texts, strict=True):
+                if lang not in blocks:
+                    blocks[lang] = Block(lang, n)
+                blocks[lang].add(text or b"")
+                if blocks[lang].size >= BLOCK_WORDS:
+                    yield blocks.pop(lang).runs(passing, shares)
+            if sum(b.size for b in blocks.values()) >= BLOCK_WORDS:
+                yield from (b.runs(passing, shares) for b in blocks.values() if b.size)
+                blocks = {}
+        yield from (b.runs(passing, shares) for b in blocks.values() if b.size)
+
+    sent = docs.mapInArrow(counted_runs, "lang string, share int, phrases string, times array<long>")
     pairs = F.arrays_zip(F.split("phrases", "\n").alias("phrase"), F.col("times").alias("a"))
     merged = sent.repartition("share").select("lang", "share", F.explode(pairs).alias("p"))
     merged = merged.select("lang", "share", F.col("p.phrase").alias("phrase"), F.col("p.a").alias("a"))
@@ -133,16 +191,13 @@ def counts(docs: DataFrame, n: int, bits: bytes | None) -> DataFrame:
     return merged.groupBy("lang", "share", "phrase").agg(F.sum("a").alias("a")).drop("share")
 
 
-def bit_map(frequent: DataFrame, bits: int = MAP_BITS) -> bytes:
-    """A bit for the hash of every (lang, phrase), in a map of 2^bits bits whatever their number."""
-    at = F.xxhash64(F.concat("lang", F.lit("\n"), "phrase")).bitwiseAND(F.lit((1 << bits) - 1)) + 1
-    parts = frequent.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")
-    )
-    whole = bytearray(1 << (bits - 3))
-    for part, of_part in parts.collect():
-        whole[(part - 1) * len(of_part) : part * len(of_part)] = of_part
-    return bytes(whole)
+def bit_map(frequent: DataFrame, n: int, bits: int = bitmaps.MAP_BITS) -> bytes:
+    """A bit for the hash of every (lang, phrase of ``n`` words), in a map of 2^bits bits whatever their number."""
+    words, hashed = F.split("phrase", " "), F.xxhash64("lang")
+    for k in range(n):
+        one, by = F.xxhash64(F.get(words, F.lit(k))), TURN * k % 64
+        hashed = hashed.bitwiseXOR(F.shiftleft(one, by).bitwiseOR(F.shiftrightunsigned(one, 64 - by)) if by else one)
+    return bitmaps.as_bytes(bitmaps.parts_of(frequent, hashed, bits), bits)
 
 
 def along(stream: DataFrame, label: str) -> DataFrame:
@@ -198,7 +253,7 @@ def collocations(
     top: int | None = 2000,
     lang_col: str = "lang",
     text_col: str = "text",
-    map_bits: int = MAP_BITS,
+    map_bits: int = bitmaps.MAP_BITS,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of the best phrases of 2 to ``longest`` words of each language.
 
@@ -215,7 +270,7 @@ def collocations(
             found = found.filter("phrase != ''")
         frequent.append(found)
         if n < longest:
-            bits = bit_map(found, map_bits)
+            bits = bit_map(found, n, map_bits)
     stream = reduce(DataFrame.unionByName, frequent).select("lang", F.split("phrase", " ").alias("words"), "a")
     turned = stream.withColumn("words", F.reverse("words"))
 

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from lakeops.llm import collocations as module
@@ -58,17 +59,37 @@ def test_full_and_tiny_bit_maps_give_the_same(spark, monkeypatch):
     rows = some_rows(120, 8, 6)
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
     # everything passes a map of so few bits; runs are sent after a few phrases
-    monkeypatch.setattr(module, "MOST_COUNTED", 40)
+    monkeypatch.setattr(module, "BLOCK_WORDS", 40)
+    monkeypatch.setattr(module, "CHUNK", 8)
     got = collocations(docs, min_count=4, map_bits=15)
     assert sorted(map(tuple, got.collect())) == brute(rows, 3, 4, 50, 2000)
 
 
 def test_bit_map_holds_what_it_was_made_of(spark):
-    rows = [("en", f"word{i}") for i in range(500)] + [("dé", "é")]
-    bits = bit_map(spark.createDataFrame(rows, "lang string, phrase string"), 18)
-    passes = {lang: module.Passes(lang, bits) for lang in ("en", "dé", "xx")}
-    assert all(passes[lang][phrase.encode()] for lang, phrase in rows)
-    assert sum(passes["xx"][phrase.encode()] for _, phrase in rows) < 20
+    rows = [("en", f"word{i} é{i % 7} x") for i in range(500)] + [("dé", "é y z")]
+    bits = np.frombuffer(bit_map(spark.createDataFrame(rows, "lang string, phrase string"), 3, 18), np.uint8)
+
+    def passing(lang, phrase):
+        block = module.Block(lang, 3)
+        block.add(phrase.encode())
+        everything = np.full(1 << 12, 255, np.uint8)
+        return module.may_pass(block.counted(everything)[2], bits)[0]
+
+    assert all(passing(lang, phrase) for lang, phrase in rows)
+    assert sum(passing("xx", phrase) for _, phrase in rows) < 20
+
+
+def test_texts_cut_anywhere(monkeypatch):
+    text = "a b. c d e f\tg;h i  j k l m, n" * 5
+    whole = module.Block("en", 3)
+    whole.add(text.encode())
+    everything = np.full(1 << 12, 255, np.uint8)
+    expected = {p.as_py(): n for p, n in zip(*whole.counted(everything)[:2], strict=True)}
+    for size in (1, 2, 5, 17):
+        monkeypatch.setattr(module, "CHUNK", size)
+        block = module.Block("en", 3)
+        block.add(text.encode())
+        assert {p.as_py(): n for p, n in zip(*block.counted(everything)[:2], strict=True)} == expected
 
 
 def test_a_path_over_several_ranges(spark):
