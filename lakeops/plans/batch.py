@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from lakeops.guards import require_date, require_rows
 from lakeops.operators.changes import detect_changes
 from lakeops.operators.clean import clean_records, stamp_batch
+from lakeops.operators.history import change_log
 from lakeops.operators.latest import latest_by
 from lakeops.plans.gold import gold_tables
 from lakeops.plans.lake import Lake
 from lakeops.schema import product_schema
-from lakeops.sinks.files import append_run, write_bronze
+from lakeops.sinks.files import append_run, remove_folders, run_folder, staged_for_a_while, write_bronze
 from lakeops.sinks.tables import Sink, publish, table_sink
 from lakeops.sources.files import read_records
 
@@ -43,14 +44,43 @@ def load_silver(spark: SparkSession, day: date, lake: Lake, run: str, at: dateti
     """The batch rows of one day into the state, as a full snapshot, and their changes into the price log.
 
     The snapshot is written first and read back, so it is cleaned once; changes are found
-    against the state without this run. A run that failed can be repeated under the same
-    ``run`` name and replaces what it wrote.
+    against the state without this run. A run can be repeated under the same ``run`` name, also
+    with other data, and replaces what it wrote. A day that is loaded again, or for the first
+    time, after later days takes its place before them, and the log is written anew from there.
     """
     state = lake.state(spark)
     raw = lake.read_bronze(spark, day).filter(F.col("ingest") == "batch").drop("ingest")
     state.append(clean_records(latest_by(raw, ["id"], ["loaded_at"])), run, at, snapshot=True)
-    snapshot = state.rows_of(run)
-    append_run(detect_changes(snapshot, state.read(without=run)), lake.history, run)
+    newest = state.newest_day(without=run)
+    if newest is not None and newest > day:
+        log_again(spark, lake, day)
+    else:
+        append_run(detect_changes(state.rows_of(run), state.read(without=run)), lake.history, run)
+
+
+def log_again(spark: SparkSession, lake: Lake, since: date) -> None:
+    """The price log of all runs from a day on, from the rows of the runs and the state before that day.
+
+    One pass over these rows, however many runs there are; it can be repeated if it fails.
+    """
+    state = lake.state(spark)
+    runs = state.ordered_rows(after=since - timedelta(days=1))[0]
+    before = state.ordered_rows(before=since)[0]
+    logged = changes_along(before, runs).withColumn("run", F.col("_order.run")).drop("_order")
+    with staged_for_a_while(logged, "log") as logged:
+        names = [r[0] for r in runs.select("_order.run").distinct().collect()]
+        remove_folders(spark, [run_folder(lake.history, name) for name in names])
+        logged.write.mode("append").partitionBy("run").parquet(lake.history)
+
+
+def changes_along(before: DataFrame, rows: DataFrame) -> DataFrame:
+    """Those of ``rows`` that are new or differ from the row of their product before, in the order ``_order``.
+
+    Of ``before``, which comes before all of them, the last row of a product counts.
+    """
+    last = latest_by(before, ["id"], ["_order"], tie_break=[])
+    both = last.withColumn("_logged", F.lit(False)).unionByName(rows.withColumn("_logged", F.lit(True)))
+    return change_log(both, order="_order").filter("_logged").drop("_logged")
 
 
 def run_batch(

@@ -29,13 +29,18 @@ def write_bronze(df: DataFrame, path: str, ingest: str = "batch", many_days: boo
     _overwrite_partitions(df.withColumn("ingest", F.lit(ingest)), path, ["crawl_date", "ingest"])
 
 
+def run_folder(path: str, run: str) -> str:
+    """The folder of one run; characters that mean something in a path are escaped as Spark does."""
+    plain = "".join(c if c.isalnum() or c in "-_. " or ord(c) > 127 else f"%{ord(c):02X}" for c in run)
+    return f"{path.rstrip('/')}/run={plain}"
+
+
 def append_run(df: DataFrame, path: str, run: str) -> None:
-    """Add the rows of one run to an append-only table; repeating a run replaces its rows.
+    """Add the rows of one run to an append-only table, as column ``run``; repeating a run replaces its rows.
 
-    A repeated run without any row leaves what the earlier one wrote: there is no partition
-    to replace. Callers give such a run a name of its own, or skip it.
+    A run has a folder of its own, which a repeated run overwrites, also with no row at all.
     """
-    _overwrite_partitions(df.withColumn("run", F.lit(run)), path, ["run"])
+    df.write.mode("overwrite").parquet(run_folder(path, run))
 
 
 def epoch_name(name: str, epoch: int) -> str:
@@ -54,6 +59,15 @@ def staged_for_a_while(df: DataFrame, label: str) -> Iterator[DataFrame]:
         remove_folders(df.sparkSession, [path])
 
 
+def existing_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders or files that match a pattern with ``*``, without reading below them."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(pattern)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = system.globStatus(path)
+    return [f.getPath().toString() for f in found] if found is not None else []
+
+
 def remove_folders(spark: SparkSession, folders: list[str]) -> None:
     """Delete folders on whatever file system they are on."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -31,6 +31,8 @@ def medallion_handler(
     newer_by: str | None = None,
     speed_sinks: Sequence[Sink] = (),
     before_last: Callable[[int], None] | None = None,
+    renew_every: int | None = 500,
+    longest_load: timedelta = timedelta(hours=6),
 ) -> Handler:
     """A micro-batch function that may be repeated for the same epoch.
 
@@ -40,17 +42,26 @@ def medallion_handler(
     are always found against the state without this epoch. All writes only add; reading the
     state for the changes looks at the epoch's ids alone.
 
-    Rows with a text in column ``error`` go to the quarantine. Without ``newer_by`` the last
-    arrival wins; with it, a column of the stored row, older events never overwrite newer
-    state. ``speed_sinks`` also receive the speed rows of every epoch; one that only
-    appends, such as a database table, gets them again when an epoch is repeated, and can
-    tell by their ``run``. ``before_last`` is called with the epoch before its last write.
+    Rows with a text in column ``error`` go to the quarantine. The latest day of a product wins,
+    and of one day the last arrival: an event of an older day than the product's row changes
+    neither state nor log, and a recovery puts it at its day. With ``newer_by``, a column of the
+    stored row, older events never overwrite newer state inside a day either.
+
+    Every ``renew_every`` epochs the state is written as a new base, as of ``longest_load`` ago,
+    so that what an epoch reads does not grow with the age of the stream; a load of any kind has
+    to be done within that time.
+
+    ``speed_sinks`` also receive the speed rows of every epoch; one that only appends, such as a
+    database table, gets them again when an epoch is repeated, and can tell by their ``run``.
+    ``before_last`` is called with the epoch before its last write.
     """
     if not order:
         raise ValueError("without an order the latest of several events of one id is not known")
     stored = set(lake.schema.fieldNames())
     dropped = [*(event_only or []), "_event_type", *(c for c in MESSAGE_COLUMNS if c not in stored)]
 
+    seen: set[int] = set()
+
     def handle(batch: DataFrame, epoch: int) -> None:
         state = lake.state(batch.sparkSession)
         run = epoch_name(name, epoch)
@@ -74,13 +85,16 @@ def medallion_handler(
             with held(latest_by(events, ["id"], order).drop(*dropped)) as latest:
                 write_bronze(latest, lake.bronze, ingest=run)
                 cleaned = clean_records(latest)
-                current = state.read(without=run, keys=cleaned)
-                if newer_by:
-                    cleaned = drop_stale(cleaned, current, newer_by)
-                append_run(detect_changes(cleaned, current), lake.history, run)
-                if before_last:
-                    before_last(epoch)
-                state.append(cleaned, run, now)
+                with held(state.read(without=run, keys=cleaned)) as current:
+                    for order_by in ("crawl_date", *([newer_by] if newer_by else [])):
+                        cleaned = drop_stale(cleaned, current, order_by)
+                    append_run(detect_changes(cleaned, current), lake.history, run)
+                    if before_last:
+                        before_last(epoch)
+                    state.append(cleaned, run, now, may_be_repeated=not seen or epoch in seen)
+            seen.add(epoch)
+            if renew_every and len(seen) % renew_every == 0:
+                state.renew_base(now - longest_load)
 
     return handle
 

@@ -274,6 +274,96 @@ def test_batch_runs_can_be_repeated(spark, tmp_path):
         run_gold(spark, Lake(str(tmp_path / "nothing")))
 
 
+def lakes_agree(spark, lake, folder):
+    """State and log of a lake and of its full recovery."""
+    target = Lake(str(folder))
+    recover(spark, lake, target, skip_gold=True)
+    for read in (lambda x: x.state(spark).read(), lambda x: x.read_history(spark)):
+        columns = ["id", "price", "is_active", "crawl_date"]
+        assert rows(read(lake), *columns) == rows(read(target), *columns)
+
+
+def three_days(folder):
+    return [
+        write_day(folder, "2024-01-01", product(1, 50), product(2, 60), product(3, 70, 2)),
+        write_day(folder, "2024-01-02", product(1, 55), product(2, 60), product(4, 10)),
+        write_day(folder, "2024-01-03", product(1, 55), product(3, 71, 2), product(5, 1)),
+    ]
+
+
+def test_a_repeated_day_forgets_what_no_longer_holds(spark, tmp_path):
+    lake, paths = Lake(str(tmp_path / "lake")), three_days(tmp_path)
+    for path in paths[:2]:
+        run_batch(spark, path, lake)
+    write_day(tmp_path, "2024-01-02", product(1, 50), product(2, 60))
+    run_batch(spark, paths[1], lake)
+    assert rows(lake.read_history(spark), "id", "crawl_date") == [(1, date(2024, 1, 1)), (2, date(2024, 1, 1)), (3, date(2024, 1, 1))]
+    lakes_agree(spark, lake, tmp_path / "recovered")
+
+
+@pytest.mark.parametrize("renewed", [False, True])
+def test_days_loaded_again_and_out_of_order(spark, tmp_path, renewed):
+    lake, paths = Lake(str(tmp_path / "lake")), three_days(tmp_path)
+    for hour, n in enumerate((0, 2, 1), 1):
+        run_batch(spark, paths[n], lake, loaded_at=datetime(2024, 2, 1, hour))
+        if renewed:
+            lake.state(spark).renew_base(datetime(2024, 2, 1, hour, 30))
+    lakes_agree(spark, lake, tmp_path / "recovered")
+    # the first day again: a price that the second day then no longer changes, a product gone, one more
+    write_day(tmp_path, "2024-01-01", product(1, 55), product(3, 70, 2), product(6, 6))
+    run_batch(spark, paths[0], lake, loaded_at=datetime(2024, 2, 2))
+    lakes_agree(spark, lake, tmp_path / "again")
+    assert rows(lake.state(spark).read(), "id", "is_active") == [(1, True), (2, False), (3, True), (4, False), (5, True), (6, False)]
+
+
+def test_bases_expire_and_later_states_stay(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path / "state"), StructType.fromDDL(STATE), buckets=4)
+    moments = times(6)
+    for n, at in enumerate(moments):
+        state.append(spark.createDataFrame([(n, n, 1, True), (99, n, 1, True)], STATE), f"r{n}", at)
+        if n % 2:
+            state.renew_base(at)
+    before = [rows(state.read(at)) for at in moments[3:]]
+    assert len(state.bases()) == 3
+    gone = state.expire(2)
+    assert len(state.bases()) == 2 and any("hour=" in f for f in gone) and state.expire(2) == []
+    assert [rows(state.read(at)) for at in moments[3:]] == before
+    with pytest.raises(ValueError, match="has to stay"):
+        state.expire(0)
+
+
+def test_reads_by_keys_open_their_buckets_and_the_hours_since_the_base(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path / "state"), StructType.fromDDL(STATE), buckets=8)
+    keys = spark.createDataFrame([(5,)], "id long")
+
+    def files_of_an_epoch():
+        return len(state.read(keys=keys).inputFiles()), plan_of(state.read(keys=keys))
+
+    opened = []
+    for n, at in enumerate(times(8)):
+        state.append(spark.createDataFrame([(k, n, 1, True) for k in range(40)], STATE).coalesce(1), f"r{n}", at)
+        if n % 2:
+            state.renew_base(at)
+            opened.append(files_of_an_epoch())
+    assert len({count for count, _ in opened}) == 1
+    assert "PartitionFilters: [isnotnull(bucket" in opened[-1][1] or "PartitionFilters: [bucket" in opened[-1][1]
+    assert rows(state.read(keys=keys), "id", "price") == [(5, 7)]
+
+
+def test_loads_that_were_rolled_back_stay_out_of_what_follows(spark, tmp_path):
+    lake, paths = Lake(str(tmp_path / "lake")), three_days(tmp_path)
+    for n, path in enumerate(paths):
+        run_batch(spark, path, lake, loaded_at=datetime(2024, 2, 1, n + 1))
+    state = lake.state(spark)
+    state.rollback(datetime(2024, 2, 1, 2, 30), datetime(2024, 2, 1, 5))
+    assert {r[0] for r in rows(state.read(), "id")} == {1, 2, 3, 4}
+    write_day(tmp_path, "2024-01-01", product(1, 1))
+    run_batch(spark, paths[0], lake, loaded_at=datetime(2024, 2, 1, 6))
+    assert rows(state.read(), "id", "price") == [(1, 55), (2, 60), (3, 70), (4, 10)]
+    logged = rows(lake.read_history(spark).filter("run <> 'batch-2024-01-03'"), "id", "price", "run")
+    assert logged == [(1, 1, "batch-2024-01-01"), (1, 55, "batch-2024-01-02"), (2, 60, "batch-2024-01-02"), (4, 10, "batch-2024-01-02")]
+
+
 def test_counting_ids_equals_distinct_ids_on_a_state(spark):
     state = spark.createDataFrame([product(n, n + 1, n % 3, is_active=n % 2 == 0, crawl_date=date(2024, 1, 1)) for n in range(30)])
     for table in (gold.brand_performance, gold.discount_analysis):
