@@ -1,14 +1,16 @@
 """Licence scans by a positional index of rare words.
 
-Templates are licence notices as word sequences. The document frequency of every licence
-word is counted over the whole table; the fewer documents hold a word, the rarer it is. Of
-each template, the two rarest words of its mandatory key phrases are looked up in the file. It
-is a candidate where an occurrence of each agrees on the place in the file at which it would
-begin, and it is found there if all its key phrases stand in the file word for word at their
-places; as they hold both words, no such place is missed, whatever else the file has. Its
-coverage is the share of its words that stand at their places. Base phrases are templates that
-are one key phrase: each is looked up at every occurrence of its rarest word, so that all its
-places are found.
+Templates are licence notices and texts as word sequences. The document frequency of every
+licence word is counted over the whole table; the fewer documents hold a word, the rarer it is
+and the higher its inverse document frequency. The index maps each licence word to postings,
+(template, place) of its occurrences in the mandatory key phrases. A file's licence words are
+ranked from the rarest on and looked up. Of each template that they lead to, the two rarest of
+its words that the file holds are intersected by relative place: the template is a candidate
+where an occurrence of each agrees on the place in the file at which it would begin. It is found
+there if all its key phrases stand in the file word for word at their places; as a file without
+one of their words cannot hold them, no such place is missed, whatever else the file has. Its
+coverage is the share of its words that stand at their places. Base phrases are looked up at
+every occurrence of their rarest word, so that all their places are found.
 
 Everything works on arrays inside the row of a file, with built-in functions, so that no
 word of a file is ever shuffled and no frequent word can make a hot group. Only the counts
@@ -25,7 +27,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +35,6 @@ from lakeops.llm.registry import cleared, query, table
 
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: how many of a file's licence words the SQL looks up; the scan itself has no such limit
-RAREST = 8
 
 
 @dataclass(frozen=True)
@@ -104,10 +103,84 @@ TEMPLATES = (
     ),
     Template("cc-by-sa", "creative commons attribution sharealike", ("attribution sharealike",)),
     Template("cc0", "creative commons zero cc0 public domain dedication", ("public domain dedication",)),
+    Template(
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated"
+        " documentation files the software to deal in the software without restriction including without limitation"
+        " the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to"
+        " permit persons to whom the software is furnished to do so subject to the following conditions the above"
+        " copyright notice and this permission notice shall be included in all copies or substantial portions of the"
+        " software the software is provided as is without warranty of any kind express or implied including but not"
+        " limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no"
+        " event shall the authors or copyright holders be liable for any claim damages or other liability whether in"
+        " an action of contract tort or otherwise arising from out of or in connection with the software or the use"
+        " or other dealings in the software",
+        ("publish distribute sublicense and or sell copies", "copies or substantial portions of the software"),
+    ),
+    Template(
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that"
+        " the following conditions are met 1 redistributions of source code must retain the above copyright notice"
+        " this list of conditions and the following disclaimer 2 redistributions in binary form must reproduce the"
+        " above copyright notice this list of conditions and the following disclaimer in the documentation and or"
+        " other materials provided with the distribution this software is provided by the copyright holders and"
+        " contributors as is and any express or implied warranties including but not limited to the implied"
+        " warranties of merchantability and fitness for a particular purpose are disclaimed",
+        ("redistributions of source code must retain", "redistributions in binary form must reproduce"),
+    ),
+    Template(
+        "bsd-3-clause",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+        " products derived from this software without specific prior written permission",
+        ("endorse or promote products derived from this software", "specific prior written permission"),
+    ),
+    Template(
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance"
+        " with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless"
+        " required by applicable law or agreed to in writing software distributed under the license is distributed"
+        " on an as is basis without warranties or conditions of any kind either express or implied see the license"
+        " for the specific language governing permissions and limitations under the license",
+        ("required by applicable law or agreed to in writing", "specific language governing permissions"),
+    ),
+    Template(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby"
+        " granted provided that the above copyright notice and this permission notice appear in all copies the"
+        " software is provided as is and the author disclaims all warranties with regard to this software including"
+        " all implied warranties of merchantability and fitness in no event shall the author be liable for any"
+        " special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data"
+        " or profits whether in an action of contract negligence or other tortious action arising out of or in"
+        " connection with the use or performance of this software",
+        ("appear in all copies", "the author disclaims all warranties with regard to this software"),
+    ),
+    Template(
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held"
+        " liable for any damages arising from the use of this software permission is granted to anyone to use this"
+        " software for any purpose including commercial applications and to alter it and redistribute it freely"
+        " subject to the following restrictions",
+        ("the authors be held liable", "alter it and redistribute it freely"),
+    ),
+    Template(
+        "bsl-1.0",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software"
+        " and accompanying documentation covered by this license the software to use reproduce display distribute"
+        " execute and transmit the software and to prepare derivative works of the software",
+        ("any person or organization obtaining a copy", "accompanying documentation covered by this license"),
+    ),
+    Template(
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish"
+        " use compile sell or distribute this software either in source code form or as a compiled binary for any"
+        " purpose commercial or non commercial and by any means",
+        ("anyone is free to copy modify publish use compile sell", "as a compiled binary for any purpose"),
+    ),
 )
 # Words of the templates that are too common in any text to look up.
-COMMON = ("0", "2", "a", "and", "any", "are", "by", "can", "for", "in", "into", "is", "it", "of", "or", "the", "this")
-COMMON += ("to", "under", "use", "v", "with", "without", "you")
+COMMON = ("0", "1", "2", "a", "all", "an", "and", "any", "are", "as", "at", "be", "but", "by", "can", "for", "from", "in")
+COMMON += ("into", "is", "it", "its", "may", "must", "no", "nor", "not", "of", "on", "or", "out", "see", "so", "that")
+COMMON += ("the", "this", "to", "under", "use", "v", "whether", "will", "with", "without", "you")
 
 
 def words_of(text: Column) -> Column:
@@ -117,8 +190,18 @@ def words_of(text: Column) -> Column:
 
 def looked_up() -> list[str]:
     """All licence words that may be looked up: a fixed list."""
-    words = {w for t in TEMPLATES for w in t.words if w not in COMMON} | {w for _, p in BASE for w in p.split()}
-    return sorted(words)
+    return sorted(index() | {w: [] for _, p in BASE for w in p.split()})
+
+
+def index() -> dict[str, list[tuple[int, int]]]:
+    """The postings (template, place) of each word of the mandatory phrases."""
+    found: dict[str, list[tuple[int, int]]] = {}
+    for number, template in enumerate(TEMPLATES):
+        for at, key in template.places():
+            for i, word in enumerate(key):
+                if word not in COMMON:
+                    found.setdefault(word, []).append((number, at + i))
+    return found
 
 
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
@@ -130,15 +213,12 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> dict[str, i
     return {word: found.get(word, 0) for word in known}
 
 
-def stands(words: Column, start: Column, phrase: list[str]) -> Column:
+def stands(words: Column, start: Column, phrase: Column) -> Column:
     """Whether a phrase stands at a place, counted from 0."""
-    here = F.slice(words, start + 1, len(phrase)) == F.array(*map(F.lit, phrase))
+    here = F.slice(words, start + 1, F.size(phrase)) == phrase
     return F.when(start >= 0, here).otherwise(False)
 
 
-HITS = "array<struct<rank:int,p:int>>"
-
-
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with n_words, n_base, first_word, last_word, base_labels, labels and score.
 
@@ -158,66 +238,94 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
         licence_words, lambda h: F.struct(F.array_position(in_order, h["w"]).cast("int").alias("rank"), h["p"].alias("p"))
     )
     rows = docs.select(*kept, words_of(F.col(text_col)).alias("_words")).withColumn("_hits", hits)
-
+    # the file's licence words from the rarest on
+    ranked = F.array_sort(F.array_distinct(F.transform("_hits", lambda h: h["rank"])))
     places = [base_places(text.split(), rank).alias(f"_base{n}") for n, (_, text) in enumerate(BASE)]
-    rows = rows.select(*kept, "_words", *places, "_hits")
-    covers = [coverage(t, rank).alias(f"_cover{n}") for n, t in enumerate(TEMPLATES)]
+    rows = rows.select(*kept, "_words", "_hits", *places, ranked.alias("_ranked"))
+    rows = rows.withColumn("_covers", covers(order))
     bases = [f"_base{n}" for n in range(len(BASE))]
-    rows = rows.select(*kept, F.size("_words").alias("_n"), *bases, *covers)
+    rows = rows.select(*kept, F.size("_words").cast("long").alias("n_words"), F.concat(*bases).alias("_all"), *bases, "_covers")
 
-    base_labels = [F.when(F.size(b) > 0, label) for b, (label, _) in zip(bases, BASE, strict=True)]
-    labels = [F.when(F.col(f"_cover{n}") > 0, t.label) for n, t in enumerate(TEMPLATES)]
+    base_labels = F.array_compact(F.array(*(F.when(F.size(b) > 0, label) for b, (label, _) in zip(bases, BASE, strict=True))))
+    template_labels = F.array(*(F.lit(t.label) for t in TEMPLATES))
+    labels = F.transform(F.filter("_covers", lambda c: c["share"] > 0), lambda c: F.get(template_labels, c["t"]))
 
-    def listed(found: list[Column]) -> Column:
-        return F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*found)))), ",")
+    def listed(found: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(found)), ",")
 
-    everywhere = F.concat(*bases)
-    best = F.greatest(*(F.col(f"_cover{n}") for n in range(len(TEMPLATES))))
+    best = F.coalesce(F.array_max(F.transform("_covers", lambda c: c["share"])), F.lit(0.0))
     return rows.select(
         *kept,
-        F.col("_n").cast("long").alias("n_words"),
-        F.size(everywhere).cast("long").alias("n_base"),
-        F.array_min(everywhere).cast("long").alias("first_word"),
-        F.array_max(everywhere).cast("long").alias("last_word"),
+        "n_words",
+        F.size("_all").cast("long").alias("n_base"),
+        F.array_min("_all").cast("long").alias("first_word"),
+        F.array_max("_all").cast("long").alias("last_word"),
         listed(base_labels).alias("base_labels"),
-        listed(base_labels + labels).alias("labels"),
-        F.when(F.size(everywhere) > 0, 1.0).otherwise(best).alias("score"),
+        listed(F.concat(base_labels, labels)).alias("labels"),
+        F.when(F.size("_all") > 0, 1.0).otherwise(best).alias("score"),
     )
 
 
 def base_places(phrase: list[str], rank: dict[str, int]) -> Column:
     """All places of a phrase, from the occurrences of its rarest word."""
     rarest = min(phrase, key=rank.get)
-    starts = starts_of(rank[rarest], phrase.index(rarest))
-    return F.filter(starts, lambda s: stands(F.col("_words"), s, phrase))
+    hits = F.filter("_hits", lambda h: h["rank"] == rank[rarest])
+    starts = F.transform(hits, lambda h: h["p"] - phrase.index(rarest))
+    return F.filter(starts, lambda s: stands(F.col("_words"), s, F.array(*map(F.lit, phrase))))
 
 
-def starts_of(rank: int, at: int) -> Column:
-    """Where a text would begin that has the word of this rank at a place, for all its occurrences."""
-    return F.transform(F.filter("_hits", lambda h: h["rank"] == rank), lambda h: h["p"] - at)
+def covers(order: list[str]) -> Column:
+    """(t, share) of the templates that the file's words lead to: the best coverage, 0 where none is found."""
+    postings = index()
 
+    def lists(items: Iterable[Iterable[Column]], empty: str) -> Column:
+        return F.array(*(F.array(*of) if of else F.array().cast(empty) for of in map(list, items)))
 
-def coverage(template: Template, rank: dict[str, int]) -> Column:
-    """The best coverage of a template over the places where it is found; 0 if it is not found."""
-    mandatory = [(rank[w], at + i) for at, key in template.places() for i, w in enumerate(key) if w not in COMMON]
-    agreed = F.array_intersect(*(starts_of(*rarest) for rarest in sorted(mandatory)[:2]))
-    words = F.col("_words")
-    found = F.filter(
-        agreed, lambda s: reduce(lambda a, b: a & b, (stands(words, s + at, key) for at, key in template.places()))
+    posted = lists(
+        ([F.struct(F.lit(t).alias("t"), F.lit(at).alias("at")) for t, at in postings.get(w, [])] for w in order),
+        "array<struct<t:int,at:int>>",
+    )
+    texts = lists((map(F.lit, t.words) for t in TEMPLATES), "array<string>")
+    keys = lists(
+        (
+            [F.struct(F.lit(at).alias("at"), F.array(*map(F.lit, key)).alias("phrase")) for at, key in t.places()]
+            for t in TEMPLATES
+        ),
+        "array<struct<at:int,phrase:array<string>>>",
     )
+    words = F.col("_words")
 
-    def share(start: Column) -> Column:
-        held = (F.coalesce(F.get(words, start + i) == w, F.lit(False)).cast("int") for i, w in enumerate(template.words))
-        return reduce(lambda a, b: a + b, held) / len(template.words)
+    def of_template(rank: Column, t: Column) -> Column:
+        return F.filter(F.get(posted, rank - 1), lambda x: x["t"] == t)
 
-    return F.coalesce(F.array_max(F.transform(found, share)), F.lit(0.0))
+    def starts(rank: Column, t: Column) -> Column:
+        """Where the template would begin, for all occurrences of one of its words in the file."""
+        hits = F.filter("_hits", lambda h: h["rank"] == rank)
+        return F.flatten(
+            F.transform(hits, lambda h: F.transform(of_template(rank, t), lambda x: h["p"] - x["at"]))
+        )
 
+    def share(t: Column, start: Column) -> Column:
+        text = F.get(texts, t)
+        held = F.filter(F.sequence(F.lit(0), F.size(text) - 1), lambda i: F.coalesce(F.get(words, start + i) == F.get(text, i), F.lit(False)))
+        return F.size(held) / F.size(text)
 
-def scan_sql() -> str:
-    """The scan for DuckDB by the ``RAREST`` rarest words of a file; it needs ids that do not repeat.
+    def covered(t: Column) -> Column:
+        rarest = F.filter("_ranked", lambda r: F.size(of_template(r, t)) > 0)
+        agreed = F.array_intersect(starts(F.get(rarest, F.lit(0)), t), starts(F.get(rarest, F.lit(1)), t))
+        found = F.filter(
+            F.coalesce(agreed, F.array().cast("array<int>")),
+            lambda s: F.forall(F.get(keys, t), lambda k: stands(words, s + k["at"], k["phrase"])),
+        )
+        best = F.array_max(F.transform(found, lambda s: share(t, s)))
+        return F.struct(t.alias("t"), F.coalesce(best, F.lit(0.0)).alias("share"))
 
-    It loses templates of files with more different licence words, which the scan finds.
-    """
+    led = F.flatten(F.transform("_ranked", lambda r: F.transform(F.get(posted, r - 1), lambda x: x["t"])))
+    return F.transform(F.array_distinct(led), covered)
+
+
+def scan_sql() -> str:
+    """The scan for DuckDB, from every word of a mandatory phrase; it needs ids that do not repeat."""
 
     def text(value: str) -> str:
         return "'" + value + "'"
@@ -227,9 +335,7 @@ def scan_sql() -> str:
 
     base = ", ".join(f"({text(label)}, {listed(p.split())})" for label, p in BASE)
     templates = ", ".join(f"({n}, {text(t.label)}, {listed(t.words)})" for n, t in enumerate(TEMPLATES))
-    posts = ", ".join(
-        f"({n}, {text(w)}, {i})" for n, t in enumerate(TEMPLATES) for i, w in enumerate(t.words) if w not in COMMON
-    )
+    posts = ", ".join(f"({n}, {text(w)}, {i})" for w, places in index().items() for n, i in places)
     keys = ", ".join(f"({n}, {at}, {listed(key)})" for n, t in enumerate(TEMPLATES) for at, key in t.places())
     return rf"""
 WITH toks AS MATERIALIZED (
@@ -247,15 +353,8 @@ hits AS MATERIALIZED (
     SELECT h.doc_id, h.p, b.label
     FROM hits h JOIN base b ON h.word = b.phrase[1] JOIN toks k ON k.doc_id = h.doc_id
     WHERE k.w[h.p + 1 : h.p + len(b.phrase)] = b.phrase
-), frequency AS (
-    SELECT word, count(DISTINCT doc_id) AS n FROM hits GROUP BY word
-), rarest AS (
-    SELECT doc_id, word FROM (SELECT DISTINCT doc_id, word FROM hits) JOIN frequency USING (word)
-    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n, word) <= {RAREST}
 ), candidates AS (
-    SELECT h.doc_id, o.t, h.p - o.place AS s
-    FROM hits h JOIN rarest USING (doc_id, word) JOIN posts o ON o.word = h.word
-    GROUP BY ALL HAVING count(*) >= 2
+    SELECT DISTINCT h.doc_id, o.t, h.p - o.place AS s FROM hits h JOIN posts o ON o.word = h.word
 ), verified AS (
     SELECT c.doc_id, c.t, c.s
     FROM candidates c JOIN keys y ON y.t = c.t JOIN toks k ON k.doc_id = c.doc_id

@@ -6,7 +6,7 @@ import re
 import duckdb
 import pytest
 
-from lakeops.llm.licenses import BASE, COMMON, RAREST, TEMPLATES, looked_up, scan, scan_sql
+from lakeops.llm.licenses import BASE, COMMON, TEMPLATES, index, looked_up, scan, scan_sql
 
 DOCS = "doc_id long, text string"
 COLUMNS = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -18,19 +18,14 @@ def words_of(text):
 
 
 def brute(rows):
-    """The scan without an index but for the choice of the rarest words."""
-    content = [words_of(t) for _, t in rows]
-    known = set(looked_up())
-    frequency = {w: sum(w in c for c in content) for w in known}
+    """The scan without an index: every place where all key phrases of a template stand."""
     out = []
-    for words in content:
+    for words in (words_of(t) for _, t in rows):
         places = [(i, label) for label, p in BASE for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
-        rarest = set(sorted(set(words) & known, key=lambda w: (frequency[w], w))[:RAREST])
         covers, labels = [], {label for _, label in places}
         for t in TEMPLATES:
             for s in range(-len(t.words), len(words)):
-                agree = sum(1 for i, w in enumerate(t.words) if w not in COMMON and w in rarest and 0 <= s + i < len(words) and words[s + i] == w)
-                if agree >= 2 and all(s + at >= 0 and words[s + at : s + at + len(key)] == key for at, key in t.places()):
+                if all(s + at >= 0 and words[s + at : s + at + len(key)] == key for at, key in t.places()):
                     held = sum(1 for i, w in enumerate(t.words) if 0 <= s + i < len(words) and words[s + i] == w)
                     covers.append(held / len(t.words))
                     labels.add(t.label)
@@ -109,3 +104,9 @@ def test_templates_are_found_in_files_with_many_licence_words(spark):
     assert got[1] == ("apache-2.0,isc,mit", 1.0)
     assert got[2] == ("mit", 1.0)
     assert got[3] == got[0]
+
+
+def test_the_index_leads_to_every_place_of_every_mandatory_phrase():
+    for n, t in enumerate(TEMPLATES):
+        places = {(w, at + i) for at, key in t.places() for i, w in enumerate(key) if w not in COMMON}
+        assert {(w, at) for w, found in index().items() for k, at in found if k == n} == places
