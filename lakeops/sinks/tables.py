@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeops.sinks.files import existing_folders, remove_folders
 from lakeops.sources.catalog import existing
 
 Sink = Callable[[DataFrame], None]
@@ -23,15 +25,22 @@ def append_table(df: DataFrame, name: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
-def create_or_replace(df: DataFrame, name: str, folder: str) -> str:
+def create_or_replace(df: DataFrame, name: str, folder: str, keep: int = 2) -> str:
     """Write a new copy below ``folder``, then point the name at it.
 
     Readers see the old copy until the new one is whole. The name is a view, so the new
-    copy may have other columns. Returns the path of the new copy.
+    copy may have other columns. The newest ``keep`` copies stay, so that a query that began
+    on the copy before can end. Returns the path of the new copy.
     """
-    path = f"{folder.rstrip('/')}/copy-{uuid.uuid4().hex}"
+    if keep < 1:
+        raise ValueError("the copy in use has to stay")
+    spark = df.sparkSession
+    # names sort by the time of their copy
+    path = f"{folder.rstrip('/')}/copy-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     df.write.parquet(path)
-    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    copies = sorted(existing_folders(spark, f"{folder.rstrip('/')}/copy-*"))
+    remove_folders(spark, copies[:-keep])
     return path
 
 

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.guards import require_date, require_rows, require_table, require_unique
 from lakeops.plans import gold, reports
 from lakeops.plans.batch import run_all, run_batch, run_gold
 from lakeops.plans.lake import Lake
+from lakeops.plans.recovery import recover, recover_range
 from lakeops.schema import product_schema
 from lakeops.session import scratch_path
 from lakeops.sinks import files, tables
@@ -18,6 +21,7 @@ from lakeops.sources import files as sources
 from querybook import views
 from querybook.book import query
 from querybook.gold_queries import ALL_TABLES
+from querybook.sql_views import CHANGED
 
 
 @query(
@@ -269,6 +273,90 @@ def dated_files(spark, sf, label: str) -> tuple[Lake, list[str]]:
     return Lake(f"{root}/lake"), [f"{root}/in/file=products_raw_{date}.json" for date in dates]
 
 
+def write_corrected(spark, sf, folder: str, date: str) -> str:
+    """The file of one snapshot again, with some prices raised and some products missing."""
+    raw = views.products_raw(spark, sf)
+    year = F.year("crawl_date")
+    raw = raw.filter((year > 1996) & (year <= 1999) & (F.col("id") % 7 != 0))
+    raw = raw.withColumn("price", F.col("price") + F.when(F.col("id") % 5 == 0, 1).otherwise(0))
+    record = raw.drop("crawl_date", "loaded_at", "source_file", "l_orderkey", "l_linenumber", "l_suppkey")
+    path = f"{folder}/products_raw_{date}.json"
+    files.write_ndjson(record, path)
+    return path
+
+
+CORRECTED = """
+    SELECT * REPLACE (CAST(price + CASE WHEN crawl_date = DATE '1999-01-01' AND id % 5 = 0 THEN 1 ELSE 0 END AS BIGINT)
+                      AS price)
+    FROM (SELECTED) WHERE crawl_date <> DATE '1999-01-01' OR id % 7 <> 0"""
+
+
+def live_and_recovered(snapshots: str) -> str:
+    """SQL of log and state after all snapshots, the same for a live lake and for its recovery."""
+    return f"""
+    WITH snapshots AS (
+        SELECT * REPLACE (trim(brand_name) AS brand_name) FROM ({snapshots})
+        QUALIFY row_number() OVER (PARTITION BY id, crawl_date
+                                   ORDER BY {", ".join(c + " DESC NULLS LAST" for c in BEST)}) = 1),
+    cover AS (SELECT category_id, max(crawl_date) AS until FROM snapshots GROUP BY category_id),
+    both_parts AS (
+        SELECT 'state' AS part, id, price, original_price, discount_rate, crawl_date, until = crawl_date AS is_active
+        FROM snapshots JOIN cover USING (category_id)
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY crawl_date DESC) = 1
+        UNION ALL
+        SELECT 'log', id, price, original_price, discount_rate, crawl_date, true FROM snapshots
+        WINDOW h AS (PARTITION BY id ORDER BY crawl_date)
+        QUALIFY row_number() OVER h = 1 OR {CHANGED})
+    SELECT b.*, origin FROM both_parts b, (VALUES ('live'), ('recovered')) o(origin)"""
+
+
+def parts_of(spark, live: Lake, recovered: Lake):
+    """Log and state of two lakes, with their origin."""
+    columns = ["id", "price", "original_price", "discount_rate", "crawl_date", "is_active"]
+    found = []
+    for lake, origin in ((live, "live"), (recovered, "recovered")):
+        found.append(lake.state(spark).read().select(F.lit("state").alias("part"), *columns, F.lit(origin).alias("origin")))
+        found.append(lake.read_history(spark).select(F.lit("log").alias("part"), *columns, F.lit(origin).alias("origin")))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query("batch_repeat", live_and_recovered(CORRECTED.replace("SELECTED", SNAPSHOTS)))
+def _(spark, sf):
+    lake, paths = dated_files(spark, sf, "batch-repeat")
+    for path in paths:
+        run_batch(spark, path, lake, loaded_at=load_time(path))
+    again = write_corrected(spark, sf, f"{lake.root}/again", "1999-01-01")
+    run_batch(spark, again, lake, loaded_at=datetime(2002, 1, 1))
+    recovered = Lake(f"{lake.root}/recovered")
+    recover(spark, lake, recovered, skip_gold=True)
+    return parts_of(spark, lake, recovered)
+
+
+@query("batch_out_of_order", live_and_recovered(SNAPSHOTS))
+def _(spark, sf):
+    lake, paths = dated_files(spark, sf, "batch-order")
+    for hour, path in enumerate([paths[2], paths[0], paths[1]]):
+        run_batch(spark, path, lake, loaded_at=datetime(2002, 1, 1, hour))
+    recovered = Lake(f"{lake.root}/recovered")
+    recover(spark, lake, recovered, skip_gold=True)
+    return parts_of(spark, lake, recovered)
+
+
+@query("recover_range", live_and_recovered(CORRECTED.replace("SELECTED", SNAPSHOTS)).replace("'live'", "'range'"))
+def _(spark, sf):
+    # the raw rows of the middle day are corrected, log and state are not
+    lake, paths = dated_files(spark, sf, "recover-range")
+    for path in paths:
+        run_batch(spark, path, lake, loaded_at=load_time(path))
+    again = write_corrected(spark, sf, f"{lake.root}/again", "1999-01-01")
+    run_batch(spark, again, lake, layer="bronze", loaded_at=datetime(2002, 1, 1))
+    whole, part = Lake(f"{lake.root}/whole"), Lake(f"{lake.root}/part")
+    recover(spark, lake, whole, skip_gold=True)
+    recover_range(spark, lake, part, "1999-01-01", "1999-01-01", skip_gold=True)
+    found = parts_of(spark, part, whole)
+    return found.withColumn("origin", F.when(F.col("origin") == "live", "range").otherwise(F.col("origin")))
+
+
 def load_time(path: str) -> datetime:
     return datetime.combine(require_date(path), datetime.min.time())
 

@@ -13,7 +13,7 @@ from lakeops.operators.history import change_log
 from lakeops.plans import gold
 from lakeops.plans.batch import run_all, run_batch, run_gold
 from lakeops.plans.lake import Lake
-from lakeops.plans.recovery import recover
+from lakeops.plans.recovery import recover, recover_range
 from lakeops.schema import product_schema
 from lakeops.sinks import files, tables
 from lakeops.sinks.state import StateTable
@@ -316,6 +316,31 @@ def test_days_loaded_again_and_out_of_order(spark, tmp_path, renewed):
     assert rows(lake.state(spark).read(), "id", "is_active") == [(1, True), (2, False), (3, True), (4, False), (5, True), (6, False)]
 
 
+@pytest.mark.parametrize(("low", "high"), [(1, 1), (2, 2), (1, 2), (3, 3), (2, 3), (1, 3)])
+def test_a_range_is_put_back_among_the_other_days(spark, tmp_path, low, high):
+    lake, paths = Lake(str(tmp_path / "lake")), three_days(tmp_path)
+    for n, path in enumerate(paths):
+        run_batch(spark, path, lake, loaded_at=datetime(2024, 2, 1, n + 1))
+    for day in range(low, high + 1):
+        changed = write_day(tmp_path, f"2024-01-{day:02d}", product(1, 55), product(2, 60 + day), product(7, day, 2))
+        run_batch(spark, changed, lake, layer="bronze", loaded_at=datetime(2024, 2, 2, day))
+    whole, part = Lake(str(tmp_path / "whole")), Lake(str(tmp_path / "part"))
+    recover(spark, lake, whole, skip_gold=True)
+    plan = recover_range(spark, lake, part, f"2024-01-{low:02d}", f"2024-01-{high:02d}", skip_gold=True)
+    assert plan.count() == high - low + 1
+    for read in (lambda x: x.state(spark).read(), lambda x: x.read_history(spark).drop("run")):
+        assert rows(read(part), "id", "price", "is_active", "crawl_date") == rows(read(whole), "id", "price", "is_active", "crawl_date")
+
+
+def test_older_copies_of_a_replaced_table_go(spark, tmp_path):
+    for n in range(4):
+        tables.create_or_replace(spark.range(n), "often_replaced", str(tmp_path / "t"))
+    assert len(list((tmp_path / "t").glob("copy-*"))) == 2 and spark.table("often_replaced").count() == 3
+    with pytest.raises(ValueError, match="has to stay"):
+        tables.create_or_replace(spark.range(1), "often_replaced", str(tmp_path / "t"), keep=0)
+    tables.drop_tables(spark, ["often_replaced"], really=True)
+
+
 def test_bases_expire_and_later_states_stay(spark, tmp_path):
     state = StateTable(spark, str(tmp_path / "state"), StructType.fromDDL(STATE), buckets=4)
     moments = times(6)
