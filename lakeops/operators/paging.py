@@ -2,15 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_, or_
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 
 def page_of(df: DataFrame, order: list[str], page: int = 1, limit: int = 40) -> DataFrame:
-    """Rows of one page (from 1) under a total order."""
+    """Rows of one page (from 1) under a total order; all rows up to the page are sorted for it."""
     return df.orderBy(*order).offset((page - 1) * limit).limit(limit)
 
 
+SAMPLED = 30
+
+
+def deep_page(
+    df: DataFrame, order: list[str], page: int = 1, limit: int = 40, ranges: int | None = None, seed: int = 1
+) -> DataFrame:
+    """Rows of one page (from 1) under a total order, however deep; ``-name`` orders downwards.
+
+    A small sample gives the bounds of ``ranges`` ranges (by default one per shuffle partition),
+    a count per range tells which of them hold the page, and only the rows of these are sorted.
+    The bounds are values, so the ranges are the same whenever the rows are read; an uneven
+    sample makes uneven ranges and no other rows.
+    """
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in order]
+    names = list(dict.fromkeys(c.lstrip("-") for c in order))
+    total = df.count()
+    few = df.select(names)
+    if total > ranges * SAMPLED:
+        few = few.sample(ranges * SAMPLED / total, seed)
+    few = few.orderBy(*sort).limit(2 * ranges * SAMPLED).collect()
+    bounds = [few[len(few) * k // ranges] for k in range(1, ranges)] if few else []
+    number = reduce(lambda a, b: a + b, (after(b, order).cast("int") for b in bounds), F.floor(F.lit(0)))
+    sizes = {r[0]: r[1] for r in df.groupBy(number.alias("range")).agg(F.count("*")).collect()}
+    skip, before, wanted = (page - 1) * limit, 0, []
+    for n in sorted(sizes):
+        if before + sizes[n] > skip and before < skip + limit:
+            wanted.append((n, before))
+        before += sizes[n]
+    if not wanted:
+        return df.limit(0)
+    held = df.filter(number.isin([n for n, _ in wanted]))
+    return held.orderBy(*sort).offset(skip - wanted[0][1]).limit(limit)
+
+
+def after(bound: Row, order: list[str]) -> Column:
+    """Whether a row comes after a bound; NULL first upwards and last downwards."""
+    cases = []
+    same: list[Column] = []
+    for c in order:
+        name, value = c.lstrip("-"), F.lit(bound[c.lstrip("-")])
+        there = F.col(name)
+        if c.startswith("-"):
+            behind = F.coalesce(there < value, there.isNull() & value.isNotNull())
+        else:
+            behind = F.coalesce(there > value, there.isNotNull() & value.isNull())
+        cases.append(reduce(and_, [*same, behind]))
+        same.append(there.eqNullSafe(value))
+    return reduce(or_, cases)
+
+
 def page_summary(df: DataFrame, page: int = 1, limit: int = 40) -> DataFrame:
     """Current page, last page, rows per page and rows in total."""
     total = F.count(F.lit(1))

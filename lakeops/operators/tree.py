@@ -39,29 +39,48 @@ def leaves(edges: DataFrame, node: str = "id", parent: str = "parent_id", is_lea
     """Nodes marked as leaves or without children, not looking below a marked one.
 
     A walk that starts at the roots stops at a node that is marked, so what hangs below it
-    is no leaf of the tree, nor is a node that no root leads to. One join per level of the
-    marked nodes' subtrees; a tree whose marked nodes have no children needs one level.
+    is no leaf of the tree. Without a marked node that has children one join is enough.
     """
     parents = edges.select(F.col(parent).alias(node)).filter(F.col(node).isNotNull()).distinct()
     if is_leaf is None:
         return edges.join(parents, node, "left_anti").select(edges.columns)
     flag = F.coalesce(F.col(is_leaf), F.lit(False))
     marked = edges.join(parents.withColumn("_has_children", F.lit(True)), node, "left")
-    hidden = below(edges, marked.filter(flag & F.col("_has_children")).select(node), node, parent)
-    open_nodes = marked.join(hidden, node, "left_anti")
-    return open_nodes.filter(F.col("_has_children").isNull() | flag).select(edges.columns)
+    inner = marked.filter("_has_children").select(F.col(node).alias("_node"), F.col(parent).alias("_up"), F.when(flag, True).alias("_own"))
+    found = marked.filter(F.col("_has_children").isNull() | flag)
+    if not inner.filter("_own").isEmpty():
+        above = nearest_above(inner).filter("_found").select(F.col("_node").alias("_hidden_by"))
+        found = found.join(above, F.col(parent) == F.col("_hidden_by"), "left_anti")
+    return found.select(edges.columns)
 
 
-def below(edges: DataFrame, tops: DataFrame, node: str = "id", parent: str = "parent_id") -> DataFrame:
-    """The nodes under the given ones, level by level until no new one is found."""
-    links = edges.select(F.col(node).alias("_node"), F.col(parent).alias("_up"))
-    level = checkpointed(tops.select(F.col(node).alias("_top")).distinct())
-    found = level.limit(0)
-    while not level.isEmpty():
-        under = links.join(level, F.col("_up") == F.col("_top")).select(F.col("_node").alias("_top")).distinct()
-        level = checkpointed(under.join(found, "_top", "left_anti"))
-        found = checkpointed(found.unionByName(level))
-    return found.withColumnRenamed("_top", node)
+def nearest_above(inner: DataFrame) -> DataFrame:
+    """For every node of (_node, _up, _own): the nearest ``_own`` of itself and the nodes above it.
+
+    Each round every node jumps to where the node it points to points, and takes over what that
+    one has found, so that the way to the root halves: about log2(depth) joins. Returns
+    (_node, _found, _whole); ``_whole`` is false for nodes that no root leads to, those of a
+    cycle among them. A node with several parents raises an error.
+    """
+    if not inner.groupBy("_node").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        raise ValueError("the tree has a cycle, or a node with several parents")
+    state = inner.select("_node", F.col("_up").alias("_jump"), F.col("_own").alias("_found"), F.col("_up").isNull().alias("_whole"))
+    state = checkpointed(state)
+    # a way that is longer than there are nodes goes round in a cycle
+    for _ in range(state.count().bit_length() + 1):
+        if state.filter("_jump is not null").isEmpty():
+            break
+        there = state.select(F.col("_node").alias("_at"), F.col("_jump").alias("_next"), F.col("_found").alias("_theirs"), F.col("_whole").alias("_there"))
+        on_the_way = F.col("_jump").isNotNull()
+        state = checkpointed(
+            state.join(there, F.col("_jump") == F.col("_at"), "left").select(
+                "_node",
+                F.col("_next").alias("_jump"),
+                F.coalesce("_found", "_theirs").alias("_found"),
+                F.when(on_the_way, F.coalesce("_there", F.lit(False))).otherwise(F.col("_whole")).alias("_whole"),
+            )
+        )
+    return state.select("_node", "_found", (F.col("_whole") & F.col("_jump").isNull()).alias("_whole"))
 
 
 def leaves_under(
@@ -74,27 +93,15 @@ def leaves_under(
 ) -> DataFrame:
     """Leaves below the named categories, each with the name of the nearest one above it.
 
-    Only inner nodes are walked, one join per level; the leaves, nearly all of the
-    tree, join once at the end. Each level is checkpointed, so the plan of a level does
-    not repeat the levels above it. A walk from the roots cannot enter a cycle, unless a
-    node has several parents; then a node that comes again raises an error.
+    Only inner nodes are walked, in about log2(depth) joins; the leaves, nearly all of the
+    tree, join once at the end. Nodes that no root leads to, such as those of a cycle, have
+    no leaves here; an inner node with several parents raises an error.
     """
     leaf = F.coalesce(F.col(is_leaf), F.lit(False))
     chosen = F.when(F.col(name).isin(root_names), F.col(name))
     inner = edges.filter(~leaf).select(F.col(node).alias("_node"), F.col(parent).alias("_up"), chosen.alias("_own"))
-
-    level = checkpointed(inner.filter("_up is null").select("_node", F.col("_own").alias("_main")))
-    resolved = level
-    while True:
-        above = level.select(F.col("_node").alias("_up"), F.col("_main").alias("_above"))
-        level = checkpointed(inner.join(above, "_up").select("_node", F.coalesce("_own", "_above").alias("_main")))
-        if level.isEmpty():
-            break
-        if not level.join(resolved, "_node", "left_semi").isEmpty():
-            raise ValueError("the tree has a cycle, or a node with several parents")
-        resolved = resolved.unionByName(level)
-
-    mains = resolved.filter("_main is not null").select(F.col("_node").alias("_up"), F.col("_main").alias("_above"))
+    found = nearest_above(inner).filter(F.col("_whole") & F.col("_found").isNotNull())
+    mains = found.select(F.col("_node").alias("_up"), F.col("_found").alias("_above"))
     main = F.coalesce(chosen, F.col("_above"))
     return (
         edges.filter(leaf)

@@ -15,6 +15,7 @@ from lakeops.operators.clean import clean_records, stamp_batch
 from lakeops.operators.history import change_log
 from lakeops.operators.latest import latest_by
 from lakeops.plans.gold import gold_tables
+from lakeops.plans.gold_parts import GoldParts
 from lakeops.plans.lake import Lake
 from lakeops.schema import product_schema
 from lakeops.sinks.files import append_run, remove_folders, run_folder, staged_for_a_while, write_bronze
@@ -40,7 +41,14 @@ def load_bronze(
     write_bronze(latest_by(stamped, ["id", "crawl_date"], []), lake.bronze, many_days=True)
 
 
-def load_silver(spark: SparkSession, day: date, lake: Lake, run: str, at: datetime | None = None) -> None:
+def load_silver(
+    spark: SparkSession,
+    day: date,
+    lake: Lake,
+    run: str,
+    at: datetime | None = None,
+    parts: GoldParts | None = None,
+) -> None:
     """The batch rows of one day into the state, as a full snapshot, and their changes into the price log.
 
     The snapshot is written first and read back, so it is cleaned once; changes are found
@@ -54,8 +62,16 @@ def load_silver(spark: SparkSession, day: date, lake: Lake, run: str, at: dateti
     newest = state.newest_day(without=run)
     if newest is not None and newest > day:
         log_again(spark, lake, day)
+        if parts:
+            parts.rebuild(state.read(), lake.read_history(spark))
     else:
-        append_run(detect_changes(state.rows_of(run), state.read(without=run)), lake.history, run)
+        snapshot, before = state.rows_of(run), state.read(without=run)
+        append_run(detect_changes(snapshot, before), lake.history, run)
+        if parts:
+            logged = lake.read_history(spark).filter(F.col("run") == run)
+            parts.add(run, snapshot, before.join(snapshot.select("id"), "id", "left_semi"), logged)
+    if parts:
+        parts.add_days([day])
 
 
 def log_again(spark: SparkSession, lake: Lake, since: date) -> None:
@@ -91,8 +107,9 @@ def run_batch(
     run: str | None = None,
     loaded_at: datetime | None = None,
     own_dates: bool = False,
+    keep_gold: bool = False,
 ) -> None:
-    """Load one file; ``layer`` is bronze, silver or all.
+    """Load one file; ``layer`` is bronze, silver or all. With ``keep_gold`` the sums of the aggregates follow.
 
     A run is named after its day, so that repeating it replaces what it wrote; several loads
     of one day that shall all stay in the price log need a ``run`` name each.
@@ -105,7 +122,8 @@ def run_batch(
         require_rows(read_records(spark, path), path)
         load_bronze(spark, path, lake, loaded_at, own_dates)
     if layer != "bronze":
-        load_silver(spark, day, lake, run or f"batch-{day}", loaded_at)
+        parts = GoldParts(spark, lake) if keep_gold else None
+        load_silver(spark, day, lake, run or f"batch-{day}", loaded_at, parts)
 
 
 def write_gold(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.dates import day
@@ -125,3 +125,28 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def footer_counts(spark: SparkSession, paths: dict[str, str], column: str | None = None) -> DataFrame:
+    """(table_name, row_count) of Parquet tables, and least and greatest value of a column, from file footers.
+
+    The reader takes rows and extremes from the footers and reads no column.
+    """
+    option = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(option)
+    # the aggregate goes down to the reader of the newer interface only
+    spark.conf.set(option, ",".join(s for s in before.split(",") if s != "parquet"))
+    try:
+        tables = {name: spark.read.parquet(path) for name, path in paths.items()}
+    finally:
+        spark.conf.set(option, before)
+    if column is None:
+        return table_counts(tables)
+    return reduce(
+        DataFrame.unionByName,
+        (
+            df.agg(F.count(F.lit(1)).alias("row_count"), F.min(column).alias("least"), F.max(column).alias("greatest"))
+            .select(F.lit(name).alias("table_name"), "row_count", "least", "greatest")
+            for name, df in tables.items()
+        ),
+    )

@@ -18,6 +18,11 @@ RUNTIME_OPTIONS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # a batch of whole texts has to fit beside the heap
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    # so have the rows that the Parquet reader decodes at a time
+    "spark.sql.parquet.columnarReaderBatchSize": "1024",
+    # counts and extremes of whole files come from their footers where the reader can do that
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 SESSION_OPTIONS = {
     "spark.ui.enabled": "false",

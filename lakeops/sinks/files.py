@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from lakeops.session import scratch_path
 
 
-def _overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+def write_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+    """Replace the partitions of ``by`` that are present in ``df``."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*by).parquet(path)
 
@@ -26,7 +27,7 @@ def write_bronze(df: DataFrame, path: str, ingest: str = "batch", many_days: boo
     """
     if many_days:
         df = df.hint("rebalance", "crawl_date")
-    _overwrite_partitions(df.withColumn("ingest", F.lit(ingest)), path, ["crawl_date", "ingest"])
+    write_partitions(df.withColumn("ingest", F.lit(ingest)), path, ["crawl_date", "ingest"])
 
 
 def run_folder(path: str, run: str) -> str:

@@ -25,6 +25,15 @@ def append_table(df: DataFrame, name: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
+def bucketed_table(df: DataFrame, name: str, folder: str, key: str, buckets: int) -> None:
+    """A table of the catalogue, new or in place of an older one, whose files are split and sorted by key.
+
+    Joins and groups by ``key`` over tables of as many buckets need no shuffle of either.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+    writer.bucketBy(buckets, key).sortBy(key).option("path", folder).saveAsTable(name)
+
+
 def create_or_replace(df: DataFrame, name: str, folder: str, keep: int = 2) -> str:
     """Write a new copy below ``folder``, then point the name at it.
 

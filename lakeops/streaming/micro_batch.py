@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lakeops.operators.changes import detect_changes, drop_stale
 from lakeops.operators.clean import clean_records, split_errors, stamp_events
 from lakeops.operators.latest import latest_by
+from lakeops.plans.gold_parts import GoldParts
 from lakeops.plans.lake import Lake
 from lakeops.schema import SPEED_COLUMNS
 from lakeops.sinks.files import append_run, epoch_name, write_bronze
@@ -33,6 +34,7 @@ def medallion_handler(
     before_last: Callable[[int], None] | None = None,
     renew_every: int | None = 500,
     longest_load: timedelta = timedelta(hours=6),
+    keep_gold: bool = False,
 ) -> Handler:
     """A micro-batch function that may be repeated for the same epoch.
 
@@ -51,7 +53,8 @@ def medallion_handler(
     so that what an epoch reads does not grow with the age of the stream; a load of any kind has
     to be done within that time.
 
-    ``speed_sinks`` also receive the speed rows of every epoch; one that only appends, such as a
+    With ``keep_gold`` the sums of the aggregates over products and log follow every epoch; the
+    summaries of days are left to ``GoldParts.add_days``. ``speed_sinks`` also receive the speed rows of every epoch; one that only appends, such as a
     database table, gets them again when an epoch is repeated, and can tell by their ``run``.
     ``before_last`` is called with the epoch before its last write.
     """
@@ -89,6 +92,9 @@ def medallion_handler(
                     for order_by in ("crawl_date", *([newer_by] if newer_by else [])):
                         cleaned = drop_stale(cleaned, current, order_by)
                     append_run(detect_changes(cleaned, current), lake.history, run)
+                    if keep_gold:
+                        logged = lake.read_history(batch.sparkSession).filter(F.col("run") == run)
+                        GoldParts(batch.sparkSession, lake).add(run, cleaned, current, logged)
                     if before_last:
                         before_last(epoch)
                     state.append(cleaned, run, now, may_be_repeated=not seen or epoch in seen)

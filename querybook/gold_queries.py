@@ -250,3 +250,15 @@ def _(spark, sf):
     daily = staged(views.products_daily(spark, sf), "daily")
     tables = gold.gold_tables(replay_state(daily), change_log(daily), views.products_raw(spark, sf))
     return reports.table_counts(tables)
+
+
+@query(
+    "footer_counts",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, min({c}) AS least, max({c}) AS greatest FROM {t}"
+        for t, c in (("orders", "o_orderkey"), ("part", "p_partkey"))
+    ),
+)
+def _(spark, sf):
+    counted = [reports.footer_counts(spark, {t: f"{sf}/{t}.parquet"}, c) for t, c in (("orders", "o_orderkey"), ("part", "p_partkey"))]
+    return counted[0].unionByName(counted[1])

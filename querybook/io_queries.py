@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakeops.guards import require_date, require_rows, require_table, require_unique
 from lakeops.plans import gold, reports
 from lakeops.plans.batch import run_all, run_batch, run_gold
+from lakeops.plans.gold_parts import GoldParts
 from lakeops.plans.lake import Lake
 from lakeops.plans.recovery import recover, recover_range
 from lakeops.schema import product_schema
@@ -357,10 +358,6 @@ def _(spark, sf):
     return found.withColumn("origin", F.when(F.col("origin") == "live", "range").otherwise(F.col("origin")))
 
 
-def load_time(path: str) -> datetime:
-    return datetime.combine(require_date(path), datetime.min.time())
-
-
 LOADED = f"""
     WITH snapshots AS (
         SELECT * REPLACE (trim(brand_name) AS brand_name) FROM ({SNAPSHOTS})
@@ -370,6 +367,80 @@ LOADED = f"""
                 QUALIFY row_number() OVER (PARTITION BY id ORDER BY crawl_date DESC) = 1)"""
 
 
+def kept_gold(spark, sf, label: str) -> dict[str, DataFrame]:
+    """Aggregates kept through three loads, the last one repeated with other data and then as it was."""
+    lake, paths = dated_files(spark, sf, label)
+    for path in paths:
+        run_batch(spark, path, lake, loaded_at=load_time(path), keep_gold=True)
+    again = views.with_part(spark, sf, views.load_rows(spark, sf).filter("id % 3 = 0").withColumn("price", F.col("price") + 9))
+    folder = f"{lake.root}/again/products_raw_2001-01-01.json"
+    files.write_ndjson(again.select(*product_schema().fieldNames()), folder)
+    for path, hour in ((folder, 1), (paths[2], 2)):
+        run_batch(spark, path, lake, loaded_at=datetime(2001, 1, 1, hour), keep_gold=True)
+    return GoldParts(spark, lake).tables()
+
+
+@query(
+    "gold_kept_products",
+    LOADED
+    + """
+    SELECT 'brand' AS kind, category_id, category_name, brand_name, count(*) AS products,
+           CAST(sum(quantity_sold) AS BIGINT) AS measure, round(avg(price), 0) AS avg_price,
+           round(avg(discount_rate), 1) AS avg_rate, round(avg(rating_average), 2) AS other, max(crawl_date) AS last_updated
+    FROM current WHERE brand_name NOT IN ('', 'No Brand') AND quantity_sold > 0 GROUP BY ALL
+    UNION ALL
+    SELECT 'discount', category_id, category_name, brand_name, count(*), max(discount_rate), round(avg(price), 0),
+           round(avg(discount_rate), 1), round(avg(original_price), 0), max(crawl_date)
+    FROM current WHERE discount_rate > 0 GROUP BY ALL""",
+)
+def _(spark, sf):
+    tables_of = kept_gold(spark, sf, "kept-products")
+    group = ["category_id", "category_name", "brand_name"]
+    brand = tables_of["brand_performance"].select(
+        F.lit("brand").alias("kind"), *group, F.col("total_products").alias("products"),
+        F.col("total_quantity_sold").alias("measure"), "avg_price", F.col("avg_discount_rate").alias("avg_rate"),
+        F.col("avg_rating").alias("other"), "last_updated",
+    )
+    discount = tables_of["discount_analysis"].select(
+        F.lit("discount").alias("kind"), *group, F.col("product_count").alias("products"),
+        F.col("max_discount_rate").cast("bigint").alias("measure"), F.col("avg_current_price").alias("avg_price"),
+        F.col("avg_discount_rate").alias("avg_rate"), F.col("avg_original_price").alias("other"), "last_updated",
+    )
+    return brand.unionByName(discount)
+
+
+@query(
+    "gold_kept_days",
+    LOADED
+    + f"""
+    , logged AS (SELECT * FROM snapshots WINDOW h AS (PARTITION BY id ORDER BY crawl_date)
+                 QUALIFY row_number() OVER h = 1 OR {CHANGED})
+    SELECT crawl_date, category_id, count(*) AS products, round(avg(price), 0) AS avg_price,
+           round(avg(discount_rate), 1) AS avg_rate, min(price) AS lowest, max(price) AS highest
+    FROM logged GROUP BY crawl_date, category_id, category_name
+    UNION ALL
+    SELECT crawl_date, NULL, count(*), round(avg(price), 0), round(avg(discount_rate), 1),
+           count(DISTINCT brand_name), CAST(sum(quantity_sold) AS BIGINT)
+    FROM snapshots GROUP BY crawl_date""",
+)
+def _(spark, sf):
+    tables_of = kept_gold(spark, sf, "kept-days")
+    trend = tables_of["price_trend"].select(
+        "crawl_date", "category_id", F.col("total_price_changes").alias("products"), F.col("avg_new_price").alias("avg_price"),
+        F.col("avg_new_discount_rate").alias("avg_rate"), F.col("min_new_price").alias("lowest"), F.col("max_new_price").alias("highest"),
+    )
+    days = tables_of["daily_summary"].select(
+        "crawl_date", F.lit(None).cast("int").alias("category_id"), F.col("total_products").alias("products"), "avg_price",
+        F.col("avg_discount_rate").alias("avg_rate"), F.col("total_brands").alias("lowest"),
+        F.col("total_quantity_sold").alias("highest"),
+    )
+    return trend.unionByName(days)
+
+
+def load_time(path: str) -> datetime:
+    return datetime.combine(require_date(path), datetime.min.time())
+
+
 @query(
     "pipeline_batch",
     LOADED

@@ -287,6 +287,23 @@ def _(spark, sf):
     return paging.page_of(rows, [F.col("price").desc(), F.col("id")], page=2, limit=10)
 
 
+@query(
+    "page_deep",
+    """
+    WITH placed AS (
+        SELECT id, price, l_orderkey, l_linenumber, count(*) OVER () AS n,
+               row_number() OVER (ORDER BY price DESC, id, l_orderkey DESC, l_linenumber, l_suppkey, quantity_sold) AS place
+        FROM products_raw)
+    SELECT id, price, l_orderkey, l_linenumber FROM placed
+    WHERE place > n * 9 // 10 // 40 * 40 AND place <= n * 9 // 10 // 40 * 40 + 40""",
+)
+def _(spark, sf):
+    rows = views.load_rows(spark, sf)
+    page = rows.count() * 9 // 10 // 40 + 1
+    order = ["-price", "id", "-l_orderkey", "l_linenumber", "l_suppkey", "quantity_sold"]
+    return paging.deep_page(rows, order, page).select("id", "price", "l_orderkey", "l_linenumber")
+
+
 @query(
     "page_summary",
     """

@@ -13,6 +13,7 @@ from lakeops.operators.merge import delete_where, upsert, upsert_columns
 from lakeops.plans.recovery import plan_recovery
 from lakeops.session import scratch_path
 from lakeops.sinks.state import StateTable
+from lakeops.sinks.tables import bucketed_table
 from querybook import views
 from querybook.book import query
 from querybook.sql_views import TIE
@@ -93,6 +94,21 @@ def _(spark, sf):
     return upsert(state, batch, snapshot_scope="category_id", on_duplicate="unique").select(CHECKED)
 
 
+@query("merge_bucketed", full_join("CASE WHEN s.id IS NULL THEN t.# ELSE s.# END"))
+def _(spark, sf):
+    state, batch = bucketed(spark, sf)
+    return upsert(state, batch, on_duplicate="unique").select(CHECKED)
+
+
+def bucketed(spark, sf):
+    """State and batch as tables that are split and sorted by product."""
+    folder = scratch_path(spark, "bucketed")
+    label = folder.rsplit("-", 1)[-1]
+    for part, rows in (("state", views.state_before(spark, sf)), ("batch", views.last_batch(spark, sf))):
+        bucketed_table(rows, f"querybook_{part}_{label}", f"{folder}/{part}", "id", 8)
+    return (spark.table(f"querybook_{part}_{label}") for part in ("state", "batch"))
+
+
 PARTIAL = ["price", "discount_rate", "rating_average", "review_count", "quantity_sold"]
 
 

@@ -18,7 +18,7 @@ from lakeops.sinks.files import to_messages, write_ndjson
 from lakeops.sources.files import read_records
 from lakeops.sources.messages import decode, drain, file_messages
 from lakeops.streaming.micro_batch import medallion_handler
-from lakeops.streaming.run import start
+from lakeops.streaming.run import start, without_repeats
 from querybook import views
 from querybook.book import query
 
@@ -83,6 +83,33 @@ def _(spark, sf):
     return events_by_type(spark.read.parquet(lake.speed))
 
 
+REPEATED = ["id", "name", "price", "discount_rate", "quantity_sold", "_event_type"]
+
+
+@query(
+    "stream_repeated",
+    f"""
+    SELECT 'speed' AS part, {", ".join(REPEATED)} FROM stream_events
+    UNION ALL SELECT 'log', id, name, price, discount_rate, quantity_sold, NULL FROM stream_log""",
+)
+def _(spark, sf):
+    # a third of an epoch's messages come again in each later one, every run resuming from the checkpoint
+    root = scratch_path(spark, "stream-repeated")
+    lake = Lake(f"{root}/lake")
+    handler = medallion_handler(lake, order=["event_id"], event_only=["event_id"], error="_error")
+    all_events = views.stream_events(spark, sf)
+    for epoch in range(EPOCHS):
+        events = all_events.filter((F.col("epoch") == epoch) | (F.col("epoch") < epoch) & (F.col("event_id") % 3 == 0))
+        timed = to_messages(events.drop("epoch")).withColumn("timestamp", F.to_timestamp(F.get_json_object("value", "$.crawl_date")))
+        timed.write.mode("append").parquet(f"{root}/in")
+        decoded = decode(file_messages(spark, f"{root}/in"), event_schema({"event_id": "long"}), error="_error")
+        once = without_repeats(decoded, ["event_id"], within="60 days")
+        start(once, handler, f"{root}/checkpoint", every=None).awaitTermination()
+    speed = spark.read.parquet(lake.speed).select(F.lit("speed").alias("part"), *REPEATED)
+    log = lake.read_history(spark).withColumn("_event_type", F.lit(None).cast("string"))
+    return speed.unionByName(log.select(F.lit("log").alias("part"), *REPEATED))
+
+
 STATE = ["id", "name", "price", "original_price", "discount", "discount_rate", "quantity_sold", "category_id", "crawl_date"]
 
 

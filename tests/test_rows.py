@@ -13,6 +13,7 @@ from lakeops.functions.pricing import in_thousands, popularity_score
 from lakeops.functions.text import clean_name, price_move
 from lakeops.guards import require_date, require_rows, require_table
 from lakeops.operators import clean, nested, paging, tree
+from lakeops.session import checkpointed
 from tests.conftest import rows
 
 
@@ -151,3 +152,26 @@ def test_guards(spark):
         require_date("x.json")
     with pytest.raises(ValueError):
         require_date("x_2024-13-11.json")
+
+
+def test_deep_pages_equal_shallow_ones(spark):
+    data = [((n * 37) % 50 if n % 9 else None, f"k{n % 7}", n) for n in range(700)]
+    frame = spark.createDataFrame(data, "a int, b string, c int").repartition(5)
+    sort = [F.col("a").desc(), F.col("b"), F.col("c")]
+    for page in (1, 2, 9, 17, 18, 40):
+        deep = paging.deep_page(frame, ["-a", "b", "c"], page, 40, ranges=6)
+        assert deep.collect() == frame.orderBy(*sort).offset((page - 1) * 40).limit(40).collect()
+    up = paging.deep_page(frame, ["a", "-b", "c"], 3, 40, ranges=9).collect()
+    assert up == frame.orderBy("a", F.col("b").desc(), "c").offset(80).limit(40).collect()
+    assert paging.deep_page(frame.filter("c < 0"), ["c"], 1).collect() == []
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    chain = [(str(i), str(i - 1) if i else None, f"n{i}", False) for i in range(1000)] + [("leaf", "999", "leaf", True)]
+    edges = spark.createDataFrame(chain, "id string, parent_id string, name string, is_leaf boolean")
+    rounds = []
+    monkeypatch.setattr(tree, "checkpointed", lambda df: rounds.append(1) or checkpointed(df))
+    assert rows(tree.leaves_under(edges, ["n3", "n700"])) == [("leaf", "leaf", "n700")]
+    assert len(rounds) <= 12
+    lost = spark.createDataFrame([("x", "gone", "n", False), ("y", "x", "y", True)], edges.schema)
+    assert tree.leaves_under(lost, ["n"]).count() == 0
