@@ -10,6 +10,7 @@ from lakeops.functions.dates import last_date_in_path, safe_date
 from lakeops.functions.listing import units_sold
 from lakeops.operators.latest import latest_by
 from lakeops.schema import product_schema
+from lakeops.sources.json_arrays import array_elements
 
 # Text defaults of a record loaded from a shard.
 SHARD_TEXT_DEFAULTS = ["brand_name", "thumbnail_url", "category_name", "crawl_date"]
@@ -34,17 +35,19 @@ def read_records(
 def read_json_arrays(spark: SparkSession, path: str | list[str], record: StructType) -> DataFrame:
     """Rows (file, position, record) of files that hold one JSON array each; ``file`` is the whole path.
 
-    Files whose root is something else give no rows, and neither do files that cannot be
-    read to their end; ``broken_json_arrays`` has the latter. Positions rise along a file.
-    An array cannot be split, so a file is parsed by one task, element by element; many
-    files are parsed side by side.
+    Files whose root is something else give no rows, and neither do files that end before their
+    array does; ``broken_json_arrays`` has the latter. A file is read by as many tasks as it has
+    blocks. Positions rise along a file. An element that is no JSON by itself gives no row; a
+    field of the wrong type is NULL while the others stay.
     """
-    parsed = _array_elements(spark, path, record)
-    return parsed.filter(~_lost(record)).select("file", "position", F.struct(*record.fieldNames()).alias("record"))
+    schema = StructType(list(record.fields)).add("_bad", "string")
+    parsed = F.from_json("text", schema, {"columnNameOfCorruptRecord": "_bad"}).alias("r")
+    rows = array_elements(spark, path).select("file", "position", parsed).select("file", "position", "r.*")
+    return rows.filter(~_lost(record)).select("file", "position", F.struct(*record.fieldNames()).alias("record"))
 
 
 def broken_json_arrays(spark: SparkSession, path: str | list[str], record: StructType) -> DataFrame:
-    """Rows (file, text) of array files that are cut off or otherwise no JSON: nothing of them is read."""
+    """Rows (file, text) of array files that are cut off or otherwise no JSON, each read by one task."""
     return _array_elements(spark, path, record).filter(_lost(record)).select("file", F.col("_bad").alias("text"))
 
 
