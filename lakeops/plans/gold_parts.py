@@ -52,10 +52,13 @@ def product_sums(rows: DataFrame, sign: int = 1) -> DataFrame:
     return graded.groupBy(*GRAIN).agg(*((F.sum(m) * sign).alias(name) for name, m in _measures().items()))
 
 
+def summed(sums: DataFrame) -> DataFrame:
+    return sums.groupBy(*GRAIN).agg(*(F.sum(name).alias(name) for name in _measures()))
+
+
 def added_up(sums: DataFrame) -> DataFrame:
-    """One row per group and grain, without those whose rows have all been replaced."""
-    whole = sums.groupBy(*GRAIN).agg(*(F.sum(name).alias(name) for name in _measures()))
-    return whole.filter("products <> 0")
+    """One row per group and grain over all loads, without those whose rows have all been replaced."""
+    return summed(sums).filter("products <> 0")
 
 
 def _mean(total: str, count: str, digits: int) -> Column:
@@ -150,7 +153,8 @@ class GoldParts:
     def add(self, run: str, new: DataFrame, replaced: DataFrame, logged: DataFrame) -> None:
         """The sums of one load: its rows, the rows of the state that they replace, and its rows of the log."""
         here = self._generation()
-        append_run(added_up(product_sums(new).unionByName(product_sums(replaced, -1))), f"{here}/products", run)
+        # rows may change without a change of their number, so nothing is left out here
+        append_run(summed(product_sums(new).unionByName(product_sums(replaced, -1))), f"{here}/products", run)
         append_run(trend_sums(logged), f"{here}/trends", run)
 
     def add_days(self, days: list[date]) -> None:

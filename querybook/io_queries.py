@@ -578,3 +578,60 @@ def _(spark, sf):
         except ValueError:
             outcome.append((name, False))
     return spark.createDataFrame(outcome, "guard STRING, passed BOOLEAN")
+
+
+def recovered_gold(spark, sf, label: str) -> None:
+    """The aggregates that a recovery writes, as tables of the catalogue, over three dated files loaded as raw rows only."""
+    lake, paths = dated_files(spark, sf, label)
+    for path in paths:
+        run_batch(spark, path, lake, layer="bronze", loaded_at=load_time(path))
+    recover(spark, lake, Lake(f"{lake.root}/recovered"))
+
+
+@query(
+    "recover_gold_products",
+    LOADED
+    + """
+    SELECT 'brand' AS kind, category_id, category_name, brand_name, count(*) AS products,
+           CAST(sum(quantity_sold) AS BIGINT) AS measure, round(avg(price), 0) AS avg_price, max(crawl_date) AS last_updated
+    FROM current WHERE brand_name NOT IN ('', 'No Brand') AND quantity_sold > 0 GROUP BY ALL
+    UNION ALL
+    SELECT 'discount', category_id, category_name, brand_name, count(*), max(discount_rate), round(avg(price), 0), max(crawl_date)
+    FROM current WHERE discount_rate > 0 GROUP BY ALL""",
+)
+def _(spark, sf):
+    recovered_gold(spark, sf, "recover-gold-products")
+    group = ["category_id", "category_name", "brand_name"]
+    brand = spark.table("gold_brand_performance").select(
+        F.lit("brand").alias("kind"), *group, F.col("total_products").alias("products"),
+        F.col("total_quantity_sold").alias("measure"), "avg_price", "last_updated",
+    )
+    discount = spark.table("gold_discount_analysis").select(
+        F.lit("discount").alias("kind"), *group, F.col("product_count").alias("products"),
+        F.col("max_discount_rate").cast("bigint").alias("measure"), F.col("avg_current_price").alias("avg_price"), "last_updated",
+    )
+    return brand.unionByName(discount)
+
+
+@query(
+    "recover_gold_days",
+    LOADED
+    + """
+    , best AS (
+        SELECT id, round(quantity_sold * 0.5 + rating_average * review_count * 0.3 + discount_rate * 2.0, 1) AS score
+        FROM current WHERE review_count >= 10 AND rating_average >= 3.5 ORDER BY score DESC, id LIMIT 100)
+    SELECT 'day' AS kind, CAST(crawl_date AS VARCHAR) AS name, CAST(count(*) AS DOUBLE) AS measure, round(avg(price), 0) AS other
+    FROM snapshots GROUP BY crawl_date
+    UNION ALL SELECT 'best', CAST(id AS VARCHAR), score, NULL FROM best""",
+)
+def _(spark, sf):
+    recovered_gold(spark, sf, "recover-gold-days")
+    days = spark.table("gold_daily_summary").select(
+        F.lit("day").alias("kind"), F.col("crawl_date").cast("string").alias("name"),
+        F.col("total_products").cast("double").alias("measure"), F.col("avg_price").alias("other"),
+    )
+    best = spark.table("gold_top_products").select(
+        F.lit("best").alias("kind"), F.col("id").cast("string").alias("name"),
+        F.col("popularity_score").alias("measure"), F.lit(None).cast("double").alias("other"),
+    )
+    return days.unionByName(best)
