@@ -7,6 +7,9 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: how a date is written in names of files and in arguments.
+ISO_DATE = r"\d{4}-\d{2}-\d{2}"
+
 
 def safe_date(text: Column) -> Column:
     """Text as a date; NULL when it is not one."""
@@ -15,12 +18,12 @@ def safe_date(text: Column) -> Column:
 
 def date_in_name(name: Column) -> Column:
     """The first ISO date inside a file name; NULL when there is none."""
-    return safe_date(F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1))
+    return safe_date(F.regexp_extract(name, f"({ISO_DATE})", 1))
 
 
 def last_date_in_path(path: Column) -> Column:
     """The last ISO date in a path, so a file's date wins over its folder's."""
-    return safe_date(F.regexp_extract(path, r".*(\d{4}-\d{2}-\d{2})", 1))
+    return safe_date(F.regexp_extract(path, f".*({ISO_DATE})", 1))
 
 
 def day(value: str | date) -> Column:

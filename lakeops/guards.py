@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.functions.dates import ISO_DATE
+
 
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
     """``df`` itself, or ValueError when it holds no row; reads one row at most."""
@@ -25,7 +27,7 @@ def require_table(spark: SparkSession, name: str) -> DataFrame:
 
 def require_date(text: str) -> date:
     """The ISO date inside a file name or an argument, or ValueError."""
-    found = re.search(r"\d{4}-\d{2}-\d{2}", text)
+    found = re.search(ISO_DATE, text)
     if found is None:
         raise ValueError(f"no date of the form YYYY-MM-DD in {text!r}")
     return date.fromisoformat(found.group())

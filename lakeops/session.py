@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -66,9 +68,24 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+#: this process's part of the scratch folder; what is written there goes with the process
+_PROCESS = uuid.uuid4().hex
+_cleared_at_exit: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/lakeops/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, removed when this process ends in good order."""
+    own = f"{shared_dir(spark)}/lakeops/{_PROCESS}"
+    if own not in _cleared_at_exit:
+        _cleared_at_exit.add(own)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+        atexit.register(_clear, target, spark.sparkContext._jsc.hadoopConfiguration())
+    return f"{own}/{label}-{uuid.uuid4().hex}"
+
+
+def _clear(target, configuration) -> None:
+    with contextlib.suppress(Exception):  # the JVM may have ended before
+        target.getFileSystem(configuration).delete(target, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
