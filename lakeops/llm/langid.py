@@ -13,8 +13,8 @@ bounded sample of labelled rows (``max_rows`` in all, spread evenly over the lan
 chosen by a hash of the id), which the driver fits in memory by its bound.
 
 Defined results: a NULL text, and one without a letter, is ``und`` with score 0 and is
-ambiguous. Without any row to learn from all texts are. Rows with a NULL language are never
-learnt from. Ties go to the first language in code point order. Repeated rows are labelled each.
+ambiguous. Without any row to learn from all texts are. Rows with a NULL language, or with
+``und`` as their language, are never learnt from. Ties go to the first language in code point order. Repeated rows are labelled each.
 An empty table gives an empty result. Columns of the input named like an added one are replaced,
 and those that start with an underscore are left out.
 """

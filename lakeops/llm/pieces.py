@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import pairwise
 
 import ahocorasick
@@ -79,6 +80,10 @@ class Pieces:
         self._runs: dict[str, bytes] = {}
         self._cache: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Drop what was learnt from texts; the tables of the model stay."""
+        self._runs, self._cache, self._space_runs = {}, {}, {}
+
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
@@ -311,14 +316,31 @@ def read_model(path: str) -> bytes:
     return model
 
 
+#: the tables of one model per Python worker, since building them takes a second or two
+_KNOWN: dict[bytes, Pieces] = {}
+
+
+@contextmanager
+def tables_of(model: bytes) -> Iterator[Pieces]:
+    """The worker's tables of a model for the time of a task, which leaves nothing learnt behind."""
+    if model not in _KNOWN:
+        _KNOWN.clear()
+        _KNOWN[model] = Pieces(model)
+    known = _KNOWN[model]
+    try:
+        yield known
+    finally:
+        known.forget()
+
+
 def encoded(text: Column, model: bytes) -> Column:
     """Ids of a text column, as binary: little-endian unsigned 32-bit numbers."""
 
     @F.pandas_udf("binary")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = Pieces(model)
-        for texts in batches:
-            yield pd.Series([known.encode(t or "") for t in texts], dtype=object)
+        with tables_of(model) as known:
+            for texts in batches:
+                yield pd.Series([known.encode(t or "") for t in texts], dtype=object)
 
     return of(text)
 
@@ -328,9 +350,9 @@ def decoded(ids: Column, model: bytes) -> Column:
 
     @F.pandas_udf("string")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = Pieces(model)
-        for packed in batches:
-            yield pd.Series([None if p is None else known.decode(np.frombuffer(p, "<u4")) for p in packed], dtype=object)
+        with tables_of(model) as known:
+            for packed in batches:
+                yield pd.Series([None if p is None else known.decode(np.frombuffer(p, "<u4")) for p in packed], dtype=object)
 
     return of(ids)
 
@@ -340,11 +362,11 @@ def encoded_and_decoded(text: Column, model: bytes) -> Column:
 
     @F.pandas_udf("ids binary, decoded string")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = Pieces(model)
-        for texts in batches:
-            ids = [known.encode(t or "") for t in texts]
-            back = [known.decode(np.frombuffer(p, "<u4")) for p in ids]
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(back, dtype=object)})
+        with tables_of(model) as known:
+            for texts in batches:
+                ids = [known.encode(t or "") for t in texts]
+                back = [known.decode(np.frombuffer(p, "<u4")) for p in ids]
+                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(back, dtype=object)})
 
     return of(text)
 
