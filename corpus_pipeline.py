@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm import langid, mixing, pieces, secrets, simhash
-from lakeops.session import staged
+from lakeops.session import staged, tune
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -26,10 +26,15 @@ USED = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def carried(stage: Stage) -> Stage:
-    """The stage with all further columns of the documents packed away, whatever their names."""
+    """The stage with all further columns of the documents packed away, whatever their names.
+
+    It runs with the options of this package also on a session made elsewhere: without them a
+    batch of whole texts between the JVM and Python has no bound that fits beside the heap.
+    """
 
     @functools.wraps(stage)
     def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        tune(spark)
         more = [c for c in docs.columns if c not in USED]
         if not more:
             return stage(spark, docs, sf_dir).select(*docs.columns)
@@ -73,6 +78,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids (little-endian unsigned 32-bit numbers) instead of the text."""
+    tune(spark)
     found = pieces.encode_documents(docs, pieces.public_model())
     return found.select(
         "doc_id",

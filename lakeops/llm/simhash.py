@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.llm import bitmaps
 from lakeops.llm.registry import query, table
 from lakeops.session import checkpointed, staged
 
@@ -172,6 +173,15 @@ def near_duplicates(
     return marked.join(found, "fp").select(F.col("id").alias(id_col), hexed, "component_id")
 
 
+def row_key(key: Column, text: Column) -> Column:
+    """A hash of an id and a text, either of which may be NULL."""
+
+    def marked(value: Column) -> Column:
+        return F.when(value.isNull(), "-").otherwise(F.concat(F.octet_length(value).cast("string"), F.lit(":"), value))
+
+    return F.unhex(F.sha2(F.concat(marked(key), marked(text)), 256))
+
+
 def one_per_class(
     docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -179,24 +189,32 @@ def one_per_class(
 
     Of rows of a class that repeat the id, the one with the smallest fingerprint, and then the
     smallest hash of id and text, stays; of rows equal in both, that with the smallest other
-    columns. The hashes that go, few beside those that stay, are what the rows are joined with:
-    where Spark finds them small enough to send, no text is shuffled.
+    columns. A row is known by its hash. A bit map of a fixed size holds the hashes of the rows
+    that go or repeat; only rows that it lets pass are joined with these hashes and shuffled with
+    their texts, all others stay without.
     """
-    hashed = F.unhex(F.sha2(F.to_json(F.struct(F.col(id_col).alias("id"), F.col(text_col).alias("text"))), 256))
+    hashed = row_key(F.col(id_col).cast("string"), F.col(text_col))
     print_of = fingerprints(F.col(text_col), shingle).alias("fp")
     marked = staged(docs.select(F.col(id_col).alias("id"), hashed.alias("_key"), print_of), "simhash")
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp", "_key")).alias("first")
     nodes = checkpointed(marked.groupBy("fp").agg(least))
     kept = with_roots(nodes, radius).groupBy("root").agg(F.min("first").alias("first"))
-    kept = kept.select("first._key", F.lit(True).alias("stays"))
+    kept = kept.select("first._key", F.lit(True).alias("_stays"))
     per_key = marked.groupBy("_key").agg(F.count("*").alias("n")).join(kept, "_key", "left")
-    per_key = staged(per_key, "simhash-keys")
-    gone = staged(per_key.filter("stays IS NULL OR n > 1").select("_key"), "simhash-gone")
-    again = staged(per_key.filter("stays AND n > 1").select("_key"), "simhash-again")
+    special = staged(per_key.filter("_stays IS NULL OR n > 1").select("_key", "_stays"), "simhash-special")
+
+    keyed = docs.withColumn("_key", hashed)
+    parts = staged(bitmaps.parts_of(special, F.xxhash64("_key")), "simhash-map")
+    keyed = bitmaps.marked(keyed, F.xxhash64("_key"), parts, "_passes")
+    passing = keyed.filter("_passes")
+    out = keyed.filter("NOT _passes").unionByName(passing.join(special, "_key", "left_anti")).select(docs.columns)
+    again = special.filter("_stays")
+    if again.isEmpty():
+        return out
     rest = F.to_json(F.struct(*docs.columns))
     row = F.min_by(F.struct(*docs.columns), F.struct(text_col, rest)).alias("row")
-    repeated = docs.join(again, hashed == again["_key"], "left_semi").groupBy(hashed).agg(row).select("row.*")
-    return docs.join(gone, hashed == gone["_key"], "left_anti").unionByName(repeated)
+    repeated = passing.join(again, "_key", "left_semi").groupBy("_key").agg(row).select("row.*")
+    return out.unionByName(repeated)
 
 
 @query("op5_simhash_components")

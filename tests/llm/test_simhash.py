@@ -6,8 +6,10 @@ from itertools import combinations
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from lakeops.llm.simhash import classes, components, covering_masks, fingerprint, links, near_duplicates, one_per_class
+from tests.conftest import plan_of
 
 DOCS = "doc_id long, text string"
 
@@ -129,7 +131,7 @@ def test_one_per_class(spark):
     docs = spark.createDataFrame(rows, DOCS + ", count string")
     got = one_per_class(docs)
     assert got.columns == docs.columns
-    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [(1, "a b c d", "x"), (3, "p q r s t", "z"), (None, "a b c d", "n")]))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [(1, "a b c d", "x"), (3, "p q r s t", "z")]))
 
 
 def test_empty_table(spark):
@@ -143,6 +145,21 @@ def test_equal_prints_are_one_node(spark):
     assert {r.fp: r.component_id for r in classes(marked, 2, "id").collect()} == {0: 0, 3: 0, 7: 0}
 
 
+def test_one_per_class_where_every_row_passes_the_bit_map(spark, monkeypatch):
+    """Rows that a full map lets pass by chance are checked exactly, and stay."""
+    monkeypatch.setattr("lakeops.llm.bitmaps.marked", lambda rows, *_, **__: rows.withColumn("_passes", F.lit(True)))
+    rows = [(i, f"text {i} with its own words {i * i} {i * 7}") for i in range(40)] + [(i + 100, "one copy of many") for i in range(40)]
+    got = one_per_class(spark.createDataFrame(rows, DOCS))
+    assert {r.doc_id for r in got.collect()} == {*range(40), 100}
+
+
+def test_texts_are_shuffled_only_where_the_bit_map_lets_them_pass(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], DOCS)
+    plan = plan_of(one_per_class(docs))
+    above_exchange = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "text" in line]
+    assert all("_key" in line for line in above_exchange) and "getbit" in plan
+
+
 def test_one_per_class_with_repeated_and_missing_ids(spark):
     rows = [(1, "a b c d", "x"), (1, "p q r s t", "y"), (1, "p q r s t", "z"), (2, "a b c d", "x"), (3, "p q r s t", "x")]
     rows += [(None, "k l m n", "x"), (None, "k l m n", "x"), (None, "k l m n", "y"), (None, "a b c d", "x"), (None, None, "x")]
