@@ -311,12 +311,17 @@ WITH pieces AS (
     UNION ALL
     SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
     FROM split
-), f AS (
+), f AS MATERIALIZED (
     SELECT lang, size, phrase, count(*) AS a FROM phrases GROUP BY ALL
 ), totals AS (
     SELECT lang, sum(a)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang
-), candidates AS (
+), candidates AS MATERIALIZED (
     SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND a >= 10
+), frequent AS MATERIALIZED (
+    SELECT lang, phrase, a FROM f WHERE a >= 10
+), parts AS MATERIALIZED (
+    SELECT lang, phrase, a, k, array_to_string(w[:k], ' ') AS left_part, array_to_string(w[k + 1:], ' ') AS right_part
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
 ), inside AS (
     SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, a FROM candidates WHERE size = 3
 ), longer AS (
@@ -324,9 +329,9 @@ WITH pieces AS (
 ), cuts AS (
     SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r,
            ((1000000::HUGEINT * c.a::HUGEINT * c.a::HUGEINT) // (l.a::HUGEINT * r.a::HUGEINT))::BIGINT AS score
-    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
-    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:k], ' ')
-    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+    FROM parts c
+    JOIN frequent l ON l.lang = c.lang AND l.phrase = c.left_part
+    JOIN frequent r ON r.lang = c.lang AND r.phrase = c.right_part
 ), lowest AS (
     SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
 ), ranked AS (
