@@ -49,11 +49,16 @@ def _measures() -> dict[str, Column]:
 def product_sums(rows: DataFrame, sign: int = 1) -> DataFrame:
     """Signed sums of product rows by group, day, discount rate and whether any unit was sold."""
     graded = rows.withColumn("sold", F.coalesce(F.col("quantity_sold") > 0, F.lit(False)))
-    return graded.groupBy(*GRAIN).agg(*((F.sum(m) * sign).alias(name) for name, m in _measures().items()))
+    return graded.groupBy(*GRAIN).agg(*(_stored(name, F.sum(m) * sign) for name, m in _measures().items()))
 
 
 def summed(sums: DataFrame) -> DataFrame:
-    return sums.groupBy(*GRAIN).agg(*(F.sum(name).alias(name) for name in _measures()))
+    return sums.groupBy(*GRAIN).agg(*(_stored(name, F.sum(name)) for name in _measures()))
+
+
+def _stored(name: str, total: Column) -> Column:
+    """A sum under one type, however many sums it is made of."""
+    return total.cast("decimal(38,10)" if name == "ratings" else "bigint").alias(name)
 
 
 def added_up(sums: DataFrame) -> DataFrame:
@@ -150,8 +155,15 @@ class GoldParts:
         self.spark, self.lake = spark, lake
         self._root, self._days = lake.gold("parts"), lake.gold("parts_by_day")
 
+    def begin(self, without: str) -> None:
+        """The sums of all loads so far but the run ``without``, unless there are sums already."""
+        if not existing_folders(self.spark, f"{self._root}/generation=*"):
+            log = self.lake.read_history(self.spark).filter(F.col("run") != without)
+            self.rebuild(self.lake.state(self.spark).read(without=without), log)
+
     def add(self, run: str, new: DataFrame, replaced: DataFrame, logged: DataFrame) -> None:
         """The sums of one load: its rows, the rows of the state that they replace, and its rows of the log."""
+        self.begin(run)
         here = self._generation()
         # rows may change without a change of their number, so nothing is left out here
         append_run(summed(product_sums(new).unionByName(product_sums(replaced, -1))), f"{here}/products", run)
@@ -171,14 +183,19 @@ class GoldParts:
         self._begin(added_up(self._sums("products")), trends_added_up(self._sums("trends")))
 
     def tables(self) -> dict[str, DataFrame]:
-        """The aggregates by name; the leader board is no sum and comes from the state."""
+        """The aggregates by name; the leader board is no sum and comes from the state.
+
+        Without ``add_days`` there is no daily summary.
+        """
         products = added_up(self._sums("products"))
-        return {
+        found = {
             "brand_performance": brand_performance(products),
             "discount_analysis": discount_analysis(products),
             "price_trend": price_trend(self._sums("trends")),
-            "daily_summary": self.spark.read.parquet(self._days),
         }
+        if existing_folders(self.spark, self._days):
+            found["daily_summary"] = self.spark.read.parquet(self._days)
+        return found
 
     def _sums(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._generation()}/{name}").drop("run")
