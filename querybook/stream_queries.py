@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -39,11 +40,11 @@ class FailedOnce(Exception):
     """Raised by the restart query after an epoch has written its data."""
 
 
-def run_stream(spark, sf, label: str, fail_in_epoch: int | None = None) -> Lake:
+def run_stream(spark, sf, label: str, fail_in_epoch: int | None = None, **options) -> Lake:
     """Send and process the epochs one after the other, each run resuming from the checkpoint."""
     root = scratch_path(spark, label)
     lake = Lake(f"{root}/lake")
-    handler = medallion_handler(lake, order=["event_id"], event_only=["event_id"], error="_error")
+    handler = medallion_handler(lake, order=["event_id"], event_only=["event_id"], error="_error", **options)
     for epoch in range(EPOCHS):
         send(spark, sf, f"{root}/in", epoch)
         events = decode(file_messages(spark, f"{root}/in"), event_schema({"event_id": "long"}), error="_error")
@@ -124,6 +125,20 @@ def _(spark, sf):
     return lake.state(spark).read().select(*STATE, "is_active")
 
 
+@query(
+    "stream_state_renewed",
+    f"""
+    SELECT {", ".join(STATE)}, coalesce(is_active, true) AS is_active, 1 AS bases FROM stream_events
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_id DESC) = 1""",
+)
+def _(spark, sf):
+    # a new base after every epoch; all but the last one expire, with the runs before it
+    lake = run_stream(spark, sf, "stream-renewed", renew_every=1, longest_load=timedelta(0))
+    state = lake.state(spark)
+    state.expire(1)
+    return state.read().select(*STATE, "is_active", F.lit(len(state.bases())).alias("bases"))
+
+
 LOG = f"SELECT {', '.join(STATE)}, epoch FROM stream_log"
 
 
