@@ -90,6 +90,46 @@ def normalize_listing(
     )
 
 
+def normalize_variant(
+    df: DataFrame, json_column: str = "value", keep: list[str] | None = None, category: str | None = None
+) -> DataFrame:
+    """As ``normalize_listing``, over one binary form of the object that is read by typed paths.
+
+    A field that comes as a number, a text or an object is then not parsed from text again. A
+    number with a fraction is cut where a whole one is asked for, and not taken as missing.
+    """
+    asked = F.lit(None) if category is None else F.col(category)
+    carried = [*(keep or []), *([category] if category else [])]
+    parsed = df.select(*carried, F.try_parse_json(F.col(json_column)).alias("item"))
+
+    def at(path: str, as_type: str) -> Column:
+        return F.try_variant_get("item", f"$.{path}", as_type)
+
+    def whole(path: str, as_type: str = "bigint") -> Column:
+        return F.coalesce(at(path, as_type), F.lit(0).cast(as_type))
+
+    original = at("original_price", "bigint")
+    return parsed.select(
+        *(keep or []),
+        asked.cast("int").alias("category_id"),
+        at("id", "bigint").alias("id"),
+        *(at(c, "string").alias(c) for c in ("sku", "name", "url_key")),
+        whole("price").alias("price"),
+        F.when(original != 0, original).otherwise(whole("list_price")).alias("original_price"),
+        whole("discount").alias("discount"),
+        whole("discount_rate", "int").alias("discount_rate"),
+        filled(at("brand_name", "string"), NO_BRAND).alias("brand_name"),
+        whole("rating_average", "double").alias("rating_average"),
+        whole("review_count", "int").alias("review_count"),
+        F.coalesce(at("thumbnail_url", "string"), F.lit("")).alias("thumbnail_url"),
+        F.coalesce(at("quantity_sold.value", "int"), at("quantity_sold", "int"), F.lit(0)).alias("quantity_sold"),
+        F.coalesce(
+            at("visible_impression_info.amplitude.category_l2_name", "string"), F.lit(UNKNOWN_CATEGORY)
+        ).alias("sub_category"),
+        F.coalesce(at("quantity_sold.text", "string"), F.lit(NONE_SOLD_TEXT)).alias("sold_text"),
+    )
+
+
 def listing_flags(df: DataFrame, flags: list[str], json_column: str = "value") -> DataFrame:
     """The typed listing row with the named flags, 0 or 1, from the metadata of its first impression entry."""
     item = F.col("item")

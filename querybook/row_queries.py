@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeops.functions.listing import listing_flags, normalize_listing
+from lakeops.functions.listing import listing_flags, normalize_listing, normalize_variant
 from lakeops.functions.text import clean_name
 from lakeops.operators import clean, nested, paging
 from lakeops.operators.latest import first_by, latest_by
@@ -166,9 +166,7 @@ def listing_json(spark, sf):
     return views.table(spark, sf, "part").select(body.alias("value"), size.alias("category"))
 
 
-@query(
-    "normalize_listing",
-    """
+NORMALIZED = """
     SELECT p_partkey AS id, CAST(NULL AS VARCHAR) AS sku, p_name || ', a' || chr(10) || 'b' AS name,
            CAST(NULL AS VARCHAR) AS url_key, CAST(floor(p_retailprice) AS BIGINT) AS price,
            CAST(floor(p_retailprice) AS BIGINT) + CASE WHEN p_partkey % 5 = 0 THEN 7 ELSE 9 END AS original_price,
@@ -178,12 +176,19 @@ def listing_json(spark, sf):
            p_size AS category_id, CASE WHEN p_partkey % 3 = 2 THEN 0 ELSE p_size END AS quantity_sold,
            CASE WHEN p_partkey % 4 = 0 THEN p_type ELSE 'Unknown' END AS sub_category,
            CASE WHEN p_partkey % 3 = 0 THEN 'sold ' || p_size ELSE 'Đã bán 0' END AS sold_text
-    FROM part""",
-)
+    FROM part"""
+
+
+@query("normalize_listing", NORMALIZED)
 def _(spark, sf):
     return normalize_listing(listing_json(spark, sf), category="category")
 
 
+@query("normalize_variant", NORMALIZED)
+def _(spark, sf):
+    return normalize_variant(listing_json(spark, sf), category="category")
+
+
 @query(
     "listing_flags",
     """

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeops.functions.dates import date_in_name, last_date_in_path
-from lakeops.functions.listing import listing_flags, normalize_listing
+from lakeops.functions.listing import listing_flags, normalize_listing, normalize_variant
 from lakeops.functions.pricing import in_thousands, popularity_score
 from lakeops.functions.text import clean_name, price_move
 from lakeops.guards import require_date, require_rows, require_table
@@ -65,6 +65,7 @@ def test_listing_shapes(spark):
         (4, 0, 0, "No Brand", 0),
     ]
     assert rows(listed, "id", "sold_text", "sub_category")[1] == (1, "t", "Unknown")
+    assert rows(normalize_variant(frame)) == rows(listed)
     flagged = spark.createDataFrame(
         [('{"id": 1, "impression_info": [{"metadata": {"is_ad": true, "verified": "1"}}]}',),
          ('{"id": 2, "impression_info": []}',), ('{"id": 3}',)],
