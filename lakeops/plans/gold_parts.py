@@ -8,8 +8,9 @@ its minimum and maximum are those of the loads. The summary of a day is computed
 that a load touched, from their raw rows alone.
 
 A load that is repeated replaces its sums. A day that is loaded after later days changes what
-those replaced; then the sums are built anew from the state, as one more generation. Adding up
-many loads into one generation from time to time keeps reads short.
+those replaced; then the sums are built anew from the state, as one more generation, which is also
+what to do after a rollback. Adding up many loads into one generation from time to time keeps
+reads short.
 """
 
 from __future__ import annotations

@@ -183,8 +183,13 @@ class StateTable:
 
     def newest_day(self, without: str | None = None) -> date | None:
         """The last day of any row, as if the run ``without`` had not happened."""
-        rows, _ = self._ordered(without=without)
-        return rows.agg(F.max("_order.day")).first()[0]
+        bases = self.bases()
+        base = bases[-1] if bases else None
+        later = self._without_undone(self.runs(base and base.at), bases)
+        if without is not None:
+            later = later.filter(F.col("run") != without)
+        found = later.agg(F.max(self._day_of(F.col("merged_at")))).first()[0]
+        return max((d for d in (found, base and base.through) if d is not None), default=None)
 
     def read(
         self,
