@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 from lakeops.session import RUNTIME_OPTIONS, scratch_path, shared_dir, staged, tune
@@ -49,3 +53,15 @@ def test_staged_rows_are_read_back(spark):
 def test_runtime_options_can_be_set_on_a_running_session(spark):
     tune(spark)
     assert all(spark.conf.get(name) == value for name, value in RUNTIME_OPTIONS.items())
+
+
+def test_what_a_process_has_staged_goes_with_it(tmp_path):
+    script = (
+        "from lakeops.session import build_session, staged\n"
+        f"spark = build_session('x', 'local[1]', spark__checkpoint__dir='{tmp_path}')\n"
+        "print(staged(spark.range(3), 'x').count())\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    ran = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, timeout=120)
+    assert ran.stdout.split() == ["3"]
+    assert (tmp_path / "lakeops").is_dir() and not list(tmp_path.rglob("*.parquet"))
