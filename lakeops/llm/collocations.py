@@ -99,11 +99,10 @@ class Block:
         self.lang, self.n = lang, n
         self.numbers, self.parts, self.size = Numbers(), [], 0
 
-    def add(self, text: bytes) -> None:
-        for words in words_of(text, self.n):
-            self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
-            self.parts.append(np.zeros(1, np.int32))
-            self.size += len(words)
+    def add(self, words: list[bytes]) -> None:
+        self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
+        self.parts.append(np.zeros(1, np.int32))
+        self.size += len(words)
 
     def counted(self, bits: np.ndarray | None) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """Phrases in the order of their words, how often each stands here, and their hashes."""
@@ -173,11 +172,12 @@ def counts(docs: DataFrame, n: int, bits: bytes | None) -> DataFrame:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for lang, text in zip(batch.column("lang").to_pylist(), texts, strict=True):
-                if lang not in blocks:
-                    blocks[lang] = Block(lang, n)
-                blocks[lang].add(text or b"")
-                if blocks[lang].size >= BLOCK_WORDS:
-                    yield blocks.pop(lang).runs(passing, shares)
+                for words in words_of(text or b"", n):
+                    if lang not in blocks:
+                        blocks[lang] = Block(lang, n)
+                    blocks[lang].add(words)
+                    if blocks[lang].size >= BLOCK_WORDS:
+                        yield blocks.pop(lang).runs(passing, shares)
             if sum(b.size for b in blocks.values()) >= BLOCK_WORDS:
                 yield from (b.runs(passing, shares) for b in blocks.values() if b.size)
                 blocks = {}

@@ -22,6 +22,7 @@ then to the earlier row. Further columns are not carried along.
 from __future__ import annotations
 
 import os
+import re
 import struct
 from array import array
 from collections.abc import Iterable, Iterator
@@ -41,6 +42,8 @@ WIDTH = 4
 #: words whose ids a worker remembers, and as many older ones
 MOST_WORDS = 1 << 19
 LONGEST_WORD = 64
+#: bytes of a text that are cut into words at a time, at ASCII white space
+CHUNK, GAP = 1 << 20, re.compile(rb"[\x20\x09-\x0D]")
 #: rows of a result that go to the JVM at a time, by bytes of ids
 FLUSH = 1 << 22
 
@@ -235,7 +238,14 @@ class WordIds(dict):
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def of(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, (text or "").encode().split()))
+        """The ids of a text, whose words are taken apart a part at a time."""
+        data, parts, start = (text or "").encode(), [], 0
+        while start < len(data):
+            gap = GAP.search(data, start + CHUNK)
+            end = gap.start() if gap else len(data)
+            parts.append(b"".join(map(self.__getitem__, data[start:end].split())))
+            start = end
+        return b"".join(parts)
 
 
 def byte_letters() -> dict[int, str]:

@@ -71,7 +71,8 @@ def test_bit_map_holds_what_it_was_made_of(spark):
 
     def passing(lang, phrase):
         block = module.Block(lang, 3)
-        block.add(phrase.encode())
+        for words in module.words_of(phrase.encode(), 3):
+            block.add(words)
         everything = np.full(1 << 12, 255, np.uint8)
         return module.may_pass(block.counted(everything)[2], bits)[0]
 
@@ -82,13 +83,15 @@ def test_bit_map_holds_what_it_was_made_of(spark):
 def test_texts_cut_anywhere(monkeypatch):
     text = "a b. c d e f\tg;h i  j k l m, n" * 5
     whole = module.Block("en", 3)
-    whole.add(text.encode())
+    for words in module.words_of(text.encode(), 3):
+        whole.add(words)
     everything = np.full(1 << 12, 255, np.uint8)
     expected = {p.as_py(): n for p, n in zip(*whole.counted(everything)[:2], strict=True)}
     for size in (1, 2, 5, 17):
         monkeypatch.setattr(module, "CHUNK", size)
         block = module.Block("en", 3)
-        block.add(text.encode())
+        for words in module.words_of(text.encode(), 3):
+            block.add(words)
         assert {p.as_py(): n for p, n in zip(*block.counted(everything)[:2], strict=True)} == expected
 
 

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from lakeops.llm import packing
 from lakeops.llm.packing import Limits, Packer, Piece, WordIds, op12_pack_sequences, pack, public_tokenizer
 
 ODD = ["", " ", "a", "A, b.", "don't, he's 'SO", "x...,,", "Était—une, fête.", "日本語 text 12", "J̌ ǰ K Å", "été, ÉTÉ fête; Ünï straße. ŉ ǰ, ẞ Ж жЯ ԱբԳ ªº µ İ ı ﬁ", "e\u0301t\u0301 ά ΆΣ, \u0345 \u02b0 ʰ", "<|endoftext|> <|EndOfText|> a", "\x85a\x1cb c\xa0d", "ΑΣ Σ. İI", "é é", "≠ ≠", "😀😀, x", "\x00a", "it's'll;" * 3, "x" * 5000, "A" * 70 + ", " * 3]
@@ -33,6 +34,13 @@ def test_ids_of_odd_texts(words, library, text):
     assert np.frombuffer(words.of(text), "<u4").tolist() == ids_of(library, text)
 
 
+def test_texts_cut_into_parts(words, library, monkeypatch):
+    text = "One two, three\nfour  é " * 9 + "x" * 50
+    for size in (1, 3, 7, 40):
+        monkeypatch.setattr(packing, "CHUNK", size)
+        assert np.frombuffer(words.of(text), "<u4").tolist() == ids_of(library, text)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("aAbBzé'’sStTdD.,;:! \t\n0१̌̇İßΣ—<|>")), max_size=40))
 def test_ids_of_any_text(words, library, text):
