@@ -2,7 +2,7 @@
 
 Texts and target texts become bags of hashed word n-grams. Newlines cut the texts into lines,
 equal lines are brought together by Spark, and the features inside a distinct line are counted
-once and multiplied by how often the line occurs. The n-grams that cross from one line into the
+once and multiplied by how often the line occurs; a line that occurs once is not moved for it. The n-grams that cross from one line into the
 next belong to no line; they are read off the last and first words beside each newline and added
 to the counts. A bucket's gain is the logarithm of how much more frequent its features are in the
 target, with one added to every count. A text's weight is the mean gain of its features, and
@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lakeops.llm import bitmaps
 from lakeops.llm.registry import query, table
 from lakeops.session import staged
 
@@ -40,6 +41,8 @@ from lakeops.session import staged
 _CLEAN = bytes(
     i + 32 if 65 <= i <= 90 else i if 48 <= i <= 57 or 97 <= i <= 122 or i >= 128 else 32 for i in range(256)
 )
+#: bytes of a text that are cut into words at a time
+CHUNK = 1 << 20
 #: features whose bucket a task remembers
 MOST_FEATURES = 1 << 18
 
@@ -48,6 +51,18 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_CLEAN).split()
 
 
+def parts_of(text: str | None, longest: int) -> Iterator[tuple[list[bytes], int]]:
+    """The words of a text in parts, and how many at the start of a part are the last of the one before."""
+    data, start, again = (text or "").encode().translate(_CLEAN), 0, []
+    while start < len(data):
+        end = data.find(b" ", start + CHUNK)
+        end = len(data) if end < 0 else end
+        words = again + data[start:end].split()
+        yield words, len(again)
+        again = words[len(words) - longest + 1 :] if longest > 1 else []
+        start = end
+
+
 class Buckets(dict):
     """The bucket of a feature."""
 
@@ -61,11 +76,11 @@ class Buckets(dict):
         found = self[feature] = zlib.crc32(feature) % self.buckets
         return found
 
-    def of(self, words: list[bytes], longest: int) -> Iterator[int]:
-        """The buckets of all runs of 1 to ``longest`` words."""
-        yield from map(self.__getitem__, words)
+    def of(self, words: list[bytes], longest: int, again: int = 0) -> Iterator[int]:
+        """The buckets of all runs of 1 to ``longest`` words that do not end among the first ``again`` ones."""
+        yield from map(self.__getitem__, words[again:])
         for n in range(2, longest + 1):
-            for i in range(len(words) - n + 1):
+            for i in range(max(0, again - n + 1), len(words) - n + 1):
                 yield self[b" ".join(words[i : i + n])]
 
 
@@ -84,16 +99,27 @@ def crossing(text: str | None, longest: int) -> Iterator[bytes]:
 
 
 def line_counts(texts: DataFrame, buckets: int, longest: int) -> DataFrame:
-    """(bucket, n) of the features inside lines: distinct lines counted once, times their occurrences."""
+    """(bucket, n) of the features inside lines: distinct lines counted once, times their occurrences.
+
+    A bit map holds the hashes that several lines have; a line that it does not let pass occurs
+    once, and is counted where it is read. Only the others are shuffled and brought together.
+    """
     lines = texts.select(F.explode(F.split("text", "\n")).alias("line")).filter("line != ''")
-    lines = lines.groupBy("line").agg(F.count("*").alias("times"))
+    hashed = F.xxhash64("line")
+    several = lines.groupBy(hashed.alias("hash")).agg(F.count("*").alias("n")).filter("n > 1")
+    parts = staged(bitmaps.parts_of(several, F.col("hash")), "resample-lines")
+    marked = bitmaps.marked(lines, hashed, parts, "_again")
+    once = marked.filter("NOT _again").select("line", F.lit(1).cast("long").alias("times"))
+    often = marked.filter("_again").groupBy("line").agg(F.count("*").alias("times"))
+    lines = once.unionByName(often)
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, total = Buckets(buckets), np.zeros(buckets, np.int64)
         for batch in batches:
             for line, times in zip(batch["line"], batch["times"], strict=True):
-                for bucket, n in Counter(known.of(words_of(line), longest)).items():
-                    total[bucket] += n * times
+                for words, again in parts_of(line, longest):
+                    for bucket, n in Counter(known.of(words, longest, again)).items():
+                        total[bucket] += n * times
         yield nonzero(total)
 
     return lines.mapInPandas(counted, "bucket int, n long")
@@ -150,9 +176,13 @@ def features_and_weight(text: Column, gain: np.ndarray, longest: int) -> Column:
         for texts in batches:
             rows = []
             for text in texts:
-                words = words_of(text)
-                found = np.fromiter(known.of(words, longest), np.int64)
-                rows.append((len(words), len(found), int(gain[found].sum()) // len(found) if len(found) else 0))
+                n_words = n_features = total = 0
+                for words, again in parts_of(text, longest):
+                    found = np.fromiter(known.of(words, longest, again), np.int64)
+                    n_words += len(words) - again
+                    n_features += len(found)
+                    total += int(gain[found].sum())
+                rows.append((n_words, n_features, total // n_features if n_features else 0))
             yield pd.DataFrame(rows, columns=["n_words", "n_features", "weight"])
 
     return measured(text)

@@ -8,7 +8,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from lakeops.llm import resampling
 from lakeops.llm.resampling import bucket_counts, crossing, gains, ranked, resample
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -49,6 +51,13 @@ def test_counts(spark, longest):
     assert {b: n for b, n in enumerate(got.tolist()) if n} == expected
 
 
+def test_counts_where_the_bit_map_is_full(spark, monkeypatch):
+    monkeypatch.setattr(resampling.bitmaps, "marked", lambda rows, *_, **__: rows.withColumn("_again", F.lit(True)))
+    expected = Counter(bucket(f, 50) for t in TEXTS for f in features_in(t, 1))
+    got = bucket_counts(frame(spark, TEXTS), 50, 1)
+    assert {b: n for b, n in enumerate(got.tolist()) if n} == expected
+
+
 def brute(rows, targets, percent, min_words, buckets, longest, seed):
     s = Counter(bucket(f, buckets) for _, t in rows for f in features_in(t, longest))
     t = Counter(bucket(f, buckets) for x in targets for f in features_in(x, longest))
@@ -80,6 +89,16 @@ def test_against_brute_force(spark, longest):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, targets, 25, 12, 100, longest, 9)
 
 
+@pytest.mark.parametrize("longest", [1, 2, 3])
+def test_texts_cut_into_parts(monkeypatch, longest):
+    for size in (1, 2, 5, 30):
+        monkeypatch.setattr(resampling, "CHUNK", size)
+        for text in TEXTS:
+            known = resampling.Buckets(97)
+            got = Counter(b for words, again in resampling.parts_of(text, longest) for b in known.of(words, longest, again))
+            assert got == Counter(bucket(f, 97) for f in features_in(text, longest))
+
+
 def test_gains_are_zero_for_equal_distributions():
     same = np.array([5, 0, 2], np.int64)
     assert gains(same, same).tolist() == [0, 0, 0]
