@@ -91,13 +91,14 @@ def medallion_handler(
                 with held(state.read(without=run, keys=cleaned)) as current:
                     for order_by in ("crawl_date", *([newer_by] if newer_by else [])):
                         cleaned = drop_stale(cleaned, current, order_by)
-                    append_run(detect_changes(cleaned, current), lake.history, run)
-                    if keep_gold:
-                        logged = lake.read_history(batch.sparkSession).filter(F.col("run") == run)
-                        GoldParts(batch.sparkSession, lake).add(run, cleaned, current, logged)
-                    if before_last:
-                        before_last(epoch)
-                    state.append(cleaned, run, now, may_be_repeated=not seen or epoch in seen)
+                    with held(cleaned) as cleaned:
+                        append_run(detect_changes(cleaned, current), lake.history, run)
+                        if keep_gold:
+                            logged = lake.read_history(batch.sparkSession).filter(F.col("run") == run)
+                            GoldParts(batch.sparkSession, lake).add(run, cleaned, current, logged)
+                        if before_last:
+                            before_last(epoch)
+                        state.append(cleaned, run, now, may_be_repeated=not seen or epoch in seen)
             seen.add(epoch)
             if renew_every and len(seen) % renew_every == 0:
                 state.renew_base(now - longest_load)
