@@ -23,6 +23,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 USED = ("doc_id", "text", "lang", "source", "n_chars")
+#: whole texts that a Python worker is given at a time; five stages in a row leave little beside the heap
+TEXTS_AT_ONCE = "250"
+
+
+def prepared(spark: SparkSession) -> None:
+    """Set the options of this package on the session, which may have been made elsewhere."""
+    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_AT_ONCE)
 
 
 def carried(stage: Stage) -> Stage:
@@ -34,7 +41,7 @@ def carried(stage: Stage) -> Stage:
 
     @functools.wraps(stage)
     def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        tune(spark)
+        prepared(spark)
         more = [c for c in docs.columns if c not in USED]
         if not more:
             return stage(spark, docs, sf_dir).select(*docs.columns)
@@ -78,7 +85,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids (little-endian unsigned 32-bit numbers) instead of the text."""
-    tune(spark)
+    prepared(spark)
     found = pieces.encode_documents(docs, pieces.public_model())
     return found.select(
         "doc_id",
