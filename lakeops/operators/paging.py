@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_, or_
-
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -15,6 +12,8 @@ def page_of(df: DataFrame, order: list[str], page: int = 1, limit: int = 40) ->
 
 
 SAMPLED = 30
+#: ranges told apart in one pass: every bound is an expression over all order columns
+AT_ONCE = 16
 
 
 def deep_page(
@@ -24,45 +23,65 @@ def deep_page(
 
     A small sample gives the bounds of ``ranges`` ranges (by default one per shuffle partition),
     a count per range tells which of them hold the page, and only the rows of these are sorted.
+    Beyond ``AT_ONCE`` ranges, the range that holds the page is cut again in a further pass.
     The bounds are values, so the ranges are the same whenever the rows are read; an uneven
     sample makes uneven ranges and no other rows.
     """
-    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in order]
-    names = list(dict.fromkeys(c.lstrip("-") for c in order))
-    total = df.count()
-    few = df.select(names)
+    held, total, skip = df, df.count(), (page - 1) * limit
+    while True:
+        parts = min(left, AT_ONCE)
+        number = range_number(held, order, sort, total, parts, seed)
+        sizes = {r[0]: r[1] for r in held.groupBy(number.alias("range")).agg(F.count("*")).collect()}
+        before, wanted = 0, []
+        for n in sorted(sizes):
+            if before + sizes[n] > skip and before < skip + limit:
+                wanted.append((n, before))
+            before += sizes[n]
+        if not wanted:
+            return df.limit(0)
+        held = held.filter(number.isin([n for n, _ in wanted]))
+        skip -= wanted[0][1]
+        total = sum(sizes[n] for n, _ in wanted)
+        left = -(-left // parts)
+        if left == 1:
+            return held.orderBy(*sort).offset(skip).limit(limit)
+
+
+def range_number(df: DataFrame, order: list[str], sort: list[Column], total: int, ranges: int, seed: int) -> Column:
+    """Which of ``ranges`` ranges of about one size a row is in, by bounds from a sample of ``df``."""
+    few = df.select(list(dict.fromkeys(c.lstrip("-") for c in order)))
     if total > ranges * SAMPLED:
         few = few.sample(ranges * SAMPLED / total, seed)
     few = few.orderBy(*sort).limit(2 * ranges * SAMPLED).collect()
     bounds = [few[len(few) * k // ranges] for k in range(1, ranges)] if few else []
-    number = reduce(lambda a, b: a + b, (after(b, order).cast("int") for b in bounds), F.floor(F.lit(0)))
-    sizes = {r[0]: r[1] for r in df.groupBy(number.alias("range")).agg(F.count("*")).collect()}
-    skip, before, wanted = (page - 1) * limit, 0, []
-    for n in sorted(sizes):
-        if before + sizes[n] > skip and before < skip + limit:
-            wanted.append((n, before))
-        before += sizes[n]
-    if not wanted:
-        return df.limit(0)
-    held = df.filter(number.isin([n for n, _ in wanted]))
-    return held.orderBy(*sort).offset(skip - wanted[0][1]).limit(limit)
+    return bounds_passed(bounds, order)
+
+
+def bounds_passed(bounds: list[Row], order: list[str], before: int = 0) -> Column:
+    """How many of the sorted bounds a row comes after, by halving."""
+    if not bounds:
+        return F.lit(before)
+    half = len(bounds) // 2
+    above = bounds_passed(bounds[half + 1 :], order, before + half + 1)
+    return F.when(after(bounds[half], order), above).otherwise(bounds_passed(bounds[:half], order, before))
 
 
 def after(bound: Row, order: list[str]) -> Column:
     """Whether a row comes after a bound; NULL first upwards and last downwards."""
-    cases = []
-    same: list[Column] = []
-    for c in order:
-        name, value = c.lstrip("-"), F.lit(bound[c.lstrip("-")])
-        there = F.col(name)
-        if c.startswith("-"):
-            behind = F.coalesce(there < value, there.isNull() & value.isNotNull())
+    behind = F.lit(False)
+    for c in reversed(order):
+        name = c.lstrip("-")
+        value, there = bound[name], F.col(name)
+        if value is None:
+            same, later = there.isNull(), F.lit(False) if c.startswith("-") else there.isNotNull()
+        elif c.startswith("-"):
+            same, later = there.eqNullSafe(F.lit(value)), F.coalesce(there < F.lit(value), F.lit(True))
         else:
-            behind = F.coalesce(there > value, there.isNotNull() & value.isNull())
-        cases.append(reduce(and_, [*same, behind]))
-        same.append(there.eqNullSafe(value))
-    return reduce(or_, cases)
+            same, later = there.eqNullSafe(F.lit(value)), F.coalesce(there > F.lit(value), F.lit(False))
+        behind = later | (same & behind)
+    return behind
 
 
 def page_summary(df: DataFrame, page: int = 1, limit: int = 40) -> DataFrame:

@@ -167,6 +167,15 @@ def test_deep_pages_equal_shallow_ones(spark):
     assert paging.deep_page(frame.filter("c < 0"), ["c"], 1).collect() == []
 
 
+def test_a_deep_page_of_many_ranges(spark):
+    data = [((n * 37) % 50 if n % 9 else None, f"k{n % 7}" if n % 5 else None, n) for n in range(7000)]
+    frame = spark.createDataFrame(data, "a int, b string, c int").repartition(5)
+    sort = [F.col("a").desc(), F.col("b"), F.col("c").desc()]
+    for page in (1, 90, 175):
+        deep = paging.deep_page(frame, ["-a", "b", "-c"], page, 40, ranges=200)  # one per shuffle partition of a cluster
+        assert deep.collect() == frame.orderBy(*sort).offset((page - 1) * 40).limit(40).collect()
+
+
 def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
     chain = [(str(i), str(i - 1) if i else None, f"n{i}", False) for i in range(1000)] + [("leaf", "999", "leaf", True)]
     edges = spark.createDataFrame(chain, "id string, parent_id string, name string, is_leaf boolean")
