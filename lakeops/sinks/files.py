@@ -88,8 +88,9 @@ def write_csv(df: DataFrame, path: str, by: list[str] | None = None, single_file
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
-def write_ndjson(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+def write_ndjson(df: DataFrame, path: str, compression: str = "none") -> None:
+    """One JSON object per line; readers know a compression by the names of the files."""
+    df.write.mode("overwrite").option("compression", compression).json(path)
 
 
 def to_messages(df: DataFrame, key: str = "id", crawl_date: str | None = None) -> DataFrame:

@@ -269,7 +269,9 @@ def dated_files(spark, sf, label: str) -> tuple[Lake, list[str]]:
     record = raw.drop("crawl_date", "loaded_at", "source_file", "l_orderkey", "l_linenumber", "l_suppkey")
     name = F.concat(F.lit("products_raw_"), day, F.lit(".json"))
     lines = raw.select(name.alias("file"), F.to_json(F.struct(*record.columns)).alias("value"))
-    lines.write.partitionBy("file").text(f"{root}/in")
+    # as text the records take most of what a job writes; a file stays small enough for one task
+    packed = lines.write.option("compression", "lz4").option("maxRecordsPerFile", 1_000_000)
+    packed.partitionBy("file").text(f"{root}/in")
     dates = ("1996-01-01", "1999-01-01", "2001-01-01")
     return Lake(f"{root}/lake"), [f"{root}/in/file=products_raw_{date}.json" for date in dates]
 
@@ -282,7 +284,7 @@ def write_corrected(spark, sf, folder: str, date: str) -> str:
     raw = raw.withColumn("price", F.col("price") + F.when(F.col("id") % 5 == 0, 1).otherwise(0))
     record = raw.drop("crawl_date", "loaded_at", "source_file", "l_orderkey", "l_linenumber", "l_suppkey")
     path = f"{folder}/products_raw_{date}.json"
-    files.write_ndjson(record, path)
+    files.write_ndjson(record, path, compression="lz4")
     return path
 
 
@@ -374,7 +376,7 @@ def kept_gold(spark, sf, label: str) -> dict[str, DataFrame]:
         run_batch(spark, path, lake, loaded_at=load_time(path), keep_gold=True)
     again = views.with_part(spark, sf, views.load_rows(spark, sf).filter("id % 3 = 0").withColumn("price", F.col("price") + 9))
     folder = f"{lake.root}/again/products_raw_2001-01-01.json"
-    files.write_ndjson(again.select(*product_schema().fieldNames()), folder)
+    files.write_ndjson(again.select(*product_schema().fieldNames()), folder, compression="lz4")
     for path, hour in ((folder, 1), (paths[2], 2)):
         run_batch(spark, path, lake, loaded_at=datetime(2001, 1, 1, hour), keep_gold=True)
     return GoldParts(spark, lake).tables()

@@ -20,6 +20,7 @@ from lakeops.sinks.state import StateTable
 from lakeops.sources import catalog
 from lakeops.sources import files as sources
 from lakeops.sources.messages import decode, drain, file_messages, kafka_options
+from querybook import io_queries
 from tests.conftest import plan_of, rows
 
 
@@ -402,3 +403,28 @@ def test_change_log_can_see_nulls(spark):
     daily = spark.createDataFrame(data, "id long, price long, crawl_date date")
     assert change_log(daily, tracked=["price"]).count() == 1
     assert change_log(daily, tracked=["price"], null_safe=True).count() == 2
+
+
+def test_records_of_a_job_are_packed(spark, tmp_path):
+    frame = spark.range(3000).select("id", F.concat(F.lit("a name "), "id").alias("name"), (F.col("id") * 7).alias("price"))
+    files.write_ndjson(frame, f"{tmp_path}/products_raw_2024-01-01.json", compression="lz4")
+    names = [p.name for p in (tmp_path / "products_raw_2024-01-01.json").glob("part-*")]
+    assert names and all(n.endswith(".lz4") for n in names)
+    back = sources.read_records(spark, f"{tmp_path}/products_raw_2024-01-01.json").select("id", "name", "price")
+    assert rows(back) == rows(frame)
+
+
+def test_dated_files_are_packed(spark, tmp_path):
+    for name, columns in (("lineitem", LINE), ("part", PART)):
+        spark.range(1, 50).selectExpr(*columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    _, paths = io_queries.dated_files(spark, str(tmp_path), "packed")
+    read = [sources.read_records(spark, path) for path in paths]
+    assert sum(r.count() for r in read) == 49
+    assert all(f.endswith(".lz4") for r in read for f in r.inputFiles())
+
+
+LINE = [
+    "id l_partkey", "id l_orderkey", "cast(1 as int) l_linenumber", "id l_suppkey", "cast(id as double) l_extendedprice",
+    "0.05D l_tax", "0.1D l_discount", "2D l_quantity", "timestamp_ntz'1995-01-02' + make_interval(cast(id % 6 as int)) l_shipdate",
+]
+PART = ["id p_partkey", "concat('n ', id) p_name", "'Brand#1' p_brand", "cast(id % 9 as int) p_size", "'PROMO' p_type"]
