@@ -59,7 +59,8 @@ def decode(messages: DataFrame, schema: StructType | None = None, error: str | N
     def typed(field: StructField) -> Column:
         text = F.col("_item")[field.name]
         if isinstance(field.dataType, IntegralType):
-            text = F.coalesce(F.get_json_object(text, "$.value"), text)
+            # most counters are plain numbers, which need no second parse
+            text = F.when(F.contains(text, F.lit("{")), F.coalesce(F.get_json_object(text, "$.value"), text)).otherwise(text)
         return text.try_cast(field.dataType).alias(field.name)
 
     whole = F.col("_item").isNotNull() & F.col("_item._broken").isNull() & F.col("_value").rlike(r"^\s*\{")

@@ -24,6 +24,8 @@ from querybook import views
 from querybook.book import query
 
 EPOCHS = 3
+#: messages of a file; an epoch is then read by all cores, however few tasks wrote it
+MESSAGES = 50_000
 
 
 def send(spark, sf, folder: str, epoch: int, mixed_counters: bool = True) -> None:
@@ -33,7 +35,7 @@ def send(spark, sf, folder: str, epoch: int, mixed_counters: bool = True) -> Non
     as_object = F.regexp_replace("value", '"quantity_sold":([0-9]+)', '"quantity_sold":{"value":$1}')
     if mixed_counters:
         messages = messages.withColumn("value", F.when(F.xxhash64("key") % 2 == 0, as_object).otherwise(F.col("value")))
-    messages.write.mode("append").parquet(folder)
+    messages.write.mode("append").option("maxRecordsPerFile", MESSAGES).parquet(folder)
 
 
 class FailedOnce(Exception):
@@ -102,7 +104,7 @@ def _(spark, sf):
     for epoch in range(EPOCHS):
         events = all_events.filter((F.col("epoch") == epoch) | (F.col("epoch") < epoch) & (F.col("event_id") % 3 == 0))
         timed = to_messages(events.drop("epoch")).withColumn("timestamp", F.to_timestamp(F.get_json_object("value", "$.crawl_date")))
-        timed.write.mode("append").parquet(f"{root}/in")
+        timed.write.mode("append").option("maxRecordsPerFile", MESSAGES).parquet(f"{root}/in")
         decoded = decode(file_messages(spark, f"{root}/in"), event_schema({"event_id": "long"}), error="_error")
         once = without_repeats(decoded, ["event_id"], within="60 days")
         start(once, handler, f"{root}/checkpoint", every=None).awaitTermination()

@@ -13,6 +13,7 @@ from lakeops.schema import event_schema
 from lakeops.sources.messages import decode, file_messages
 from lakeops.streaming.micro_batch import medallion_handler
 from lakeops.streaming.run import start
+from querybook import stream_queries
 from tests.conftest import rows
 
 ORDER = {"order": ["event_id"], "event_only": ["event_id"], "error": "_error"}
@@ -174,3 +175,22 @@ def test_older_events_do_not_overwrite_newer_state(spark, tmp_path):
     handler(batch(5), 2)
     assert rows(lake.state(spark).read(), "price") == [(105,)]
     assert seen == [2, 2, 1]
+
+
+def test_an_epoch_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream_queries, "MESSAGES", 10)
+    fields = ["id event_id", "id % 5 user_id", "'click' event_type", "cast(id as double) value", "'{\"k\": 3}' props"]
+    events = spark.range(100).selectExpr(*fields, "timestamp_ntz'2024-01-02' ts").coalesce(1)
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    stream_queries.send(spark, str(tmp_path), f"{tmp_path}/in", 0)
+    sent = spark.read.parquet(f"{tmp_path}/in")
+    assert sent.count() == 100 and len(sent.inputFiles()) == 10
+
+
+def test_counters_of_all_shapes(spark):
+    texts = ['4', '"5"', '{"value":6}', '" {\\"value\\": 7}"', '{"other":8}', '"nine"', 'null']
+    messages = spark.createDataFrame([(f'{{"id":{n},"quantity_sold":{t}}}',) for n, t in enumerate(texts)], "value string")
+    found = dict(decode(messages).select("id", "quantity_sold").collect())
+    assert found == {0: 4, 1: 5, 2: 6, 3: 7, 4: None, 5: None, 6: None}
+    plan = decode(messages)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(" in plan or "contains(" in plan.lower()  # a plain number is not parsed a second time
