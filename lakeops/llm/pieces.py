@@ -26,6 +26,7 @@ import struct
 from collections.abc import Iterator
 from contextlib import contextmanager
 from itertools import pairwise
+from operator import add
 
 import ahocorasick
 import numpy as np
@@ -72,17 +73,23 @@ class Pieces:
         for name in self._time:
             self._automaton.add_word(name, (len(name), self.ids[name]))
         self._automaton.make_automaton()
-        self._compatible: dict[int, bool] = {}
+        # of a piece, whether the pieces met so far may follow it
+        self._compatible: list[dict[int, bool]] = [{} for _ in names]
+        self._pairs_known = 0
         # neighbours within some piece; between others no merge is possible
         self._inside = {a + b for name in self.ids for a, b in pairwise(name)}
-        self._space_runs: dict[int, bytes] = {}
+        self._packed_id = [self._pack([i]) for i in range(size)]
         self._one_space = self._pack([self.ids[SPACE]])
-        self._runs: dict[str, bytes] = {}
-        self._cache: dict[str, bytes] = {}
+        self.forget()
 
     def forget(self) -> None:
         """Drop what was learnt from texts; the tables of the model stay."""
-        self._runs, self._cache, self._space_runs = {}, {}, {}
+        self._space_runs: dict[int, bytes] = {}
+        # a full cache becomes the older one, from which what is met again comes back
+        self._runs: dict[str, bytes] = {}
+        self._cache: dict[str, bytes] = {}
+        self._older_runs: dict[str, bytes] = {}
+        self._older_cache: dict[str, bytes] = {}
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
@@ -164,36 +171,39 @@ class Pieces:
 
     def compatible(self, first: int, second: int) -> bool:
         """Whether the merges of the joined strings of two pieces leave exactly these two."""
-        pair = first * len(self.names) + second
-        known = self._compatible.get(pair)
+        known = self._compatible[first].get(second)
         if known is None:
             known = self._stays_apart(self.names[first], self.names[second])
-            if len(self._compatible) >= MOST_CACHED:
-                self._compatible.clear()
-            self._compatible[pair] = known
+            if self._pairs_known >= 4 * MOST_CACHED:
+                for followers in self._compatible:
+                    followers.clear()
+                self._pairs_known = 0
+            self._compatible[first][second] = known
+            self._pairs_known += 1
         return known
 
     def _known_run(self, text: str) -> bytes:
         """Ids of a text whose characters are all pieces, with a space symbol at its start only."""
         last, length = [0] * (len(text) + 1), [0] * (len(text) + 1)
-        known, pieces_known, settled = self._compatible.get, len(self.names), -1
+        known, settled = self._compatible, -1
         for stop, (size, token) in self._automaton.iter(text):
             if stop == settled:
                 continue  # at most one of the tokens that end here fits
             start = stop + 1 - size
             if start:
-                fits = known(last[start] * pieces_known + token)
+                fits = known[last[start]].get(token)
                 if fits is None:
                     fits = self.compatible(last[start], token)
                 if not fits:
                     continue
             settled = stop
             last[stop + 1], length[stop + 1] = token, size
-        ids, stop = [], len(text)
+        parts, stop, packed = [], len(text), self._packed_id
         while stop:
-            ids.append(last[stop])
+            parts.append(packed[last[stop]])
             stop -= length[stop]
-        return self._pack(ids[::-1])
+        parts.reverse()
+        return b"".join(parts)
 
     def _spaces(self, count: int) -> bytes:
         """Ids of a run of space symbols, merged by place.
@@ -231,12 +241,14 @@ class Pieces:
         if not body:
             return self._spaces(spaces)
         text = SPACE + body if spaces else body
-        inside, run = self._inside, self._run
-        cuts = [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in inside]
-        if cuts:
-            ids = b"".join([run(text[a:b]) for a, b in pairwise([0, *cuts, len(text)])])
+        inside, known, run = self._inside, self._runs.get, self._run
+        pairs = list(map(add, text, text[1:]))
+        if inside.issuperset(pairs):
+            ids = known(text) or run(text)
         else:
-            ids = run(text)
+            cuts = [i for i, pair in enumerate(pairs, 1) if pair not in inside]
+            runs = [text[a:b] for a, b in pairwise([0, *cuts, len(text)])]
+            ids = b"".join([known(r) or run(r) for r in runs])
         if spaces and ids[:4] == self._one_space:  # nothing took the last one: it is part of the run
             return self._spaces(spaces) + ids[4:]
         return self._spaces(spaces - 1) + ids if spaces > 1 else ids
@@ -247,19 +259,19 @@ class Pieces:
         if known is None:
             if len(text) == 1 and text not in self.ids:
                 return self._pack([self.byte_ids[b] for b in text.encode()])
-            known = self._known_run(text)
+            known = self._older_runs.get(text) or self._known_run(text)
             if len(text) <= SHORT:
-                if len(self._runs) >= MOST_CACHED:
-                    self._runs.clear()
+                if len(self._runs) >= MOST_CACHED // 2:
+                    self._older_runs, self._runs = self._runs, {}
                 self._runs[text] = known
         return known
 
     def _packed(self, rest: str) -> bytes:
         """Packed ids of a segment, given without the space symbol at its start."""
-        packed = self._segment(SPACE + rest)
+        packed = self._cache.get(rest) or self._older_cache.get(rest) or self._segment(SPACE + rest)
         if len(rest) <= SHORT:
-            if len(self._cache) >= MOST_CACHED:
-                self._cache.clear()
+            if len(self._cache) >= MOST_CACHED // 2:
+                self._older_cache, self._cache = self._cache, {}
             self._cache[rest] = packed
         return packed
 
@@ -277,12 +289,13 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD each, and the first space symbol goes."""
-        text = b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+        ids = ids.tolist()
+        text = b"".join(map(self.bytes_of.__getitem__, ids))
         try:
             out = text.decode()
         except UnicodeDecodeError:
-            out = self._decode_broken(ids.tolist())
-        first = next((i for i in ids.tolist() if self.bytes_of[i]), self.begin)
+            out = self._decode_broken(ids)
+        first = next((i for i in ids if self.bytes_of[i]), self.begin)
         return out[1:] if self.names[first].startswith(SPACE) else out
 
     def _decode_broken(self, ids: list[int]) -> str:
