@@ -4,9 +4,10 @@ For every prefix of a text the table stores the one token that ends its encoding
 that an automaton finds to end at a place is that token if it covers the prefix alone, or if
 it is compatible with the token stored where it begins: two tokens are compatible if the
 merges of their joined string leave exactly these two. The ids are then recovered backwards
-from the last prefix. A text is cut where no merge can reach across: before a space symbol
-that follows another character, and between two characters that are neighbours in no piece
-(an unknown character becomes byte pieces). Pieces of space symbols only all have one score, so that their merges go by place
+from the last prefix. A text is cut where no merge can reach across: between two characters
+that are neighbours in no piece, so also before a space symbol that follows another character
+(an unknown character becomes byte pieces). These places are found for a whole text at once, and
+what lies between two of them, a run, is remembered. Pieces of space symbols only all have one score, so that their merges go by place
 and not by type; a run of them is merged by place, once for each length.
 
 The table needs a model whose merges are ordered by type: pieces of more than one character
@@ -21,12 +22,10 @@ left out.
 
 from __future__ import annotations
 
-import re
 import struct
 from collections.abc import Iterator
 from contextlib import contextmanager
 from itertools import pairwise
-from operator import add
 
 import ahocorasick
 import numpy as np
@@ -39,9 +38,10 @@ from lakeops.llm.registry import cleared, query, table
 
 SPACE = "▁"
 MOST_CACHED = 1 << 17
-#: characters of a segment that is worth remembering
+#: characters of a run that is worth remembering
 SHORT = 64
-SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+#: characters of a text that are looked at together for places to cut
+STRIP = 1 << 18
 
 
 class Pieces:
@@ -76,8 +76,8 @@ class Pieces:
         # of a piece, whether the pieces met so far may follow it
         self._compatible: list[dict[int, bool]] = [{} for _ in names]
         self._pairs_known = 0
-        # neighbours within some piece; between others no merge is possible
-        self._inside = {a + b for name in self.ids for a, b in pairwise(name)}
+        self._at_start = dict.fromkeys(range(size), True)
+        self._build_neighbours()
         self._packed_id = [self._pack([i]) for i in range(size)]
         self._one_space = self._pack([self.ids[SPACE]])
         self.forget()
@@ -87,9 +87,7 @@ class Pieces:
         self._space_runs: dict[int, bytes] = {}
         # a full cache becomes the older one, from which what is met again comes back
         self._runs: dict[str, bytes] = {}
-        self._cache: dict[str, bytes] = {}
         self._older_runs: dict[str, bytes] = {}
-        self._older_cache: dict[str, bytes] = {}
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
@@ -109,6 +107,26 @@ class Pieces:
         if library.decode(library.encode(probe)) != probe:
             raise ValueError("the model changes texts before encoding")
 
+    def _build_neighbours(self) -> None:
+        """Which characters are neighbours within some piece; between others no merge is possible.
+
+        A character's code leads to its row and its column in a table; characters beyond the
+        last known code, or in no pair, share the first ones, where all is apart.
+        """
+        pairs = {(ord(a), ord(b)) for name in self.ids for a, b in pairwise(name)}
+        rows = {code: i for i, code in enumerate(sorted({a for a, _ in pairs}), 1)}
+        columns = {code: i for i, code in enumerate(sorted({b for _, b in pairs}), 1)}
+        self._beyond = max([*rows, *columns], default=0) + 1
+        width = len(columns) + 1
+        self._apart = np.ones((len(rows) + 1) * width, bool)
+        self._row, self._column = np.zeros(self._beyond + 1, np.int64), np.zeros(self._beyond + 1, np.int64)
+        for code, row in rows.items():
+            self._row[code] = row * width
+        for code, column in columns.items():
+            self._column[code] = column
+        for a, b in pairs:
+            self._apart[self._row[a] + self._column[b]] = False
+
     def _build_edges(self) -> None:
         """The merges that make each piece, seen from its right and from its left edge.
 
@@ -184,24 +202,23 @@ class Pieces:
 
     def _known_run(self, text: str) -> bytes:
         """Ids of a text whose characters are all pieces, with a space symbol at its start only."""
-        last, length = [0] * (len(text) + 1), [0] * (len(text) + 1)
+        # by place: (size, token) of the one token that ends there, and what is known to follow it
+        last, after = [(0, 0)] * len(text), [self._at_start] * (len(text) + 1)
         known, settled = self._compatible, -1
-        for stop, (size, token) in self._automaton.iter(text):
+        for stop, found in self._automaton.iter(text):
             if stop == settled:
                 continue  # at most one of the tokens that end here fits
+            size, token = found
             start = stop + 1 - size
-            if start:
-                fits = known[last[start]].get(token)
-                if fits is None:
-                    fits = self.compatible(last[start], token)
-                if not fits:
-                    continue
-            settled = stop
-            last[stop + 1], length[stop + 1] = token, size
-        parts, stop, packed = [], len(text), self._packed_id
-        while stop:
-            parts.append(packed[last[stop]])
-            stop -= length[stop]
+            fits = after[start].get(token)
+            if not fits and (fits is not None or not self.compatible(last[start - 1][1], token)):
+                continue
+            settled, last[stop], after[stop + 1] = stop, found, known[token]
+        parts, stop, packed = [], len(text) - 1, self._packed_id
+        while stop >= 0:
+            size, token = last[stop]
+            parts.append(packed[token])
+            stop -= size
         parts.reverse()
         return b"".join(parts)
 
@@ -235,56 +252,51 @@ class Pieces:
                     break
         return done
 
-    def _segment(self, text: str) -> bytes:
+    def _after_spaces(self, text: str) -> bytes:
+        """Ids of a run that begins with more than one space symbol, or is the only one."""
         body = text.lstrip(SPACE)
         spaces = len(text) - len(body)
         if not body:
             return self._spaces(spaces)
-        text = SPACE + body if spaces else body
-        inside, known, run = self._inside, self._runs.get, self._run
-        pairs = list(map(add, text, text[1:]))
-        if inside.issuperset(pairs):
-            ids = known(text) or run(text)
-        else:
-            cuts = [i for i, pair in enumerate(pairs, 1) if pair not in inside]
-            runs = [text[a:b] for a, b in pairwise([0, *cuts, len(text)])]
-            ids = b"".join([known(r) or run(r) for r in runs])
-        if spaces and ids[:4] == self._one_space:  # nothing took the last one: it is part of the run
+        ids = self._runs.get(SPACE + body) or self._run(SPACE + body)
+        if ids[:4] == self._one_space:  # nothing took the last one: it is part of the spaces
             return self._spaces(spaces) + ids[4:]
-        return self._spaces(spaces - 1) + ids if spaces > 1 else ids
+        return self._spaces(spaces - 1) + ids
 
     def _run(self, text: str) -> bytes:
         """Ids of a text that no cut divides: one unknown character, or characters that are pieces."""
-        known = self._runs.get(text)
+        known = self._older_runs.get(text)
         if known is None:
-            if len(text) == 1 and text not in self.ids:
-                return self._pack([self.byte_ids[b] for b in text.encode()])
-            known = self._older_runs.get(text) or self._known_run(text)
-            if len(text) <= SHORT:
-                if len(self._runs) >= MOST_CACHED // 2:
-                    self._older_runs, self._runs = self._runs, {}
-                self._runs[text] = known
+            if text[0] == SPACE and text[1:2] in ("", SPACE):
+                known = self._after_spaces(text)
+            elif len(text) == 1 and text not in self.ids:
+                known = self._pack([self.byte_ids[b] for b in text.encode()])
+            else:
+                known = self._known_run(text)
+        if len(text) <= SHORT:
+            if len(self._runs) >= MOST_CACHED:
+                self._older_runs, self._runs = self._runs, {}
+            self._runs[text] = known
         return known
 
-    def _packed(self, rest: str) -> bytes:
-        """Packed ids of a segment, given without the space symbol at its start."""
-        packed = self._cache.get(rest) or self._older_cache.get(rest) or self._segment(SPACE + rest)
-        if len(rest) <= SHORT:
-            if len(self._cache) >= MOST_CACHED // 2:
-                self._older_cache, self._cache = self._cache, {}
-            self._cache[rest] = packed
-        return packed
+    def _cuts(self, text: str) -> list[int]:
+        """The places of a text between characters that are neighbours in no piece."""
+        cuts: list[int] = []
+        for at in range(0, len(text) - 1, STRIP):
+            codes = np.frombuffer(text[at : at + STRIP + 1].encode("utf-32-le"), "<u4")
+            codes = np.minimum(codes, self._beyond)
+            apart = self._apart[self._row[codes[:-1]] + self._column[codes[1:]]]
+            cuts += (np.flatnonzero(apart) + (at + 1)).tolist()
+        return cuts
 
     def encode(self, text: str) -> bytes:
         """The ids with begin and end as little-endian unsigned 32-bit numbers."""
-        if not text:
-            parts = []
-        elif SPACE in text or "  " in text or text[0] == " " or text[-1] == " ":
-            parts = [s[1:] for s in SEGMENT.findall(SPACE + text.replace(" ", SPACE))]
-        else:
-            parts = text.split(" ")
-        cached, packed = self._cache.get, self._packed
-        body = b"".join([cached(p) or packed(p) for p in parts])
+        body = b""
+        if text:
+            text = SPACE + text.replace(" ", SPACE)
+            run = self._run
+            runs = [text[a:b] for a, b in pairwise([0, *self._cuts(text), len(text)])]
+            body = b"".join([self._runs.get(r) or run(r) for r in runs])
         return self._pack([self.begin]) + body + self._pack([self.end])
 
     def decode(self, ids: np.ndarray) -> str:

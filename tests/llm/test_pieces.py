@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import sys
 from itertools import pairwise
 
 import numpy as np
@@ -93,6 +94,29 @@ def test_small_caches_change_nothing(model, library, monkeypatch):
         same(known, library, f"word{i} other{i % 7} and more,{i}")
 
 
+def test_words_met_with_other_neighbours_are_not_looked_at_again(model, library):
+    known, calls = Pieces(model), []
+    words = [f"{a}{b}ing" for a in "bdfglmnprs" for b in "aeiou"]
+    text = " ".join(f"{a}.\n({b})" for a in words for b in words)
+    known.encode(" ".join(f"{a}.\n({a})" for a in words))
+    sys.setprofile(lambda frame, event, _: calls.append(frame) if event == "call" else None)
+    try:
+        known.encode(text)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 100  # of 2,500 pairs of words
+    same(known, library, text)
+
+
+def test_texts_in_strips(model, library, monkeypatch):
+    texts = [*ODD, "a,b  c\u0416\u65e5 (x)\n\U0001f600\U0001f600.  ", "one two, three" * 50]
+    for strip in (1, 2, 3, 7):
+        monkeypatch.setattr("lakeops.llm.pieces.STRIP", strip)
+        known = Pieces(model)
+        for text in texts:
+            same(known, library, text)
+
+
 def test_documents(spark, library, tmp_path):
     rows = [(1, None), (2, ""), (3, "A text, with spaces.\n"), (3, "A text, with spaces.\n"), (None, "é"), (4, "lang " * 30_000)]
     docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, ids string")
